@@ -82,3 +82,19 @@ def mappable(path: str) -> str:
                 dst.write(part)
         os.replace(tmp, at)
     return at
+
+
+def table(df, name: str, *, partition_by: tuple[str, ...] = ()):
+    """`df` written once as Parquet in the shared folder and read back: cuts lineage, survives lost executors."""
+    spark = df.sparkSession
+    path = new_dir(spark, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(df) -> None:
+    """Remove the files of a `table` that nothing reads any more."""
+    spark = df.sparkSession
+    for f in df.inputFiles()[:1]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
