@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, jaccard_join, language_id, lm_scoring, quality
+from . import bpe, fingerprints, jaccard_join, language_id, lm_scoring, packing, quality, topk, url_filter, warc
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,13 +27,38 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_read(spark, sf_dir, "documents"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(_read(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_read(spark, sf_dir, "pages"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_fingerprints, op3_language_id, op5_jaccard_join, op8_quality)}
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(_read(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, manifest, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(_read(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
+    return bpe.decode(ids, BYTE_BPE).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+_ALL = (op1_lm_scoring, op2_fingerprints, op3_language_id, op4_topk, op5_jaccard_join, op6_url_filter, op7_packing, op8_quality, op9_warc, op10_byte_bpe)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {}
