@@ -1,16 +1,50 @@
-"""The document pipeline: language ID, quality classifier, near duplicates, packing."""
+"""The document pipeline: language ID, quality classifier, near duplicates, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the
+last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from bookmill.llm import jaccard_join, language_id, packing, quality
+from bookmill.llm.queries import WORD_BPE, _read
+from bookmill.llm.lm_scoring import remainder
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str, *, least_share: float = 0.4) -> DataFrame:
+    """Drop texts without letters, and those of which no language makes up `least_share`."""
+    model = language_id.train(docs.where(~remainder("doc_id", 4, 2)))
+    found = language_id.predict(docs, model, keep=docs.columns, language="__language", score="__share")
+    return found.where((F.col("__language") != language_id.UNDETERMINED) & (F.col("__share") >= least_share)).select(*docs.columns)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, *, threshold: float = 0.3) -> DataFrame:
+    """Drop texts that the co-trained classifier gives less than `threshold`."""
+    model = quality.train(docs, _read(spark, sf_dir, "labels"))
+    return quality.score(docs, model, keep=docs.columns, into="__score").where(F.col("__score") >= threshold).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, keep the document of the least id; of repeated rows, one."""
+    others = jaccard_join.link(docs).where("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens, packed into sequences."""
+    return packing.pack(docs, WORD_BPE)
+
 
-STAGES: list = []
-#: Language ID and the classifier are learned models, which SQL can't express; tests hold run() against brute force.
+STAGES = [("language_id", known_language), ("quality", good_quality), ("near_duplicates", one_of_each_group), ("packing", packed)]
+#: Learned models and packing are not expressible in SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents table."""
+    docs = _read(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
