@@ -52,12 +52,15 @@ class PerfectHash:
             at = order[first[b] : first[b] + size[b]]
             if size[b] < 2:
                 break
-            step = 0
-            while True:
-                s = self._slots(h[at], np.array(step))
-                if free[s].all() and len(np.unique(s)) == len(s):
-                    break
-                step += 1
+            step, s = 0, None
+            while s is None:
+                tried = self._slots(h[at][:, None], np.arange(step, step + 64))
+                for k in np.flatnonzero(free[tried].all(0)).tolist():
+                    if len(set(tried[:, k].tolist())) == len(at):
+                        step, s = step + k, tried[:, k]
+                        break
+                else:
+                    step += 64
             self.shift[b], slot[at], free[s] = step, s, False
         alone = np.flatnonzero(size == 1)
         left = np.flatnonzero(free)[: len(alone)]
@@ -151,7 +154,7 @@ def _keep(docs: DataFrame, keep: list[str]) -> str:
     return ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), memo_entries: int = 300_000) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), memo_entries: int = 400_000) -> DataFrame:
     """The columns `keep` and `ids`: each text's ids as little-endian unsigned 32-bit integers."""
     ranks = load_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast((ranks, PerfectHash(ranks)))  # of the vocabulary's size

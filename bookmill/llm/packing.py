@@ -13,6 +13,8 @@ capacity; only the last may be shorter. Repeated rows are packed each.
 
 from __future__ import annotations
 
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -143,32 +145,61 @@ def _tokenizer(path: str):
     return t
 
 
+_CLOSING = b".,;:!?"
+
+
+def _visible() -> dict[int, int]:
+    """The byte-level form's characters for bytes: printable ones stand for themselves, the others follow from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
+
+
+_VISIBLE = _visible()
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def _encode(path: str, capacity: int, end: int, memo_words: int):
-    """Pieces of each text. A word between white space is encoded alone (neither normalisation nor merges reach across it) and remembered."""
-    memo: dict[bytes, bytes] = {}
+class WordIds(dict):
+    """Ids of words between white space, as bytes, worked out when first asked for (neither normalisation nor merges reach across white space)."""
+
+    def __init__(self, path: str):
+        self.tokenizer = _tokenizer(path)
+        self.one = self.tokenizer.model.tokenize
 
-    def learn(words: set[bytes]) -> None:
-        t, new = _tokenizer(path), list(words)
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
-            for w, e in zip(part, t.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                memo[w] = np.array(e.ids, "<u4").tobytes()
+    def __missing__(self, word: bytes) -> bytes:
+        bare = word.rstrip(_CLOSING)
+        if bare and len(bare) < len(word) and bare[-1:].isalnum():
+            ids = self[bare] + self[word[len(bare) :]]  # closing punctuation after an ASCII letter or digit is a pre-token of its own
+        else:
+            text = word.decode("utf-8", "replace")
+            if text.isalpha() and max(text) < "\u0250":  # one pre-token, so the model alone is needed
+                form = unicodedata.normalize("NFC", text).lower()
+                found = [x.id for x in self.one(form if form.isascii() else form.encode().decode("latin-1").translate(_VISIBLE))]
+            else:
+                found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids = struct.pack(f"<{len(found)}I", *found)
+        self[word] = ids
+        return ids
+
+
+#: A worker's memo for each tokenizer, kept from task to task.
+_memos: dict[str, WordIds] = {}
+
+
+def _encode(path: str, capacity: int, end: int, memo_words: int):
+    """Pieces of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = np.array([end], "<u4").tobytes()
+        tail = struct.pack("<I", end)
+        memo = _memos.setdefault(path, WordIds(path))
         for b in batches:
             docs, texts = b.column(0).to_pylist(), [x or b"" for x in b.column(1).to_pylist()]
-            for i, j in slices(texts, 1 << 22):
-                words = [t.split() for t in texts[i:j]]
+            for i, j in slices(texts, 1 << 20):
                 if len(memo) > memo_words:
                     memo.clear()
-                learn(set().union(*words).difference(memo))
                 rows = []
-                for d, ws in zip(docs[i:j], words, strict=True):
-                    ids = b"".join([*map(memo.__getitem__, ws), tail])
+                for d, t in zip(docs[i:j], texts[i:j], strict=True):
+                    ids = b"".join([*map(memo.__getitem__, t.lower().split()), tail])
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         rows.append((d, k, at // 4, len(part) // 4, zlib.crc32(part)))
