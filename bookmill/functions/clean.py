@@ -7,6 +7,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 from .text import TOC_TITLES, replace_all, strip
 
@@ -50,7 +51,7 @@ def normalize_images(text: Column) -> Column:
 
 def clean_md_per_file(text: Column, title: Column) -> Column:
     """Cleaning of one content file's Markdown: one title heading in place of the marked ones, no spans, attributes or fences."""
-    lines = F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
+    lines = F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
     marked = lambda x: F.ltrim(x).startswith("#") & F.contains(x, F.lit("tfhabitatexpanded_bold_b_"))
     head = F.concat(F.lit("# "), title)
     at = F.array_position(F.transform(lines, marked), True)
@@ -66,7 +67,7 @@ _TAGS = (
 )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_html(s: pd.Series) -> pd.Series:
     """Character references resolved."""
     return s.map(html.unescape, na_action="ignore")
@@ -109,7 +110,7 @@ def _without_toc(text: str) -> str:
     return "\n".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_toc(s: pd.Series) -> pd.Series:
     """Markdown without a manual table of contents."""
     return s.map(_without_toc, na_action="ignore")

@@ -85,17 +85,16 @@ def ensure_term_ids(terms: DataFrame) -> DataFrame:
 
 def validate_glossary(terms: DataFrame) -> DataFrame:
     """Faults of terms: book_id, pos, severity, rule. Each rule is a column; one pass finds all."""
-    same_name = F.count("*").over(Window.partitionBy("book_id", F.lower("source")))
-    same_id = F.count("*").over(Window.partitionBy("book_id", "id"))
+    counted = terms.withColumn("_names", F.count("*").over(Window.partitionBy("book_id", F.lower("source")))).withColumn("_ids", F.count("*").over(Window.partitionBy("book_id", "id")))
     blank = lambda c: strip(F.coalesce(F.col(c), F.lit(""))) == ""
     rules = (
-        ("error", "empty_source", blank("source")), ("error", "empty_target", blank("target")), ("error", "missing_id", blank("id")), ("error", "duplicate_id", ~blank("id") & (same_id > 1)),
-        ("error", "duplicate_source", ~blank("source") & (same_name > 1)), ("error", "blank_alias", F.exists(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: a.isNull() | (strip(a) == ""))),
+        ("error", "empty_source", blank("source")), ("error", "empty_target", blank("target")), ("error", "missing_id", blank("id")), ("error", "duplicate_id", ~blank("id") & (F.col("_ids") > 1)),
+        ("error", "duplicate_source", ~blank("source") & (F.col("_names") > 1)), ("error", "blank_alias", F.exists(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: a.isNull() | (strip(a) == ""))),
         ("warning", "bad_category", ~F.coalesce("category", F.lit("")).isin(*CATEGORIES)), ("warning", "bad_gender", ~F.coalesce("gender", F.lit("")).isin(*GENDERS)),
         ("warning", "bad_confidence", ~F.coalesce("confidence", F.lit("")).isin(*CONFIDENCE)), ("warning", "frequency_0", F.coalesce("frequency", F.lit(0)) == 0), ("warning", "frequency_1", F.col("frequency") == 1),
     )
     found = F.array_compact(F.array(*(F.when(test, F.struct(F.lit(s).alias("severity"), F.lit(r).alias("rule"))) for s, r, test in rules)))
-    own = terms.select("book_id", "pos", F.explode(found).alias("f")).select("book_id", "pos", "f.severity", "f.rule")
+    own = counted.select("book_id", "pos", F.explode(found).alias("f")).select("book_id", "pos", "f.severity", "f.rule")
     names = terms.select("book_id", F.lower("source").alias("surface"), F.col("pos").alias("other"))
     shadowed = terms.select("book_id", "pos", F.explode(F.coalesce("aliases", F.array().cast("array<string>"))).alias("a")).select("book_id", "pos", F.lower("a").alias("surface")).join(names, ["book_id", "surface"]).where("pos != other")
     return own.unionByName(shadowed.select("book_id", "pos", F.lit("warning").alias("severity"), F.lit("alias_is_source").alias("rule")).distinct())

@@ -8,7 +8,7 @@ from ..config import Chunking
 from ..functions.text import FRONT, heading_level, heading_title, paragraphs, section_kind, strip
 
 #: What Python's splitlines breaks at.
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def lines(books: DataFrame, text: str = "text", end: str = "\n") -> DataFrame:
