@@ -172,8 +172,8 @@ class WordIds(dict):
             ids = self[bare] + self[word[len(bare) :]]  # closing punctuation after an ASCII letter or digit is a pre-token of its own
         else:
             text = word.decode("utf-8", "replace")
-            if text.isalpha() and max(text) < "\u0250":  # one pre-token, so the model alone is needed
-                form = unicodedata.normalize("NFC", text).lower()
+            form = unicodedata.normalize("NFC", text).lower() if text and max(text) < "\u0250" else ""
+            if form.isalpha() and max(form) < "\u0250":  # one pre-token, so the model alone is needed
                 found = [x.id for x in self.one(form if form.isascii() else form.encode().decode("latin-1").translate(_VISIBLE))]
             else:
                 found = self.tokenizer.encode(text, add_special_tokens=False).ids

@@ -75,7 +75,7 @@ def text_features(texts: list[bytes]) -> np.ndarray:
 def meta_features(source: list, lang: list, chars: list) -> np.ndarray:
     """One of META buckets for the source, the language and the order of the length each."""
     out = np.zeros((len(source), META), np.float32)
-    for name, col in (("s", source), ("l", lang), ("n", [None if c is None else int(np.log2(c + 1) * 2) for c in chars])):
+    for name, col in (("s", source), ("l", lang), ("n", [None if c is None else int(np.log2(max(c, 0) + 1) * 2) for c in chars])):
         for k, v in enumerate(col):
             h = int.from_bytes(repr((name, v)).encode()[-24:], "big") % (1 << 64)
             out[k, int(mix(np.array([h], np.uint64))[0] >> U(56))] = 1
@@ -190,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled: int = 3000, pool: int
     other = _sampled(docs, pool, "doc_id").select("doc_id", F.lit(-1).alias("y"), *_columns(docs))
     rows = sorted(own.unionByName(other).mapInArrow(_features, "i bigint, y int, text binary, meta binary").collect(), key=lambda r: (r["y"] < 0, r["i"] is None, r["i"] or 0, r["text"]))
     y = np.array([r["y"] for r in rows], float)
-    views = [np.array([np.frombuffer(r[v], np.float16) for r in rows], np.float32).reshape(len(rows), -1) for v in ("text", "meta")]
+    views = [np.array([np.frombuffer(r[v], np.float16) for r in rows], np.float32).reshape(len(rows), width) for v, width in (("text", SHAPES + WORDS + RATES), ("meta", META))]
     ids = {r["i"] for r in rows if r["y"] >= 0}
     free = np.array([r["y"] < 0 and r["i"] not in ids for r in rows], bool)
     return co_train([v[y >= 0] for v in views], y[y >= 0], [v[free] for v in views])

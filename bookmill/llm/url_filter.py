@@ -4,8 +4,8 @@ A URL's host is what follows the first `://` up to `/`, `?`, `#` or the end, A-Z
 path goes on to `?`, `#` or the end. Null, or without `://`: both empty. Of the rules that fit
 (the rule's host or a subdomain of it; the path starts with the rule's), the longest decides.
 Other URLs are judged by a model of the 3- to 5-grams of host and path, fitted on the driver to a
-small labelled table of URLs. Every row is judged; rows with no host get the model's verdict on
-nothing, which is to allow.
+small labelled table of URLs. Every row is judged; the model allows what is too short for an
+n-gram, so rows without host and path too.
 """
 
 from __future__ import annotations
@@ -104,7 +104,7 @@ def _log_odds(w: np.ndarray, b: float, urls: list[bytes]) -> np.ndarray:
     gram, n = grams(urls)
     sums = np.concatenate([[0.0], np.cumsum(w[gram])])
     ends = np.cumsum(n)
-    return (sums[ends] - sums[ends - n]) / np.sqrt(np.maximum(n, 1)) + b
+    return np.where(n > 0, (sums[ends] - sums[ends - n]) / np.sqrt(np.maximum(n, 1)) + b, -30.0)  # nothing to go by: allow
 
 
 def train(table: Sequence[tuple[str, int]], *, steps: int = 400, rate: float = 1.0, decay: float = 1e-2) -> tuple[np.ndarray, float]:
