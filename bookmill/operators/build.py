@@ -13,6 +13,7 @@ from html import escape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from ..functions.text import guess_content_type
 
@@ -256,3 +257,39 @@ def resolve_images(refs: DataFrame, files: DataFrame) -> DataFrame:
     tried = refs.select("book_id", "src", F.posexplode(F.array_distinct(places)).alias("rank", "path"))
     found = tried.join(files, ["book_id", "path"]).groupBy("book_id", "src").agg(F.min_by(F.struct("path", "content"), "rank").alias("f"))
     return found.select("book_id", "src", "f.path", guess_content_type(F.col("f.path")).alias("content_type"), "f.content")
+
+
+#: What may stand in a section, by rank: title, epigraphs, one image, annotation, then content.
+_RANK = {"title": 0, "epigraph": 1, "image": 2, "annotation": 3} | dict.fromkeys(("p", "subtitle", "empty-line", "cite", "poem", "table", "section"), 4)
+
+
+def fb2_faults(text: str) -> list[str]:
+    """Faults of a FictionBook document: not well-formed, parts missing, sections whose parts are out of order, repeated or without content."""
+    from xml.etree import ElementTree
+
+    try:
+        root = ElementTree.fromstring(text.encode())
+    except ElementTree.ParseError as e:
+        return [f"line {e.position[0]}: not well-formed"]
+    name = lambda el: el.tag.rpartition("}")[2]
+    found = [] if name(root) == "FictionBook" else ["root is no FictionBook"]
+    parts = [name(c) for c in root]
+    found += [f"no {p}" for p in ("description", "body") if p not in parts]
+    info = next((e for e in root.iter() if name(e) == "title-info"), None)
+    have = [name(c) for c in info] if info is not None else []
+    found += [f"title-info has no {p}" for p in ("genre", "author", "book-title", "lang") if p not in have]
+    for k, sec in enumerate(e for e in root.iter() if name(e) == "section"):
+        ranks = [_RANK.get(name(c), 9) for c in sec]
+        if ranks != sorted(ranks) or 9 in ranks:
+            found.append(f"section {k}: parts out of order")
+        if ranks.count(0) > 1 or sum(name(c) == "image" and r == 2 for c, r in zip(sec, ranks, strict=True)) > 1:
+            found.append(f"section {k}: a part is repeated")
+        if 4 not in ranks:
+            found.append(f"section {k}: no content")
+    return found
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def fb2_validate(s: pd.Series) -> pd.Series:
+    """Faults of FictionBook texts (see fb2_faults); none for a valid one. Never stops a build."""
+    return s.map(lambda x: fb2_faults(x or ""))

@@ -294,3 +294,19 @@ def merge_status(metas: DataFrame, outputs: DataFrame, applied: DataFrame) -> Da
     kind = F.when(F.col("done"), "consumed").when(F.size("errors") > 0, "malformed").otherwise("unmerged")
     rows = state.select("book_id", kind.alias("k")).unionByName(outputs.join(metas, ["book_id", "chunk_no"], "left_anti").select("book_id", F.lit("missing").alias("k")))
     return rows.groupBy("book_id").agg(*(F.count_if(F.col("k") == k).alias(k) for k in ("consumed", "unmerged", "malformed", "missing")))
+
+
+def parse_decisions(texts: DataFrame) -> DataFrame:
+    """Decisions of files (book_id, text): a JSON list of {id, choice, kind}, or an object that holds it as `decisions`."""
+    item = "array<struct<id:string,choice:string,kind:string>>"
+    both = F.when(F.ltrim("text").startswith("["), F.from_json("text", item)).otherwise(F.from_json("text", f"decisions {item}")["decisions"])
+    return texts.select("book_id", F.explode(both).alias("d")).select("book_id", "d.id", "d.choice", "d.kind")
+
+
+def load_glossary(texts: DataFrame) -> DataFrame:
+    """Terms of glossary files (book_id, text): a JSON object with `terms`. A file that holds none stops the job; absent fields get defaults."""
+    term = "struct<id:string,source:string,target:string,aliases:array<string>,category:string,gender:string,confidence:string,frequency:int,evidence_refs:array<string>,notes:string>"
+    parsed = texts.select("book_id", F.from_json("text", f"version int, terms array<{term}>").alias("g"))
+    checked = parsed.select("book_id", F.when(F.col("g.terms").isNull(), F.raise_error(F.concat(F.lit("no terms in the glossary of "), "book_id")).cast(f"array<{term}>")).otherwise(F.col("g.terms")).alias("terms"))
+    rows = checked.select("book_id", F.posexplode("terms").alias("k", "t")).select("book_id", (F.col("k") + 1).alias("pos"), "t.*")
+    return fix_glossary(rows.withColumn("evidence_refs", F.coalesce("evidence_refs", F.array().cast("array<string>"))))

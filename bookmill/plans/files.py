@@ -7,8 +7,9 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from ..functions import clean
 from ..functions.text import guess_content_type
-from ..operators import build
+from ..operators import build, glossary
 from ..sources import books as B
 from .registry import query
 
@@ -111,3 +112,28 @@ def fb2_pretty(t):
     pretty = build.pretty_fb2(F.col("fb2"))
     bare = lambda c: F.regexp_replace(c, r"\n", "")
     return _book(t).select((bare(pretty) == bare(F.col("fb2"))).alias("same"), (F.regexp_count(pretty, F.lit("\n")) > 10).alias("more_lines"))
+
+
+@query("SELECT CAST(id AS BIGINT) AS id, faults FROM (VALUES (1, ''), (2, 'section 0: parts out of order | section 1: no content'), (3, 'line 1: not well-formed')) v(id, faults)")
+def fb2_validate(t):
+    head = "<FictionBook><description><title-info><genre>g</genre><author/><book-title>t</book-title><lang>en</lang></title-info></description><body>"
+    texts = t.spark.createDataFrame([(2, f"{head}<section><p>x</p><title/></section><section><title/></section></body></FictionBook>"), (3, "<FictionBook>")], "id long, x string")
+    return _book(t).select(F.lit(1).cast("bigint").alias("id"), F.col("fb2").alias("x")).unionByName(texts).select("id", build.fb2_validate("x").alias("faults"))
+
+
+@query("SELECT replace('# One¶link and X¶![image](images/a.png)¶', '¶', chr(10)) AS cleaned")
+def clean_md_per_file(t):
+    text = t.sql("SELECT replace('# tfhabitatexpanded_bold_b_ 1¶# tfhabitatexpanded_bold_b_ One¶[link](#calibre_link-1){.c} and [X]{.minio}{.s}¶<img src=\"../images/a.png\"/>[]{#pg_1 .p}¶', '¶', chr(10)) AS x")
+    return text.select(clean.clean_md_per_file(F.col("x"), F.lit("One")).alias("cleaned"))
+
+
+@query("SELECT id, choice FROM (VALUES ('a', 'skip'), ('b', 'accept'), ('c', 'x')) v(id, choice)")
+def parse_decisions(t):
+    texts = t.sql("""SELECT * FROM VALUES ('p', '[{"id":"a","choice":"skip"},{"id":"b","choice":"accept","kind":"k"}]'), ('q', '{"decisions":[{"id":"c","choice":"x"}]}') v(book_id, text)""")
+    return glossary.parse_decisions(texts).select("id", "choice")
+
+
+@query("SELECT CAST(pos AS BIGINT) AS pos, id, gender, CAST(frequency AS BIGINT) AS frequency FROM (VALUES (1, 'ann', 'female', 0), (2, 'bob', 'unknown', 3)) v(pos, id, gender, frequency)")
+def load_glossary(t):
+    texts = t.sql("""SELECT 'b' AS book_id, '{"version":2,"terms":[{"source":"Ann","target":"x","gender":"female"},{"source":"Bob","frequency":3}]}' AS text""")
+    return glossary.load_glossary(texts).select("pos", "id", "gender", "frequency")
