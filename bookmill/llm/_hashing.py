@@ -62,21 +62,26 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np
     """Hashes of each text's runs of `size` words (all its words if fewer), and their number by text."""
     n = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     starts = np.cumsum(counts) - counts
-    at = np.repeat(starts, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-    end = np.repeat(starts + counts, n)
-    out = np.zeros(len(at), np.uint64)
-    for j in range(size):
-        inside = at + j < end
-        got = words[np.minimum(at + j, max(len(words) - 1, 0))] if len(words) else np.zeros(0, np.uint64)
-        out = mix(out * U(0x9FB21C651E98DF25) + np.where(inside, got, U(0x5851F42D4C957F2D)) + U(j))
-    return out, n
+    factors = mix(np.arange(1, size + 1, dtype=np.uint64)) | U(1)
+    padded = np.concatenate([words, np.zeros(size, np.uint64)])
+    sums = padded[: len(words)] * factors[0]
+    for j in range(1, size):
+        sums += padded[j : len(words) + j] * factors[j]
+    first = np.cumsum(n) - n
+    out = sums[np.repeat(starts - first, n) + np.arange(int(n.sum()))]
+    short = np.flatnonzero((counts > 0) & (counts < size))
+    for j in range(size) if len(short) else ():
+        at = short[counts[short] <= j]
+        out[first[at]] -= padded[starts[at] + j] * factors[j]
+    out[first[short]] += counts[short].astype(np.uint64)
+    return mix(out), n
 
 
 def slices(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
-    """Consecutive ranges of texts of at most `limit` bytes together; a longer text stands alone."""
+    """Consecutive ranges of at most 2^15 texts and `limit` bytes together; a longer text stands alone."""
     start = total = 0
     for k, t in enumerate(texts):
-        if total and total + len(t) > limit:
+        if total and (total + len(t) > limit or k - start >= 1 << 15):
             yield start, k
             start, total = k, 0
         total += len(t) + 1

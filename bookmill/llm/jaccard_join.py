@@ -6,8 +6,8 @@ a common order (rarest first, by a bounded counting sketch of all texts); these
 classes out to groups. A common passage comes last in that order, so it makes no large group
 unless it is nearly all of a text.
 
-Links are needed only between different components, so a first round links each class to one
-hub of its groups. Groups whose classes are one component by then are done. In the others the
+Links are needed only between different components, so a few rounds link each class to one hub
+of its groups. Groups whose classes are one component by then are done. In the others the
 tokens of each class are counted by hash group; an R-tree over these points is searched for each
 class: the coordinate minima of a node's upper corner and the class, summed, bound the overlap
 from above, and nodes that are all of the class's own component are left out. Surviving pairs
@@ -33,22 +33,31 @@ from ._components import components
 from ._hashing import U, mix, shingle_hashes, slices, word_hashes
 from .lm_scoring import _batch, _pack, _unpack, range_of
 
-COUNTERS, SLICE = 1 << 20, 1 << 14
-GROUPS = 128
+COUNTERS, SLICE = 1 << 23, 1 << 17
+#: Hash groups of a point; a count of 255 or more is stored as 255 and counts as without limit.
+GROUPS = 256
 LEAF = 16
+#: Levels of frequency from which a token is dealt out by class, since its classes could fill a task.
+HEAVY = 7
 _SIGNED = np.int64
 
 
 def token_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, ascending within a text, and each one's text."""
+    """Distinct 48-bit shingle hashes of each of up to 2^16 texts, ascending within a text, and each one's text."""
     words, counts = word_hashes(texts)
     h, n = shingle_hashes(words, counts, size)
-    doc = np.repeat(np.arange(len(texts)), n)
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    return h[new], doc[new]
+    return _split(_distinct(np.repeat(np.arange(len(texts), dtype=np.uint64) << U(48), n) | (h >> U(16))))
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new]
+
+
+def _split(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return keys & U((1 << 48) - 1), (keys >> U(48)).astype(np.int64)
 
 
 def signatures(h: np.ndarray, doc: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +76,7 @@ def _describe(size: int):
     """A row for each text, then the task's counters of tokens, in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters, seen = np.zeros(COUNTERS, np.int64), set()
+        counters, seen = np.zeros(COUNTERS, np.uint32), set()
         for b in batches:
             texts = [x or b"" for x in b.column(1).to_pylist()]
             for i, j in slices(texts, 1 << 22):
@@ -76,29 +85,38 @@ def _describe(size: int):
                 new = np.array([c not in seen and not seen.add(c) for c in cls.tolist()], bool)
                 if len(seen) > 1 << 20:
                     seen.clear()
-                counters += np.bincount((h[new[doc]] >> U(44)).astype(np.int64), minlength=COUNTERS)
+                np.add.at(counters, (h[new[doc]] >> U(25)).astype(np.int64), np.uint32(1))
                 none = pa.nulls(j - i)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), pa.array(cls.view(_SIGNED)), none.cast(pa.int32()), none.cast(pa.binary())], schema=_SETS)
         z = zstandard.ZstdCompressor(level=1)
         if counters.any():
-            yield _batch(_SETS, [(None, None, None, k, z.compress(counters[k * SLICE : (k + 1) * SLICE].astype(np.uint32).tobytes())) for k in range(COUNTERS // SLICE)])
+            yield _batch(_SETS, [(None, None, None, k, z.compress(counters[k * SLICE : (k + 1) * SLICE].tobytes())) for k in range(COUNTERS // SLICE)])
 
     return run
 
 
-def _add_slices(key: tuple, t: pa.Table) -> pa.Table:
-    z = zstandard.ZstdDecompressor()
-    total = sum(np.frombuffer(z.decompress(x), np.uint32).astype(np.int64) for x in t.column("counters").to_pylist())
-    return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counters": pa.array([total.tobytes()], pa.binary())})
+def _level_slices(mean: float):
+    """Sums of a slice's counters as levels."""
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        z = zstandard.ZstdDecompressor()
+        total = np.zeros(SLICE, np.int64)
+        for x in t.column("counters"):
+            total += np.frombuffer(z.decompress(x.as_py()), np.uint32)
+        level = np.clip(np.floor(2 * np.log2(np.maximum(total, 1) / (1.5 * mean + 8))) + 1, 0, 15).astype(np.uint8)
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "levels": pa.array([level.tobytes()], pa.binary())})
+
+    return run
 
 
 def _levels(sets: DataFrame) -> np.ndarray:
-    """How much more frequent than the mean a counter's tokens are, as a power of two from 0 to 15."""
-    rows = sets.where("slice IS NOT NULL").select("slice", "counters").groupBy("slice").applyInArrow(_add_slices, "slice int, counters binary").collect()
-    out = np.zeros(COUNTERS, np.int64)
+    """How frequent a counter's tokens are: 0 up to about the mean of all counters, then a level for each factor of sqrt(2), to 15."""
+    tokens = sets.where("slice IS NULL").agg(F.sum("n")).first()[0] or 0
+    rows = sets.where("slice IS NOT NULL").select("slice", "counters").groupBy("slice").applyInArrow(_level_slices(tokens / COUNTERS), "slice int, levels binary").collect()
+    out = np.zeros(COUNTERS, np.uint8)
     for r in rows:  # 64 slices, 8 MB in all
-        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(r["counters"], np.int64)
-    return np.clip(np.log2(np.maximum(out, 1) / (8 * (out.mean() + 4))), 0, 15).astype(np.uint8)
+        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(bytes(r["levels"]), np.uint8)
+    return out
 
 
 _BLOCKS = pa.schema([("part", pa.int32()), ("block", pa.binary())])
@@ -114,8 +132,8 @@ def _prefixes(size: int, percent: int, levels, parts: int, chunk: int):
         def flush() -> pa.RecordBatch:
             token, cls = (np.concatenate(x) for x in zip(*kept, strict=True))
             kept.clear()
-            part = range_of(np.where(token >> U(60) > 0, mix(cls), token << U(4)), parts)
-            order = np.lexsort((token, part))
+            part = range_of(np.where(token >> U(44) >= HEAVY, mix(cls), token << U(20)), parts)
+            order = np.argsort((part.astype(np.uint64) << U(48)) | token)
             token, cls = token[order], cls[order]
             bounds = np.searchsorted(part[order], np.arange(parts + 1))
             return _batch(_BLOCKS, [(k, _pack(token[i:j], cls[i:j])) for k, (i, j) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if i < j])
@@ -129,9 +147,9 @@ def _prefixes(size: int, percent: int, levels, parts: int, chunk: int):
                 new = np.array([c not in seen and not seen.add(c) for c in cls.tolist()], bool)
                 if len(seen) > 1 << 20:
                     seen.clear()
-                token = (level[(h >> U(44)).astype(np.int64)].astype(np.uint64) << U(60)) | (h >> U(4))
-                order = np.lexsort((token, doc))
-                token, doc = token[order], doc[order]
+                keys = (doc.astype(np.uint64) << U(48)) | (level[(h >> U(25)).astype(np.int64)].astype(np.uint64) << U(44)) | (h >> U(4))
+                keys.sort()
+                token, doc = _split(keys)
                 first = n - -(-n * percent // 100) + 1
                 use = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n) < first[doc]) & new[doc]
                 kept.append((token[use], cls[doc[use]]))
@@ -157,67 +175,109 @@ def _shared(key: tuple, t: pa.Table) -> pa.Table:
     new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
     token, cls = token[new], cls[new]
     same = token[1:] == token[:-1]
-    keep = token >> U(60) > 0
+    keep = token >> U(44) >= HEAVY
     keep[1:] |= same
     keep[:-1] |= same
     return pa.Table.from_arrays([pa.array(token[keep].view(_SIGNED)), pa.array(cls[keep].view(_SIGNED))], schema=_POSTINGS)
 
 
-_POINTS = pa.schema([("node", pa.int64()), ("vec", pa.binary()), ("tokens", pa.binary())])
+_POINTS = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("vec", pa.binary()), ("fine", pa.binary())])
+_TOKENS = pa.schema([("node", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+#: Bits of the marks of wanted ids: 4 MB, whatever the number of documents.
+MARK_BITS = 25
 
 
-def count_vectors(h: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
-    """How many tokens of each set fall to each hash group."""
-    return np.bincount(doc * GROUPS + (mix(h) >> U(57)).astype(np.int64), minlength=texts * GROUPS).reshape(texts, GROUPS).astype(np.uint32)
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bit for each hash of the wanted ids. More ids than bits only mean that other texts are described too."""
+    at = F.shiftrightunsigned(F.xxhash64(ids.columns[0]), 64 - MARK_BITS)
+    rows = ids.select(F.floor(at / 32768).cast("int").alias("block"), (at % 32768).alias("bit")).groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    out = np.zeros((1 << MARK_BITS) // 8, np.uint8)
+    for r in rows:  # at most 1024 rows of 4 KB
+        out[r["block"] * 4096 : (r["block"] + 1) * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return np.unpackbits(out, bitorder="little").view(bool)
+
 
+def _of_wanted(rows: DataFrame, classes: DataFrame, nodes: DataFrame, size: int, describe, schema: str) -> DataFrame:
+    """Descriptions of the classes `nodes` (and perhaps of some others), made where their texts are read: no text is dealt out."""
+    ids = nodes.distinct().join(classes.select(F.col("cls").alias("node"), "rep"), "node").select("rep")
+    marks = rows.sparkSession.sparkContext.broadcast(_marks(ids))
 
-def _points(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [x or b"" for x in b.column(0).to_pylist()]
+            wanted = marks.value[(b.column(0).to_numpy().view(np.uint64) >> U(64 - MARK_BITS)).astype(np.int64)]
+            texts = [x or b"" for x in b.column(1).filter(pa.array(wanted)).to_pylist()]
             for i, j in slices(texts, 1 << 22):
                 h, doc = token_sets(texts[i:j], size)
                 n, cls = signatures(h, doc, j - i)
-                vec, ends = count_vectors(h, doc, j - i), np.cumsum(n)
-                yield _batch(_POINTS, [(int(c), v.tobytes(), h[e - m : e].tobytes()) for c, v, e, m in zip(cls.view(_SIGNED), vec, ends, n, strict=True)])
+                yield describe(h, doc, n, cls.view(_SIGNED))
 
-    return run
+    return rows.select(F.xxhash64("doc_id").alias("h"), "t").mapInArrow(run, schema)
+
+
+def count_vectors(h: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
+    """How many tokens of each set fall to each hash group."""
+    counts = np.bincount(doc * GROUPS + (mix(h) >> U(56)).astype(np.int64), minlength=texts * GROUPS).reshape(texts, GROUPS)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def fine_vector(h: np.ndarray) -> bytes:
+    """Counts by hash group with about as many groups as tokens, so that chance overlap is little at any length. First byte: bytes a count."""
+    bits = min(16, max(7, int(len(h)).bit_length()))
+    counts = np.bincount((mix(h) >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return b"\x01" + counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"\x04" + counts.astype(np.uint32).tobytes()
+
+
+def fine_bound(a: bytes, b: bytes) -> tuple[int, int]:
+    """Summed minima and summed sizes; the vector of more groups is folded to the other's."""
+    x, y = (np.frombuffer(v, np.uint8 if v[0] == 1 else np.uint32, offset=1).astype(np.int64) for v in (a, b))
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = x.reshape(len(y), -1).sum(1)
+    return int(np.minimum(x, y).sum()), int(x.sum() + y.sum())
+
+
+def _points(h: np.ndarray, doc: np.ndarray, n: np.ndarray, cls: np.ndarray) -> pa.RecordBatch:
+    fine = [fine_vector(h[e - m : e]) for e, m in zip(np.cumsum(n), n, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(cls), pa.array(n), pa.array([v.tobytes() for v in count_vectors(h, doc, len(n))], pa.binary()), pa.array(fine, pa.binary())], schema=_POINTS)
+
+
+def _tokens(h: np.ndarray, doc: np.ndarray, n: np.ndarray, cls: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(cls), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), pa.array(h.view(_SIGNED)))], schema=_TOKENS)
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _vectors(col: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), np.uint32).reshape(-1, GROUPS)
+    stored = np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, GROUPS)
+    return np.where(stored == 255, np.uint32(1 << 24), stored.astype(np.uint32)) if (stored == 255).any() else stored
 
 
-def _check(percent: int, exact: bool):
-    """Pairs whose bound (exact: whose overlap) reaches the threshold. Columns: a, b, then of each the points or tokens."""
+def _bounded(percent: int):
+    """Pairs (a, b, and their fine vectors) whose bound reaches the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if exact:
-                sets = [[np.frombuffer(x, np.uint64) for x in b.column(k).to_pylist()] for k in (2, 3)]
-                both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sets, strict=True)], np.int64)
-                n = np.array([len(x) + len(y) for x, y in zip(*sets, strict=True)], np.int64)
-            else:
-                x, y = _vectors(b.column(2)), _vectors(b.column(3))
-                both, n = np.minimum(x, y).sum(1, dtype=np.int64), x.sum(1, dtype=np.int64) + y.sum(1, dtype=np.int64)
-            keep = pa.array((100 + percent) * both >= percent * n)
+            bounds = [fine_bound(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            keep = pa.array([(100 + percent) * both >= percent * n for both, n in bounds], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], schema=_PAIRS)
 
     return run
 
 
-def _verified(pairs: DataFrame, points: DataFrame, percent: int, bounded: bool = False) -> DataFrame:
-    """The linked ones among pairs (a, b) of classes."""
-    for column, exact in (("vec", False), ("tokens", True)):
-        if bounded and not exact:
-            continue
-        for side in ("a", "b"):
-            pairs = pairs.join(points.select(F.col("node").alias(side), F.col(column).alias(f"{side}_{column}")), side)
-        pairs = pairs.select("a", "b", f"a_{column}", f"b_{column}").mapInArrow(_check(percent, exact), "a bigint, b bigint")
-    return pairs
+def _with(pairs: DataFrame, points: DataFrame, column: str) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = pairs.join(points.select(F.col("node").alias(side), F.col(column).alias(f"{side}_{column}")), side)
+    return pairs.select("a", "b", f"a_{column}", f"b_{column}")
+
+
+def _verified(pairs: DataFrame, points: DataFrame, tokens_of, percent: int) -> DataFrame:
+    """The linked ones among pairs (a, b) of classes: by the bound of their fine vectors, then by their token sets."""
+    likely = _store.table(_with(pairs, points, "fine").mapInArrow(_bounded(percent), "a bigint, b bigint").distinct(), "likely")
+    tokens = _store.table(tokens_of(likely.select(F.col("a").alias("node")).union(likely.select("b"))), "tokens")
+    both = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    return _with(likely, tokens, "tokens").where((100 + percent) * both >= percent * (F.size("a_tokens") + F.size("b_tokens"))).select("a", "b").distinct()
 
 
 class CountVectorTree:
@@ -276,12 +336,12 @@ def tree_pairs(node: np.ndarray, vec: np.ndarray, n: np.ndarray, root: np.ndarra
 
 
 def _search_groups(percent: int):
-    """Over rows sorted by group: token, i, j, node, root, vec."""
+    """Over rows sorted by group: token, i, j, node, root, vec, n."""
 
     def search(b: pa.Table) -> np.ndarray:
         keys = np.stack([b.column(k).to_numpy() for k in range(3)], 1)
         node, root, vec = b.column(3).to_numpy(), b.column(4).to_numpy(), _vectors(b.column(5).combine_chunks())
-        n = vec.sum(1, dtype=np.int64)
+        n = b.column(6).to_numpy()
         cut = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1), [True]]))
         out = [tree_pairs(node[i:j], vec[i:j], n[i:j], root[i:j], percent) for i, j in zip(cut[:-1], cut[1:], strict=True) if j > i + 1]
         return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
@@ -310,7 +370,15 @@ def _rooted(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, part_bytes: int = 32 << 20, chunk_rows: int = 1_500_000, group_rows: int = 2048) -> DataFrame:
+def _to_hubs(rooted: DataFrame, k: int) -> DataFrame:
+    """A pair (a, b) for each class whose groups have another component: with the class of least hash in the largest such. k: chooses the hash."""
+    parts = rooted.groupBy("token", "root").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node")).alias("hub"))
+    two = parts.groupBy("token").agg(F.max(F.struct("m", "hub", "root")).alias("best"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token", "best")
+    pairs = rooted.join(two, "token").where("root != best.root").groupBy("node").agg(F.max("best").alias("best"))
+    return pairs.select(F.col("node").alias("a"), F.col("best.hub.node").alias("b"))
+
+
+def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, part_bytes: int = 32 << 20, chunk_rows: int = 1_500_000, group_rows: int = 2048, hub_rounds: int = 3) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
@@ -323,28 +391,31 @@ def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: i
         rows.select("t").mapInArrow(_prefixes(size, percent, levels, parts, chunk_rows), "part int, block binary").repartition(parts, "part").groupBy("part").applyInArrow(_shared, "token bigint, node bigint"),
         "postings",
     )
-    active = postings.select("node").distinct().join(classes.withColumnRenamed("cls", "node"), "node")
-    points = _store.table(
-        rows.join(active.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("t").mapInArrow(_points(size), "node bigint, vec binary, tokens binary").dropDuplicates(["node"]),
-        "points",
-    )
-    hubs = postings.groupBy("token").agg(F.min("node").alias("hub"))
-    first = postings.join(hubs, "token").where("node > hub").groupBy("node").agg(F.min("hub").alias("hub")).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    found = _store.table(_verified(first, points, percent), "links")
+    points = _store.table(_of_wanted(rows, classes, postings.select("node"), size, _points, "node bigint, n bigint, vec binary, fine binary"), "points")
+
+    def tokens_of(nodes: DataFrame) -> DataFrame:
+        return _of_wanted(rows, classes, nodes, size, _tokens, "node bigint, tokens array<bigint>")
+
+    found = _store.table(_verified(_to_hubs(postings.withColumn("root", F.col("node")), 0), points, tokens_of, percent), "links")
+    for k in range(1, hub_rounds):
+        rooted = _rooted(postings, components(found))
+        found = _store.table(found.unionByName(_verified(_to_hubs(rooted, k), points, tokens_of, percent)), "links")
     rooted = _store.table(_rooted(postings, components(found)), "rooted")
     mixed = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("token", F.ceil(F.col("m") / group_rows).cast("int").alias("r"))
     own = F.pmod(F.xxhash64("node"), F.col("r")).cast("int")
     dealt = (
         rooted.join(mixed, "token")
-        .join(points.select("node", "vec"), "node")
+        .join(points.select("node", "vec", "n"), "node")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("r") - 1)))
-        .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "vec")
+        .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "vec", "n")
         .repartition("token", "i", "j")
         .sortWithinPartitions("token", "i", "j")
     )
-    more = _verified(dealt.mapInArrow(_search_groups(percent), "a bigint, b bigint").distinct(), points, percent, bounded=True)
+    more = _verified(dealt.mapInArrow(_search_groups(percent), "a bigint, b bigint").distinct(), points, tokens_of, percent)
     comps = _store.table(components(found.unionByName(more)), "components")
+    for done in (postings, points, rooted):
+        _store.drop(done)
     least = _rooted(classes.withColumnRenamed("cls", "node"), comps)
     least = least.join(least.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select(F.col("node").alias("cls"), "component_id")
     linked = sets.where("n > 0").join(least, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
