@@ -22,6 +22,7 @@ gets the least non-null id of its component, or null.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -325,25 +326,39 @@ class CountVectorTree:
         return self.order[at]
 
 
-def tree_pairs(node: np.ndarray, vec: np.ndarray, n: np.ndarray, root: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs (a < b) of nodes of different components whose bound reaches the threshold."""
+def tree_pairs(node: np.ndarray, vec: np.ndarray, n: np.ndarray, root: np.ndarray, percent: int, earlier=None) -> np.ndarray:
+    """Pairs (a < b) of nodes of different components whose bound reaches the threshold.
+
+    earlier(k): the tokens before the group's that row k has; a pair that shares one of them was found there.
+    """
     tree = CountVectorTree(vec, n, root)
-    found = [np.stack([np.full(len(hit), node[k]), node[hit]], 1) for k in range(len(node)) if len(hit := tree.search(vec[k], int(n[k]), int(root[k]), percent))]
-    if not found:
-        return np.zeros((0, 2), np.int64)
-    pairs = np.concatenate(found)
-    return pairs[pairs[:, 0] < pairs[:, 1]]
+    found = []
+    for k in range(len(node)):
+        hit = tree.search(vec[k], int(n[k]), int(root[k]), percent)
+        hit = hit[node[hit] > node[k]]
+        if earlier is not None:
+            hit = [h for h in hit.tolist() if earlier(k).isdisjoint(earlier(h))]
+        found += [(node[k], node[h]) for h in hit]
+    return np.array(found, np.int64).reshape(-1, 2)
 
 
 def _search_groups(percent: int):
-    """Over rows sorted by group: token, i, j, node, root, vec, n."""
+    """Over rows sorted by group: token, i, j, node, root, vec, n, and the node's tokens that have such groups, ascending."""
 
     def search(b: pa.Table) -> np.ndarray:
         keys = np.stack([b.column(k).to_numpy() for k in range(3)], 1)
         node, root, vec = b.column(3).to_numpy(), b.column(4).to_numpy(), _vectors(b.column(5).combine_chunks())
         n = b.column(6).to_numpy()
         cut = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1), [True]]))
-        out = [tree_pairs(node[i:j], vec[i:j], n[i:j], root[i:j], percent) for i, j in zip(cut[:-1], cut[1:], strict=True) if j > i + 1]
+        lists = b.column(7).combine_chunks()
+        at, tokens = lists.offsets.to_numpy(), lists.values.to_numpy()
+
+        @lru_cache(maxsize=None)
+        def earlier(k: int) -> frozenset:
+            own = tokens[at[k] : at[k + 1]]
+            return frozenset(own[: np.searchsorted(own, keys[k, 0])].tolist())
+
+        out = [tree_pairs(node[i:j], vec[i:j], n[i:j], root[i:j], percent, lambda k, i=i: earlier(i + k)) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) if j > i + 1]
         return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,12 +418,14 @@ def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: i
     rooted = _store.table(_rooted(postings, components(found)), "rooted")
     mixed = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("token", F.ceil(F.col("m") / group_rows).cast("int").alias("r"))
     own = F.pmod(F.xxhash64("node"), F.col("r")).cast("int")
+    rows_of = rooted.join(mixed, "token")
+    tokens_in = rows_of.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
     dealt = (
-        rooted.join(mixed, "token")
-        .join(points.select("node", "vec", "n"), "node")
+        rows_of.join(points.select("node", "vec", "n"), "node")
+        .join(tokens_in, "node")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("r") - 1)))
-        .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "vec", "n")
+        .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "vec", "n", "tokens")
         .repartition("token", "i", "j")
         .sortWithinPartitions("token", "i", "j")
     )
