@@ -229,7 +229,7 @@ def _place(table):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id: str = "doc_id", capacity: int = 4096, end: int = 1, memo_words: int = 400_000, parts: int = 64) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id: str = "doc_id", capacity: int = 4096, end: int = 1, memo_words: int = 150_000, parts: int = 64) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. tokenizer: the file's path on every worker."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
