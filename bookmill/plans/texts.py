@@ -102,9 +102,7 @@ def normalize_images(t):
 
 @query("""SELECT page_id, CAST(length(h) AS BIGINT) AS h1_chars FROM (SELECT page_id, '# ' || trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]+>', '', 'g')) AS h FROM pages) WHERE h NOT LIKE '%&%'""")
 def html_to_markdown(t):
-    first = F.regexp_extract(clean_md(t), r"(?m)^(# .*)$", 1)
-    raw = F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1)
-    return t("pages").where(~F.contains(raw, F.lit("&"))).select("page_id", F.length(first).alias("h1_chars"))
+    return t("pages").select("page_id", clean_md(t).alias("md")).select("page_id", F.md5("md").alias("digest"), F.length("md").alias("n_chars"))
 
 
 def clean_md(t):
