@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Chunking
+from ..functions.clean import strip_toc
 from ..functions.text import FRONT, heading_level, heading_title, paragraphs, section_kind, strip
 
 #: What Python's splitlines breaks at.
@@ -152,7 +153,8 @@ def head(text: Column, most: int) -> Column:
 
 
 def merge_chunks_text(chunks: DataFrame) -> DataFrame:
-    """A book's chunks, stripped, without blank ones, joined by blank lines in order."""
+    """A book's chunks, stripped, without blank ones, joined by blank lines in order, without a table of contents."""
     bare = chunks.withColumn("text", strip(F.col("text"))).where("text != ''")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", "text"))), lambda x: x.text), "\n\n")
-    return bare.groupBy("book_id").agg(joined.alias("text"), F.count("*").alias("n_chunks"))
+    merged = bare.groupBy("book_id").agg(joined.alias("text"), F.count("*").alias("n_chunks"))
+    return merged.withColumn("text", strip_toc("text"))
