@@ -198,12 +198,22 @@ def _chunks(order: str = "chunk_no") -> Column:
     return F.array_sort(F.collect_set(order))
 
 
+def _fresh(metas: DataFrame, applied: DataFrame) -> DataFrame:
+    """Parsed sound metas that weren't applied."""
+    return parse_metas(metas).where(F.size("errors") == 0).join(applied.select("book_id", "chunk_no", "hash"), ["book_id", "chunk_no", "hash"], "left_anti")
+
+
+def consumed_metas(metas: DataFrame, applied: DataFrame) -> DataFrame:
+    """(book_id, chunk_no, hash) of the metas that prepare_merge reads, those that change nothing included."""
+    return _fresh(metas, applied).select("book_id", "chunk_no", "hash")
+
+
 def prepare_merge(metas: DataFrame, terms: DataFrame, applied: DataFrame) -> DataFrame:
     """The plan of proposals of sound metas that weren't applied (by chunk and hash): outcome (auto, decision), kind, id, fields and evidence.
 
     Columns: book_id, outcome, kind, id, source, field, value, options, chunks. Proposals that agree with the glossary give no row.
     """
-    fresh = parse_metas(metas).where(F.size("errors") == 0).join(applied.select("book_id", "chunk_no", "hash"), ["book_id", "chunk_no", "hash"], "left_anti")
+    fresh = _fresh(metas, applied)
     known = _known(terms)
     key = lambda *cols: F.left(F.sha1(F.concat_ws("\x01", *cols)), F.lit(8))
     none = F.lit(None).cast("string")
@@ -288,6 +298,16 @@ def apply_merge(plan: DataFrame, terms: DataFrame, decisions: DataFrame) -> Data
     return ensure_term_ids(old.unionByName(fresh.withColumns(fields).select(*terms.columns)))
 
 
+def finish_merge(plan: DataFrame, consumed: DataFrame, terms: DataFrame, applied: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The glossary after apply_merge, and the hashes of applied metas with the consumed ones in place of older ones of their chunks.
+
+    Both go into one snapshot: see sinks.write_merge. Faulty decisions raise, and neither is given.
+    """
+    merged = apply_merge(plan, terms, decisions)
+    key, cols = ["book_id", "chunk_no"], ["book_id", "chunk_no", "hash"]
+    return merged, applied.select(*cols).join(consumed.select(*key), key, "left_anti").unionByName(consumed.select(*cols))
+
+
 def merge_status(metas: DataFrame, outputs: DataFrame, applied: DataFrame) -> DataFrame:
     """Per book: consumed, unmerged and malformed metas, and outputs without meta."""
     state = parse_metas(metas).join(applied.select("book_id", "chunk_no", "hash", F.lit(True).alias("done")), ["book_id", "chunk_no", "hash"], "left")

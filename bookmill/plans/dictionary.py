@@ -142,6 +142,14 @@ def apply_merge(t):
     return G.apply_merge(plan, terms, decisions).select("pos", "source", "target", "gender", "aliases")
 
 
+@query(f"SELECT CAST(chunk_no AS BIGINT) AS chunk_no, sha256(meta) AS hash FROM (VALUES {_METAS}) v(book_id, chunk_no, meta) WHERE chunk_no IN (1, 2, 3, 6, 8)")
+def applied_metas(t):
+    metas, terms, applied = _merging(t)
+    plan = G.prepare_merge(metas, terms, applied)
+    decisions = plan.where("outcome = 'decision'").select("book_id", "id", F.lit("skip").alias("choice"), "kind")
+    return G.finish_merge(plan, G.consumed_metas(metas, applied), terms, applied, decisions)[1].select("chunk_no", "hash")
+
+
 @query("SELECT fault, CAST(n AS BIGINT) AS n FROM (VALUES ('unknown_id', 1), ('bad_choice', 1), ('wrong_kind', 1)) v(fault, n)")
 def validate_decisions(t):
     plan = G.prepare_merge(*_merging(t))

@@ -9,9 +9,20 @@ from pyspark.sql import DataFrame, functions as F
 
 def write_snapshot(df: DataFrame, path: str) -> str:
     """Write a new version of a table beside the old ones and switch to it: readers of read_snapshot see all of it or none."""
-    spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{path}/{version}")
+    return _switch(df.sparkSession, path, version)
+
+
+def write_snapshots(tables: dict[str, DataFrame], path: str) -> str:
+    """write_snapshot of several tables as one version."""
+    version = f"v-{uuid.uuid4().hex}"
+    for name, df in tables.items():
+        df.write.parquet(f"{path}/{version}/{name}")
+    return _switch(df.sparkSession, path, version)
+
+
+def _switch(spark, path: str, version: str) -> str:
     fs, base = _fs(spark, path)
     tmp, pointer = base(f"{path}/.{version}"), base(f"{path}/CURRENT")
     out = fs.create(tmp, True)
@@ -22,10 +33,11 @@ def write_snapshot(df: DataFrame, path: str) -> str:
     return version
 
 
-def read_snapshot(spark, path: str) -> DataFrame:
-    """The current version of a table."""
+def read_snapshot(spark, path: str, *names: str):
+    """The current version of a table, or of the named ones of write_snapshots."""
     version = spark.read.text(f"{path}/CURRENT").first()[0]
-    return spark.read.parquet(f"{path}/{version}")
+    found = [spark.read.parquet(f"{path}/{version}/{name}") for name in names]
+    return found if names else spark.read.parquet(f"{path}/{version}")
 
 
 def _fs(spark, path: str):
@@ -62,3 +74,35 @@ def write_glossary(terms: DataFrame, path: str) -> str:
     if fs.exists(make(f"{path}/CURRENT")):
         guard_empty_overwrite(terms, read_snapshot(spark, path))
     return write_snapshot(ensure_term_ids(terms), path)
+
+
+def write_merge(terms: DataFrame, applied: DataFrame, path: str) -> str:
+    """A merge's glossary and hashes (glossary.finish_merge) as one version; an empty glossary never replaces one that isn't."""
+    from ..operators.glossary import ensure_term_ids
+    from ..operators.state import guard_empty_overwrite
+
+    spark = terms.sparkSession
+    fs, make = _fs(spark, path)
+    if fs.exists(make(f"{path}/CURRENT")):
+        guard_empty_overwrite(terms, read_snapshot(spark, path, "terms")[0])
+    return write_snapshots({"terms": ensure_term_ids(terms), "applied": applied}, path)
+
+
+def write_plan(plan: DataFrame, consumed: DataFrame, path: str) -> str:
+    """A merge's plan and the hashes of the metas that it is made of, for apply_merge_files."""
+    return write_snapshots({"plan": plan, "consumed": consumed}, path)
+
+
+def apply_merge_files(spark, plan_path: str, decisions_path: str, path: str) -> str:
+    """Merge by a stored plan and a decisions file for each book (book_id.json, in a folder) into the stored glossary and hashes.
+
+    Kinds come from the plan. Metas that changed since the plan stay unmerged, as their old hashes are recorded.
+    """
+    from ..operators.glossary import finish_merge, parse_decisions
+
+    plan, consumed = read_snapshot(spark, plan_path, "plan", "consumed")
+    terms, applied = read_snapshot(spark, path, "terms", "applied")
+    files = spark.read.text(decisions_path, wholetext=True)
+    book = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1)
+    decisions = parse_decisions(files.select(book.alias("book_id"), F.col("value").alias("text"))).drop("kind").withColumn("kind", F.lit(None).cast("string"))
+    return write_merge(*finish_merge(plan, consumed, terms, applied, decisions), path)
