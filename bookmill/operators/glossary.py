@@ -16,6 +16,7 @@ from ..functions.text import is_valid_source, make_term_id, normalize_dedup, str
 CATEGORIES = ("person", "place", "org", "term", "other")
 GENDERS = ("male", "female", "neutral", "unknown")
 CONFIDENCE = {"high": 3, "medium": 2, "low": 1}
+_SENT = 8_000_000  # bytes of surfaces that may be broadcast
 _BOUNDARY = r"[^A-Za-zА-Яа-я0-9]+"
 
 
@@ -29,7 +30,10 @@ def terms_in_chunk(terms: DataFrame, chunks: DataFrame) -> DataFrame:
     surfaces = terms.select("book_id", "pos", F.explode(surface_forms(F.col("source"), F.col("aliases"))).alias("surface")).distinct()
     plain = F.col("surface").rlike(r"^[a-zа-я0-9]+( [a-zа-я0-9]+)*$") & (F.length("surface") > 2)
     low = chunks.select("book_id", "chunk_no", F.lower("text").alias("low"))
-    width = surfaces.where(plain).agg(F.max(F.size(F.split("surface", " ")))).first()[0] or 1
+    width, size = surfaces.agg(F.max(F.when(plain, F.size(F.split("surface", " ")))), F.sum(F.length("surface") + 64)).first()
+    width = width or 1
+    if (size or 0) <= _SENT:  # sent to the texts, so that neither they nor their words are dealt out
+        surfaces = F.broadcast(surfaces)
     # a gap longer than one space is kept as a word of its own, so that a run joins only what single spaces join
     pieces = F.filter(F.split(F.regexp_replace("low", rf"({_BOUNDARY})", "\x01$1\x01"), "\x01"), lambda t: t != "")
     spaced = F.transform(pieces, lambda t: F.when(t.rlike(rf"^{_BOUNDARY}$") & (t != " "), F.lit("\x02")).otherwise(t))
