@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -77,8 +78,7 @@ def meta_features(source: list, lang: list, chars: list) -> np.ndarray:
     out = np.zeros((len(source), META), np.float32)
     for name, col in (("s", source), ("l", lang), ("n", [None if c is None else int(np.log2(max(c, 0) + 1) * 2) for c in chars])):
         for k, v in enumerate(col):
-            h = int.from_bytes(repr((name, v)).encode()[-24:], "big") % (1 << 64)
-            out[k, int(mix(np.array([h], np.uint64))[0] >> U(56))] = 1
+            out[k, blake2b(repr((name, v)).encode("utf-8", "surrogatepass"), digest_size=1).digest()[0]] = 1
     return out
 
 
