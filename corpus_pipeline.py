@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bookmill.llm import jaccard_join, language_id, packing, quality
+from bookmill.llm import _store, jaccard_join, language_id, packing, quality
 from bookmill.llm.queries import WORD_BPE, _read
 from bookmill.llm.lm_scoring import remainder
 
@@ -27,9 +27,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, *, threshold
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, keep the document of the least id; of repeated rows, one."""
-    others = jaccard_join.link(docs).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """Of each group of near duplicates, keep one row, of the least id (null last); of repeated rows, one. Rows are told apart by id and text."""
+    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    linked = _store.table(jaccard_join.link(keyed, doc_id="__row").select(F.col("doc_id").alias("__row"), "component_id"), "linked")
+    many = linked.groupBy("component_id").agg(F.min("__row").alias("a"), F.max("__row").alias("b")).where("a < b").select("component_id")
+    ranks = keyed.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("rank"))
+    grouped = _store.table(linked.join(many, "component_id").join(ranks, "__row").groupBy("component_id", "__row").agg(F.min("rank").alias("rank")), "grouped")
+    first = grouped.groupBy("component_id").agg(F.min("rank").alias("first"))
+    others = grouped.join(first, "component_id").where("__row != first.__row").select("__row")
+    return keyed.join(others, "__row", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
