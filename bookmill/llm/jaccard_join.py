@@ -1,18 +1,23 @@
-"""Exact n-gram Jaccard join of documents: count-vector R-trees within lossless partitions.
+"""Exact n-gram Jaccard join of documents: count-vector R-trees within lossless groups.
 
 Tokens are the hashes of a text's distinct five-word shingles. Texts with one token set are one
-class, so copies cost no pairs. Two sets that link share a token among the first few of each in
-a common order (rarest first, by a bounded counting sketch of all texts); these tokens deal the
-classes out to groups. A common passage comes last in that order, so it makes no large group
-unless it is nearly all of a text.
-
-Links are needed only between different components, so a few rounds link each class to one hub
-of its groups. Groups whose classes are one component by then are done. In the others the
-tokens of each class are counted by hash group; an R-tree over these points is searched for each
-class: the coordinate minima of a node's upper corner and the class, summed, bound the overlap
-from above, and nodes that are all of the class's own component are left out. Surviving pairs
-are verified on the token sets. A group of more than `group_rows` classes is dealt as pairs of
-its chunks, so no task gathers an unbounded group.
+class, so copies cost no pairs. Tokens that only one class has link nothing: all tokens are counted
+exactly, by ranges of the hash, and a class keeps those that others share. In the common order
+(rarest first) two sets that link share a token among the first few of each, so a class with more
+tokens of its own than that prefix is long is done; the others meet in groups, one for each shared
+token of their prefixes.
+
+Every candidate comes from an R-tree: a class is a point of counts of its shared tokens by hash
+group, and the coordinate minima of a node's upper corner and the point, summed, bound the overlap
+from above. First each class is searched in its largest group only, where surviving pairs are
+verified on the token sets at once and joined classes leave the search. Groups that still have
+several components are then searched in full, but for pairs within one component, and these pairs
+are verified on the token sets. A group of more than `group_rows` classes is dealt in chunks, so no
+task gathers an unbounded group.
+
+Tokens far above the mean (by a bounded counting sketch of all texts) come last in the order and
+travel with their class rather than by their hash, so none is hot. Classes are told apart by two
+64-bit hashes; should the first ever be equal for different sets, all is hashed anew.
 
 Null and blank texts have no tokens and link with nothing. Fewer words than the size are one
 shingle. Rows that repeat, or share an id with another text, each keep a row. A row of a null id
@@ -22,263 +27,338 @@ gets the least non-null id of its component, or null.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from . import _store
 from ._components import components
 from ._hashing import U, mix, shingle_hashes, slices, word_hashes
-from .lm_scoring import _batch, _pack, _unpack, range_of
+from .lm_scoring import _batch, _planes, _unplanes, range_of
 
-COUNTERS, SLICE = 1 << 23, 1 << 17
+TOKEN_BITS = 48
+#: Counters of the sketch, and how many travel together; a broadcast of one byte for each.
+COUNTER_BITS, SLICE = 22, 1 << 17
+#: Sums of a slice's counters are made in so many lanes first.
+LANES = 256
 #: Hash groups of a point; a count of 255 or more is stored as 255 and counts as without limit.
 GROUPS = 256
 LEAF = 16
-#: Levels of frequency from which a token is dealt out by class, since its classes could fill a task.
-HEAVY = 7
-_SIGNED = np.int64
 
 
 def token_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct 48-bit shingle hashes of each of up to 2^16 texts, ascending within a text, and each one's text."""
     words, counts = word_hashes(texts)
     h, n = shingle_hashes(words, counts, size)
-    return _split(_distinct(np.repeat(np.arange(len(texts), dtype=np.uint64) << U(48), n) | (h >> U(16))))
-
-
-def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.repeat(np.arange(len(texts), dtype=np.uint64) << U(TOKEN_BITS), n) | (h >> U(64 - TOKEN_BITS))
     keys.sort()
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
-    return keys[new]
-
+    keys = keys[new]
+    return keys & U((1 << TOKEN_BITS) - 1), (keys >> U(TOKEN_BITS)).astype(np.int64)
 
-def _split(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return keys & U((1 << 48) - 1), (keys >> U(48)).astype(np.int64)
 
-
-def signatures(h: np.ndarray, doc: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+def signatures(h: np.ndarray, doc: np.ndarray, texts: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """The size of each token set, and a hash of it."""
     n = np.bincount(doc, minlength=texts)
     sums = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(mix(h ^ U(0x632BE59BD9B4E019)), out=sums[1:])
+    np.cumsum(mix(h ^ mix(np.array([seed + 3], np.uint64))), out=sums[1:])
     ends = np.cumsum(n)
     return n, mix(sums[ends] - sums[ends - n] + n.astype(np.uint64))
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("slice", pa.int32()), ("counters", pa.binary())])
+class _New:
+    """Which classes a task meets for the first time; forgets them all beyond a bound, so some may come twice."""
+
+    def __init__(self, most: int = 1 << 20):
+        self.seen, self.most = set(), most
+
+    def __call__(self, cls: np.ndarray) -> np.ndarray:
+        if len(self.seen) > self.most:
+            self.seen.clear()
+        return np.array([c not in self.seen and not self.seen.add(c) for c in cls.tolist()], bool)
 
 
-def _describe(size: int):
+def _texts(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[tuple]:
+    """Batch, range of its rows, and the token sets of their texts."""
+    for b in batches:
+        texts = [x or b"" for x in b.column(column).to_pylist()]
+        for i, j in slices(texts, 1 << 22):
+            yield b, i, j, *token_sets(texts[i:j], size)
+
+
+_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("other", pa.int64()), ("slice", pa.int32()), ("lane", pa.int32()), ("counters", pa.binary())])
+
+
+def _describe(size: int, seed: int):
     """A row for each text, then the task's counters of tokens, in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters, seen = np.zeros(COUNTERS, np.uint32), set()
-        for b in batches:
-            texts = [x or b"" for x in b.column(1).to_pylist()]
-            for i, j in slices(texts, 1 << 22):
-                h, doc = token_sets(texts[i:j], size)
-                n, cls = signatures(h, doc, j - i)
-                new = np.array([c not in seen and not seen.add(c) for c in cls.tolist()], bool)
-                if len(seen) > 1 << 20:
-                    seen.clear()
-                np.add.at(counters, (h[new[doc]] >> U(25)).astype(np.int64), np.uint32(1))
-                none = pa.nulls(j - i)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), pa.array(cls.view(_SIGNED)), none.cast(pa.int32()), none.cast(pa.binary())], schema=_SETS)
-        z = zstandard.ZstdCompressor(level=1)
-        if counters.any():
-            yield _batch(_SETS, [(None, None, None, k, z.compress(counters[k * SLICE : (k + 1) * SLICE].tobytes())) for k in range(COUNTERS // SLICE)])
+        counters, is_new = np.zeros(1 << COUNTER_BITS, np.uint32), _New()
+        for b, i, j, h, doc in _texts(batches, 1, size):
+            n, cls = signatures(h, doc, j - i, seed)
+            _, other = signatures(h, doc, j - i, ~seed & 0xFFFF)
+            np.add.at(counters, (h[is_new(cls)[doc]] >> U(TOKEN_BITS - COUNTER_BITS)).astype(np.int64), np.uint32(1))
+            none = pa.nulls(j - i)
+            ids = [pa.array(x.view(np.int64)) for x in (cls, other)]
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), *ids, none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=_SETS)
+        lane = TaskContext.get().partitionId() % LANES
+        yield _batch(_SETS, [(None, None, None, None, k, lane, _packed(counters[k * SLICE : (k + 1) * SLICE])) for k in range(len(counters) // SLICE) if counters[k * SLICE : (k + 1) * SLICE].any()])
 
     return run
 
 
-def _level_slices(mean: float):
-    """Sums of a slice's counters as levels."""
+def _packed(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.tobytes())
+
+
+def _summed(t: pa.Table) -> np.ndarray:
+    total = np.zeros(SLICE, np.uint64)
+    for x in t.column("counters"):
+        raw = zstandard.ZstdDecompressor().decompress(x.as_py())
+        total += np.frombuffer(raw, np.uint32 if len(raw) == 4 * SLICE else np.uint64)
+    return total
+
+
+def _lane_sums(key: tuple, t: pa.Table) -> pa.Table:
+    return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counters": pa.array([_packed(_summed(t))], pa.binary())})
+
+
+def _slice_levels(least: float):
+    """Sums of a slice's counters as levels: 0 below `least`, then one for each doubling, to 15."""
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
-        z = zstandard.ZstdDecompressor()
-        total = np.zeros(SLICE, np.int64)
-        for x in t.column("counters"):
-            total += np.frombuffer(z.decompress(x.as_py()), np.uint32)
-        level = np.clip(np.floor(2 * np.log2(np.maximum(total, 1) / (1.5 * mean + 8))) + 1, 0, 15).astype(np.uint8)
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "levels": pa.array([level.tobytes()], pa.binary())})
+        level = np.clip(np.floor(np.log2(np.maximum(_summed(t), 1) / least)) + 1, 0, 15).astype(np.uint8)
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "levels": pa.array([_packed(level)], pa.binary())})
 
     return run
 
 
-def _levels(sets: DataFrame) -> np.ndarray:
-    """How frequent a counter's tokens are: 0 up to about the mean of all counters, then a level for each factor of sqrt(2), to 15."""
-    tokens = sets.where("slice IS NULL").agg(F.sum("n")).first()[0] or 0
-    rows = sets.where("slice IS NOT NULL").select("slice", "counters").groupBy("slice").applyInArrow(_level_slices(tokens / COUNTERS), "slice int, levels binary").collect()
-    out = np.zeros(COUNTERS, np.uint8)
-    for r in rows:  # 64 slices, 8 MB in all
-        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(bytes(r["levels"]), np.uint8)
+def _levels(sets: DataFrame, least: float) -> np.ndarray:
+    """How frequent a counter's tokens are, a byte each."""
+    lanes = sets.where("slice IS NOT NULL").select("slice", "lane", "counters").groupBy("slice", "lane").applyInArrow(_lane_sums, "slice int, counters binary")
+    out = np.zeros(1 << COUNTER_BITS, np.uint8)
+    for r in lanes.groupBy("slice").applyInArrow(_slice_levels(least), "slice int, levels binary").collect():  # 4 MB at most in all
+        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r["levels"])), np.uint8)
     return out
 
 
-_BLOCKS = pa.schema([("part", pa.int32()), ("block", pa.binary())])
+def _frame(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
 
 
-def _prefixes(size: int, percent: int, levels, parts: int, chunk: int):
-    """The first tokens of each set in the common order, in blocks for ranges of tokens (of classes, for frequent tokens)."""
+def _unframe(b: bytes) -> list[bytes]:
+    parts, at = [], 0
+    while at < len(b):
+        n = int.from_bytes(b[at : at + 8], "little")
+        parts.append(b[at + 8 : at + 8 + n])
+        at += 8 + n
+    return parts
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple[np.ndarray, np.ndarray]] = []
-        level, seen = levels.value, set()
 
-        def flush() -> pa.RecordBatch:
-            token, cls = (np.concatenate(x) for x in zip(*kept, strict=True))
-            kept.clear()
-            part = range_of(np.where(token >> U(44) >= HEAVY, mix(cls), token << U(20)), parts)
-            order = np.argsort((part.astype(np.uint64) << U(48)) | token)
-            token, cls = token[order], cls[order]
-            bounds = np.searchsorted(part[order], np.arange(parts + 1))
-            return _batch(_BLOCKS, [(k, _pack(token[i:j], cls[i:j])) for k, (i, j) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if i < j])
+def _six(x: np.ndarray) -> bytes:
+    """48-bit values as six bytes each."""
+    return x.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
-        total = 0
-        for b in batches:
-            texts = [x or b"" for x in b.column(0).to_pylist()]
-            for i, j in slices(texts, 1 << 22):
-                h, doc = token_sets(texts[i:j], size)
-                n, cls = signatures(h, doc, j - i)
-                new = np.array([c not in seen and not seen.add(c) for c in cls.tolist()], bool)
-                if len(seen) > 1 << 20:
-                    seen.clear()
-                keys = (doc.astype(np.uint64) << U(48)) | (level[(h >> U(25)).astype(np.int64)].astype(np.uint64) << U(44)) | (h >> U(4))
-                keys.sort()
-                token, doc = _split(keys)
-                first = n - -(-n * percent // 100) + 1
-                use = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n) < first[doc]) & new[doc]
-                kept.append((token[use], cls[doc[use]]))
-                total += int(use.sum())
-                if total >= chunk:
-                    yield flush()
-                    total = 0
-        if total:
-            yield flush()
 
-    return run
+def _unsix(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
 
 
-_POSTINGS = pa.schema([("token", pa.int64()), ("node", pa.int64())])
+def _postings_block(token: np.ndarray, cls: np.ndarray) -> bytes:
+    """Postings of ascending tokens; a class is named once, then by its number."""
+    names, at = np.unique(cls, return_inverse=True)
+    return _frame(_planes(token), names.tobytes(), at.astype(np.uint16 if len(names) <= 1 << 16 else np.uint32).tobytes())
 
 
-def _shared(key: tuple, t: pa.Table) -> pa.Table:
-    """(token, class) of the tokens of two or more classes, and of all frequent tokens."""
-    token, cls = (np.concatenate(x) for x in zip(*map(_unpack, t.column("block").to_pylist()), strict=True))
-    order = np.lexsort((cls, token))
-    token, cls = token[order], cls[order]
-    new = np.ones(len(token), bool)
-    new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
-    token, cls = token[new], cls[new]
-    same = token[1:] == token[:-1]
-    keep = token >> U(44) >= HEAVY
-    keep[1:] |= same
-    keep[:-1] |= same
-    return pa.Table.from_arrays([pa.array(token[keep].view(_SIGNED)), pa.array(cls[keep].view(_SIGNED))], schema=_POSTINGS)
+def _postings(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    token, names, at = _unframe(b)
+    names = np.frombuffer(names, np.uint64)
+    return _unplanes(token), names[np.frombuffer(at, np.uint16 if len(names) <= 1 << 16 else np.uint32)]
 
 
-_POINTS = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("vec", pa.binary()), ("fine", pa.binary())])
-_TOKENS = pa.schema([("node", pa.int64()), ("tokens", pa.list_(pa.int64()))])
-#: Bits of the marks of wanted ids: 4 MB, whatever the number of documents.
-MARK_BITS = 25
+def _shared_block(token: np.ndarray, cls: np.ndarray, count: np.ndarray) -> bytes:
+    """Counted postings, ascending by class."""
+    names, n = np.unique(cls, return_counts=True)
+    return _frame(_six(token), names.tobytes(), _packed(n.astype(np.uint32)), _packed(np.minimum(count, 2**32 - 1).astype(np.uint32)))
 
 
-def _marks(ids: DataFrame) -> np.ndarray:
-    """A bit for each hash of the wanted ids. More ids than bits only mean that other texts are described too."""
-    at = F.shiftrightunsigned(F.xxhash64(ids.columns[0]), 64 - MARK_BITS)
-    rows = ids.select(F.floor(at / 32768).cast("int").alias("block"), (at % 32768).alias("bit")).groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
-    out = np.zeros((1 << MARK_BITS) // 8, np.uint8)
-    for r in rows:  # at most 1024 rows of 4 KB
-        out[r["block"] * 4096 : (r["block"] + 1) * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return np.unpackbits(out, bitorder="little").view(bool)
+def _shared(b: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    token, names, *small = _unframe(b)
+    n, count = (np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint32) for x in small)
+    return _unsix(token), np.repeat(np.frombuffer(names, np.uint64), n), count
 
 
-def _of_wanted(rows: DataFrame, classes: DataFrame, nodes: DataFrame, size: int, describe, schema: str) -> DataFrame:
-    """Descriptions of the classes `nodes` (and perhaps of some others), made where their texts are read: no text is dealt out."""
-    ids = nodes.distinct().join(classes.select(F.col("cls").alias("node"), "rep"), "node").select("rep")
-    marks = rows.sparkSession.sparkContext.broadcast(_marks(ids))
+def _own_block(cls: np.ndarray, n: np.ndarray, m: np.ndarray, token: np.ndarray, level: np.ndarray) -> bytes:
+    """Classes, their sizes, and the m frequent tokens of each with their levels."""
+    return _frame(cls.tobytes(), *(_packed(x.astype(np.uint64)) for x in (n, m)), _six(token), level.astype(np.uint8).tobytes())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            wanted = marks.value[(b.column(0).to_numpy().view(np.uint64) >> U(64 - MARK_BITS)).astype(np.int64)]
-            texts = [x or b"" for x in b.column(1).filter(pa.array(wanted)).to_pylist()]
-            for i, j in slices(texts, 1 << 22):
-                h, doc = token_sets(texts[i:j], size)
-                n, cls = signatures(h, doc, j - i)
-                yield describe(h, doc, n, cls.view(_SIGNED))
 
-    return rows.select(F.xxhash64("doc_id").alias("h"), "t").mapInArrow(run, schema)
+def _own(b: bytes) -> tuple[np.ndarray, ...]:
+    cls, n, m, token, level = _unframe(b)
+    n, m = (np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint64).astype(np.int64) for x in (n, m))
+    return np.frombuffer(cls, np.uint64), n, m, _unsix(token), np.frombuffer(level, np.uint8)
 
 
-def count_vectors(h: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
-    """How many tokens of each set fall to each hash group."""
-    counts = np.bincount(doc * GROUPS + (mix(h) >> U(56)).astype(np.int64), minlength=texts * GROUPS).reshape(texts, GROUPS)
-    return np.minimum(counts, 255).astype(np.uint8)
+_BLOCKS = pa.schema([("part", pa.int32()), ("own", pa.bool_()), ("block", pa.binary())])
+BLOCKS = "part int, own boolean, block binary"
 
 
-def fine_vector(h: np.ndarray) -> bytes:
-    """Counts by hash group with about as many groups as tokens, so that chance overlap is little at any length. First byte: bytes a count."""
-    bits = min(16, max(7, int(len(h)).bit_length()))
-    counts = np.bincount((mix(h) >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return b"\x01" + counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"\x04" + counts.astype(np.uint32).tobytes()
+def _by_part(part: np.ndarray, parts: int, own: bool, block, *columns: np.ndarray) -> list[tuple]:
+    """Rows of blocks; part ascends."""
+    bounds = np.searchsorted(part, np.arange(parts + 1))
+    return [(k, own, block(*(c[i:j] for c in columns))) for k, (i, j) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if i < j]
 
 
-def fine_bound(a: bytes, b: bytes) -> tuple[int, int]:
-    """Summed minima and summed sizes; the vector of more groups is folded to the other's."""
-    x, y = (np.frombuffer(v, np.uint8 if v[0] == 1 else np.uint32, offset=1).astype(np.int64) for v in (a, b))
-    if len(x) < len(y):
-        x, y = y, x
-    if len(x) > len(y):
-        x = x.reshape(len(y), -1).sum(1)
-    return int(np.minimum(x, y).sum()), int(x.sum() + y.sum())
+def _deal_tokens(size: int, seed: int, levels, parts: int, chunk: int):
+    """All tokens of each class by ranges of tokens, but the frequent ones, which go with their class's own block."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple[np.ndarray, np.ndarray]] = []
+        level, is_new, total = levels.value, _New(), 0
 
-def _points(h: np.ndarray, doc: np.ndarray, n: np.ndarray, cls: np.ndarray) -> pa.RecordBatch:
-    fine = [fine_vector(h[e - m : e]) for e, m in zip(np.cumsum(n), n, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(cls), pa.array(n), pa.array([v.tobytes() for v in count_vectors(h, doc, len(n))], pa.binary()), pa.array(fine, pa.binary())], schema=_POINTS)
+        def flush() -> pa.RecordBatch:
+            token, cls = (np.concatenate(x) for x in zip(*kept, strict=True))
+            kept.clear()
+            order = np.argsort(token)
+            token, cls = token[order], cls[order]
+            return _batch(_BLOCKS, _by_part(range_of(token << U(64 - TOKEN_BITS), parts), parts, False, _postings_block, token, cls))
+
+        for _, i, j, h, doc in _texts(batches, 0, size):
+            n, cls = signatures(h, doc, j - i, seed)
+            new = is_new(cls) & (n > 0)
+            rank = level[(h >> U(TOKEN_BITS - COUNTER_BITS)).astype(np.int64)]
+            rare, hot = new[doc] & (rank == 0), new[doc] & (rank > 0)
+            kept.append((h[rare], cls[doc[rare]]))
+            total += int(rare.sum())
+            m = np.bincount(doc[hot], minlength=j - i)
+            of = np.flatnonzero(new)
+            of = of[np.argsort(cls[of])]
+            first = np.cumsum(m) - m
+            at = np.repeat(first[of] - (np.cumsum(m[of]) - m[of]), m[of]) + np.arange(int(m[of].sum()))
+            token, rank, part = h[hot][at], rank[hot][at], range_of(cls[of], parts)
+            bounds, ends = np.searchsorted(part, np.arange(parts + 1)), np.append(0, np.cumsum(m[of]))
+            yield _batch(_BLOCKS, [(k, True, _own_block(cls[of[a:b]], n[of[a:b]], m[of[a:b]], token[ends[a] : ends[b]], rank[ends[a] : ends[b]])) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b])
+            if total >= chunk:
+                yield flush()
+                total = 0
+        if total:
+            yield flush()
 
+    return run
 
-def _tokens(h: np.ndarray, doc: np.ndarray, n: np.ndarray, cls: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(cls), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), pa.array(h.view(_SIGNED)))], schema=_TOKENS)
 
+def _count_tokens(parts: int):
+    """Tokens of two or more classes with their counts, by ranges of classes; own blocks are passed on."""
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = []
+        for b in batches:
+            own = b.column(1)
+            yield b.filter(own)
+            blocks += b.column(2).filter(pa.array([not x for x in own.to_pylist()])).to_pylist()
+        if not blocks:
+            return
+        token, cls = (np.concatenate(x) for x in zip(*map(_postings, blocks), strict=True))
+        del blocks
+        order = np.lexsort((cls, token))
+        token, cls = token[order], cls[order]
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
+        token, cls = token[new], cls[new]
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        count = np.diff(np.append(first, len(token)))
+        count = np.repeat(count, count)
+        many = count > 1
+        token, cls, count = token[many], cls[many], count[many]
+        order = np.argsort(cls, kind="stable")
+        cls = cls[order]
+        yield _batch(_BLOCKS, _by_part(range_of(cls, parts), parts, False, _shared_block, token[order], cls, count[order]))
 
+    return run
 
-def _vectors(col: pa.Array) -> np.ndarray:
-    stored = np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, GROUPS)
-    return np.where(stored == 255, np.uint32(1 << 24), stored.astype(np.uint32)) if (stored == 255).any() else stored
+
+_POINTS = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("vec", pa.binary()), ("tokens", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
+POINTS = "node bigint, n bigint, vec binary, tokens array<bigint>, prefix array<bigint>"
+
+
+def prefix_length(n, percent: int):
+    """How many first tokens of a set of n, in a common order, hold one of any set that it links with."""
+    return n - -(-n * percent // 100) + 1
+
+
+def count_vectors(h: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
+    """How many tokens of each set fall to each hash group."""
+    counts = np.bincount(doc * GROUPS + (mix(h) >> U(56)).astype(np.int64), minlength=texts * GROUPS).reshape(texts, GROUPS)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(values.view(np.int64)))
 
 
-def _bounded(percent: int):
-    """Pairs (a, b, and their fine vectors) whose bound reaches the threshold."""
+def _make_points(percent: int, most: int = 1 << 20):
+    """The classes that have shared tokens in their prefixes: those, and all shared tokens. Batches of about `most` tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, posts = [], []
         for b in batches:
-            bounds = [fine_bound(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            keep = pa.array([(100 + percent) * both >= percent * n for both, n in bounds], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], schema=_PAIRS)
+            for is_own, block in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                (own if is_own else posts).append(block)
+        if not own:
+            return
+        names, n, m, hot, level = (np.concatenate(x) for x in zip(*map(_own, own), strict=True))
+        names, first = np.unique(names, return_index=True)  # a class may come from several tasks
+        from_own = np.repeat(np.arange(len(m)), m)
+        keep = np.isin(from_own, first)
+        at_first = np.zeros(len(m), np.int64)
+        at_first[first] = np.arange(len(first))
+        n = n[first]
+        token, cls, count = (np.concatenate(x) for x in zip(*map(_shared, posts), strict=True)) if posts else (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+        del own, posts
+        at = np.concatenate([np.searchsorted(names, cls), at_first[from_own[keep]]])
+        token = np.concatenate([token, hot[keep]])
+        level = np.concatenate([np.zeros(len(count), np.uint8), level[keep]])
+        count = np.concatenate([count, np.zeros(int(keep.sum()), np.uint32)])
+        shared = np.bincount(at, minlength=len(names))
+        take = np.minimum(prefix_length(n, percent) - (n - shared), shared)
+        use = take[at] > 0
+        token, at, level, count = token[use], at[use], level[use], count[use]
+        order = np.lexsort((token, count, level, at))
+        of, shared = np.flatnonzero(take > 0), shared[take > 0]
+        starts = np.append(0, np.cumsum(shared))
+        rank = np.arange(len(token)) - np.repeat(starts[:-1], shared)
+        prefix, lengths = token[order][rank < np.repeat(take[of], shared)], take[of]
+        token = token[np.lexsort((token, at))]
+        ends = np.append(0, np.cumsum(lengths))
+        i = 0
+        while i < len(of):
+            j = max(i + 1, int(np.searchsorted(starts, starts[i] + most, "right")) - 1)
+            own_tokens = token[starts[i] : starts[j]]
+            vec = count_vectors(own_tokens, np.repeat(np.arange(j - i), shared[i:j]), j - i)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names[of[i:j]].view(np.int64)), pa.array(n[of[i:j]]), pa.array([v.tobytes() for v in vec], pa.binary()), _lists(own_tokens, shared[i:j]), _lists(prefix[ends[i] : ends[j]], lengths[i:j])], schema=_POINTS
+            )
+            i = j
 
     return run
 
 
-def _with(pairs: DataFrame, points: DataFrame, column: str) -> DataFrame:
-    for side in ("a", "b"):
-        pairs = pairs.join(points.select(F.col("node").alias(side), F.col(column).alias(f"{side}_{column}")), side)
-    return pairs.select("a", "b", f"a_{column}", f"b_{column}")
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _verified(pairs: DataFrame, points: DataFrame, tokens_of, percent: int) -> DataFrame:
-    """The linked ones among pairs (a, b) of classes: by the bound of their fine vectors, then by their token sets."""
-    likely = _store.table(_with(pairs, points, "fine").mapInArrow(_bounded(percent), "a bigint, b bigint").distinct(), "likely")
-    tokens = _store.table(tokens_of(likely.select(F.col("a").alias("node")).union(likely.select("b"))), "tokens")
-    both = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return _with(likely, tokens, "tokens").where((100 + percent) * both >= percent * (F.size("a_tokens") + F.size("b_tokens"))).select("a", "b").distinct()
+def _vectors(col: pa.Array) -> np.ndarray:
+    return _unlimited(np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, GROUPS))
+
+
+def _unlimited(stored: np.ndarray) -> np.ndarray:
+    full = stored == 255
+    return np.where(full, np.uint32(1 << 24), stored.astype(np.uint32)) if full.any() else stored
 
 
 class CountVectorTree:
@@ -288,22 +368,33 @@ class CountVectorTree:
     """
 
     def __init__(self, vec: np.ndarray, n: np.ndarray, root: np.ndarray):
-        order = self._tiles(vec, n)
-        self.order, self.levels = order, []
-        hi, lo_n, hi_n, of = vec[order], n[order], n[order], root[order]
+        self.order, self.levels = self._tiles(vec, n), []
+        hi, lo_n, hi_n = vec[self.order], n[self.order], n[self.order]
         while True:
-            self.levels.append((hi, lo_n, hi_n, of))
+            self.levels.append((hi, lo_n, hi_n))
             if len(hi) <= LEAF:
                 break
             cut = np.arange(0, len(hi), LEAF)
-            low, high = np.minimum.reduceat(of, cut), np.maximum.reduceat(of, cut)
-            hi, lo_n, hi_n, of = np.maximum.reduceat(hi, cut, axis=0), np.minimum.reduceat(lo_n, cut), np.maximum.reduceat(hi_n, cut), np.where(low == high, low, -1)
+            hi, lo_n, hi_n = np.maximum.reduceat(hi, cut, axis=0), np.minimum.reduceat(lo_n, cut), np.maximum.reduceat(hi_n, cut)
+        self.label(root)
+
+    def label(self, root: np.ndarray) -> None:
+        """Set the components of the points."""
+        of = root[self.order]
+        self.of = [of]
+        for _ in self.levels[1:]:
+            cut = np.arange(0, len(of), LEAF)
+            low = np.minimum.reduceat(of, cut)
+            of = np.where(low == np.maximum.reduceat(of, cut), low, -1)
+            self.of.append(of)
 
     @staticmethod
     def _tiles(vec: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Sort by size, cut into slabs, sort each by the most varied coordinate, cut and sort by the next."""
         by = np.argsort(n, kind="stable")
         pages = -(-len(n) // LEAF)
+        if pages == 1:
+            return by
         slab = LEAF * max(1, round(pages ** (2 / 3)))
         tile = LEAF * max(1, round(pages ** (1 / 3)))
         first, second = np.argsort(-vec.var(axis=0), kind="stable")[:2]
@@ -316,67 +407,100 @@ class CountVectorTree:
         least = -(-percent * n // 100)
         at = np.arange(len(self.levels[-1][0]))
         for k in range(len(self.levels) - 1, -1, -1):
-            hi, lo_n, hi_n, of = (x[at] for x in self.levels[k])
-            fits = (of != root) & (hi_n >= least) & (lo_n * percent <= 100 * n)
-            at, hi, lo_n = at[fits], hi[fits], lo_n[fits]
-            at = at[(100 + percent) * np.minimum(hi, vec).sum(1, dtype=np.int64) >= percent * (n + np.maximum(lo_n, least))]
+            hi, lo_n, hi_n = self.levels[k]
+            at = at[(self.of[k][at] != root) & (hi_n[at] >= least) & (lo_n[at] * percent <= 100 * n)]
+            at = at[(100 + percent) * np.minimum(hi[at], vec).sum(1, dtype=np.int64) >= percent * (n + np.maximum(lo_n[at], least))]
             if k:
                 at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
                 at = at[at < len(self.levels[k - 1][0])]
         return self.order[at]
 
 
-def tree_pairs(node: np.ndarray, vec: np.ndarray, n: np.ndarray, root: np.ndarray, percent: int, earlier=None) -> np.ndarray:
-    """Pairs (a < b) of nodes of different components whose bound reaches the threshold.
-
-    earlier(k): the tokens before the group's that row k has; a pair that shares one of them was found there.
-    """
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The rows of one key at a time; they come sorted by the first `keys` columns."""
+    rest: list[pa.Table] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b])
+        key = np.stack([t.column(k).to_numpy() for k in range(keys)], 1)
+        cut = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+        if rest and [rest[0].column(k)[0].as_py() for k in range(keys)] != key[0].tolist():
+            yield pa.concat_tables(rest)
+            rest = []
+        for i, j in zip([0, *cut.tolist()], cut.tolist(), strict=False):
+            yield pa.concat_tables([*rest, t.slice(i, j - i)])
+            rest = []
+        rest.append(t.slice(int(cut[-1]) if len(cut) else 0))
+    if rest:
+        yield pa.concat_tables(rest)
+
+
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two ascending arrays share."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return 0
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
+def resolve(n: np.ndarray, tokens: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
+    """The component (a number) of each of a group's classes, by all links among them. at: where each one's tokens begin, and the end."""
+    m = len(n)
+    vec = _unlimited(count_vectors(tokens.view(np.uint64), np.repeat(np.arange(m), np.diff(at)), m))
+    root = np.arange(m)
     tree = CountVectorTree(vec, n, root)
-    found = []
-    for k in range(len(node)):
-        hit = tree.search(vec[k], int(n[k]), int(root[k]), percent)
-        hit = hit[node[hit] > node[k]]
-        if earlier is not None:
-            hit = [h for h in hit.tolist() if earlier(k).isdisjoint(earlier(h))]
-        found += [(node[k], node[h]) for h in hit]
-    return np.array(found, np.int64).reshape(-1, 2)
-
-
-def _search_groups(percent: int):
-    """Over rows sorted by group: token, i, j, node, root, vec, n, and the node's tokens that have such groups, ascending."""
-
-    def search(b: pa.Table) -> np.ndarray:
-        keys = np.stack([b.column(k).to_numpy() for k in range(3)], 1)
-        node, root, vec = b.column(3).to_numpy(), b.column(4).to_numpy(), _vectors(b.column(5).combine_chunks())
-        n = b.column(6).to_numpy()
-        cut = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1), [True]]))
-        lists = b.column(7).combine_chunks()
-        at, tokens = lists.offsets.to_numpy(), lists.values.to_numpy()
-
-        @lru_cache(maxsize=None)
-        def earlier(k: int) -> frozenset:
-            own = tokens[at[k] : at[k + 1]]
-            return frozenset(own[: np.searchsorted(own, keys[k, 0])].tolist())
-
-        out = [tree_pairs(node[i:j], vec[i:j], n[i:j], root[i:j], percent, lambda k, i=i: earlier(i + k)) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) if j > i + 1]
-        return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+    for k in range(m):
+        joined = {int(root[k])}
+        for h in tree.search(vec[k], int(n[k]), int(root[k]), percent).tolist():
+            if int(root[h]) not in joined and (100 + percent) * _overlap(tokens[at[k] : at[k + 1]], tokens[at[h] : at[h + 1]]) >= percent * int(n[k] + n[h]):
+                joined.add(int(root[h]))
+        if len(joined) > 1:
+            root[np.isin(root, list(joined))] = min(joined)
+            tree.label(root)
+    return root
+
+
+def _resolved(percent: int):
+    """Over rows sorted by group (token, chunk, node, n, tokens): a pair of each class with the least of its component there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for b in batches:
-            if not b.num_rows:
+        for t in _groups(batches, 2):
+            if t.num_rows < 2:
                 continue
-            t = pa.Table.from_batches([b])
-            t = pa.concat_tables([rest, t]) if rest is not None else t
-            keys = np.stack([t.column(k).to_numpy() for k in range(3)], 1)
-            last = int(np.argmax((keys == keys[-1]).all(1)))  # the last group may go on
-            rest, t = t.slice(last), t.slice(0, last)
-            if t.num_rows:
-                p = search(t)
-                yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], schema=_PAIRS)
-        if rest is not None:
-            p = search(rest)
-            yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], schema=_PAIRS)
+            node, n, lists = t.column(2).to_numpy(), t.column(3).to_numpy(), t.column(4).combine_chunks()
+            order = np.argsort(node)
+            lists = lists.take(pa.array(order))
+            root = resolve(n[order], lists.values.to_numpy(), lists.offsets.to_numpy(), percent)
+            node, least = node[order], node[order][root]
+            yield pa.RecordBatch.from_arrays([pa.array(least[least != node]), pa.array(node[least != node])], schema=_PAIRS)
+
+    return run
+
+
+def tree_pairs(node: np.ndarray, vec: np.ndarray, n: np.ndarray, root: np.ndarray, probe: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs (a < b) of a probe and another row, of different components, whose bound reaches the threshold."""
+    build = np.flatnonzero(~probe)
+    if not len(build):
+        return np.zeros((0, 2), np.int64)
+    tree = CountVectorTree(vec[build], n[build], root[build])
+    found = []
+    for k in np.flatnonzero(probe).tolist():
+        other = node[build[tree.search(vec[k], int(n[k]), int(root[k]), percent)]]
+        found.append(np.stack([np.minimum(other, node[k]), np.maximum(other, node[k])], 1))
+    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+
+def _searched(percent: int):
+    """Over rows sorted by group (token, i, j, probe, node, root, n, vec): its pairs that the tree can't tell from links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, 3):
+            node, root, n = (t.column(k).to_numpy() for k in (4, 5, 6))
+            numbers = np.unique(root, return_inverse=True)[1]
+            pairs = tree_pairs(node, _vectors(t.column(7).combine_chunks()), n, numbers, t.column(3).to_numpy(), percent)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIRS)
 
     return run
 
@@ -385,53 +509,84 @@ def _rooted(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _to_hubs(rooted: DataFrame, k: int) -> DataFrame:
-    """A pair (a, b) for each class whose groups have another component: with the class of least hash in the largest such. k: chooses the hash."""
-    parts = rooted.groupBy("token", "root").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node")).alias("hub"))
-    two = parts.groupBy("token").agg(F.max(F.struct("m", "hub", "root")).alias("best"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token", "best")
-    pairs = rooted.join(two, "token").where("root != best.root").groupBy("node").agg(F.max("best").alias("best"))
-    return pairs.select(F.col("node").alias("a"), F.col("best.hub.node").alias("b"))
+def _largest_groups(postings: DataFrame, points: DataFrame, group_rows: int, hubs: int = 8) -> DataFrame:
+    """Each class in its largest group. Chunks of one group have some hubs in common."""
+    own = postings.groupBy("node").agg(F.max(F.struct("m", "token")).alias("g")).select("node", "g.m", "g.token")
+    chunks = F.ceil(F.col("m") / group_rows).cast("int")
+    hub = (chunks > 1) & (F.pmod(F.xxhash64("node", F.lit(7)), F.ceil(F.col("m") / hubs)) == 0)
+    one = F.array(F.pmod(F.xxhash64("node"), chunks).cast("int"))
+    dealt = own.withColumn("chunk", F.explode(F.when(hub, F.sequence(F.lit(0), chunks - 1)).otherwise(one)))
+    return dealt.join(points.select("node", "n", "tokens"), "node").select("token", "chunk", "node", "n", "tokens").repartition("token", "chunk").sortWithinPartitions("token", "chunk")
+
+
+def _mixed_groups(rooted: DataFrame, points: DataFrame, group_rows: int) -> DataFrame:
+    """Groups of several components, once for each set of members: all classes against those not of the most frequent component."""
+    by_root = rooted.groupBy("token", "root").agg(F.count("*").alias("m"), *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)))
+    by_token = by_root.groupBy("token").agg(F.count("*").alias("roots"), F.sum("m").alias("m"), F.max(F.struct("m", "root")).alias("most"), F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2")).where("roots > 1")
+    groups = by_token.groupBy("m", "x1", "x2").agg(F.min(F.struct("token", "most")).alias("g"))
+    groups = groups.select(
+        "g.token", F.col("g.most.root").alias("most"), F.ceil(F.col("m") / group_rows).cast("int").alias("r"), F.ceil((F.col("m") - F.col("g.most.m")) / group_rows).cast("int").alias("s")
+    )
+    rows = rooted.join(groups, "token").join(points.select("node", "n", "vec"), "node")
+    at = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    probes = rows.where("root != most").withColumns({"probe": F.lit(True), "i": at("s")}).withColumn("j", every("r"))
+    builds = rows.withColumns({"probe": F.lit(False), "j": at("r")}).withColumn("i", every("s"))
+    return probes.unionByName(builds).select("token", "i", "j", "probe", "node", "root", "n", "vec").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+
+
+def _verified(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The linked ones among pairs (a, b), by their token sets."""
+    for side in ("a", "b"):
+        pairs = pairs.join(points.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n"), F.col("tokens").alias(f"{side}_tokens")), side)
+    both = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    return pairs.where((100 + percent) * both >= percent * (F.col("a_n") + F.col("b_n"))).select("a", "b")
 
 
-def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, part_bytes: int = 32 << 20, chunk_rows: int = 1_500_000, group_rows: int = 2048, hub_rounds: int = 3) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def _sets(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame, int]:
+    """Each text's size and class (and the counters), the classes with a document of each, and the seed of their hash."""
+    seed = 0
+    while True:
+        sets = _store.table(rows.mapInArrow(_describe(size, seed), "doc_id bigint, n bigint, cls bigint, other bigint, slice int, lane int, counters binary"), "sets")
+        found = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("other").alias("low"), F.max("other").alias("high"))
+        classes = _store.table(found, "classes")
+        if classes.where("low != high").isEmpty():
+            return sets, classes.select("cls", "rep"), seed
+        _store.drop(sets)
+        _store.drop(classes)
+        seed += 1
+
+
+def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, part_tokens: int = 2_000_000, chunk_tokens: int = 1_500_000, group_rows: int = 1024, hot_least: int = 1024, hot_times: int = 8) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    part_tokens: tokens to a range; chunk_tokens: tokens sorted in memory at once; a token is frequent
+    if its counter has hot_least more than hot_times the mean.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
-    sets = _store.table(rows.mapInArrow(_describe(size), "doc_id bigint, n bigint, cls bigint, slice int, counters binary"), "sets")
-    levels = spark.sparkContext.broadcast(_levels(sets))
-    sets = sets.where("slice IS NULL").select("doc_id", "n", "cls")
-    classes = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-    parts = 1 + (docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // part_bytes
-    postings = _store.table(
-        rows.select("t").mapInArrow(_prefixes(size, percent, levels, parts, chunk_rows), "part int, block binary").repartition(parts, "part").groupBy("part").applyInArrow(_shared, "token bigint, node bigint"),
-        "postings",
-    )
-    points = _store.table(_of_wanted(rows, classes, postings.select("node"), size, _points, "node bigint, n bigint, vec binary, fine binary"), "points")
-
-    def tokens_of(nodes: DataFrame) -> DataFrame:
-        return _of_wanted(rows, classes, nodes, size, _tokens, "node bigint, tokens array<bigint>")
-
-    found = _store.table(_verified(_to_hubs(postings.withColumn("root", F.col("node")), 0), points, tokens_of, percent), "links")
-    for k in range(1, hub_rounds):
-        rooted = _rooted(postings, components(found))
-        found = _store.table(found.unionByName(_verified(_to_hubs(rooted, k), points, tokens_of, percent)), "links")
-    rooted = _store.table(_rooted(postings, components(found)), "rooted")
-    mixed = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("token", F.ceil(F.col("m") / group_rows).cast("int").alias("r"))
-    own = F.pmod(F.xxhash64("node"), F.col("r")).cast("int")
-    rows_of = rooted.join(mixed, "token")
-    tokens_in = rows_of.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
-    dealt = (
-        rows_of.join(points.select("node", "vec", "n"), "node")
-        .join(tokens_in, "node")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("r") - 1)))
-        .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "vec", "n", "tokens")
-        .repartition("token", "i", "j")
-        .sortWithinPartitions("token", "i", "j")
+    sets, classes, seed = _sets(rows, size)
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    parts = 1 + total // part_tokens
+    levels = spark.sparkContext.broadcast(_levels(sets, hot_least + hot_times * total / (1 << COUNTER_BITS)))
+    points = _store.table(
+        rows.select("t")
+        .mapInArrow(_deal_tokens(size, seed, levels, parts, chunk_tokens), BLOCKS)
+        .repartitionById(parts, "part")
+        .mapInArrow(_count_tokens(parts), BLOCKS)
+        .repartitionById(parts, "part")
+        .mapInArrow(_make_points(percent), POINTS),
+        "points",
     )
-    more = _verified(dealt.mapInArrow(_search_groups(percent), "a bigint, b bigint").distinct(), points, tokens_of, percent)
-    comps = _store.table(components(found.unionByName(more)), "components")
-    for done in (postings, points, rooted):
+    levels.destroy()
+    postings = points.select("node", F.explode("prefix").alias("token"))
+    many = postings.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
+    postings = _store.table(postings.join(many, "token").select("token", "node", "m"), "postings")
+    found = _store.table(_largest_groups(postings, points, group_rows).mapInArrow(_resolved(percent), "a bigint, b bigint"), "links")
+    rooted = _rooted(postings.select("token", "node"), components(found))
+    likely = _store.table(_mixed_groups(rooted, points, group_rows).mapInArrow(_searched(percent), "a bigint, b bigint").distinct(), "likely")
+    comps = _store.table(components(found.unionByName(_verified(likely, points, percent))), "components")
+    for done in (points, postings, found, likely):
         _store.drop(done)
     least = _rooted(classes.withColumnRenamed("cls", "node"), comps)
     least = least.join(least.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select(F.col("node").alias("cls"), "component_id")

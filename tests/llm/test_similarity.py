@@ -64,6 +64,7 @@ def test_join_equals_brute_force_on_near_copies(spark):
 def test_large_groups_are_dealt_as_pairs_of_chunks(spark):
     texts = near_copies(2, 1, 60, 70, 5)
     assert linked(spark, texts, group_rows=7) == components(texts)
+    assert linked(spark, texts, group_rows=1, part_tokens=300, chunk_tokens=500) == components(texts)
 
 
 def test_frequent_passages_don_t_hide_links(spark):
@@ -71,6 +72,21 @@ def test_frequent_passages_don_t_hide_links(spark):
     passage = " ".join(f"p{k}" for k in range(60))
     texts = {k: passage + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(rng.choice((4, 60)))) for k in range(60)}
     assert linked(spark, texts) == components(texts)
+    assert linked(spark, texts, hot_least=20) == components(texts)  # the passage's tokens are frequent ones
+
+
+def test_texts_of_frequent_tokens_only(spark):
+    texts = near_copies(8, 2, 30, 60, 3) | {900 + k: "one common passage of all these texts " * (1 + k) for k in range(6)}
+    for least in (3, 12, 1024):
+        assert linked(spark, texts, hot_least=least, hot_times=0, group_rows=9) == components(texts)
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(60_000)]
+    texts = {1: " ".join(words), 2: " ".join(words[:-3000]), 3: " ".join(words[: len(words) // 2]), 4: "y " * 200_000, 5: "short"}
+    got = linked(spark, texts)
+    assert {i: c for i, (_, c) in got.items()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5} and got[1][0] == 59_996 and got[4][0] == 1
 
 
 def test_join_of_real_documents(spark, data):
@@ -92,22 +108,55 @@ def test_tree_finds_all_that_its_bound_allows(seed, m, percent):
     vec = rng.poisson(rng.choice([0.2, 3.0]), (m, jaccard_join.GROUPS)).astype(np.uint8)
     vec[rng.integers(0, m, m // 2)] = vec[0]
     n, root, node = vec.sum(1, dtype=np.int64), rng.integers(0, 5, m), rng.permutation(m).astype(np.int64)
-    keep = n > 0
-    vec, n, root, node = vec[keep], n[keep], root[keep], node[keep]
-    if len(n) < 2:
-        return
+    probe = rng.random(m) < 0.5
     least = lambda a, b: (100 + percent) * int(np.minimum(vec[a], vec[b]).sum(dtype=np.int64)) >= percent * int(n[a] + n[b])
-    brute = {(min(node[a], node[b]), max(node[a], node[b])) for a in range(len(n)) for b in range(a) if root[a] != root[b] and least(a, b)}
-    assert brute <= set(map(tuple, jaccard_join.tree_pairs(node, vec, n, root, percent).tolist()))
+    fits = lambda a, b: root[a] != root[b] and percent * max(n[a], n[b]) <= 100 * min(n[a], n[b])
+    brute = {(min(node[a], node[b]), max(node[a], node[b])) for a in np.flatnonzero(probe) for b in np.flatnonzero(~probe) if fits(a, b) and least(a, b)}
+    found = set(map(tuple, jaccard_join.tree_pairs(node, vec, n, root, probe, percent).tolist()))
+    assert {(a, b) for a, b in found} == brute
 
 
-def test_fine_bounds_are_no_less_than_overlaps():
-    rng = np.random.default_rng(2)
-    for k in (3, 90, 700, 5000):
-        a = np.unique(rng.integers(0, 2**48, k, dtype=np.uint64))
-        b = np.unique(np.concatenate([a[: k // 2], rng.integers(0, 2**48, k, dtype=np.uint64)]))
-        bound, n = jaccard_join.fine_bound(jaccard_join.fine_vector(a), jaccard_join.fine_vector(b))
-        assert bound >= len(np.intersect1d(a, b)) and n == len(a) + len(b)
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10**6), st.integers(2, 60))
+def test_a_group_is_resolved_as_by_brute_force(seed, m):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2**48, 40)
+    sets = [np.unique(np.concatenate([base[rng.random(40) < rng.choice([0.85, 0.97])], rng.integers(0, 2**48, rng.integers(0, 3))])) for _ in range(m)]
+    n = np.array(list(map(len, sets)))
+    want = list(range(m))
+    for a in range(m):
+        for b in range(a):
+            if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b])):
+                x, y = want[a], want[b]
+                want = [min(x, y) if w in (x, y) else w for w in want]
+    assert jaccard_join.resolve(n, np.concatenate(sets), np.append(0, np.cumsum(n)), 80).tolist() == want
+
+
+def test_groups_come_whole_from_any_batches():
+    import pyarrow as pa
+
+    keys = [1, 1, 2, 2, 2, 3, 4, 4, 4, 4]
+    t = pa.table({"k": keys, "v": range(10)})
+    for cuts in ([0, 10], [0, 1, 2, 5, 10], [0, 4, 4, 6, 7, 8, 10]):
+        batches = [b for i, j in zip(cuts, cuts[1:]) for b in t.slice(i, j - i).combine_chunks().to_batches()]
+        assert [(g.column(0)[0].as_py(), g.num_rows) for g in jaccard_join._groups(iter(batches), 1)] == [(1, 2), (2, 3), (3, 1), (4, 4)]
+
+
+def test_blocks_return_what_they_were_given():
+    rng = np.random.default_rng(4)
+    token, cls = np.sort(rng.integers(0, 2**48, 500, dtype=np.uint64)), rng.integers(0, 2**64, 20, dtype=np.uint64)[rng.integers(0, 20, 500)]
+    for got, want in zip(jaccard_join._postings(jaccard_join._postings_block(token, cls)), (token, cls), strict=True):
+        assert (got == want).all()
+    own = (np.unique(cls), np.arange(20), np.full(20, 25), token, token % np.uint64(15))
+    for got, want in zip(jaccard_join._own(jaccard_join._own_block(*own)), own, strict=True):
+        assert (got == want).all()
+
+
+def test_levels_sent_to_all_are_bounded(spark):
+    rows = spark.createDataFrame([(1, b"a b c d e f"), (2, b"a b c d e f g")], "doc_id bigint, t binary")
+    sets, _, _ = jaccard_join._sets(rows, 5)
+    levels = jaccard_join._levels(sets, 2)
+    assert levels.nbytes <= 4 << 20 and sorted(levels[levels > 0].tolist()) == [1, 1]
 
 
 def test_fingerprints_estimate_likeness(spark, data):
