@@ -115,6 +115,79 @@ def test_mixture_shares_and_set_choice():
     assert share[0] > 0.97 and share[2] == pytest.approx(2 / 3, abs=0.05)
 
 
+def brute_mixture(model, text, rounds=8, penalty=2.0, overlap=3.0):
+    """The growing set and its shares over dictionaries, trying every set that the rule names."""
+    low = f" {text.lower()} "
+    low = "".join(c if c.isalpha() else " " for c in low)
+    grams = Counter(low[i - 1 : i + 2] for i in range(1, len(low) - 1) if low[i] != " ")
+    if not grams:
+        return {}
+    bucket = lambda g: int(language_id.mix(np.array([(ord(g[0]) << 42) | (ord(g[1]) << 21) | ord(g[2])], np.uint64))[0]) >> 48
+    counts = Counter()
+    for g, c in grams.items():
+        counts[bucket(g)] += c
+    p = {g: np.exp(model.log_p[g].astype(float) - model.log_p[g].max()) for g in counts}
+    total, languages = sum(counts.values()), range(len(model.languages))
+    like = lambda share: sum(c * math.log(max(sum(share.get(k, 0) * p[g][k] for k in languages), 1e-30)) for g, c in counts.items())
+
+    def em(chosen):
+        share = {k: 1 / len(chosen) for k in chosen}
+        for _ in range(rounds):
+            new = dict.fromkeys(chosen, 0.0)
+            for g, c in counts.items():
+                w = {k: share[k] * p[g][k] for k in chosen}
+                for k in chosen:
+                    new[k] += c * w[k] / max(sum(w.values()), 1e-30) / total
+            share = new
+        return share
+
+    share = {max(languages, key=lambda k: sum(c * float(model.log_p[g][k]) for g, c in counts.items())): 1.0}
+    while len(share) < len(model.languages):
+        mixed = {g: max(sum(s * p[g][k] for k, s in share.items()), 1e-30) for g in counts}
+        new = max((k for k in languages if k not in share), key=lambda k: sum(c * p[g][k] / mixed[g] for g, c in counts.items()))
+        grown = em([*share, new])
+        if like(grown) - like(share) <= overlap * penalty * math.log(total + 1):
+            break
+        share = grown
+    return share
+
+
+def test_mixtures_equal_brute_force(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    model = language_id.train(docs)
+    by = {}
+    for r in docs.where("length(text) > 400").orderBy("doc_id").collect():
+        by.setdefault(r.lang, []).append(r.text)
+    words = {k: " ".join(v[:6]).split() for k, v in by.items() if k}
+    a, b, c, d = (words[k] for k in sorted(words)[:4])
+    texts = [" ".join(a[:300]), " ".join(a[:150] + b[:150]), " ".join(a[:200] + b[:150] + c[:100]), " ".join(a[:250] + b[:200] + c[:200] + d[:200]), " ".join(a * 20 + b[: len(a) // 3]), "x", "", "12 !"]
+    got = language_id.mixtures(model, texts)
+    for t, row in zip(texts, got, strict=True):
+        want = brute_mixture(model, t)
+        assert {k for k, s in enumerate(row) if s > 0} == set(want), t[:40]
+        assert all(row[k] == pytest.approx(s, abs=2e-3) for k, s in want.items())
+    assert [int((r > 0).sum()) for r in got[:4]] == [1, 2, 3, 4]  # no limit to the languages of a text
+
+
+def test_equal_texts_get_equal_languages_wherever_they_stand(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    model = language_id.train(docs)
+    odd = ["x", "y z", "é", "", "a1b", "der", "the"]
+    texts = odd * 3 + [r.text for r in docs.limit(20).collect()] + odd
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    seen = defaultdict(set)
+    for n in (1, 3, 7):
+        for r in language_id.predict(rows.repartition(n), model, keep=["doc_id"]).collect():
+            seen[texts[r.doc_id]].add((r.lang_pred, r.score, tuple(r.languages), tuple(r.shares)))
+            assert r.lang_pred == (r.languages[0] if r.languages else "und")
+    assert all(len(v) == 1 for v in seen.values()) and next(iter(seen["x"]))[0] != "und"
+
+
+def test_languages_that_are_learned_are_bounded(spark):
+    rows = spark.createDataFrame([(k, f"word{chr(97 + k % 9)} " * 5, f"l{min(k, 40)}") for k in range(60)], "doc_id bigint, text string, lang string")
+    assert language_id.train(rows, most_languages=3).languages == ["l0", "l1", "l40"]
+
+
 def test_quality_of_labelled_documents(spark, data):
     docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
     got = quality.classify(docs, labels)
