@@ -27,6 +27,7 @@ gets the least non-null id of its component, or null.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -479,27 +480,35 @@ def _resolved(percent: int):
     return run
 
 
-def tree_pairs(node: np.ndarray, vec: np.ndarray, n: np.ndarray, root: np.ndarray, probe: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs (a < b) of a probe and another row, of different components, whose bound reaches the threshold."""
+def tree_pairs(node: np.ndarray, vec: np.ndarray, n: np.ndarray, root: np.ndarray, probe: np.ndarray, percent: int, earlier=None) -> np.ndarray:
+    """Pairs (a < b) of a probe and another row, of different components, whose bound reaches the threshold.
+
+    earlier(k): tokens before the group's that row k has; a pair that shares one of them is found there.
+    """
     build = np.flatnonzero(~probe)
     if not len(build):
         return np.zeros((0, 2), np.int64)
     tree = CountVectorTree(vec[build], n[build], root[build])
-    found = []
+    found = [np.zeros((0, 2), np.int64)]
     for k in np.flatnonzero(probe).tolist():
-        other = node[build[tree.search(vec[k], int(n[k]), int(root[k]), percent)]]
-        found.append(np.stack([np.minimum(other, node[k]), np.maximum(other, node[k])], 1))
-    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        hit = build[tree.search(vec[k], int(n[k]), int(root[k]), percent)]
+        if earlier is not None:
+            hit = hit[[earlier(k).isdisjoint(earlier(h)) for h in hit.tolist()]] if len(hit) else hit
+        found.append(np.stack([np.minimum(node[hit], node[k]), np.maximum(node[hit], node[k])], 1))
+    return np.concatenate(found)
 
 
 def _searched(percent: int):
-    """Over rows sorted by group (token, i, j, probe, node, root, n, vec): its pairs that the tree can't tell from links."""
+    """Over rows sorted by group (token, i, j, probe, node, root, n, vec, first): its pairs that the tree can't tell from links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 3):
-            node, root, n = (t.column(k).to_numpy() for k in (4, 5, 6))
+            token, (node, root, n) = t.column(0)[0].as_py(), (t.column(k).to_numpy() for k in (4, 5, 6))
             numbers = np.unique(root, return_inverse=True)[1]
-            pairs = tree_pairs(node, _vectors(t.column(7).combine_chunks()), n, numbers, t.column(3).to_numpy(), percent)
+            first = t.column(8)
+            earlier = lru_cache(maxsize=None)(lambda k, first=first, token=token: frozenset(x for x in first[k].as_py() if x < token))
+            pairs = tree_pairs(node, _vectors(t.column(7).combine_chunks()), n, numbers, t.column(3).to_numpy(), percent, earlier)
+            pairs = np.unique(pairs, axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIRS)
 
     return run
@@ -519,20 +528,26 @@ def _largest_groups(postings: DataFrame, points: DataFrame, group_rows: int, hub
     return dealt.join(points.select("node", "n", "tokens"), "node").select("token", "chunk", "node", "n", "tokens").repartition("token", "chunk").sortWithinPartitions("token", "chunk")
 
 
-def _mixed_groups(rooted: DataFrame, points: DataFrame, group_rows: int) -> DataFrame:
-    """Groups of several components, once for each set of members: all classes against those not of the most frequent component."""
+def _mixed_groups(rooted: DataFrame, points: DataFrame, group_rows: int, first: int = 64) -> DataFrame:
+    """Groups of several components, once for each set of members: all classes against those not of the most frequent component.
+
+    Each row has the least `first` such tokens of its class, by which a pair of several groups is left to its first; should
+    that be further on in the list, the pair is found in more groups.
+    """
     by_root = rooted.groupBy("token", "root").agg(F.count("*").alias("m"), *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)))
     by_token = by_root.groupBy("token").agg(F.count("*").alias("roots"), F.sum("m").alias("m"), F.max(F.struct("m", "root")).alias("most"), F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2")).where("roots > 1")
     groups = by_token.groupBy("m", "x1", "x2").agg(F.min(F.struct("token", "most")).alias("g"))
     groups = groups.select(
         "g.token", F.col("g.most.root").alias("most"), F.ceil(F.col("m") / group_rows).cast("int").alias("r"), F.ceil((F.col("m") - F.col("g.most.m")) / group_rows).cast("int").alias("s")
     )
-    rows = rooted.join(groups, "token").join(points.select("node", "n", "vec"), "node")
+    rows = rooted.join(groups, "token")
+    firsts = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("token")), 1, first).alias("first"))
+    rows = rows.join(points.select("node", "n", "vec").join(firsts, "node"), "node")
     at = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
     probes = rows.where("root != most").withColumns({"probe": F.lit(True), "i": at("s")}).withColumn("j", every("r"))
     builds = rows.withColumns({"probe": F.lit(False), "j": at("r")}).withColumn("i", every("s"))
-    return probes.unionByName(builds).select("token", "i", "j", "probe", "node", "root", "n", "vec").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return probes.unionByName(builds).select("token", "i", "j", "probe", "node", "root", "n", "vec", "first").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
 
 def _verified(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -557,7 +572,7 @@ def _sets(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame, int]:
         seed += 1
 
 
-def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, part_tokens: int = 2_000_000, chunk_tokens: int = 1_500_000, group_rows: int = 1024, hot_least: int = 1024, hot_times: int = 8) -> DataFrame:
+def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, part_tokens: int = 2_000_000, chunk_tokens: int = 1_500_000, group_rows: int = 512, hot_least: int = 1024, hot_times: int = 8) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     part_tokens: tokens to a range; chunk_tokens: tokens sorted in memory at once; a token is frequent

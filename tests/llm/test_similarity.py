@@ -114,6 +114,10 @@ def test_tree_finds_all_that_its_bound_allows(seed, m, percent):
     brute = {(min(node[a], node[b]), max(node[a], node[b])) for a in np.flatnonzero(probe) for b in np.flatnonzero(~probe) if fits(a, b) and least(a, b)}
     found = set(map(tuple, jaccard_join.tree_pairs(node, vec, n, root, probe, percent).tolist()))
     assert {(a, b) for a, b in found} == brute
+    owns = [frozenset(rng.integers(0, 12, rng.integers(0, 4)).tolist()) for _ in range(m)]
+    apart = {frozenset((int(node[a]), int(node[b]))) for a in range(len(n)) for b in range(len(n)) if owns[a].isdisjoint(owns[b])}
+    fewer = set(map(tuple, jaccard_join.tree_pairs(node, vec, n, root, probe, percent, owns.__getitem__).tolist()))
+    assert fewer == {p for p in brute if frozenset(map(int, p)) in apart}
 
 
 @settings(max_examples=40, deadline=None)
