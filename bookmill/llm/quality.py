@@ -2,13 +2,16 @@
 
 The text view sees content: hashed character-shape trigrams, hashed words and a few rates. The
 metadata view sees source, language and length. Each is a logistic regression on a labelled
-sample; over rounds each view labels the pool documents it is surest of, and these join the
-other's training set. Both are then calibrated on labelled documents kept apart (Platt), and
-their log odds, less the prior's, are added.
-
-Training reads at most about `labelled` labelled and `pool` other documents, chosen by a hash of
-the id. Without labels of both kinds, every document gets the share of good labels (1 if none).
-Null text is empty text; null metadata are values of their own. Every row is scored.
+sample. In every round each view scores all unlabelled documents in one pass over them; the
+`pseudo` different ones that it is surest of, of the whole table, are labelled and join the other
+view's training set. Both are then calibrated on labelled documents kept apart (Platt), and their
+log odds, less the prior's, are added.
+
+Training reads at most about `labelled` labelled documents, chosen by a hash of the id. Without
+labels of both kinds, every document gets the share of good labels (1 if none). Null text is empty
+text; null metadata are values of their own. Documents of equal text and metadata count as one
+when labels are exchanged; every row is scored. Columns beyond doc_id, text, source, lang and
+n_chars, and doc_id and quality of labels, are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ._hashing import U, mix, slices, word_hashes
 
@@ -52,13 +55,18 @@ def _sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def _parts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Shape buckets and their number by text, word buckets and their number, and rates by text."""
-    size = _lengths(texts) + 2
+    size = _lengths(texts) + 2  # two line ends after each text, so that no window holds two texts
     kind = _KIND[np.frombuffer(b"\n\n".join(texts) + b"\n\n", np.uint8)]
+    inner = np.ones(len(kind), bool)
+    ends = np.cumsum(size)
+    inner[ends - 1] = inner[ends - 2] = False
     padded = np.concatenate([kind, kind[-2:]])
-    shape = (mix((kind << U(16)) | (padded[1:-1] << U(8)) | padded[2:]) >> U(54)).astype(np.int64)
+    shape = (mix((kind << U(16)) | (padded[1:-1] << U(8)) | padded[2:]) >> U(54)).astype(np.int64)[inner]
+    kind, size = kind[inner], size - 2
     words, n = word_hashes(texts)
     same = np.zeros(len(words))
     same[1:] = words[1:] == words[:-1]
+    same[(np.cumsum(n) - n)[n > 0]] = 0
     chars = np.maximum(size, 1)
     rates = np.stack([_sums(kind == 2, size) / chars, _sums(kind > 4, size) / chars, _sums(kind == 3, size) / chars, _sums(same, n) / np.maximum(n, 1), np.minimum(chars / np.maximum(n, 1), 30) / 30, n < 3], 1)
     return shape, size, (words >> U(54)).astype(np.int64), n, rates
@@ -68,7 +76,7 @@ def text_features(texts: list[bytes]) -> np.ndarray:
     """Shares of shapes and of words, then rates."""
     shape, size, word, n, rates = _parts(texts)
     k = len(texts)
-    shapes = np.bincount(np.repeat(np.arange(k), size) * SHAPES + shape, minlength=k * SHAPES).reshape(k, SHAPES) / size[:, None]
+    shapes = np.bincount(np.repeat(np.arange(k), size) * SHAPES + shape, minlength=k * SHAPES).reshape(k, SHAPES) / np.maximum(size, 1)[:, None]
     words = np.bincount(np.repeat(np.arange(k), n) * WORDS + word, minlength=k * WORDS).reshape(k, WORDS) / np.maximum(n, 1)[:, None]
     return np.concatenate([np.sqrt(shapes), np.sqrt(words), rates], 1).astype(np.float32)
 
@@ -92,7 +100,8 @@ class Linear:
     offset: float = 0.0
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return x @ self.w + self.b
+        """Log odds before calibration, summed in double precision: the rows that stand beside one don't matter."""
+        return x @ self.w.astype(np.float64) + self.b
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         return self.slope * self.raw(x) + self.offset
@@ -137,40 +146,76 @@ class Classifier:
         return _sigmoid(text_odds + meta_odds - np.log(self.prior / (1 - self.prior)))
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], *, rounds: int = 3, share: float = 0.1) -> Classifier:
-    """views, pool: features of the two views; y: labels of the views' rows. share: of the pool, taken by each view in a round."""
+def _rest(y: np.ndarray) -> np.ndarray:
+    """Which labelled rows are kept apart for calibration: a quarter, if it has both kinds."""
+    apart = np.arange(len(y)) % 4 == 3
+    return apart if len(set(y[apart].tolist())) == 2 else np.zeros(len(y), bool)
+
+
+def co_train(views: list[np.ndarray], y: np.ndarray, surest, *, rounds: int = 3) -> Classifier:
+    """views: features of the two views' labelled rows; y: their labels.
+
+    surest(models, prior) gives, for the two views that learn, features and labels of new rows that the other view chose.
+    """
     if not len(y) or y.min() == y.max():
         return Classifier(None, None, float(y.mean()) if len(y) else 1.0)
-    apart = np.arange(len(y)) % 4 == 3
-    if len(set(y[apart].tolist())) < 2:
-        apart = np.zeros(len(y), bool)
+    apart = _rest(y)
     test = apart if apart.any() else ~apart
     prior = float(y.mean())
-    models = [_fit(x[~apart], y[~apart]) for x in views]
-    taken = [np.full(len(pool[0]), -1.0) for _ in views]  # labels that the other view gave
+    sets = [(x[~apart], y[~apart]) for x in views]
+    models = [_fit(*s) for s in sets]
     for _ in range(rounds):
-        for k, (model, other) in enumerate(zip(models, (1, 0), strict=True)):
-            free = np.flatnonzero(taken[other] < 0)
-            s = model.raw(pool[k][free])
-            n = int(share * len(pool[0]))
-            order, p = np.argsort(s, kind="stable"), _sigmoid(s)
-            for label, best in ((1.0, order[::-1][: int(n * prior)]), (0.0, order[: n - int(n * prior)])):
-                sure = p[best] > 0.9 if label else p[best] < 0.1
-                taken[other][free[best[sure]]] = label
-        models = [_fit(np.concatenate([x[~apart], u[t >= 0]]), np.concatenate([y[~apart], t[t >= 0]])) for x, u, t in zip(views, pool, taken, strict=True)]
+        sets = [tuple(np.concatenate(x) for x in zip(own, new, strict=True)) for own, new in zip(sets, surest(models, prior), strict=True)]
+        models = [_fit(*s) for s in sets]
     return Classifier(*(_calibrate(m, x[test], y[test]) for m, x in zip(models, views, strict=True)), prior)
 
 
-_FEATURES = pa.schema([("i", pa.int64()), ("y", pa.int32()), ("text", pa.binary()), ("meta", pa.binary())])
+def shares_of(pseudo: int, prior: float) -> dict[int, int]:
+    """How many documents a view labels good and bad in a round."""
+    return {1: int(pseudo * prior), 0: pseudo - int(pseudo * prior)}
+
+
+def sure(log_odds: np.ndarray, label: int, least: float = 0.9) -> np.ndarray:
+    """Whether the probability of the label is above `least`."""
+    return (log_odds if label else -log_odds) > np.log(least / (1 - least))
+
+
+_FEATURES = pa.schema([("h", pa.int64()), ("y", pa.int32()), ("text", pa.binary()), ("meta", pa.binary())])
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ids, y, t, *meta = (c.to_pylist() for c in b.columns)
-        t = [x or b"" for x in t]
+        t = [x or b"" for x in b.column(2).to_pylist()]
+        meta = [b.column(k).to_pylist() for k in (3, 4, 5)]
         for i, j in slices(t, 1 << 19):
             views = (text_features(t[i:j]).astype(np.float16), meta_features(*(m[i:j] for m in meta)).astype(np.float16))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[i:j], pa.int64()), pa.array(y[i:j], pa.int32()), *(pa.array([r.tobytes() for r in v], pa.binary()) for v in views)], schema=_FEATURES)
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), *(pa.array([r.tobytes() for r in v], pa.binary()) for v in views)], schema=_FEATURES)
+
+
+_SURE = pa.schema([("view", pa.int32()), ("label", pa.int32()), ("sureness", pa.float64()), ("h", pa.int64())])
+
+
+def _surest_in_task(models: list[Linear], wanted: dict[int, int], taken: list[np.ndarray]):
+    """Of each view and label, the task's surest documents that neither are labelled nor were chosen before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {(v, y): (np.zeros(0), np.zeros(0, np.int64)) for v in (0, 1) for y in wanted}
+        for b in batches:
+            h, t = b.column(0).to_numpy(), [x or b"" for x in b.column(1).to_pylist()]
+            meta = [b.column(k).to_pylist() for k in (2, 3, 4)]
+            for i, j in slices(t, 1 << 20):
+                odds = models[0].raw(text_features(t[i:j])), models[1].raw(meta_features(*(m[i:j] for m in meta)))
+                for (v, y), (score, ids) in best.items():
+                    own = sure(odds[v], y) & ~np.isin(h[i:j], taken[v])
+                    score = np.concatenate([score, (odds[v] if y else -odds[v])[own].astype(np.float64)])
+                    ids, first = np.unique(np.concatenate([ids, h[i:j][own]]), return_index=True)
+                    score = score[first]
+                    order = np.lexsort((ids, -score))[: wanted[y]]
+                    best[v, y] = score[order], ids[order]
+        for (v, y), (score, ids) in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), v), pa.int32()), pa.array(np.full(len(ids), y), pa.int32()), pa.array(score), pa.array(ids)], schema=_SURE)
+
+    return run
 
 
 def _sampled(rows: DataFrame, most: int, key: str) -> DataFrame:
@@ -183,17 +228,39 @@ def _columns(docs: DataFrame) -> list:
     return [F.col("text").cast("binary").alias("t"), F.col("source").cast("string").alias("s"), F.col("lang").cast("string").alias("l"), F.col("n_chars").cast("long").alias("n")]
 
 
-def train(docs: DataFrame, labels: DataFrame, *, labelled: int = 3000, pool: int = 3000) -> Classifier:
-    """Co-train on samples of bounded size of the labelled and of all documents."""
-    known = _sampled(labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", F.col("quality").cast("int").alias("y")), labelled, "doc_id")
-    own = docs.join(F.broadcast(known), "doc_id").select("doc_id", "y", *_columns(docs))  # at most about `labelled` rows
-    other = _sampled(docs, pool, "doc_id").select("doc_id", F.lit(-1).alias("y"), *_columns(docs))
-    rows = sorted(own.unionByName(other).mapInArrow(_features, "i bigint, y int, text binary, meta binary").collect(), key=lambda r: (r["y"] < 0, r["i"] is None, r["i"] or 0, r["text"]))
-    y = np.array([r["y"] for r in rows], float)
-    views = [np.array([np.frombuffer(r[v], np.float16) for r in rows], np.float32).reshape(len(rows), width) for v, width in (("text", SHAPES + WORDS + RATES), ("meta", META))]
-    ids = {r["i"] for r in rows if r["y"] >= 0}
-    free = np.array([r["y"] < 0 and r["i"] not in ids for r in rows], bool)
-    return co_train([v[y >= 0] for v in views], y[y >= 0], [v[free] for v in views])
+def _views(rows: list) -> list[np.ndarray]:
+    return [np.array([np.frombuffer(r[v], np.float16) for r in rows], np.float32).reshape(len(rows), width) for v, width in (("text", SHAPES + WORDS + RATES), ("meta", META))]
+
+
+def train(docs: DataFrame, labels: DataFrame, *, labelled: int = 3000, pseudo: int = 300, rounds: int = 3) -> Classifier:
+    """Co-train on a sample of bounded size of the labelled documents, and on all others."""
+    known = _sampled(labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y")).where("__id IS NOT NULL AND __y IS NOT NULL"), labelled, "__id")
+    rows = docs.select(F.col("doc_id").alias("__id"), *_columns(docs)).withColumn("h", F.xxhash64("t", "s", "l", "n"))
+    own = rows.join(F.broadcast(known), "__id").select("h", F.col("__y").alias("y"), "t", "s", "l", "n")  # at most about `labelled` ids
+    found = sorted(own.dropDuplicates(["h", "y"]).mapInArrow(_features, "h bigint, y int, text binary, meta binary").collect(), key=lambda r: (r["h"], r["y"]))
+    y = np.array([r["y"] for r in found], float)
+    taken = [np.array([r["h"] for r in found], np.int64)] * 2
+
+    def surest(models: list[Linear], prior: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        wanted = shares_of(pseudo, prior)
+        sent = rows.select("h", "t", "s", "l", "n").mapInArrow(_surest_in_task(models, wanted, taken), "view int, label int, sureness double, h bigint").distinct()
+        enough = F.when(F.col("label") == 1, wanted[1]).otherwise(wanted[0])
+        order = (F.desc("sureness"), "h")
+        for by in ([F.pmod("h", F.lit(64))], []):  # of 64 parts each, then of all
+            rank = F.row_number().over(Window.partitionBy("view", "label", *by).orderBy(*order))
+            sent = sent.withColumn("rank", rank).where((F.col("rank") <= pseudo) & (F.col("rank") <= enough)).drop("rank")
+        chosen = sorted(sent.select("view", "label", "h").collect())  # at most 2 * pseudo
+        ids = docs.sparkSession.createDataFrame([(h,) for h in sorted({h for *_, h in chosen})], "h bigint")
+        texts = rows.join(F.broadcast(ids), "h").dropDuplicates(["h"]).select("h", F.lit(0).alias("y"), "t", "s", "l", "n")
+        of = {r["h"]: r for r in texts.mapInArrow(_features, "h bigint, y int, text binary, meta binary").collect()}
+        new = []
+        for learner, teacher in ((0, 1), (1, 0)):
+            own = [(label, h) for view, label, h in chosen if view == teacher]
+            new.append((_views([of[h] for _, h in own])[learner], np.array([label for label, _ in own], float)))
+            taken[teacher] = np.append(taken[teacher], np.array([h for _, h in own], np.int64))
+        return new
+
+    return co_train(_views(found), y, surest, rounds=rounds)
 
 
 def score(docs: DataFrame, model: Classifier, *, keep: list[str], into: str = "score") -> DataFrame:

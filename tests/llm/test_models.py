@@ -188,12 +188,52 @@ def test_languages_that_are_learned_are_bounded(spark):
     assert language_id.train(rows, most_languages=3).languages == ["l0", "l1", "l40"]
 
 
-def test_quality_of_labelled_documents(spark, data):
-    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
-    got = quality.classify(docs, labels)
+def test_quality_of_documents_with_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    held = lm_scoring.remainder("doc_id", 3, 1)
+    got = quality.classify(docs, labels.where(~held))
     assert got.count() == docs.count()
-    known = got.join(labels, "doc_id")
-    assert known.where("good = (quality = 1)").count() / known.count() >= 0.9
+    known = got.join(labels.where(held), "doc_id")
+    assert known.count() > 50 and known.where("good = (quality = 1)").count() / known.count() >= 0.85
+
+
+def test_scores_equal_brute_force(spark, data):
+    """All scores from the fitted weights by plain dictionaries; the surest documents by sorting all."""
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels)
+    rows = docs.orderBy("doc_id").collect()
+    got = {r.doc_id: r for r in quality.score(docs.repartition(5), model, keep=["doc_id"]).collect()}
+    for r in rows[:40]:
+        x, m = quality.text_features([r.text.encode()])[0], quality.meta_features([r.source], [r.lang], [r.n_chars])[0]
+        odds = [v.slope * (sum(float(a) * float(b) for a, b in zip(f, v.w, strict=True)) + v.b) + v.offset for f, v in ((x, model.text), (m, model.meta))]
+        want = 1 / (1 + math.exp(-(sum(odds) - math.log(model.prior / (1 - model.prior)))))
+        assert got[r.doc_id].score == pytest.approx(want, abs=1e-4)
+        assert got[r.doc_id].text_score == pytest.approx(1 / (1 + math.exp(-odds[0])), abs=1e-4)
+
+
+def test_columns_of_any_name_don_t_clash(spark, data):
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    plain = {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    odd = docs
+    for name in ("y", "t", "s", "l", "n", "h", "i", "quality", "rank", "view", "label", "score"):
+        odd = odd.withColumn(name, F.lit("clash"))
+    assert {r.doc_id: r.score for r in quality.classify(odd, labels.withColumn("text", F.lit("clash"))).collect()} == pytest.approx(plain)
+
+
+def test_the_surest_of_all_documents_are_exchanged(spark):
+    rng = np.random.default_rng(2)
+    h, texts = np.arange(90), [b"good words here" if k % 2 else b"BAD 666" for k in range(90)]
+    model = quality.Linear(rng.normal(size=quality.SHAPES + quality.WORDS + quality.RATES).astype(np.float32) * 9, 0.0), quality.Linear(np.zeros(quality.META, np.float32), 0.0)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(h), pa.array(texts), *(pa.array(["a"] * 90) for _ in range(2)), pa.array([3] * 90)], names=["h", "t", "s", "l", "n"])
+    taken = [np.array([1, 2]), np.zeros(0, np.int64)]
+    out = [r for b in quality._surest_in_task(list(model), {1: 4, 0: 3}, taken)(iter([batch.slice(0, 50), batch.slice(50)])) for r in b.to_pylist()]
+    odds = model[0].raw(quality.text_features(texts))
+    for y, n in ((1, 4), (0, 3)):
+        want = sorted((-float(o if y else -o), int(k)) for k, o in zip(h, odds, strict=True) if k not in (1, 2) and quality.sure(np.array([o]), y)[0])[:n]
+        assert [r["h"] for r in out if r["label"] == y and r["view"] == 0] == [k for _, k in want]
+    assert not [r for r in out if r["view"] == 1]
 
 
 def test_quality_of_odd_rows_and_without_labels(spark, data):
@@ -209,7 +249,20 @@ def test_co_training_learns_from_the_pool():
     rng = np.random.default_rng(3)
     y = rng.integers(0, 2, 600).astype(float)
     views = [(y[:, None] * 2 - 1 + rng.normal(0, 1.0, (600, 3))).astype(np.float32) for _ in range(2)]
-    few = slice(0, 24)
-    model = quality.co_train([v[few] for v in views], y[few], [v[24:424] for v in views])
+    few, pool = slice(0, 24), [v[24:424] for v in views]
+    left = [np.ones(400, bool), np.ones(400, bool)]
+
+    def surest(models, prior):
+        new = []
+        for learner, teacher in ((0, 1), (1, 0)):
+            odds, own = models[teacher].raw(pool[teacher]), []
+            for label, n in quality.shares_of(40, prior).items():
+                fit = np.flatnonzero(quality.sure(odds, label) & left[teacher])
+                own += [(k, label) for k in fit[np.argsort(-odds[fit] if label else odds[fit])][:n].tolist()]
+            left[teacher][[k for k, _ in own]] = False
+            new.append((pool[learner][[k for k, _ in own]], np.array([y for _, y in own], float)))
+        return new
+
+    model = quality.co_train([v[few] for v in views], y[few], surest)
     p = model.probability(*(m.log_odds(v[424:]) for m, v in zip((model.text, model.meta), views, strict=True)))
     assert ((p > 0.5) == (y[424:] > 0.5)).mean() > 0.93
