@@ -7,18 +7,22 @@ name only when whole, so a task that runs twice leaves one whole file.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from urllib.parse import unquote, urlparse
 
+import numpy as np
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (tests), a temporary folder that is then set."""
+    """spark.checkpoint.dir; where it is unset and all runs in one process (tests), a temporary folder that is then set."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="bookmill-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
@@ -70,18 +74,15 @@ def open_read(path: str):
     return store.open_input_stream(at)
 
 
-def mappable(path: str) -> str:
-    """A local path of the file, for memory maps; a file of a remote store is fetched once per machine."""
+def mapped(path: str) -> np.ndarray:
+    """The array of an .npy file, mapped into memory; a file of a remote store is fetched first, and gone with the map."""
     if (at := _local(path)) is not None:
-        return at
-    at = os.path.join(tempfile.gettempdir(), "bookmill-" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex)
-    if not os.path.exists(at):
-        tmp = f"{at}.{uuid.uuid4().hex}"
-        with open_read(path) as src, open(tmp, "wb") as dst:
-            while part := src.read(1 << 24):
-                dst.write(part)
-        os.replace(tmp, at)
-    return at
+        return np.load(at, mmap_mode="r")
+    with tempfile.NamedTemporaryFile(suffix=".npy") as dst, open_read(path) as src:
+        while part := src.read(1 << 24):
+            dst.write(part)
+        dst.flush()
+        return np.load(dst.name, mmap_mode="r")
 
 
 def table(df, name: str, *, partition_by: tuple[str, ...] = ()):

@@ -214,7 +214,7 @@ class KneserNey:
 
 @lru_cache(maxsize=4096)
 def _map(path: str) -> np.ndarray:
-    return np.load(_store.mappable(path), mmap_mode="r")
+    return _store.mapped(path)
 
 
 def _lookup(keys: np.ndarray, parts: int, files: dict[int, str], names: tuple[str, ...]) -> list[np.ndarray]:

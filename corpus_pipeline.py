@@ -27,15 +27,22 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, *, threshold
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, keep one row, of the least id (null last); of repeated rows, one. Rows are told apart by id and text."""
+    """Of each group of near duplicates, keep one row, of the least id (null last).
+
+    Rows are told apart by id and text; of rows that repeat these, the one whose other columns are least as JSON stays.
+    Ids and hashes decide; texts are dealt out once, to drop the rows that go.
+    """
     keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    linked = _store.table(jaccard_join.link(keyed, doc_id="__row").select(F.col("doc_id").alias("__row"), "component_id"), "linked")
+    linked = _store.table(jaccard_join.link(keyed, doc_id="__row").select(F.col("doc_id").alias("__row"), "component_id").distinct(), "linked")
     many = linked.groupBy("component_id").agg(F.min("__row").alias("a"), F.max("__row").alias("b")).where("a < b").select("component_id")
-    ranks = keyed.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("rank"))
-    grouped = _store.table(linked.join(many, "component_id").join(ranks, "__row").groupBy("component_id", "__row").agg(F.min("rank").alias("rank")), "grouped")
+    ranks = keyed.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("rank")).distinct()
+    grouped = _store.table(linked.join(many, "component_id").join(ranks, "__row"), "grouped")
     first = grouped.groupBy("component_id").agg(F.min("rank").alias("first"))
     others = grouped.join(first, "component_id").where("__row != first.__row").select("__row")
-    return keyed.join(others, "__row", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    rest = F.to_json(F.struct(*(F.col(f"`{c}`").cast("string").alias(c) for c in docs.columns if c != "text")))
+    kept = keyed.join(others, "__row", "left_anti")
+    one = kept.groupBy("__row").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), rest).alias("__one"))
+    return one.select("__one.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +56,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
-    docs = _read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over the documents table. What a stage keeps is written once; the stage before it is then dropped."""
+    docs, before = _read(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        docs = _store.table(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            _store.drop(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
