@@ -8,7 +8,8 @@ until none is left.
 
 Pre-tokens don't reach over the start of white space, so a text is taken apart there, and what a
 worker has encoded it remembers, up to `memo_entries`. Texts with white space outside ASCII are
-split whole. Null text is empty text, of no ids.
+split whole. Letters and numbers are those of Unicode 16, as in the reference library, whatever the
+installed `regex` knows. Null text is empty text, of no ids.
 """
 
 from __future__ import annotations
@@ -114,8 +115,24 @@ def merge(token: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 #: White space and separators beyond ASCII's, where Python's and the pattern's notions may differ.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 _SEGMENT = re.compile(r"\s*\S+|\s+")
+#: First and last code points that are unassigned in Unicode 16, which the reference library's
+#: patterns go by, and letters or numbers in later versions, which `regex` may know.
+_LATER = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),
+    (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1),
+    (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A),
+    (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686),
+    (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20),
+    (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6),
+    (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2),
+    (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E),
+    (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+)
+_UNASSIGNED = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _LATER) + "]")
+#: Stands for them when a text is split: neither letter, number nor space in any version.
+_STAND_IN = "\ue000"
 
 
 class Encoder:
@@ -123,12 +140,18 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, hashed: PerfectHash, memo_entries: int = 300_000):
         self.ranks, self.hashed, self.memo_entries = ranks, hashed, memo_entries
-        self._find = regex.compile(pattern).findall
+        self._pattern = regex.compile(pattern)
         self._tokens: dict[str, bytes] = {}
         self._segments: dict[str, bytes] = {}
 
+    def split(self, text: str) -> list[str]:
+        """The pattern's matches by Unicode 16."""
+        if text.isascii() or not _UNASSIGNED.search(text):
+            return self._pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self._pattern.finditer(_UNASSIGNED.sub(_STAND_IN, text))]
+
     def _learn(self, segments: set[str]) -> None:
-        parts = {s: self._find(s) for s in segments}
+        parts = {s: self.split(s) for s in segments}
         new = list({t for ts in parts.values() for t in ts}.difference(self._tokens))
         raw = [t.encode("utf-8", "replace") for t in new]
         for t, b, k in zip(new, raw, self.hashed.lookup(raw).tolist(), strict=True):

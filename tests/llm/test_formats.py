@@ -186,13 +186,27 @@ def test_perfect_hash_is_minimal(vocabulary):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.sampled_from(list("ab't s\n\r\t  \u00a0\u2003\x1c.,!?0129é中😀Ж")), st.characters(exclude_categories=["Cs"])), max_size=40))
+@given(
+    st.text(
+        alphabet=st.one_of(
+            st.sampled_from(list("ab't s\n\r\t  \u00a0\u2003\u3000\x1c\x85.,!?0129é中😀Ж")), st.sampled_from([chr(c) for r in bpe._LATER for c in r]), st.characters(exclude_categories=["Cs"])
+        ),
+        max_size=40,
+    )
+)
 def test_encoding_equals_the_library_s(vocabulary, text):
     ranks, hashed, library = vocabulary
     ids = np.frombuffer(bpe.Encoder(ranks, public_tokenizers.PATTERN, hashed).encode([text])[0], "<u4").tolist()
     assert b"".join(library.decode_single_token_bytes(i) for i in ids) == text.encode()
-    if not re.search("[\x1c-\x1f\x85]|[^\x00-\uffff]", text) and all(ord(c) < 0x3000 or "一" <= c <= "鿿" for c in text):
-        assert ids == library.encode_ordinary(text)
+    assert ids == library.encode_ordinary(text)
+
+
+def test_classes_of_all_code_points_are_the_library_s(vocabulary):
+    text = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    bytes_only = {bytes([b]): b for b in range(256)}
+    for kind in (r"\p{L}", r"\p{N}", r"\s", r"[^\s\p{L}\p{N}]"):
+        library = tiktoken.Encoding("own", pat_str=kind, mergeable_ranks=bytes_only, special_tokens={})
+        assert "".join(bpe.Encoder({}, kind, None).split(text)) == bytes(library.encode_ordinary(text)).decode()
 
 
 def test_merges_by_heap_are_those_of_the_library(vocabulary):
