@@ -110,15 +110,23 @@ def _write(folder: str, dictionary: bytes, level: int, archive_bytes: int):
     return run
 
 
+def _sampled(rows: DataFrame, most: int) -> DataFrame:
+    """`most` rows (all, if fewer), by a hash of id and payload. Only about four times as many are sorted, so few leave their tasks."""
+    n, whole = rows.count(), 1 << 30
+    h = F.xxhash64("page_id", "payload")
+    few = rows.select("*", h.alias("h")).where(F.pmod("h", F.lit(whole)) < whole * min(1.0, 4 * most / max(n, 1)))
+    return few.orderBy(F.pmod("h", F.lit(whole)), "h", "page_id").limit(most)
+
+
 def write_archives(
     pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 1000, level: int = 3,
     dictionary_bytes: int = 64 << 10, samples: int = 256, sample_bytes: int = 16 << 10, archive_bytes: int = 32 << 20,
 ) -> DataFrame:
-    """Archive every page; the manifest: path, records, bytes. The dictionary sees `samples` pages, `sample_bytes` of each at most."""
+    """Archive every page; the manifest: path, records, bytes. The dictionary sees about `samples` pages, `sample_bytes` of each at most."""
     spark = pages.sparkSession
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
-    taken = rows.orderBy(F.xxhash64("page_id"), "page_id").limit(samples).select("page_id", "url", F.substring("payload", 1, sample_bytes).alias("p")).collect()
+    taken = _sampled(rows, samples).select("page_id", "url", F.substring("payload", 1, sample_bytes).alias("p")).collect()
     dictionary = train_dictionary([page_record(r["page_id"], r["url"], bytes(r["p"]), None) for r in taken], dictionary_bytes)
     keyed = rows.withColumn("key", F.sha2("payload", 256))
     again = revisits(keyed.select("page_id", "key", F.octet_length("payload").alias("size")), least=least)
