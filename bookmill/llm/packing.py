@@ -4,8 +4,8 @@ Only how many pieces there are of each length matters to the packing, and there
 `capacity` lengths: their counts go to the driver, however many documents there are. There a
 reduction fixes small sets that dominate every other set with the same longest piece, and the
 rest is packed best-fit, longest first. The result is a list of patterns with multiplicities; the
-pieces of a length are numbered in parallel (by a hash part, with the parts' counts summed before
-it), and the number gives a piece its sequence and offset.
+pieces of a length are numbered in parallel (by hash parts of bounded size, with the parts' counts
+summed before each), and the number gives a piece its sequence and offset.
 
 Null text is empty text, of one id (the end). Longer documents are cut into pieces of the
 capacity; only the last may be shorter. Repeated rows are packed each.
@@ -229,27 +229,37 @@ def _place(table):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id: str = "doc_id", capacity: int = 4096, end: int = 1, memo_words: int = 150_000, parts: int = 64) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. tokenizer: the file's path on every worker."""
+def pack(
+    docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id: str = "doc_id", capacity: int = 4096, end: int = 1, memo_words: int = 150_000, part_rows: int = 100_000
+) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. tokenizer: the file's path on every worker.
+
+    The pieces of one length are numbered in hash parts of about `part_rows`, so a frequent length is not one task's.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
     pieces = _store.table(rows.mapInArrow(_encode(tokenizer, capacity, end, memo_words), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"), "pieces")
-    salted = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
-    sizes = salted.groupBy("length", "part").agg(F.count("*").alias("n")).collect()  # at most capacity * parts rows
-    count, before = np.zeros(capacity + 1, np.int64), np.zeros((capacity + 1) * parts, np.int64)
-    for r in sizes:
-        count[r["length"]] += r["n"]
-        before[r["length"] * parts + r["part"]] = r["n"]
-    grid = before.reshape(-1, parts)
-    first = spark.sparkContext.broadcast((np.cumsum(grid, 1) - grid))
+    count = np.zeros(capacity + 1, np.int64)
+    for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():  # at most capacity rows
+        count[r["length"]] = r["n"]
+    parts = [(size, 1 + int(count[size]) // part_rows) for size in np.flatnonzero(count).tolist()]
+    dealt = F.broadcast(spark.createDataFrame(parts, "length bigint, parts bigint"))
+    salted = pieces.join(dealt, "length").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("parts"))).select(*pieces.columns, "part")
+    before = {size: np.zeros(k, np.int64) for size, k in parts}
+    for r in salted.groupBy("length", "part").agg(F.count("*").alias("n")).collect():  # at most capacity rows, and one for each part_rows pieces
+        before[r["length"]][r["part"]] = r["n"]
+    first = spark.sparkContext.broadcast({size: np.cumsum(n) - n for size, n in before.items()})
     table = spark.sparkContext.broadcast(places(pack_lengths(count, capacity), capacity))
     w = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
-    numbered = salted.withColumn("k", F.row_number().over(w) - 1).select("doc_id", "piece", "start", "length", "ids_crc32", F.col("k").cast("long"), "part")
+    numbered = salted.withColumn("k", (F.row_number().over(w) - 1).cast("long")).select("doc_id", "piece", "start", "length", "ids_crc32", "k", "part")
 
     def shift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = first.value
         for b in batches:
-            number = b.column(5).to_numpy() + own[b.column(3).to_numpy(), b.column(6).to_numpy()]
+            length, part, number = (b.column(k).to_numpy() for k in (3, 6, 5))
+            number = number.copy()
+            for size in np.unique(length).tolist():
+                own = length == size
+                number[own] += first.value[size][part[own]]
             yield from _place(table)(iter([pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(number)], names=[*_PIECES.names, "number"])]))
 
     return numbered.mapInArrow(shift, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
