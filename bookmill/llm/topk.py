@@ -149,17 +149,18 @@ class Bucket:
         out.extend((q_id, int(self.ids[at[j]]), int(scores[j])) for j in best(self.ids[at], scores, k))
 
 
-_PACKED = pa.schema([("bucket", pa.int64()), ("longest", pa.float64()), ("ids", pa.binary()), ("vecs", pa.binary()), ("theta", pa.binary())])
+_PACKED = pa.schema([("range", pa.int64()), ("part", pa.int64()), ("longest", pa.float64()), ("ids", pa.binary()), ("vecs", pa.binary())])
+_AIMED = pa.schema([("range", pa.int64()), ("q_ids", pa.binary()), ("q_vecs", pa.binary()), ("theta", pa.binary())])
 
 
 def _pack(key: tuple, t: pa.Table) -> pa.Table:
     ids, vecs = t.column("vec_id").to_numpy().astype(np.int64), stack(t.column("vec").to_pylist())
-    row = {"bucket": [key[0].as_py() * (1 << 20) + key[1].as_py()], "longest": [max(t.column("norm").to_pylist())], "ids": [ids.tobytes()], "vecs": [vecs.tobytes()], "theta": [b""]}
+    row = {"range": [key[0].as_py()], "part": [key[1].as_py()], "longest": [max(t.column("norm").to_pylist())], "ids": [ids.tobytes()], "vecs": [vecs.tobytes()]}
     return pa.Table.from_pydict(row, schema=_PACKED)
 
 
-def _aim(seed_ids: np.ndarray, seeds: np.ndarray, buckets: np.ndarray, longest: np.ndarray, k: int):
-    """For a block of queries: a row for each bucket that some of them can reach, holding those."""
+def _aim(seed_ids: np.ndarray, seeds: np.ndarray, ranges: np.ndarray, longest: np.ndarray, k: int):
+    """For a block of queries: a row for each range of lengths that some of them can reach, holding those. Each seed has an id of its own."""
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
         ids, q = t.column("vec_id").to_numpy().astype(np.int64), stack(t.column("vec").to_pylist())
@@ -169,14 +170,14 @@ def _aim(seed_ids: np.ndarray, seeds: np.ndarray, buckets: np.ndarray, longest:
         theta = np.full(len(ids), -np.inf)
         for j in range(len(ids)):
             s = scores[j][seed_ids != ids[j]]
-            if len(np.unique(seed_ids[seed_ids != ids[j]])) >= k and len(np.unique(seed_ids)) == len(seed_ids):
+            if len(s) >= k:
                 theta[j] = np.partition(s, -k)[-k]
         rows = []
-        for b, top in zip(buckets.tolist(), longest.tolist(), strict=True):
+        for b, top in zip(ranges.tolist(), longest.tolist(), strict=True):
             go = (theta <= 0) | (norm * top * (1 + 1e-12) + 0.5 >= theta)
             if go.any():
-                rows.append((b, 0.0, ids[go].tobytes(), q[go].tobytes(), theta[go].tobytes()))
-        return pa.Table.from_pydict({n: [r[i] for r in rows] for i, n in enumerate(_PACKED.names)}, schema=_PACKED)
+                rows.append((b, ids[go].tobytes(), q[go].tobytes(), theta[go].tobytes()))
+        return pa.Table.from_pydict({n: [r[i] for r in rows] for i, n in enumerate(_AIMED.names)}, schema=_AIMED)
 
     return run
 
@@ -198,45 +199,61 @@ def _search(k: int):
 
 def search(
     vectors: DataFrame, is_query: Column, *, vec_id: str = "vec_id", embedding: str = "embedding", k: int = 5, scale: float = 256.0,
-    bucket_rows: int = 2048, most_buckets: int = 65536, block_rows: int = 512, seeds: int = 1024,
+    bucket_rows: int = 2048, most_ranges: int = 65536, block_rows: int = 512, seeds: int = 1024, load: int = 64,
 ) -> DataFrame:
-    """Each query's k best rows by inner product of floor(scale * x): query_id, rank, vec_id, score."""
+    """Each query's k best rows by inner product of floor(scale * x): query_id, rank, vec_id, score.
+
+    Lengths are cut into at most `most_ranges` ranges, which the driver knows, and a range into buckets of about
+    `bucket_rows` vectors, however many it holds. A bucket that many blocks of queries reach, as the longest vectors' is,
+    is there once for every `load` of them.
+    """
     spark = vectors.sparkSession
     schema = "vec_id bigint, query boolean, norm double, vec binary"
     rows = vectors.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).select(F.col(vec_id).cast("long").alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("query"), F.col(embedding).alias("e"))
     rows = _store.table(rows.mapInArrow(_quantise(scale), schema).dropDuplicates(["vec_id", "vec"]), "vectors")
-    n = rows.count()
-    size = max(bucket_rows, -(-n // most_buckets))
-    cuts = max(1, -(-n // size))
+    cuts = min(most_ranges, max(1, -(-rows.count() // bucket_rows)))
     inner = rows.agg(F.percentile_approx("norm", [j / cuts for j in range(1, cuts)] or [0.0], 100_000)).first()[0] or []
     bounds = np.unique(np.array(inner))
     level = _level(bounds) if len(bounds) else F.lit(0)
     ranged = rows.withColumn("range", level.cast("long"))
-    split = ranged.groupBy("range").agg(F.ceil(F.count("*") / size).cast("long").alias("parts"))
+    split = ranged.groupBy("range").agg(F.ceil(F.count("*") / bucket_rows).cast("long").alias("parts"), F.max("norm").alias("longest"))
+    split = _store.table(split, "ranges")  # at most most_ranges rows
     buckets = _store.table(
-        ranged.join(F.broadcast(split), "range")  # at most most_buckets rows
+        ranged.join(F.broadcast(split.select("range", "parts")), "range")
         .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
         .groupBy("range", "part")
-        .applyInArrow(_pack, "bucket bigint, longest double, ids binary, vecs binary, theta binary"),
+        .applyInArrow(_pack, "range bigint, part bigint, longest double, ids binary, vecs binary"),
         "buckets",
     )
-    known = buckets.select("bucket", "longest").orderBy("bucket").collect()  # at most about twice most_buckets rows
-    top = rows.orderBy(F.desc("norm"), "vec_id", "vec").limit(seeds).select("vec_id", "vec").collect()
+    known = split.select("range", "longest").orderBy("range").collect()
+    longest_of_id = F.row_number().over(Window.partitionBy("vec_id").orderBy(F.desc("norm"), "vec"))
+    top = rows.where(F.col("norm") >= _least_of_longest(rows, seeds)).withColumn("r", longest_of_id).where("r = 1")
+    top = top.orderBy(F.desc("norm"), "vec_id").limit(seeds).select("vec_id", "vec").collect()
     seed_ids, seed_vecs = np.array([r["vec_id"] for r in top], np.int64), stack([bytes(r["vec"]) for r in top])
     queries = rows.where("query")
     blocks = max(1, -(-queries.count() // block_rows))
-    aimed = (
+    aimed = _store.table(
         queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
         .groupBy("block")
-        .applyInArrow(_aim(seed_ids, seed_vecs, np.array([r["bucket"] for r in known], np.int64), np.array([r["longest"] for r in known], float), k), "bucket bigint, longest double, ids binary, vecs binary, theta binary")
-        .select("bucket", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"), "theta")
+        .applyInArrow(_aim(seed_ids, seed_vecs, np.array([r["range"] for r in known], np.int64), np.array([r["longest"] for r in known], float), k), "range bigint, q_ids binary, q_vecs binary, theta binary"),
+        "aimed",
     )
-    found = aimed.join(buckets.select("bucket", "ids", "vecs"), "bucket").mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")
+    copies = F.broadcast(aimed.groupBy("range").agg(F.ceil(F.count("*") / load).cast("long").alias("copies")).join(split.select("range", "parts"), "range"))  # a row for each range
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    asked = aimed.join(copies, "range").withColumn("copy", F.pmod(F.xxhash64("q_ids"), F.col("copies"))).withColumn("part", every("parts"))
+    held = buckets.join(copies.select("range", "copies"), "range").withColumn("copy", every("copies")).select("range", "part", "copy", "ids", "vecs")
+    found = asked.select("range", "part", "copy", "q_ids", "q_vecs", "theta").join(held, ["range", "part", "copy"]).mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")
     single = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return single.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _least_of_longest(rows: DataFrame, n: int) -> float:
+    """A length that the n longest vectors have, or nearly so: seeds only set a first threshold."""
+    tail = rows.orderBy(F.desc("norm")).limit(n).agg(F.min("norm")).first()[0]
+    return 0.0 if tail is None else float(tail)
+
+
 def _level(bounds: np.ndarray) -> Column:
     """How many of the ascending bounds are at most the norm, by halving."""
     at = F.split(F.lit(",".join(map(repr, bounds.tolist()))), ",").cast("array<double>")
