@@ -101,7 +101,7 @@ def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 
 _BLOCKS = pa.schema([("part", pa.int32()), ("block", pa.binary())])
-_MADE = pa.schema([("kind", pa.string()), ("part", pa.int32()), ("path", pa.string()), ("totals", pa.list_(pa.int64()))])
+_MADE = pa.schema([("kind", pa.string()), ("totals", pa.list_(pa.int64()))])
 
 
 def _of_counts(c: np.ndarray) -> list[int]:
@@ -142,47 +142,65 @@ def _count(parts: int, chunk: int):
     return run
 
 
+def _path(folder: str, kind: str, part: int) -> str:
+    return f"{folder}/{kind}-{part // 1000:06d}/{part:09d}"
+
+
+def _by_part(merge):
+    """merge(part, blocks) gives rows; over the partitions that `repartitionById` made, each of one part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for b in batches:
+            for part, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                held.setdefault(part, []).append(block)
+        for part in sorted(held):
+            yield merge(part, [_unpack(b) for b in held.pop(part)])
+
+    return run
+
+
 def _merge_pairs(folder: str, word_parts: int):
-    """One range of pairs: write its arrays; pass on the words' statistics and its counts of counts."""
+    """One range of pairs: write its arrays; pass on the words' statistics, and its counts of counts as a block of part `word_parts`."""
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        part = key[0].as_py()
-        prev, cur, n = (np.concatenate(x) for x in zip(*map(_unpack, table.column("block").to_pylist()), strict=True))
+    def merge(part: int, blocks: list[list[np.ndarray]]) -> pa.RecordBatch:
+        prev, cur, n = (np.concatenate(x) for x in zip(*blocks, strict=True))
+        blocks.clear()
         keys, first, order, n = _group(pair_keys(prev, cur), n)
         prev, cur = prev[order][first], cur[order][first]
-        path = f"{folder}/pairs-{part:06d}"
-        _store.write(f"{path}.keys", _npy(keys))
+        path = _path(folder, "pairs", part)
         _store.write(f"{path}.counts", _npy(n.astype(np.uint32) if n.max() < 2**32 else n.astype(np.uint64)))
+        _store.write(f"{path}.keys", _npy(keys))
         words, _, _, *stats = _group(
             np.concatenate([cur, prev]),
             *(np.concatenate(x) for x in ((n, 0 * n), (0 * n + 1, 0 * n), (0 * n, n == 1), (0 * n, n == 2), (0 * n, n > 2))),
         )
         bounds = np.searchsorted(range_of(words, word_parts), np.arange(word_parts + 1))
-        rows = [(-1, _pack(np.array([part], np.uint64), None, np.array(_of_counts(n))))]
+        rows = [(word_parts, _pack(np.array([part], np.uint64), None, np.array(_of_counts(n))))]
         for k in range(word_parts):
             at = slice(bounds[k], bounds[k + 1])
             if bounds[k] < bounds[k + 1]:
                 rows.append((k, _pack(words[at], None, *(s[at] for s in stats))))
-        return pa.Table.from_batches([_batch(_BLOCKS, rows)])
+        return _batch(_BLOCKS, rows)
+
+    return merge
 
-    return run
 
+def _merge_words(folder: str, word_parts: int):
+    """One range of words: write its arrays. The totals of a range, or of all ranges of pairs."""
 
-def _merge_words(folder: str):
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        part, blocks = key[0].as_py(), [_unpack(b) for b in table.column("block").to_pylist()]
-        if part < 0:
-            rows = [("pairs", int(h[0]), f"{folder}/pairs-{int(h[0]):06d}", n.tolist()) for h, _, n in blocks]
-            return pa.Table.from_batches([_batch(_MADE, rows)])
+    def merge(part: int, blocks: list[list[np.ndarray]]) -> pa.RecordBatch:
+        if part == word_parts:
+            return _batch(_MADE, [("pairs", [*np.sum([n for _, _, n in blocks], 0).tolist(), 0, 0, 0])])
         words, _, _, *stats = _group(np.concatenate([b[0] for b in blocks]), *(np.concatenate(x) for x in zip(*(b[2:] for b in blocks), strict=True)))
-        path = f"{folder}/words-{part:06d}"
-        _store.write(f"{path}.keys", _npy(words))
+        path = _path(folder, "words", part)
         for name, s in zip(STATS, stats, strict=True):
             _store.write(f"{path}.{name}", _npy(s.astype(np.uint32) if s.max() < 2**32 else s))
+        _store.write(f"{path}.keys", _npy(words))
         c, cont = stats[0], stats[1]
-        return pa.Table.from_batches([_batch(_MADE, [("words", part, path, [int(c.sum()), int((c > 0).sum()), int(cont.sum()), *_of_counts(cont)])])])
+        return _batch(_MADE, [("words", [int(c.sum()), int((c > 0).sum()), int(cont.sum()), *_of_counts(cont)])])
 
-    return run
+    return merge
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -196,14 +214,11 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 @dataclass(frozen=True)
 class KneserNey:
-    """A trained model: where its arrays are, and its totals."""
-
-    pairs: tuple[str, ...]
-    pair_parts: tuple[int, ...]
-    n_pair_parts: int
-    words: tuple[str, ...]
-    word_parts: tuple[int, ...]
-    n_word_parts: int
+    """A trained model: the folder of its arrays, by ranges of the hash, and its totals."""
+
+    folder: str
+    pair_parts: int
+    word_parts: int
     tokens: int
     vocabulary: int
     continuations: int
@@ -213,18 +228,23 @@ class KneserNey:
 
 
 @lru_cache(maxsize=4096)
-def _map(path: str) -> np.ndarray:
-    return _store.mapped(path)
+def _map(path: str) -> np.ndarray | None:
+    """The array of a file, mapped; None for a range that nothing fell into."""
+    try:
+        return _store.mapped(path)
+    except FileNotFoundError:
+        return None
 
 
-def _lookup(keys: np.ndarray, parts: int, files: dict[int, str], names: tuple[str, ...]) -> list[np.ndarray]:
+def _lookup(keys: np.ndarray, folder: str, kind: str, parts: int, names: tuple[str, ...]) -> list[np.ndarray]:
     """The named values of ascending keys; 0 where a key is not stored."""
     out = [np.zeros(len(keys), np.int64) for _ in names]
     bounds = np.searchsorted(range_of(keys, parts), np.arange(parts + 1))
-    for k, path in files.items():
-        if bounds[k] == bounds[k + 1]:
-            continue
+    for k in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+        path = _path(folder, kind, k)
         q, stored = keys[bounds[k] : bounds[k + 1]], _map(f"{path}.keys")
+        if stored is None:
+            continue
         at = np.minimum(np.searchsorted(stored, q), len(stored) - 1)
         hit = np.flatnonzero(stored[at] == q)
         for o, name in zip(out, names, strict=True):
@@ -240,14 +260,14 @@ def score_texts(model: KneserNey, texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """n_tokens, n_known, base_score and score of each text."""
     prev, cur, n = token_pairs(texts)
     words, where = np.unique(np.concatenate([cur, prev]), return_inverse=True)
-    c, cont, n1, n2, n3 = _lookup(words, model.n_word_parts, dict(zip(model.word_parts, model.words, strict=True)), STATS)
+    c, cont, n1, n2, n3 = _lookup(words, model.folder, "words", model.word_parts, STATS)
     total = c.copy()  # every word is followed by something; the begin stands before the texts only
     total[words == BEGIN] = c[words == END].max(initial=0)
     at_cur, at_prev = where[: len(cur)], where[len(cur) :]
     keys = pair_keys(prev, cur)
     order = np.argsort(keys)
     pair = np.empty(len(keys), np.int64)
-    pair[order] = _lookup(keys[order], model.n_pair_parts, dict(zip(model.pair_parts, model.pairs, strict=True)), ("counts",))[0]
+    pair[order] = _lookup(keys[order], model.folder, "pairs", model.pair_parts, ("counts",))[0]
     flat = 1.0 / (model.vocabulary + 1)
     if model.continuations:
         left = sum(d * k for d, k in zip(model.word_d, model.word_counts, strict=True)) / model.continuations
@@ -271,20 +291,19 @@ def train(docs: DataFrame, *, text: str = "text", chunk_tokens: int = 2_500_000,
     made = (
         docs.select(F.col(text).cast("binary").alias("t"))
         .mapInArrow(_count(parts, chunk_tokens), "part int, block binary")
-        .repartition(parts, "part")
-        .groupBy("part")
-        .applyInArrow(_merge_pairs(folder, word_parts), "part int, block binary")
-        .repartition(word_parts + 1, "part")
-        .groupBy("part")
-        .applyInArrow(_merge_words(folder), "kind string, part int, path string, totals array<bigint>")
-        .collect()  # a row for each file: paths and totals
+        .repartitionById(parts, "part")
+        .mapInArrow(_by_part(_merge_pairs(folder, word_parts)), "part int, block binary")
+        .repartitionById(word_parts + 1, "part")
+        .mapInArrow(_by_part(_merge_words(folder, word_parts)), "kind string, totals array<bigint>")
+        .groupBy("kind")
+        .agg(F.array(*(F.sum(F.col("totals")[k]) for k in range(7))).alias("totals"))
+        .collect()
     )
-    pairs, words = (sorted((r["part"], r["path"], r["totals"]) for r in made if r["kind"] == k) for k in ("pairs", "words"))
-    of_pairs = [sum(t[k] for *_, t in pairs) for k in range(4)]
-    tokens, vocabulary, continuations, *of_words = (sum(t[k] for *_, t in words) for k in range(7))
+    totals = {r["kind"]: r["totals"] for r in made}
+    of_pairs = totals.get("pairs", [0] * 7)[:4]
+    tokens, vocabulary, continuations, *of_words = totals.get("words", [0] * 7)
     return KneserNey(
-        tuple(p for _, p, _ in pairs), tuple(k for k, *_ in pairs), parts, tuple(p for _, p, _ in words), tuple(k for k, *_ in words), word_parts,
-        tokens, vocabulary, continuations, discounts(*of_pairs), discounts(*of_words),
+        folder, parts, word_parts, tokens, vocabulary, continuations, discounts(*of_pairs), discounts(*of_words),
         (of_words[0], of_words[1], vocabulary - of_words[0] - of_words[1]),
     )
 
