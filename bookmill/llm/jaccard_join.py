@@ -87,7 +87,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterato
     """Batch, range of its rows, and the token sets of their texts."""
     for b in batches:
         texts = [x or b"" for x in b.column(column).to_pylist()]
-        for i, j in slices(texts, 1 << 22):
+        for i, j in slices(texts, 1 << 21):
             yield b, i, j, *token_sets(texts[i:j], size)
 
 
@@ -572,7 +572,7 @@ def _sets(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame, int]:
         seed += 1
 
 
-def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, part_tokens: int = 2_000_000, chunk_tokens: int = 1_500_000, group_rows: int = 512, hot_least: int = 1024, hot_times: int = 8) -> DataFrame:
+def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, part_tokens: int = 2_000_000, chunk_tokens: int = 1_000_000, group_rows: int = 512, hot_least: int = 1024, hot_times: int = 8) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     part_tokens: tokens to a range; chunk_tokens: tokens sorted in memory at once; a token is frequent
