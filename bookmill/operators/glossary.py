@@ -6,43 +6,105 @@ evidence_refs, notes); pos is list order, which breaks ties. Chunks are rows (bo
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import is_valid_source, make_term_id, normalize_dedup, strip, surface_forms, surface_in_text, tokenize
+from ..functions.text import is_valid_source, make_term_id, normalize_dedup, strip, surface_forms, tokenize
 
 # The values that a term's fields may take, and the order of confidence.
 CATEGORIES = ("person", "place", "org", "term", "other")
 GENDERS = ("male", "female", "neutral", "unknown")
 CONFIDENCE = {"high": 3, "medium": 2, "low": 1}
-_SENT = 8_000_000  # bytes of surfaces that may be broadcast
-_BOUNDARY = r"[^A-Za-zА-Яа-я0-9]+"
-
-
-def terms_in_chunk(terms: DataFrame, chunks: DataFrame) -> DataFrame:
+#: Bytes of a dictionary that may be sent to all workers; a larger one is joined to the chunks by book.
+SENT_BYTES = 8_000_000
+#: Around a surface of three characters or more, none of these may stand.
+_WORDLY = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") | {chr(c) for c in range(ord("А"), ord("я") + 1)}
+
+
+class SurfaceMatcher:
+    """Finds the surfaces of a dictionary in lower-cased texts, all in one pass: an automaton of the surfaces."""
+
+    def __init__(self, pairs: Iterable[tuple[int, str]]):
+        by_surface: dict[str, list[int]] = {}
+        for pos, surface in pairs:
+            by_surface.setdefault(surface, []).append(pos)
+        self.automaton = ahocorasick.Automaton()
+        for surface, positions in by_surface.items():
+            self.automaton.add_word(surface, (surface, positions))
+        if by_surface:
+            self.automaton.make_automaton()
+
+    def terms_in(self, low: str) -> set[int]:
+        """Positions of the terms that occur: anywhere if a surface has at most two characters, else as whole words."""
+        found: set[int] = set()
+        seen: set[str] = set()
+        for last, (surface, positions) in self.automaton.iter(low) if len(self.automaton) else ():
+            if surface in seen:
+                continue
+            before, after = last - len(surface), last + 1
+            if len(surface) > 2 and ((before >= 0 and low[before] in _WORDLY) or (after < len(low) and low[after] in _WORDLY)):
+                continue
+            seen.add(surface)
+            found.update(positions)
+        return found
+
+
+_HIT = pa.schema([("book_id", pa.string()), ("chunk_no", pa.int64()), ("pos", pa.int64())])
+
+
+def _hits(matcher_of: Callable[[str, object], SurfaceMatcher]):
+    """Over rows (book_id, chunk_no, low, further columns that matcher_of may look at)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for k, (book, chunk, low) in enumerate(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)):
+                if low is not None and book is not None:
+                    rows += [(book, chunk, pos) for pos in matcher_of(book, lambda k=k, b=b: b.column(3)[k].as_py()).terms_in(low)]
+            yield pa.RecordBatch.from_pydict({n: [r[i] for r in rows] for i, n in enumerate(_HIT.names)}, schema=_HIT)
+
+    return run
+
+
+def terms_in_chunk(terms: DataFrame, chunks: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
     """(book_id, chunk_no, pos): which terms occur in which chunks, by name or alias.
 
-    Texts are cut into words and runs of up to as many words as the longest surface of plain words; these join the
-    surfaces by equality. A surface of one or two characters, or with other characters within, is
-    searched for in the chunks of its book.
+    Each text is read once, by an automaton of all surfaces of its book. Dictionaries of up to `sent_bytes` together are
+    broadcast, and texts stay where they are; larger ones are joined to the chunks, one list for each book.
     """
-    surfaces = terms.select("book_id", "pos", F.explode(surface_forms(F.col("source"), F.col("aliases"))).alias("surface")).distinct()
-    plain = F.col("surface").rlike(r"^[a-zа-я0-9]+( [a-zа-я0-9]+)*$") & (F.length("surface") > 2)
-    low = chunks.select("book_id", "chunk_no", F.lower("text").alias("low"))
-    width, size = surfaces.agg(F.max(F.when(plain, F.size(F.split("surface", " ")))), F.sum(F.length("surface") + 64)).first()
-    width = width or 1
-    if (size or 0) <= _SENT:  # sent to the texts, so that neither they nor their words are dealt out
-        surfaces = F.broadcast(surfaces)
-    # a gap longer than one space is kept as a word of its own, so that a run joins only what single spaces join
-    pieces = F.filter(F.split(F.regexp_replace("low", rf"({_BOUNDARY})", "\x01$1\x01"), "\x01"), lambda t: t != "")
-    spaced = F.transform(pieces, lambda t: F.when(t.rlike(rf"^{_BOUNDARY}$") & (t != " "), F.lit("\x02")).otherwise(t))
-    words = F.filter(spaced, lambda t: t != " ")
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(width)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1))), lambda i: F.array_join(F.slice("w", i, n), " "))))
-    tokens = low.withColumn("w", words).select("book_id", "chunk_no", F.explode(F.array_distinct(grams)).alias("surface"))
-    equal = tokens.join(surfaces.where(plain), ["book_id", "surface"]).select("book_id", "chunk_no", "pos")
-    other = low.join(surfaces.where(~plain), "book_id").where(surface_in_text(F.col("surface"), F.col("low"))).select("book_id", "chunk_no", "pos")
-    return equal.unionByName(other).distinct()
+    spark = chunks.sparkSession
+    surfaces = terms.select(F.col("book_id").cast("string").alias("book_id"), F.col("pos").cast("long").alias("pos"), F.explode(surface_forms(F.col("source"), F.col("aliases"))).alias("surface")).distinct()
+    low = chunks.select(F.col("book_id").cast("string").alias("book_id"), F.col("chunk_no").cast("long").alias("chunk_no"), F.lower("text").alias("low"))
+    schema = "book_id string, chunk_no bigint, pos bigint"
+    size = surfaces.agg(F.sum(F.octet_length("surface") + F.octet_length("book_id") + 32)).first()[0] or 0
+    if size <= sent_bytes:
+        by_book: dict[str, list[tuple[int, str]]] = {}
+        for r in surfaces.collect():  # at most sent_bytes
+            by_book.setdefault(r["book_id"], []).append((r["pos"], r["surface"]))
+        sent = spark.sparkContext.broadcast(by_book)
+
+        def sent_matcher(book: str, _: object, held: dict[str, SurfaceMatcher] = {}) -> SurfaceMatcher:  # noqa: B006
+            if book not in held:
+                held[book] = SurfaceMatcher(sent.value.get(book, ()))
+            return held[book]
+
+        found = low.mapInArrow(_hits(sent_matcher), schema)
+    else:
+        lists = surfaces.groupBy("book_id").agg(F.collect_list(F.struct("pos", "surface")).alias("surfaces"))
+
+        def joined_matcher(book: str, own: Callable[[], list[dict]], held: dict[str, SurfaceMatcher] = {}) -> SurfaceMatcher:  # noqa: B006
+            if book not in held:
+                held.clear()  # rows of a book come together
+                held[book] = SurfaceMatcher((x["pos"], x["surface"]) for x in own())
+            return held[book]
+
+        found = low.join(lists, "book_id").mapInArrow(_hits(joined_matcher), schema)
+    pos_type, chunk_type, book_type = terms.schema["pos"].dataType, chunks.schema["chunk_no"].dataType, chunks.schema["book_id"].dataType
+    return found.select(F.col("book_id").cast(book_type), F.col("chunk_no").cast(chunk_type), F.col("pos").cast(pos_type))
 
 
 def term_frequency(terms: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -78,13 +140,29 @@ def term_table(relevant: DataFrame) -> DataFrame:
 
 
 def ensure_term_ids(terms: DataFrame) -> DataFrame:
-    """Non-empty ids kept at their first place; others made from the name, numbered _2, _3 where taken."""
-    w = Window.partitionBy("book_id", "want").orderBy("kept_first", "pos")
-    again = F.row_number().over(Window.partitionBy("book_id", "id").orderBy("pos"))
-    first = terms.withColumn("keeps", (F.coalesce("id", F.lit("")) != "") & (again == 1))
-    want = F.when(F.col("keeps"), F.col("id")).otherwise(make_term_id(F.coalesce("source", F.lit(""))))
-    numbered = first.withColumn("want", want).withColumn("kept_first", F.when(F.col("keeps"), 0).otherwise(1)).withColumn("n", F.row_number().over(w))
-    return numbered.withColumn("id", F.when(F.col("n") == 1, F.col("want")).otherwise(F.concat("want", F.lit("_"), F.col("n").cast("string")))).select(*terms.columns)
+    """Ids unique within a book, in list order: a non-blank id stays if no earlier term has it; other terms get one made from
+
+    the name, numbered _2, _3 and so on to the first that no earlier term has. A book's dictionary is folded in one task.
+    """
+    rows = terms.select("book_id", "pos", F.coalesce("id", F.lit("")).alias("id"), make_term_id(F.coalesce("source", F.lit(""))).alias("made"))
+
+    def fold(t: pa.Table) -> pa.Table:
+        t = t.sort_by("pos")
+        ids, taken, number = [], set(), {}
+        for own, base in zip(t.column("id").to_pylist(), t.column("made").to_pylist(), strict=True):
+            if not own.strip() or own in taken:
+                own, n = base, number.get(base, 1)  # numbers up to n were taken when last asked for
+                while own in taken:
+                    n += 1
+                    own = f"{base}_{n}"
+                number[base] = max(n, 1)
+            taken.add(own)
+            ids.append(own)
+        return pa.table({"book_id": t.column("book_id"), "pos": t.column("pos"), "new_id": pa.array(ids, pa.string())})
+
+    kinds = {f.name: f.dataType.simpleString() for f in terms.schema}
+    made = rows.groupBy("book_id").applyInArrow(fold, f"book_id {kinds['book_id']}, pos {kinds['pos']}, new_id string")
+    return terms.join(made, ["book_id", "pos"]).withColumn("id", F.col("new_id")).select(*terms.columns)
 
 
 def validate_glossary(terms: DataFrame) -> DataFrame:
