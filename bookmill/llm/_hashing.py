@@ -77,11 +77,11 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np
     return mix(out), n
 
 
-def slices(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
-    """Consecutive ranges of at most 2^15 texts and `limit` bytes together; a longer text stands alone."""
+def slices(texts: list[bytes], limit: int, most: int = 1 << 15) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of at most `most` texts and `limit` bytes together; a longer text stands alone."""
     start = total = 0
     for k, t in enumerate(texts):
-        if total and (total + len(t) > limit or k - start >= 1 << 15):
+        if k > start and (total + len(t) > limit or k - start >= most):
             yield start, k
             start, total = k, 0
         total += len(t) + 1

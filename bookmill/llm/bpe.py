@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ._hashing import U, mix, slices
+from ._worker import arrow_map
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -190,7 +191,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text"
             for i, j in slices(texts, 1 << 21):
                 yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in range(k)), pa.array(encoder.encode(texts[i:j]), pa.binary())], names=[*keep, "ids"])
 
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, f"{_keep(docs, list(keep))}, ids binary")
+    return docs.select(*keep, F.col(text).alias("__text")).transform(arrow_map, run, f"{_keep(docs, list(keep))}, ids binary")
 
 
 def decode(encoded: DataFrame, ranks_path: str, *, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -208,4 +209,4 @@ def decode(encoded: DataFrame, ranks_path: str, *, ids: str = "ids", into: str =
             whole = [b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist())) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(whole, pa.binary())], names=[*b.schema.names, into])
 
-    return encoded.mapInArrow(run, f"{_keep(encoded, encoded.columns)}, `{into}` binary")
+    return encoded.transform(arrow_map, run, f"{_keep(encoded, encoded.columns)}, `{into}` binary")

@@ -39,6 +39,7 @@ from . import _store
 from ._components import components
 from ._hashing import U, mix, shingle_hashes, slices, word_hashes
 from .lm_scoring import _batch, _planes, _unplanes, range_of
+from ._worker import arrow_map
 
 TOKEN_BITS = 48
 #: Counters of the sketch, and how many travel together; a broadcast of one byte for each.
@@ -562,7 +563,7 @@ def _sets(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame, int]:
     """Each text's size and class (and the counters), the classes with a document of each, and the seed of their hash."""
     seed = 0
     while True:
-        sets = _store.table(rows.mapInArrow(_describe(size, seed), "doc_id bigint, n bigint, cls bigint, other bigint, slice int, lane int, counters binary"), "sets")
+        sets = _store.table(rows.transform(arrow_map, _describe(size, seed), "doc_id bigint, n bigint, cls bigint, other bigint, slice int, lane int, counters binary"), "sets")
         found = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("other").alias("low"), F.max("other").alias("high"))
         classes = _store.table(found, "classes")
         if classes.where("low != high").isEmpty():
@@ -586,20 +587,20 @@ def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: i
     levels = spark.sparkContext.broadcast(_levels(sets, hot_least + hot_times * total / (1 << COUNTER_BITS)))
     points = _store.table(
         rows.select("t")
-        .mapInArrow(_deal_tokens(size, seed, levels, parts, chunk_tokens), BLOCKS)
+        .transform(arrow_map, _deal_tokens(size, seed, levels, parts, chunk_tokens), BLOCKS)
         .repartitionById(parts, "part")
-        .mapInArrow(_count_tokens(parts), BLOCKS)
+        .transform(arrow_map, _count_tokens(parts), BLOCKS)
         .repartitionById(parts, "part")
-        .mapInArrow(_make_points(percent), POINTS),
+        .transform(arrow_map, _make_points(percent), POINTS),
         "points",
     )
     levels.destroy()
     postings = points.select("node", F.explode("prefix").alias("token"))
     many = postings.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
     postings = _store.table(postings.join(many, "token").select("token", "node", "m"), "postings")
-    found = _store.table(_largest_groups(postings, points, group_rows).mapInArrow(_resolved(percent), "a bigint, b bigint"), "links")
+    found = _store.table(_largest_groups(postings, points, group_rows).transform(arrow_map, _resolved(percent), "a bigint, b bigint"), "links")
     rooted = _rooted(postings.select("token", "node"), components(found))
-    likely = _store.table(_mixed_groups(rooted, points, group_rows).mapInArrow(_searched(percent), "a bigint, b bigint").distinct(), "likely")
+    likely = _store.table(_mixed_groups(rooted, points, group_rows).transform(arrow_map, _searched(percent), "a bigint, b bigint").distinct(), "likely")
     comps = _store.table(components(found.unionByName(_verified(likely, points, percent))), "components")
     for done in (points, postings, found, likely):
         _store.drop(done)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ._hashing import U, mix, slices
 from .lm_scoring import remainder
+from ._worker import arrow_map
 
 BUCKETS = 1 << 16
 UNDETERMINED = "und"
@@ -158,7 +159,7 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: st
     if languages:
         fraction = F.create_map(*(F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, per_language / n))))
         sample = rows.where(F.pmod(F.xxhash64("i"), F.lit(1 << 20)) < fraction[F.col("lang")] * float(1 << 20))
-        for r in sample.select("lang", "t").mapInArrow(_count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():
+        for r in sample.select("lang", "t").transform(arrow_map, _count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():
             counts[languages.index(r["lang"]), r["bucket"]] = r["n"]  # at most BUCKETS rows a language
     return Model(languages, counts)
 
@@ -194,7 +195,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str
 
     own = [f"`{language}` string", f"`{score}` double", f"`{languages}` array<string>", f"`{shares}` array<double>"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *own])
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text).alias("__text")).transform(arrow_map, run, schema)
 
 
 def identify(docs: DataFrame, *, modulus: int = 4, held: int = 2) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import _store
 from ._hashing import U, mix, slices, word_hashes
+from ._worker import arrow_map
 
 #: Begin and end of a text; the begin is a context only.
 BEGIN, END = mix(np.array([1, 2], np.uint64))
@@ -290,11 +291,11 @@ def train(docs: DataFrame, *, text: str = "text", chunk_tokens: int = 2_500_000,
     folder = _store.new_dir(spark, "kneser-ney")
     made = (
         docs.select(F.col(text).cast("binary").alias("t"))
-        .mapInArrow(_count(parts, chunk_tokens), "part int, block binary")
+        .transform(arrow_map, _count(parts, chunk_tokens), "part int, block binary")
         .repartitionById(parts, "part")
-        .mapInArrow(_by_part(_merge_pairs(folder, word_parts)), "part int, block binary")
+        .transform(arrow_map, _by_part(_merge_pairs(folder, word_parts)), "part int, block binary")
         .repartitionById(word_parts + 1, "part")
-        .mapInArrow(_by_part(_merge_words(folder, word_parts)), "kind string, totals array<bigint>")
+        .transform(arrow_map, _by_part(_merge_words(folder, word_parts)), "kind string, totals array<bigint>")
         .groupBy("kind")
         .agg(F.array(*(F.sum(F.col("totals")[k]) for k in range(7))).alias("totals"))
         .collect()
@@ -323,7 +324,7 @@ def score(docs: DataFrame, model: KneserNey, *, text: str = "text", doc_id: str
                     [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), *map(pa.array, (n, known, np.full(j - i, model.tokens), base, own))], schema=_SCORES
                 )
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text).cast("binary").alias("t")).mapInArrow(
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text).cast("binary").alias("t")).transform(arrow_map, 
         run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from . import _store
 from ._hashing import slices
+from ._worker import arrow_map
 
 Pattern = tuple[tuple[int, int], ...]
 
@@ -238,7 +239,7 @@ def pack(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
-    pieces = _store.table(rows.mapInArrow(_encode(tokenizer, capacity, end, memo_words), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"), "pieces")
+    pieces = _store.table(rows.transform(arrow_map, _encode(tokenizer, capacity, end, memo_words), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"), "pieces")
     count = np.zeros(capacity + 1, np.int64)
     for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():  # at most capacity rows
         count[r["length"]] = r["n"]
@@ -262,4 +263,4 @@ def pack(
                 number[own] += first.value[size][part[own]]
             yield from _place(table)(iter([pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(number)], names=[*_PIECES.names, "number"])]))
 
-    return numbered.mapInArrow(shift, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
+    return numbered.transform(arrow_map, shift, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ._hashing import U, mix, slices, word_hashes
+from ._worker import arrow_map
 
 SHAPES, WORDS, RATES = 1024, 1024, 6
 META = 256
@@ -187,7 +188,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         t = [x or b"" for x in b.column(2).to_pylist()]
         meta = [b.column(k).to_pylist() for k in (3, 4, 5)]
-        for i, j in slices(t, 1 << 19):
+        for i, j in slices(t, 1 << 19, 512):
             views = (text_features(t[i:j]).astype(np.float16), meta_features(*(m[i:j] for m in meta)).astype(np.float16))
             yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), *(pa.array([r.tobytes() for r in v], pa.binary()) for v in views)], schema=_FEATURES)
 
@@ -203,7 +204,7 @@ def _surest_in_task(models: list[Linear], wanted: dict[int, int], taken: list[np
         for b in batches:
             h, t = b.column(0).to_numpy(), [x or b"" for x in b.column(1).to_pylist()]
             meta = [b.column(k).to_pylist() for k in (2, 3, 4)]
-            for i, j in slices(t, 1 << 20):
+            for i, j in slices(t, 1 << 20, 512):
                 odds = models[0].raw(text_features(t[i:j])), models[1].raw(meta_features(*(m[i:j] for m in meta)))
                 for (v, y), (score, ids) in best.items():
                     own = sure(odds[v], y) & ~np.isin(h[i:j], taken[v])
@@ -237,13 +238,13 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled: int = 3000, pseudo: i
     known = _sampled(labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y")).where("__id IS NOT NULL AND __y IS NOT NULL"), labelled, "__id")
     rows = docs.select(F.col("doc_id").alias("__id"), *_columns(docs)).withColumn("h", F.xxhash64("t", "s", "l", "n"))
     own = rows.join(F.broadcast(known), "__id").select("h", F.col("__y").alias("y"), "t", "s", "l", "n")  # at most about `labelled` ids
-    found = sorted(own.dropDuplicates(["h", "y"]).mapInArrow(_features, "h bigint, y int, text binary, meta binary").collect(), key=lambda r: (r["h"], r["y"]))
+    found = sorted(own.dropDuplicates(["h", "y"]).transform(arrow_map, _features, "h bigint, y int, text binary, meta binary").collect(), key=lambda r: (r["h"], r["y"]))
     y = np.array([r["y"] for r in found], float)
     taken = [np.array([r["h"] for r in found], np.int64)] * 2
 
     def surest(models: list[Linear], prior: float) -> list[tuple[np.ndarray, np.ndarray]]:
         wanted = shares_of(pseudo, prior)
-        sent = rows.select("h", "t", "s", "l", "n").mapInArrow(_surest_in_task(models, wanted, taken), "view int, label int, sureness double, h bigint").distinct()
+        sent = rows.select("h", "t", "s", "l", "n").transform(arrow_map, _surest_in_task(models, wanted, taken), "view int, label int, sureness double, h bigint").distinct()
         enough = F.when(F.col("label") == 1, wanted[1]).otherwise(wanted[0])
         order = (F.desc("sureness"), "h")
         for by in ([F.pmod("h", F.lit(64))], []):  # of 64 parts each, then of all
@@ -252,7 +253,7 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled: int = 3000, pseudo: i
         chosen = sorted(sent.select("view", "label", "h").collect())  # at most 2 * pseudo
         ids = docs.sparkSession.createDataFrame([(h,) for h in sorted({h for *_, h in chosen})], "h bigint")
         texts = rows.join(F.broadcast(ids), "h").dropDuplicates(["h"]).select("h", F.lit(0).alias("y"), "t", "s", "l", "n")
-        of = {r["h"]: r for r in texts.mapInArrow(_features, "h bigint, y int, text binary, meta binary").collect()}
+        of = {r["h"]: r for r in texts.transform(arrow_map, _features, "h bigint, y int, text binary, meta binary").collect()}
         new = []
         for learner, teacher in ((0, 1), (1, 0)):
             own = [(label, h) for view, label, h in chosen if view == teacher]
@@ -273,7 +274,7 @@ def score(docs: DataFrame, model: Classifier, *, keep: list[str], into: str = "s
         for b in batches:
             t, *meta = (b.column(len(keep) + k).to_pylist() for k in range(4))
             t = [x or b"" for x in t]
-            for i, j in slices(t, 1 << 20):
+            for i, j in slices(t, 1 << 20, 512):
                 if m.text is None or m.meta is None:
                     found = [np.full(j - i, m.prior)] * 3
                 else:
@@ -282,7 +283,7 @@ def score(docs: DataFrame, model: Classifier, *, keep: list[str], into: str = "s
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(i, j - i) for k in range(len(keep))), *(pa.array(np.asarray(f, np.float64)) for f in found)], names=names)
 
     schema = ", ".join([*(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep), "text_score double", "meta_score double", f"`{into}` double"])
-    return docs.select(*(F.col(k).alias(f"__{i}") for i, k in enumerate(keep)), *_columns(docs)).mapInArrow(run, schema)
+    return docs.select(*(F.col(k).alias(f"__{i}") for i, k in enumerate(keep)), *_columns(docs)).transform(arrow_map, run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3) -> DataFrame:

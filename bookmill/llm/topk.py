@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import _store
+from ._worker import arrow_map
 
 _VECTORS = pa.schema([("vec_id", pa.int64()), ("query", pa.bool_()), ("norm", pa.float64()), ("vec", pa.binary())])
 
@@ -210,7 +211,7 @@ def search(
     spark = vectors.sparkSession
     schema = "vec_id bigint, query boolean, norm double, vec binary"
     rows = vectors.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).select(F.col(vec_id).cast("long").alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("query"), F.col(embedding).alias("e"))
-    rows = _store.table(rows.mapInArrow(_quantise(scale), schema).dropDuplicates(["vec_id", "vec"]), "vectors")
+    rows = _store.table(rows.transform(arrow_map, _quantise(scale), schema).dropDuplicates(["vec_id", "vec"]), "vectors")
     cuts = min(most_ranges, max(1, -(-rows.count() // bucket_rows)))
     inner = rows.agg(F.percentile_approx("norm", [j / cuts for j in range(1, cuts)] or [0.0], 100_000)).first()[0] or []
     bounds = np.unique(np.array(inner))
@@ -242,7 +243,7 @@ def search(
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     asked = aimed.join(copies, "range").withColumn("copy", F.pmod(F.xxhash64("q_ids"), F.col("copies"))).withColumn("part", every("parts"))
     held = buckets.join(copies.select("range", "copies"), "range").withColumn("copy", every("copies")).select("range", "part", "copy", "ids", "vecs")
-    found = asked.select("range", "part", "copy", "q_ids", "q_vecs", "theta").join(held, ["range", "part", "copy"]).mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")
+    found = asked.select("range", "part", "copy", "q_ids", "q_vecs", "theta").join(held, ["range", "part", "copy"]).transform(arrow_map, _search(k), "query_id bigint, vec_id bigint, score bigint")
     single = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return single.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ._hashing import U, mix, slices
+from ._worker import arrow_map
 
 BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
@@ -156,4 +157,4 @@ def judge(pages: DataFrame, *, url: str = "url", keep: Sequence[str] = ("page_id
                 )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])
-    return rows.mapInArrow(run, f"{kinds}, verdict string, p_block double")
+    return rows.transform(arrow_map, run, f"{kinds}, verdict string, p_block double")

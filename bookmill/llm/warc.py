@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import _store
+from ._worker import arrow_map
 
 _SKIPPABLE = 0x184D2A5D
 _DATE = "1970-01-01T00:00:00Z"
@@ -131,7 +132,7 @@ def write_archives(
     keyed = rows.withColumn("key", F.sha2("payload", 256))
     again = revisits(keyed.select("page_id", "key", F.octet_length("payload").alias("size")), least=least)
     full = keyed.join(again, ["page_id", "key"], "left").select("page_id", "url", "payload", "refers_to")
-    return _store.table(full.mapInArrow(_write(_store.new_dir(spark, "warc"), dictionary, level, archive_bytes), "path string, records bigint, bytes bigint"), "manifest")
+    return _store.table(full.transform(arrow_map, _write(_store.new_dir(spark, "warc"), dictionary, level, archive_bytes), "path string, records bigint, bytes bigint"), "manifest")
 
 
 class ArchiveReader:
@@ -223,4 +224,4 @@ def _read(with_payload: bool, rows: int = 256):
 
 def read_archives(spark: SparkSession, manifest: DataFrame, *, payload: bool = True) -> DataFrame:
     """A row for each page record of the archives, its digest verified: page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload (of responses)."""
-    return manifest.select("path").mapInArrow(_read(payload), "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary")
+    return manifest.select("path").transform(arrow_map, _read(payload), "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary")
