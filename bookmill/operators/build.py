@@ -15,7 +15,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from ..functions.text import guess_content_type
+from ..config import Quality
+from ..functions.text import guess_content_type, strip
+from .contracts import validate_manifest
+from .sections import merge_chunks_text
 
 BLOCK_SCHEMA = "book_id string, block_no int, kind string, level int, text string, alt string, src string, footnote_id string"
 _EMPTY = {"level": 0, "text": "", "alt": "", "src": "", "footnote_id": ""}
@@ -293,3 +296,27 @@ def fb2_faults(text: str) -> list[str]:
 def fb2_validate(s: pd.Series) -> pd.Series:
     """Faults of FictionBook texts (see fb2_faults); none for a valid one. Never stops a build."""
     return s.map(lambda x: fb2_faults(x or ""))
+
+
+def build_books(manifest: DataFrame, sources: DataFrame, outputs: DataFrame, headers: DataFrame, images: DataFrame | None = None, q: Quality = Quality(), *, fb2: bool = True) -> DataFrame:
+    """Validation, merging and FB2 of whole books: book_id, findings, n_empty, md, fb2, faults.
+
+    Nothing stops the build: findings (of the manifest, as `chunk: finding`), blank chunks and faults of the FB2 are told.
+    headers: see build_fb2. Without fb2, that and its faults are null. To files: sinks.sink_books.
+    """
+    text_id = lambda df: df.withColumn("book_id", F.col("book_id").cast("string"))
+    manifest, sources, outputs, headers = map(text_id, (manifest, sources, outputs, headers))
+    found = validate_manifest(manifest, sources, outputs, q)
+    told = F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", "finding"))), lambda x: F.format_string("chunk%04d: %s", x.chunk_no, x.finding))
+    empty = outputs.where(strip(F.coalesce("text", F.lit(""))) == "").groupBy("book_id").agg(F.count("*").alias("n_empty"))
+    merged = merge_chunks_text(outputs.where("text IS NOT NULL")).select("book_id", F.col("text").alias("md"))
+    books = headers.select("book_id").join(found.groupBy("book_id").agg(told.alias("findings")), "book_id", "left").join(empty, "book_id", "left").join(merged, "book_id", "left")
+    none = F.array().cast("array<string>")
+    books = books.select("book_id", F.coalesce("findings", none).alias("findings"), F.coalesce("n_empty", F.lit(0)).alias("n_empty"), F.coalesce("md", F.lit("")).alias("md"))
+    if not fb2:
+        return books.withColumns({"fb2": F.lit(None).cast("string"), "faults": F.lit(None).cast("array<string>")})
+    blocks = md_blocks(books.select("book_id", F.col("md").alias("text")))
+    if images is not None:
+        images = resolve_images(image_refs(blocks), text_id(images))
+    made = build_fb2(blocks, headers, images)
+    return books.join(made, "book_id").withColumn("faults", fb2_validate("fb2"))

@@ -53,7 +53,7 @@ def section_ratio(pairs: DataFrame, q: Quality = Quality()) -> DataFrame:
 
 
 def median_ratio(pairs: DataFrame) -> DataFrame:
-    """Per book the median of output to backup lengths."""
+    """Per book the median of output to backup lengths, exact: different ratios of one book are counted in one task."""
     r = ratio(F.length("out"), F.nullif(F.length("src"), F.lit(0)))
     return pairs.groupBy("book_id").agg(F.round(F.median(r), 6).alias("median_ratio"))
 
@@ -99,12 +99,20 @@ def verify_polish(pairs: DataFrame, p: Polish = Polish()) -> DataFrame:
     return rated.select("book_id", "chunk_no", reasons.alias("reasons"))
 
 
-def issue_rollup(issues: DataFrame, show: int = 10) -> DataFrame:
-    """Per check: how many issues, the first few by document and line, and how many more."""
-    w = Window.partitionBy("check_name").orderBy("doc_id", "line", "message")
-    ranked = issues.withColumn("n", F.row_number().over(w))
-    first = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("n") <= show, F.struct("n", "message")))), lambda x: x.message), "; ")
-    return ranked.groupBy("check_name").agg(F.count("*").alias("n_issues"), first.alias("first_messages"), F.greatest(F.count("*") - show, F.lit(0)).alias("n_more"))
+def issue_rollup(issues: DataFrame, show: int = 10, lanes: int = 64) -> DataFrame:
+    """Per check: how many issues, the first few by document and line, and how many more.
+
+    A check may have most of all issues, so the first few are found in lanes by document and then among those.
+    """
+    place, lane = ("doc_id", "line", "message"), F.pmod(F.xxhash64("doc_id"), F.lit(lanes))
+    first = issues.select("check_name", *place, lane.alias("lane"))
+    for by in (("check_name", "lane"), ("check_name",)):
+        first = first.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy(*place))).where(F.col("n") <= show)
+    messages = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "message"))), lambda x: x.message), "; ")
+    shown = first.groupBy("check_name").agg(messages.alias("first_messages"))
+    counts = issues.groupBy("check_name").agg(F.count("*").alias("n_issues"))
+    more = F.greatest(F.col("n_issues") - show, F.lit(0)).alias("n_more")
+    return counts.join(shown, "check_name").select("check_name", "n_issues", "first_messages", more)
 
 
 def qa_severity_counts(issues: DataFrame) -> DataFrame:

@@ -234,17 +234,32 @@ def _pair_reason() -> Column:
 def find_duplicates(terms: DataFrame) -> DataFrame:
     """Pairs of terms of a book that may be one: a_pos, b_pos, reason (the first rule that holds), same_target.
 
-    Pairs meet by equal keys: normal form, its stems of up to three characters less, tokens, surfaces.
+    Pairs meet by equal keys: normal form, its stems of up to three characters less, surfaces. Names of which one holds all
+    words of the other meet by the rarest word of the shorter, so a word that many names share makes pairs only for names
+    that have no rarer one.
     """
     low = F.lower(strip(F.col("source")))
     norm = normalize_dedup(F.col("source"))
-    rows = terms.select("book_id", "pos", low.alias("low"), norm.alias("norm"), tokenize(F.col("source")).alias("tok"), surface_forms(F.col("source"), F.col("aliases")).alias("surf"), "target")
+    surfaces = surface_forms(F.col("source"), F.col("aliases"))
+    rows = terms.select("book_id", "pos", low.alias("low"), norm.alias("norm"), tokenize(F.col("source")).alias("tok"), surfaces.alias("surf"), "target")
     stems = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.when(F.length("norm") - k > 3, F.concat(F.lit("p:"), F.left(F.col("norm"), F.length("norm") - k))))
-    keys = F.array_distinct(F.array_compact(F.concat(F.array(F.concat(F.lit("n:"), "norm")), stems, F.transform("tok", lambda t: F.concat(F.lit("t:"), t)), F.transform("surf", lambda s: F.concat(F.lit("s:"), s)))))
-    keyed = rows.withColumn("key", F.explode(keys))
-    left, right = (keyed.select("book_id", "key", *(F.col(c).alias(f"{side}_{c}") for c in ("pos", "low", "norm", "tok", "surf", "target"))) for side in ("a", "b"))
-    pairs = left.join(right, ["book_id", "key"]).where("a_pos < b_pos").dropDuplicates(["book_id", "a_pos", "b_pos"]).withColumn("reason", _pair_reason())
-    return pairs.where("reason IS NOT NULL").select("book_id", "a_pos", "b_pos", "reason", F.col("a_target").eqNullSafe(F.col("b_target")).alias("same_target"))
+    named = F.concat(F.array(F.concat(F.lit("n:"), "norm")), stems, F.transform("surf", lambda s: F.concat(F.lit("s:"), s)))
+    keyed = rows.select("book_id", "pos", F.explode(F.array_distinct(F.array_compact(named))).alias("key"))
+    words = rows.select("book_id", "pos", F.explode(F.array_distinct("tok")).alias("key"))
+    often = words.groupBy("book_id", "key").agg(F.count("*").alias("n"))
+    rarest = words.join(often, ["book_id", "key"]).groupBy("book_id", "pos").agg(F.min_by("key", F.struct("n", "key")).alias("key"))
+    met = None
+    for one, other in ((keyed, keyed), (rarest, words)):
+        both = one.withColumnRenamed("pos", "x").join(other.withColumnRenamed("pos", "y"), ["book_id", "key"]).where("x != y")
+        pair = both.select("book_id", F.least("x", "y").alias("a_pos"), F.greatest("x", "y").alias("b_pos"))
+        met = pair if met is None else met.unionByName(pair)
+    pairs = met.distinct()
+    for side in ("a", "b"):
+        own = rows.select("book_id", *(F.col(c).alias(f"{side}_{c}") for c in ("pos", "low", "norm", "tok", "surf", "target")))
+        pairs = pairs.join(own, ["book_id", f"{side}_pos"])
+    pairs = pairs.withColumn("reason", _pair_reason())
+    same = F.col("a_target").eqNullSafe(F.col("b_target")).alias("same_target")
+    return pairs.where("reason IS NOT NULL").select("book_id", "a_pos", "b_pos", "reason", same)
 
 
 # Proposals: rows (book_id, chunk_no, meta) with meta a JSON text of one chunk's findings.

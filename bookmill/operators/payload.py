@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Payload
+from .glossary import parse_metas
 from .sections import neighbour_context
 
 
@@ -61,16 +62,52 @@ def pronoun_payload(terms: DataFrame, metas: DataFrame, outputs: DataFrame, p: P
     return rows.select("book_id", size_switch(whole(F.col("long")), whole(F.col("short")), p.pronoun_threshold).alias("payload"))
 
 
-def post_mortem_payload(manifest: DataFrame, arcs: DataFrame, issues: DataFrame, p: Payload = Payload()) -> DataFrame:
-    """Per book a JSON text of chunks, arcs and issues; long ones with counts of issues."""
-    each = _joined(issues, "chunk_no", F.to_json(F.struct("chunk_no", "severity", "category")), "issues")
-    counts = issues.groupBy("book_id").agg(F.to_json(F.struct(*(F.count_if(F.coalesce("severity", F.lit("medium")) == s).alias(s) for s in ("high", "medium", "low")))).alias("counts"))
-    rows = (
-        manifest.groupBy("book_id").agg(F.count("*").alias("n_chunks")).join(arcs.groupBy("book_id").agg(F.count("*").alias("n_arcs")), "book_id", "left").join(each, "book_id", "left").join(counts, "book_id", "left")
-    )
-    head = F.concat(F.lit('{"chunks":'), F.col("n_chunks").cast("string"), F.lit(',"arcs":'), F.coalesce("n_arcs", F.lit(0)).cast("string"), F.lit(',"issues":'))
-    full, short = F.concat(head, F.coalesce("issues", F.lit("[]")), F.lit("}")), F.concat(head, F.coalesce("counts", F.lit("{}")), F.lit("}"))
-    return rows.select("book_id", size_switch(full, short, p.aggregate_threshold).alias("payload"))
+def _by_chunk(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Per book a JSON object of its chunks' JSON values, in order."""
+    entry = F.concat(F.format_string('"chunk%04d":', "chunk_no"), value)
+    items = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", entry.alias("t")))), lambda x: x.t), ",")
+    return rows.groupBy("book_id").agg(F.concat(F.lit("{"), items, F.lit("}")).alias(name))
+
+
+def issue_counts(issues: DataFrame) -> DataFrame:
+    """Per chunk its issues by severity and by category: book_id, chunk_no, severity_counts, category_counts (JSON). Medium and other where none is given."""
+    key = ["book_id", "chunk_no"]
+    level, category = F.coalesce("severity", F.lit("medium")), F.coalesce("category", F.lit("other"))
+    levels = issues.groupBy(*key).agg(F.to_json(F.struct(*(F.count_if(level == s).alias(s) for s in ("high", "medium", "low")))).alias("severity_counts"))
+    kinds = issues.groupBy(*key, category.alias("c")).agg(F.count("*").alias("n"))
+    kinds = kinds.groupBy(*key).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("c", "n"))))).alias("category_counts"))
+    return levels.join(kinds, key)
+
+
+def post_mortem_payload(
+    manifest: DataFrame, arcs: DataFrame, issues: DataFrame, p: Payload = Payload(), *, metas: DataFrame | None = None, sections: DataFrame | None = None, units: DataFrame | None = None
+) -> DataFrame:
+    """Per book a JSON text of chunks, arcs, issues, sections (book_id, chunk_no, section_title), units (book_id, units as JSON) and metas.
+
+    Long ones hold counts for each chunk instead of its issues and its meta.
+    """
+    books = manifest.groupBy("book_id").agg(F.count("*").alias("n_chunks"))
+    books = books.join(arcs.groupBy("book_id").agg(F.count("*").alias("n_arcs")), "book_id", "left")
+    books = books.join(_joined(issues, "chunk_no", F.to_json(F.struct("chunk_no", "severity", "category")), "issues"), "book_id", "left")
+    counts = F.concat(F.lit('{"severity_counts":'), "severity_counts", F.lit(',"category_counts":'), "category_counts", F.lit("}"))
+    books = books.join(_by_chunk(issue_counts(issues), counts, "few_issues"), "book_id", "left")
+    parts = [("issues", "issues", "few_issues", "[]")]
+    if sections is not None:
+        books = books.join(_by_chunk(sections, F.to_json(F.struct("section_title")), "sections"), "book_id", "left")
+        parts.append(("sections", "sections", "sections", "{}"))
+    if units is not None:
+        books = books.join(units.select("book_id", "units"), "book_id", "left")
+        parts.append(("units", "units", "units", "{}"))
+    if metas is not None:
+        parsed = parse_metas(metas).where(~F.array_contains("errors", "not_json"))
+        fields = [c for c in meta_counts(parsed).columns if c not in ("book_id", "chunk_no")]
+        books = books.join(_by_chunk(parsed, F.col("meta"), "metas"), "book_id", "left")
+        books = books.join(_by_chunk(meta_counts(parsed), F.to_json(F.struct(*fields)), "few_metas"), "book_id", "left")
+        parts.append(("metas", "metas", "few_metas", "{}"))
+    head = [F.lit('{"chunks":'), F.col("n_chunks").cast("string"), F.lit(',"arcs":'), F.coalesce("n_arcs", F.lit(0)).cast("string")]
+    body = lambda k: [x for part in parts for x in (F.lit(f',"{part[0]}":'), F.coalesce(part[k], F.lit(part[3])))]
+    full, short = (F.concat(*head, *body(k), F.lit("}")) for k in (1, 2))
+    return books.select("book_id", size_switch(full, short, p.aggregate_threshold).alias("payload"))
 
 
 def meta_counts(metas: DataFrame) -> DataFrame:

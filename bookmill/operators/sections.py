@@ -127,6 +127,17 @@ def manifest_stats(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("book_id").agg(F.count("*").alias("n_chunks"), F.min("size").alias("min_size"), F.max("size").alias("max_size"), F.expr("sum(size) div count(*)").alias("mean_size"))
 
 
+def inspect_manifest(manifest: DataFrame) -> DataFrame:
+    """A readable table of each book's chunks: book_id, line_no, line. Line 0 is a header, the last one says how sizes range."""
+    row = F.format_string("%-12s %-6s %8s  %s", "chunk_id", F.col("section_level").cast("string"), F.col("size").cast("string"), "section_title")
+    n = F.row_number().over(Window.partitionBy("book_id").orderBy("chunk_no"))
+    rows = manifest.select("book_id", n.cast("long").alias("line_no"), row.alias("line"))
+    stats = manifest_stats(manifest)
+    head = stats.select("book_id", F.lit(0).cast("long").alias("line_no"), F.format_string("%-12s %-6s %8s  %s", F.lit("chunk_id"), F.lit("level"), F.lit("size"), F.lit("section_title")).alias("line"))
+    range_ = F.format_string("%d chunks, size min %d, max %d, mean %d", "n_chunks", "min_size", "max_size", "mean_size")
+    return head.unionByName(rows).unionByName(stats.select("book_id", (F.col("n_chunks") + 1).cast("long").alias("line_no"), range_.alias("line")))
+
+
 def neighbour_context(chunks: DataFrame, most: int = 300) -> DataFrame:
     """For each chunk the end of the chunk numbered one less and the start of the one numbered one more, cut at a paragraph where that keeps half."""
     w = Window.partitionBy("book_id").orderBy("chunk_no")

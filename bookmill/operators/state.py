@@ -38,9 +38,11 @@ def plan_summary(planned: DataFrame) -> DataFrame:
 
 
 def record(records: DataFrame, chunks: DataFrame, outputs: DataFrame, terms: DataFrame, version: int) -> DataFrame:
-    """Records after the given chunks: new ones replace old ones; hashes of the terms that occur."""
+    """Records after the given chunks: new ones replace old ones; hashes of the terms that occur, or of all terms where a chunk has no text."""
     key = ["book_id", "chunk_no"]
-    ids = terms_in_chunk(terms, chunks).join(terms.select("book_id", "pos", "id"), ["book_id", "pos"]).join(entity_hashes(terms), ["book_id", "id"])
+    found = terms_in_chunk(terms, chunks).join(terms.select("book_id", "pos", "id"), ["book_id", "pos"]).select(*key, "id")
+    unknown = chunks.where("text IS NULL").select(*key).join(terms.select("book_id", "id"), "book_id").select(*key, "id")
+    ids = found.unionByName(unknown).join(entity_hashes(terms), ["book_id", "id"])
     used = ids.groupBy(*key).agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("id", "hash")))).alias("entity_hashes"))
     fresh = chunks.select(*key).join(used, key, "left").join(outputs.select(*key, F.length("text").cast("bigint").alias("output_size")), key, "left").select(
         *key, F.lit(version).alias("glossary_version"), F.coalesce("entity_hashes", F.expr("cast(map() as map<string,string>)")).alias("entity_hashes"), F.col("output_size").isNotNull().alias("output_exists"),
@@ -61,6 +63,38 @@ def mark_failed(records: DataFrame, failures: DataFrame, polish: bool = False) -
     return joined.withColumns({flag: F.col(flag) | F.col("reason").isNotNull(), why: F.coalesce("reason", why)}).drop("reason")
 
 
+#: One option of a save: op is set, set_int or append.
+OPTIONS = "array<struct<op:string,key:string,value:string>>"
+
+
+def state_save(log: DataFrame, saves: DataFrame) -> DataFrame:
+    """The log of events with further saves (book_id, ts, step, note, options) after each book's last event; see state_load and state_values.
+
+    Steps beyond 1 to 10 raise.
+    """
+    steps = F.when(F.col("step").between(1, 10), F.col("step")).otherwise(F.raise_error(F.concat(F.lit("no such step: "), F.col("step").cast("string"))).cast("int"))
+    last = log.groupBy("book_id").agg(F.max("seq").alias("last"))
+    order = F.row_number().over(Window.partitionBy("book_id").orderBy("ts", "step", "note"))
+    fresh = saves.withColumn("k", order).join(last, "book_id", "left").withColumn("seq", F.coalesce("last", F.lit(0)) + F.col("k"))
+    return log.unionByName(fresh.select("book_id", "ts", F.col("seq").cast(log.schema["seq"].dataType).alias("seq"), steps.cast(log.schema["step"].dataType).alias("step"), "note", "options"))
+
+
+def state_values(log: DataFrame) -> DataFrame:
+    """What the options of a book's events leave under each key: book_id, key, kind (text, int or list), value (a list's joined by commas).
+
+    The last set wins; what is appended after it makes a list of different values, in order. A set_int of no integer is passed over.
+    """
+    given = log.select("book_id", "ts", "seq", F.posexplode("options").alias("k", "o")).select("book_id", F.struct("ts", "seq", "k").alias("at"), "o.op", "o.key", "o.value")
+    sound = given.where("op IN ('set', 'append') OR (op = 'set_int' AND trim(value) RLIKE '^[+-]?[0-9]+$')")
+    is_set = F.col("op") != "append"
+    since = sound.groupBy("book_id", "key").agg(F.max(F.when(is_set, F.struct("at", "op", "value"))).alias("s"))
+    later = sound.where(~is_set).join(since, ["book_id", "key"]).where("s IS NULL OR at > s.at").groupBy("book_id", "key", "value").agg(F.min("at").alias("at"))
+    lists = later.groupBy("book_id", "key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x.value), ",").alias("list"))
+    kind = F.when(F.col("list").isNotNull(), "list").when(F.col("s.op") == "set_int", "int").otherwise("text")
+    single = F.when(F.col("s.op") == "set_int", F.trim("s.value").cast("bigint").cast("string")).otherwise(F.col("s.value"))
+    return since.join(lists, ["book_id", "key"], "left").select("book_id", "key", kind.alias("kind"), F.coalesce("list", single).alias("value"))
+
+
 def state_load(log: DataFrame, steps: int = 10) -> DataFrame:
     """The progress of each book from its events (book_id, ts, seq, step, note): steps done, the step to do and its phase, the last five notes."""
     w = Window.partitionBy("book_id").orderBy(F.desc("ts"), F.desc("seq"))

@@ -19,6 +19,7 @@ ARCS = (
     (r"^part\s*([\divxlcm]+|(?:" + _NUMBERS + r"))", "part"), (r"^глава\s*(\d+|[а-яё]+)", "chapter"), (r"^часть\s*(\d+|[а-яё]+)", "part"), (r"^chapter\s*(\d+|[a-z]+)", "chapter"),
     (r"^book\s*([\divxlcm]+|(?:" + _NUMBERS + r"))", "book"),
 )
+# How a footnote's definition and marker are written.
 _FOOTNOTE = r"^\[\^([^\]]+)\]:(?U)\s*(.+)$"
 _MARKER = r"\[\^([^\]]+)\](?!:)"
 
@@ -34,19 +35,27 @@ def match_arc(label: Column) -> Column:
     return out
 
 
-def narrative_arcs(chunks: DataFrame) -> DataFrame:
-    """Runs of consecutive chunks of one label (columns book_id, chunk_no, label): arc_no, label, kind, first, last and number of chunks."""
+def _arcs_marked(chunks: DataFrame) -> DataFrame:
+    """Chunks (book_id, chunk_no, label) with their arc's number, kind and label."""
     w = Window.partitionBy("book_id").orderBy("chunk_no")
     arc = match_arc(F.col("label"))
-    named = chunks.withColumn("kind", F.coalesce(arc["kind"], F.lit("unknown"))).withColumn("label", F.when(arc.isNotNull(), F.col("label")).otherwise("main"))
-    starts = named.withColumn("new", (~F.col("label").eqNullSafe(F.lag("label").over(w))).cast("int")).withColumn("arc_no", F.sum("new").over(w))
-    return starts.groupBy("book_id", "arc_no").agg(F.min("label").alias("label"), F.min("kind").alias("kind"), F.min("chunk_no").alias("first_chunk"), F.max("chunk_no").alias("last_chunk"), F.count("*").alias("n_chunks"))
+    kind, label = F.coalesce(arc["kind"], F.lit("unknown")), F.when(arc.isNotNull(), F.col("label")).otherwise("main")
+    named = chunks.withColumn("kind", kind).withColumn("label", label)
+    starts = named.withColumn("new", (~F.col("label").eqNullSafe(F.lag("label").over(w))).cast("int"))
+    return starts.withColumn("arc_no", F.sum("new").over(w))
+
+
+def narrative_arcs(chunks: DataFrame) -> DataFrame:
+    """Runs of consecutive chunks of one label (columns book_id, chunk_no, label): arc_no, label, kind, first, last and number of chunks."""
+    return _arcs_marked(chunks).groupBy("book_id", "arc_no").agg(
+        F.min("label").alias("label"), F.min("kind").alias("kind"), F.min("chunk_no").alias("first_chunk"),
+        F.max("chunk_no").alias("last_chunk"), F.count("*").alias("n_chunks"),
+    )
 
 
 def chunk_to_arc(chunks: DataFrame) -> DataFrame:
-    """book_id, chunk_no, arc_no."""
-    arcs = narrative_arcs(chunks)
-    return chunks.join(arcs, "book_id").where("chunk_no BETWEEN first_chunk AND last_chunk").select("book_id", "chunk_no", "arc_no")
+    """book_id, chunk_no, arc_no: the running number of the arcs itself, so nothing is joined."""
+    return _arcs_marked(chunks).select("book_id", "chunk_no", "arc_no")
 
 
 def detect_epigraphs(books: DataFrame, most: int = 600) -> DataFrame:
@@ -104,6 +113,7 @@ def structural_summary(books: DataFrame) -> DataFrame:
     return rows.groupBy("book_id").agg(*(F.count_if(F.col("kind") == name).alias(name) for name, _ in kinds))
 
 
+# How content files mark a footnote's text.
 _LI = (
     r"(?is)<li[^>]*epub:type=[\"']footnote[\"'][^>]*\bid=[\"']([^\"']+)[\"'][^>]*>(.*?)</li>",
     r"(?is)<li[^>]*\bid=[\"']([^\"']+)[\"'][^>]*epub:type=[\"']footnote[\"'][^>]*>(.*?)</li>",
@@ -122,7 +132,7 @@ def footnote_bodies(files: DataFrame) -> DataFrame:
     return found.where("body != ''").withColumn("n", first).where("n = 1").select("book_id", "footnote_id", "body")
 
 
-#: Anchors as converters write them: wrapped in a span, or bare with a class.
+# Anchors as converters write them, wrapped in a span, or bare with a class.
 ANCHOR = r"\[\[?\\?\*\]\((?:[^)]+\.xhtml#([\w\-]+))\)\{#[\w_]+[^}]*\}\]\{\.epub-sup-fn\}|\[\\?\*\]\((?:[^)]+\.xhtml#([\w\-]+))\)\{[^}]*\.noteref[^}]*\}"
 
 

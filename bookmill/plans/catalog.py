@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import english_leaks
-from . import dictionary, files, structures, texts  # noqa: F401  they register their queries
+from . import dictionary, files, planted, structures, texts  # noqa: F401  they register their queries
 from .registry import ORACLES, QUERIES, Tables
 from .texts import manifest
 

@@ -15,16 +15,17 @@ _TERMS = (
 _VALUES = ", ".join("(" + ", ".join(str(x) if isinstance(x, int) else f"'{x}'" for x in r) + ")" for r in _TERMS)
 
 
-def _terms(t, one_book: bool = False):
+def _terms(t):
     """The terms in every source's book."""
-    rows = t.sql(f"SELECT * FROM VALUES {_VALUES} v(pos, source, target, alias, category)")
+    fields = ("pos", "source", "target", "alias", "category")
+    rows = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(fields, r, strict=True))) for r in _TERMS))
     books = t("documents").select(F.col("source").alias("book_id")).distinct()
     aliases = F.when(F.col("alias") == "", F.array().cast("array<string>")).otherwise(F.array("alias"))
-    full = rows.select(
-        "pos", F.concat(F.lit("t"), F.col("pos").cast("string")).alias("id"), "source", "target", aliases.alias("aliases"), "category", F.lit("unknown").alias("gender"), F.lit("low").alias("confidence"),
-        (F.lit(10) - F.col("pos")).alias("frequency"), F.array().cast("array<string>").alias("evidence_refs"), F.lit("").alias("notes"),
+    return books.select("book_id", F.explode(rows).alias("r")).select("book_id", "r.*").select(
+        "book_id", "pos", F.concat(F.lit("t"), F.col("pos").cast("string")).alias("id"), "source", "target", aliases.alias("aliases"), "category",
+        F.lit("unknown").alias("gender"), F.lit("low").alias("confidence"), (F.lit(10) - F.col("pos")).alias("frequency"),
+        F.array().cast("array<string>").alias("evidence_refs"), F.lit("").alias("notes"),
     )
-    return full.withColumn("book_id", F.lit("b")) if one_book else full.crossJoin(F.broadcast(books))  # 7 terms
 
 
 _HITS = f"""WITH t AS (SELECT * FROM (VALUES {_VALUES}) v(pos, source, target, alias, category)), s AS (SELECT pos, source AS x FROM t UNION ALL SELECT pos, alias FROM t WHERE alias <> ''),
@@ -179,8 +180,8 @@ def _planned(t):
     docs = t("documents").join(t("labels"), "doc_id", "left")
     chunks = docs.select(F.col("source").alias("book_id"), F.col("doc_id").alias("chunk_no"), "text", "quality", "toxic")
     manifest = chunks.select("book_id", "chunk_no", F.when(F.col("chunk_no") % 11 == 0, "old").otherwise(F.sha2("text", 256)).alias("source"))
-    terms = t.sql("SELECT 'Ann' AS source, 'Анна' AS target, 'female' AS gender, 't1' AS id").withColumn("aliases", F.array().cast("array<string>"))
-    terms = terms.crossJoin(F.broadcast(chunks.select("book_id").distinct()))  # one term
+    one = {"source": F.lit("Ann"), "target": F.lit("Анна"), "gender": F.lit("female"), "id": F.lit("t1"), "aliases": F.array().cast("array<string>")}
+    terms = chunks.select("book_id").distinct().withColumns(one)
     now = ST.entity_hashes(terms).select("book_id", "hash")
     had = chunks.where("quality = 1 OR toxic = 1").join(now, "book_id")
     records = had.select("book_id", "chunk_no", F.create_map(F.lit("t1"), F.when(F.col("chunk_no") % 5 == 0, "old").otherwise(F.col("hash"))).alias("entity_hashes"), (F.col("toxic") == 1).alias("failed"), F.lit(False).alias("polish_failed"))
@@ -197,7 +198,7 @@ def plan_summary(t):
     return ST.plan_summary(_planned(t))
 
 
-@query(_HITS.replace("FROM documents d JOIN", "FROM (SELECT * FROM documents WHERE doc_id < 200) d JOIN") + " SELECT d.source AS book_id, d.doc_id AS chunk_no, count(h.pos) AS n_terms, CAST(length(d.text) AS BIGINT) AS output_size FROM documents d LEFT JOIN h ON h.book_id = d.source AND h.chunk_no = d.doc_id WHERE d.doc_id < 200 GROUP BY ALL")
+@query(_HITS + " SELECT d.source AS book_id, d.doc_id AS chunk_no, count(h.pos) AS n_terms, CAST(length(d.text) AS BIGINT) AS output_size FROM documents d LEFT JOIN h ON h.book_id = d.source AND h.chunk_no = d.doc_id GROUP BY ALL")
 def record(t):
     chunks = t.docs_as_chunks()
     none = ST.record(t.sql("SELECT * FROM VALUES ('', 0L) v(book_id, chunk_no)").where("false").select(

@@ -52,15 +52,17 @@ class Tables:
         return self("conversations").select(F.col("conv_id").alias("book_id"), F.col("turn").alias("chunk_no"), "role", "text")
 
     def pairs(self) -> DataFrame:
-        """Each document as the output of the one before it in its source."""
+        """Each document as the output of the one before it in its source and its thousand of ids: a source may hold most of all rows."""
         from pyspark.sql import Window
 
-        w = Window.partitionBy("source").orderBy("doc_id")
-        rows = self("documents").select(F.col("source").alias("book_id"), F.col("doc_id").alias("chunk_no"), F.lag("text").over(w).alias("src"), F.col("text").alias("out"), F.col("lang").alias("section_title"))
+        w = Window.partitionBy("source", F.floor(F.col("doc_id") / 1000)).orderBy("doc_id")
+        before = F.lag("text").over(w).alias("src")
+        rows = self("documents").select(F.col("source").alias("book_id"), F.col("doc_id").alias("chunk_no"), before, F.col("text").alias("out"), F.col("lang").alias("section_title"))
         return rows.where("src IS NOT NULL")
 
     def books(self) -> DataFrame:
-        """Sources as Markdown books: each document a chapter, its lines paragraphs."""
+        """A hundred ids of a source as a Markdown book: each document a chapter, its lines paragraphs."""
         part = F.concat(F.lit("# Chapter "), F.col("doc_id").cast("string"), F.lit("\n\n"), F.replace("text", F.lit("\n"), F.lit("\n\n")))
         whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", part.alias("t")))), lambda x: x.t), "\n\n")
-        return self("documents").groupBy(F.col("source").alias("book_id")).agg(whole.alias("text"))
+        book = F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / 100).cast("string"))
+        return self("documents").groupBy(book.alias("book_id")).agg(whole.alias("text"))

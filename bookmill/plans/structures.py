@@ -95,7 +95,7 @@ def number_footnotes(t):
     return U.number_footnotes(chunks, _bodies(t)).select("chunk_no", "text")
 
 
-_PAIRS = "WITH p AS (SELECT source AS book_id, doc_id AS chunk_no, lang AS section_title, lag(text) OVER (PARTITION BY source ORDER BY doc_id) AS src, text AS out FROM documents), q AS (SELECT * FROM p WHERE src IS NOT NULL)"
+_PAIRS = "WITH p AS (SELECT source AS book_id, doc_id AS chunk_no, lang AS section_title, lag(text) OVER (PARTITION BY source, doc_id // 1000 ORDER BY doc_id) AS src, text AS out FROM documents), q AS (SELECT * FROM p WHERE src IS NOT NULL)"
 
 
 @query("""SELECT d.source AS book_id, d.doc_id AS chunk_no, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN length(d.text) // 2 < 100 THEN 'short' WHEN length(d.text) > 0 AND ((length(d.text) // 2) / length(d.text) < 0.6 OR (length(d.text) // 2) / length(d.text) > 2.0) THEN 'bad_ratio' ELSE 'ok' END AS status,
@@ -286,7 +286,7 @@ def fb2_images(t):
     return build.image_refs(build.md_blocks(text))
 
 
-@query("SELECT source AS book_id, CAST(count(*) AS BIGINT) AS n_sections FROM documents GROUP BY source")
+@query("SELECT source || '-' || (doc_id // 100) AS book_id, CAST(count(*) AS BIGINT) AS n_sections FROM documents GROUP BY ALL")
 def fb2_body(t):
     blocks = build.md_blocks(t.books())
     author = F.struct(F.lit("Ann").alias("first_name"), F.lit(None).cast("string").alias("middle_name"), F.lit("Bee").alias("last_name"), F.lit(None).cast("string").alias("nickname"))

@@ -24,35 +24,90 @@ IMAGES = ("gif", "jpg", "jpeg", "png", "svg", "bmp")
 
 
 class _Markdown(HTMLParser):
-    """HTML to Markdown: h1-h6, p, br, hr, b/strong, i/em, a, img, li, blockquote, pre; all else is its text."""
+    """HTML to Markdown, block by block.
+
+    Headings, paragraphs, line breaks, rules, quotations, lists (numbered and nested ones too), preformatted text, tables
+    (the first row heads), bold, italic, code, links and images with their titles are kept; of all else, the text.
+    """
 
     SKIP = ("script", "style", "head", "title")
     MARK = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`"}
+    PARTS = ("p", "div", "section", "article", "nav", "footer", "header", "body")
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[str] = []
         self.line: list[str] = []
-        self.prefix, self.skip, self.quote, self.href = "", 0, 0, []
+        self.prefix, self.skip, self.quote = "", 0, 0
+        self.links: list[str | None] = []
+        self.lists: list[int | None] = []  # of numbered lists, the last number
+        self.table: list[list[str]] | None = None
+        self.pre: list[str] | None = None
+
+    def _taken(self) -> str:
+        """The inline text since the last block."""
+        text = re.sub(r"[ \t\r\n]+", " ", "".join(self.line)).replace(" \x00", "\x00").strip()
+        self.line = []
+        return text
 
     def _end(self) -> None:
-        text = re.sub(r"[ \t\r\n]+", " ", "".join(self.line)).replace(" \x00", "\x00").strip().replace("\x00", "\\\n")
+        if self.table is not None:  # blocks in a cell are one line
+            self.line.append(" ")
+            return
+        text = self._taken().replace("\x00", "\\\n")
         if text:
             self.blocks.append("> " * self.quote + self.prefix + text)
-        self.line, self.prefix = [], ""
+        self.prefix = ""
+
+    def _end_table(self) -> None:
+        rows, self.table, self.line = self.table or [], None, []
+        width = max(map(len, rows), default=0)
+        if width:
+            told = ["| " + " | ".join([*r, *[""] * (width - len(r))]) + " |" for r in rows if r]
+            self.blocks.append("\n".join([told[0], "|" + " --- |" * width, *told[1:]]))
+
+    def _end_pre(self) -> None:
+        text, self.pre = "".join(self.pre or []).strip("\n"), None
+        if text:
+            self.blocks.append(f"```\n{text}\n```")
+
+    @staticmethod
+    def _target(href: str, title: str | None) -> str:
+        return f'({href} "{title}")' if title else f"({href})"
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         a = dict(attrs)
         if tag in self.SKIP:
             self.skip += 1
+        elif tag == "pre" and self.table is None:
+            self._end()
+            self.pre = []
+        elif self.pre is not None:
+            return
+        elif tag == "table":
+            self._end()
+            self.table = []
+        elif tag == "tr" and self.table is not None:
+            self.table.append([])
+        elif tag in ("td", "th") and self.table:
+            self.line = []
         elif re.fullmatch("h[1-6]", tag):
             self._end()
             self.prefix = "#" * int(tag[1]) + " "
-        elif tag in ("p", "div", "section", "article", "ul", "ol", "table", "tr", "pre", "nav", "footer", "header", "body"):
+        elif tag in ("ul", "ol"):
             self._end()
+            self.lists.append(0 if tag == "ol" else None)
         elif tag == "li":
             self._end()
-            self.prefix = "- "
+            depth = max(len(self.lists) - 1, 0)
+            if self.lists and self.lists[-1] is not None:
+                self.lists[-1] += 1
+                self.prefix = f"{'    ' * depth}{self.lists[-1]}. "
+            else:
+                self.prefix = "    " * depth + "- "
+        elif tag in self.PARTS:
+            if not (self.prefix.lstrip().startswith("-") or self.prefix.endswith(". ")) or "".join(self.line).strip():
+                self._end()  # the first part of a list item stays in its line
         elif tag == "blockquote":
             self._end()
             self.quote += 1
@@ -60,44 +115,62 @@ class _Markdown(HTMLParser):
             self._end()
             self.blocks.append("***")
         elif tag == "br":
-            self.line.append("\x00")
+            self.line.append("\x00" if self.table is None else " ")
         elif tag == "img":
-            self.line.append(f"![{a.get('alt') or ''}]({a.get('src') or ''})")
+            self.line.append(f"![{a.get('alt') or ''}]{self._target(a.get('src') or '', a.get('title'))}")
         elif tag == "a":
-            self.href.append(a.get("href"))
+            self.links.append(self._target(a["href"], a.get("title")) if a.get("href") else None)
             self.line.append("[" if a.get("href") else "")
         elif tag in self.MARK:
             self.line.append(self.MARK[tag])
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
-        if tag in (*self.SKIP, "p", "div", "li", "a", "blockquote", *self.MARK):
+        if tag in (*self.SKIP, *self.PARTS, "li", "a", "blockquote", "table", "pre", "ul", "ol", *self.MARK):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in self.SKIP:
             self.skip = max(0, self.skip - 1)
-        elif re.fullmatch("h[1-6]", tag) or tag in ("p", "div", "section", "article", "ul", "ol", "li", "table", "tr", "pre", "nav", "footer", "header", "body"):
+        elif self.pre is not None:
+            if tag == "pre":
+                self._end_pre()
+        elif tag == "table" and self.table is not None:
+            self._end_table()
+        elif tag in ("td", "th") and self.table:
+            self.table[-1].append(self._taken().replace("|", "\\|"))
+        elif tag in ("ul", "ol"):
+            self._end()
+            if self.lists:
+                self.lists.pop()
+        elif re.fullmatch("h[1-6]", tag) or tag == "li" or tag in self.PARTS:
             self._end()
         elif tag == "blockquote":
             self._end()
             self.quote = max(0, self.quote - 1)
-        elif tag == "a" and self.href:
-            href = self.href.pop()
-            self.line.append(f"]({href})" if href else "")
+        elif tag == "a" and self.links:
+            target = self.links.pop()
+            self.line.append(f"]{target}" if target else "")
         elif tag in self.MARK:
             self.line.append(self.MARK[tag])
 
     def handle_data(self, data: str) -> None:
         if not self.skip:
-            self.line.append(data)
+            (self.line if self.pre is None else self.pre).append(data)
+
+    def close(self) -> None:
+        super().close()
+        if self.pre is not None:
+            self._end_pre()
+        if self.table is not None:
+            self._end_table()
+        self._end()
 
 
 def to_markdown(html: str) -> str:
     p = _Markdown()
     p.feed(html)
     p.close()
-    p._end()
     return "\n\n".join(p.blocks) + "\n" if p.blocks else ""
 
 

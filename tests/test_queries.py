@@ -20,7 +20,7 @@ def plain(v):
     return round(v, 5) if isinstance(v, float) else v
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_equals_oracle(spark, duck, data, name):
     df = catalog.QUERIES[name](spark, data)
     cols = sorted(df.columns)
