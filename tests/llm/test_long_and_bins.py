@@ -64,7 +64,7 @@ def test_pipeline_stages_on_a_very_long_text(spark, data, tmp_path):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     source = docs.orderBy(F.desc("n_chars")).first()
     long = " ".join([source.text] * 12)
-    extra = [(90_001, long, source.lang, source.source, len(long)), (90_002, long.upper(), source.lang, source.source, len(long)), (90_003, long[: len(long) // 3], source.lang, source.source, len(long) // 3)]
+    extra = [(90_001, long, source.lang, source.source, len(long)), (90_002, long.encode().upper().decode(), source.lang, source.source, len(long)), (90_003, long[: len(long) // 3], source.lang, source.source, len(long) // 3)]
     docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
     for k, (_, stage) in enumerate(P.STAGES):
         stage(spark, docs, data).write.parquet(str(tmp_path / str(k)))
