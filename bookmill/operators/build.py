@@ -18,6 +18,7 @@ from pyspark.sql.types import ArrayType, StringType
 from ..config import Quality
 from ..functions.text import guess_content_type, strip
 from .contracts import validate_manifest
+from .fb2_schema import fb2_schema_validate
 from .sections import merge_chunks_text
 
 BLOCK_SCHEMA = "book_id string, block_no int, kind string, level int, text string, alt string, src string, footnote_id string"
@@ -319,4 +320,4 @@ def build_books(manifest: DataFrame, sources: DataFrame, outputs: DataFrame, hea
     if images is not None:
         images = resolve_images(image_refs(blocks), text_id(images))
     made = build_fb2(blocks, headers, images)
-    return books.join(made, "book_id").withColumn("faults", fb2_validate("fb2"))
+    return books.join(made, "book_id").withColumn("faults", F.concat(fb2_validate("fb2"), fb2_schema_validate("fb2")))

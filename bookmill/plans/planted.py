@@ -8,6 +8,7 @@ from ..config import Payload
 from ..functions import clean, text as T
 from ..operators import build, glossary as G, payload as P, qa as Q, sections as S, state as ST, structure as U
 
+from ..streaming import ingest
 from .registry import query
 from .texts import _NUMBERED, manifest
 
@@ -350,3 +351,22 @@ def post_mortem_counts(t):
     second = marked.select("book_id", "chunk_no", F.lit("medium").alias("severity"), F.lit("style").alias("category"))
     arcs = t.sql("SELECT CAST(NULL AS STRING) AS book_id, 1 AS arc_no").where("false")
     return P.post_mortem_payload(t.docs_as_chunks(), arcs, first.unionByName(second), Payload(aggregate_threshold=0))
+
+
+_FB2_HEAD = "'<FictionBook><description><title-info><genre>g</genre><author><nickname>n</nickname></author><book-title>t</book-title><lang>en</lang></title-info><document-info><author><nickname>n</nickname></author><date>d</date><id>i</id><version>1</version></document-info></description>'"
+_FB2_BODY = "CASE doc_id % 4 WHEN 0 THEN '<p>' || one || '</p>' WHEN 1 THEN '<p>' || one || '</p><title/>' WHEN 2 THEN '<title/><p><b>' || one || '</b></p>' ELSE '<p>' || one || '</section>' END"
+
+
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'line 2: section can''t hold p, title' WHEN 2 THEN 'line 2: p can''t hold b' ELSE 'line 2: not well-formed' END AS faults FROM documents")
+def fb2_schema_validate(t):
+    whole = f"{_FB2_HEAD} || '<body>' || chr(10) || '<section>' || {_FB2_BODY} || '</section></body></FictionBook>'"
+    return _documents(t, whole=whole).select("doc_id", build.fb2_schema_validate("whole").alias("faults"))
+
+
+@query(
+    """WITH e AS (SELECT user_id, event_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e) SELECT user_id, min(ts) AS first_ts, count(*) AS n FROM s GROUP BY user_id, k"""
+)
+def sessions(t):
+    """Events of a user less than 30 minutes apart, by the same aggregation that runs on a stream."""
+    return ingest.sessions(t("events")).select("user_id", F.col("start").alias("first_ts"), F.col("n_events").alias("n"))
