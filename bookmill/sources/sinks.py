@@ -114,9 +114,9 @@ def sink_files(rows: DataFrame, folder: str) -> dict[str, int]:
     return {"files": r["files"], "bytes": r["bytes"]}
 
 
-def _in_book(name: Column) -> Column:
+def _in_book(name: Column, inner: str = "") -> Column:
     """A file's name in its book's folder."""
-    return F.concat(F.col("book_id").cast("string"), F.lit("/"), name)
+    return F.concat(F.col("book_id").cast("string"), F.lit(f"{inner}/"), name)
 
 
 def sink_chunks(chunks: DataFrame, path: str) -> None:
@@ -124,13 +124,13 @@ def sink_chunks(chunks: DataFrame, path: str) -> None:
     chunks.write.mode("overwrite").partitionBy("book_id").parquet(path)
 
 
-def sink_chunk_files(manifest: DataFrame, folder: str) -> dict[str, int]:
-    """A file chunkNNNN.md for each chunk, then manifest.json of each book, which lists them (number_chunks has the columns)."""
-    texts = sink_files(manifest.select(_in_book(F.concat("chunk_id", F.lit(".md"))).alias("name"), F.col("text").alias("value")), folder)
+def sink_chunk_files(manifest: DataFrame, folder: str, inner: str = "") -> dict[str, int]:
+    """A file chunkNNNN.md for each chunk, then manifest.json of each book, which lists them (number_chunks has the columns). inner: folder in the book's."""
+    texts = sink_files(manifest.select(_in_book(F.concat("chunk_id", F.lit(".md")), inner).alias("name"), F.col("text").alias("value")), folder)
     entry = F.struct("chunk_id", "section_title", "section_level", "source", "size")
     listed = F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", entry.alias("e")))), lambda x: x.e)
     whole = manifest.groupBy("book_id").agg(F.to_json(F.struct(listed.alias("chunks"))).alias("value"))
-    lists = sink_files(whole.select(_in_book(F.lit("manifest.json")).alias("name"), "value"), folder)
+    lists = sink_files(whole.select(_in_book(F.lit("manifest.json"), inner).alias("name"), "value"), folder)
     return {k: texts[k] + lists[k] for k in texts}
 
 
