@@ -195,10 +195,37 @@ def toc_entry(line: Column) -> Column:
     return (s == "") | link | s.rlike(r"(?U)^[\d\-*+]\.?\s") | s.rlike(r"(?U)^#{1,6}\s+") | ((F.length(s) <= 120) & ~s.rlike(r"[.!?…:;»]$"))
 
 
+def first_few(items: Column, n: int, more: str = " and %d more") -> Column:
+    """The first n items of a report, and how many there are beyond them."""
+    rest = F.size(items) - n
+    return F.concat(F.array_join(F.slice(items, 1, n), ", "), F.when(rest > 0, F.format_string(more, rest)).otherwise(""))
+
+
 def stable_hash(c: Column) -> Column:
+    """Hash of a text's own bytes."""
     return F.sha2(c, 256)
 
 
+#: Control characters whose escapes have a letter: Jackson writes it upper-case, Python lower-case.
+_ESCAPES = [f"{k:04x}" for k in (*range(0x0B, 0x0C), *range(0x0E, 0x10), *range(0x1A, 0x20))]
+
+
+def json_quote(c: Column) -> Column:
+    """A text as a JSON string, letter for letter as Python's json.dumps(ensure_ascii=False) writes it."""
+    whole = F.to_json(F.array(c))
+    quoted = F.substring(whole, F.lit(2), F.length(whole) - 2)
+    return replace_all(quoted, *((rf"(?<!\\)((?:\\\\)*)\\u{e.upper()}", rf"$1\\u{e}") for e in _ESCAPES))
+
+
+def json_hash(c: Column) -> Column:
+    """Hash of a text as a JSON string."""
+    return F.sha2(json_quote(c), 256)
+
+
 def term_fingerprint(source: Column, target: Column, aliases: Column, gender: Column) -> Column:
-    """Hash of the fields of a term that decide how it is translated."""
-    return stable_hash(F.to_json(F.struct(F.coalesce(source, F.lit("")).alias("source"), F.coalesce(target, F.lit("")).alias("target"), F.coalesce(aliases, F.array().cast("array<string>")).alias("aliases"), F.coalesce(gender, F.lit("")).alias("gender"))))
+    """Hash of the fields of a term that decide how it is translated: of their JSON with sorted keys, as Python writes it."""
+    text = lambda c: json_quote(F.coalesce(c, F.lit("")))
+    names = F.coalesce(aliases, F.array().cast("array<string>"))
+    listed = F.array_join(F.transform(names, lambda a: F.coalesce(json_quote(a), F.lit("null"))), ", ")
+    body = (F.lit('{"aliases": ['), listed, F.lit('], "gender": '), text(gender), F.lit(', "source": '), text(source), F.lit(', "target": '), text(target), F.lit("}"))
+    return F.sha2(F.concat(*body), 256)

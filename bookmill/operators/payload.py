@@ -31,6 +31,12 @@ def chunk_range(chunks: DataFrame, start: int | None = None, end: int | None = N
     return chunks.where(low if end is None else low & (F.col("chunk_no") <= end))
 
 
+def sort_chunks(chunks: DataFrame, numeric: bool = True) -> DataFrame:
+    """Chunks in order of their books, then of their numbers, or of their ids as text."""
+    name = F.format_string("chunk%04d", "chunk_no") if "chunk_id" not in chunks.columns else F.col("chunk_id")
+    return chunks.orderBy("book_id", F.col("chunk_no") if numeric else name)
+
+
 def snippets_limit(texts: DataFrame, limit: int = 20, chars: int = 200) -> DataFrame:
     """The starts of each book's first few chunks."""
     n = F.row_number().over(Window.partitionBy("book_id").orderBy("chunk_no"))

@@ -7,13 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from ..config import Payload
 from ..functions import clean, text as T
 from ..operators import build, glossary as G, payload as P, qa as Q, sections as S, state as ST, structure as U
-
+from ..sources import books as B
 from ..streaming import ingest
 from .registry import query
 from .texts import _NUMBERED, manifest
 
-
-
 _ONE_LINE = "trim(regexp_replace(regexp_replace(text, '[^A-Za-z ]+', ' ', 'g'), ' +', ' ', 'g'))"
 _ONE_LINE_SPARK = "trim(regexp_replace(regexp_replace(text, '[^A-Za-z ]+', ' '), ' +', ' '))"
 
@@ -370,3 +368,31 @@ def fb2_schema_validate(t):
 def sessions(t):
     """Events of a user less than 30 minutes apart, by the same aggregation that runs on a stream."""
     return ingest.sessions(t("events")).select("user_id", F.col("start").alias("first_ts"), F.col("n_events").alias("n"))
+
+
+@query("SELECT p_brand AS book_id, 't' || p_partkey AS id, sha256('{\"aliases\": [\"' || p_type || '\", \"x\\\"y\"], \"gender\": \"\", \"source\": \"' || p_name || '\", \"target\": \"Имя ' || p_size || '\"}') AS hash FROM part")
+def entity_hashes_table(t):
+    terms = t("part").select(
+        F.col("p_brand").alias("book_id"), F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("source"),
+        F.concat(F.lit("Имя "), F.col("p_size").cast("string")).alias("target"), F.array("p_type", F.lit('x"y')).alias("aliases"), F.lit(None).cast("string").alias("gender"),
+    )
+    return ST.entity_hashes(terms)
+
+
+@query("SELECT event_id, event_id % 3 <> 1 AS ok, CASE WHEN event_id % 3 = 1 THEN 'Expecting' END AS error FROM events")
+def check_json_table(t):
+    """Every third text of props lacks its end."""
+    whole = F.when(F.col("event_id") % 3 == 1, F.substring_index("props", ":", 1)).otherwise(F.col("props"))
+    error = B.check_json(whole)
+    return t("events").select("event_id", error.isNull().alias("ok"), F.left(error, F.lit(9)).alias("error"))
+
+
+@query(_D + ", w AS (SELECT doc_id, string_split(one, ' ') AS ws FROM d) SELECT doc_id, array_to_string(ws[1:8], ', ') || CASE WHEN len(ws) > 8 THEN ' and ' || (len(ws) - 8) || ' more' ELSE '' END AS first_words FROM w")
+def top_n_reports(t):
+    return _documents(t).select("doc_id", T.first_few(F.split("one", " "), 8).alias("first_words"))
+
+
+@query("SELECT doc_id, CAST(regexp_replace('x' || doc_id || 'y0', '[^0-9]', '', 'g') AS BIGINT) AS n, 'chunk' || lpad(CAST(doc_id AS VARCHAR), CAST(greatest(4, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') AS chunk_id FROM documents")
+def chunk_ids(t):
+    name = F.concat(F.lit("x"), F.col("doc_id").cast("string"), F.lit("y0"))
+    return t("documents").select("doc_id", T.chunk_number(name).alias("n"), T.normalize_chunk_id(F.concat(F.lit("c"), F.col("doc_id").cast("string"))).alias("chunk_id"))

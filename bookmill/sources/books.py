@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 from collections.abc import Iterator
@@ -391,6 +392,20 @@ def scan_json_safe(texts: DataFrame) -> DataFrame:
     return texts.select("path", v.alias("json"), v.isNotNull().alias("ok"))
 
 
+def _json_fault(text: str | None, most: int = 120) -> str | None:
+    try:
+        json.loads(text or "")
+    except ValueError as e:
+        return str(e)[:most]
+    return None
+
+
+@F.pandas_udf(StringType())
+def check_json(s: pd.Series) -> pd.Series:
+    """What is wrong with JSON texts, in 120 characters at most; null for a sound one."""
+    return pd.Series([_json_fault(x) for x in s], dtype=object)
+
+
 def scan_chunks(spark: SparkSession, path: str, output: bool = False) -> DataFrame:
     """Chunk files (or output files) of a folder, without backups, half-written and polished ones: file_name, chunk_no, text."""
     name = F.col("_metadata.file_name")
