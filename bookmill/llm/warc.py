@@ -5,8 +5,8 @@ per record, so any record can be read alone. The dictionary is trained on a boun
 pages to archive. Of the pages with one payload of at least `least` bytes, that with the largest
 id is a response record; the others are revisit records that refer to it and hold only headers.
 
-The revisit decision moves ids and digests only; it is made before pages are dealt out to
-writers. Writers make archives of bounded size in the shared folder, each under a name of its
+The revisit decision moves ids and digests only. Pages that have none are written where they
+are read; only those that may be revisits (a bounded set of hashes tells) are dealt out. Writers make archives of bounded size in the shared folder, each under a name of its
 task attempt; the manifest lists those of the attempts that count. Null html is an empty payload.
 A null url is written as a name made from the id. A page without id is always a response, and so
 is each of repeated rows of the largest id.
@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import _store
+from ._marks import marked, marks
 from ._worker import arrow_map
 
 _SKIPPABLE = 0x184D2A5D
@@ -131,8 +132,16 @@ def write_archives(
     dictionary = train_dictionary([page_record(r["page_id"], r["url"], bytes(r["p"]), None) for r in taken], dictionary_bytes)
     keyed = rows.withColumn("key", F.sha2("payload", 256))
     again = revisits(keyed.select("page_id", "key", F.octet_length("payload").alias("size")), least=least)
-    full = keyed.join(again, ["page_id", "key"], "left").select("page_id", "url", "payload", "refers_to")
-    return _store.table(full.transform(arrow_map, _write(_store.new_dir(spark, "warc"), dictionary, level, archive_bytes), "path string, records bigint, bytes bigint"), "manifest")
+    again = _store.table(again.withColumn("h", F.xxhash64("page_id", "key")), "revisits")
+    sent = marks(again.select("h"))
+    keyed = keyed.withColumn("h", F.xxhash64("page_id", "key")).withColumn("may", marked(sent, F.col("h")))
+    alone = keyed.where("NOT may").select("page_id", "url", "payload", F.lit(None).cast("long").alias("refers_to"))
+    asked = keyed.where("may").join(again.drop("h"), ["page_id", "key"], "left").select("page_id", "url", "payload", "refers_to")
+    write, schema = _write(_store.new_dir(spark, "warc"), dictionary, level, archive_bytes), "path string, records bigint, bytes bigint"
+    manifest = _store.table(alone.transform(arrow_map, write, schema).unionByName(asked.transform(arrow_map, write, schema)), "manifest")
+    sent.destroy()
+    _store.drop(again)
+    return manifest
 
 
 class ArchiveReader:

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bookmill.llm import _store, jaccard_join, language_id, packing, quality
-from bookmill.llm.queries import WORD_BPE, _read
+from bookmill.llm._marks import marked, marks
 from bookmill.llm.lm_scoring import remainder
+from bookmill.llm.queries import WORD_BPE, _read
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str, *, least_share: float = 0.4) -> DataFrame:
@@ -30,19 +31,22 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of each group of near duplicates, keep one row, of the least id (null last).
 
     Rows are told apart by id and text; of rows that repeat these, the one whose other columns are least as JSON stays.
-    Ids and hashes decide; texts are dealt out once, to drop the rows that go.
+    Ids and hashes decide; only texts that may go, or be repeated, are dealt out (see bookmill.llm._marks).
     """
     keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    linked = _store.table(jaccard_join.link(keyed, doc_id="__row").select(F.col("doc_id").alias("__row"), "component_id").distinct(), "linked")
+    linked = _store.table(jaccard_join.link(keyed, doc_id="__row").groupBy(F.col("doc_id").alias("__row")).agg(F.min("component_id").alias("component_id"), F.count("*").alias("times")), "linked")
     many = linked.groupBy("component_id").agg(F.min("__row").alias("a"), F.max("__row").alias("b")).where("a < b").select("component_id")
     ranks = keyed.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("rank")).distinct()
     grouped = _store.table(linked.join(many, "component_id").join(ranks, "__row"), "grouped")
     first = grouped.groupBy("component_id").agg(F.min("rank").alias("first"))
-    others = grouped.join(first, "component_id").where("__row != first.__row").select("__row")
-    rest = F.to_json(F.struct(*(F.col(f"`{c}`").cast("string").alias(c) for c in docs.columns if c != "text")))
-    kept = keyed.join(others, "__row", "left_anti")
-    one = kept.groupBy("__row").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), rest).alias("__one"))
-    return one.select("__one.*")
+    others = _store.table(grouped.join(first, "component_id").where("__row != first.__row").select("__row"), "others")
+    sent = marks(others.unionByName(linked.where("times > 1").select("__row")))
+    keyed = keyed.withColumn("__may", marked(sent, F.col("__row")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rest = F.to_json(F.struct(*(c.cast("string") for c in columns)))
+    asked = keyed.where("__may").join(others, "__row", "left_anti")
+    one = asked.groupBy("__row").agg(F.min_by(F.struct(*columns), rest).alias("__one"))
+    return keyed.where("NOT __may").select(*columns).unionByName(one.select("__one.*"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
