@@ -2,7 +2,8 @@
 
 A book is a folder of ROOT: process/manifest.json and process/chunkNNNN.md (its chunks), process/output_chunkNNNN.md,
 process/output_chunkNNNN.meta.json, glossary.json, and what build writes, output.md and book.fb2. Every command works on
-all books of ROOT at once. Exit codes: 0 nothing to report, 1 issues, 2 input that can't be worked on.
+all books of ROOT at once. A file of no bytes counts as absent. Exit codes: 0 nothing to report, 1 issues, 2 input that
+can't be worked on.
 """
 
 from __future__ import annotations
@@ -17,11 +18,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .config import Config, load
 from .functions import clean, text as T
-from .operators import build, contracts as C, glossary as G, payload as P, qa as Q, sections as S, state as ST
+from .operators import build, contracts as C, glossary as G, payload as P, qa as Q, sections as S, state as ST, structure as U
 from .session import session
 from .sources import books as B, sinks
 
 OK, ISSUES, INVALID = 0, 1, 2
+RECORDS = (
+    "book_id string, chunk_no int, glossary_version int, entity_hashes map<string,string>, output_exists boolean, output_size bigint, "
+    "failed boolean, failure_reason string, polish_failed boolean, polish_failure_reason string"
+)
+APPLIED = "book_id string, chunk_no int, hash string"
 
 
 class Books:
@@ -32,13 +38,13 @@ class Books:
 
     def _files(self, place: str, glob: str) -> DataFrame:
         """(book_id, file, text) of the files of every book that fit."""
-        at = F.col("_metadata.file_path")
-        depth = r"/([^/]+)/process/[^/]+$" if place else r"/([^/]+)/[^/]+$"
+        depth = r"/([^/]+)/process/([^/]+)$" if place else r"/([^/]+)/([^/]+)$"
         try:
-            rows = self.spark.read.text(f"{self.root}/*{place}", wholetext=True, pathGlobFilter=glob)
+            rows = B.scan_text_safe(B.binary_files(self.spark, f"{self.root}/*{place}", glob))
         except AnalysisException:  # no such folder in any book
             return self.spark.createDataFrame([], "book_id string, file string, text string")
-        return rows.select(F.regexp_extract(F.url_decode(at), depth, 1).alias("book_id"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
+        at = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+        return rows.select(F.regexp_extract(at, depth, 1).alias("book_id"), F.regexp_extract(at, depth, 2).alias("file"), "text")
 
     def _numbered(self, glob: str) -> DataFrame:
         files = self._files("/process", glob).where(~F.col("file").rlike(r"\.(?:bak|tmp)$|\.polished\.md$"))
@@ -61,13 +67,38 @@ class Books:
     def terms(self) -> DataFrame:
         return G.load_glossary(self._files("", "glossary.json").select("book_id", "text"))
 
+    def polished(self) -> DataFrame:
+        """Polished texts beside the outputs that they are made of, and the backups of applied ones: src, out."""
+        return self._pairs("output_chunk*.polished.md", r"\.polished\.md$", "src", "out")
+
+    def applied_polish(self) -> DataFrame:
+        return self._pairs("output_chunk*.md.bak", r"\.md\.bak$", "out", "src")
+
+    def _pairs(self, glob: str, ending: str, of_output: str, of_other: str) -> DataFrame:
+        files = self._files("/process", glob).where(F.col("file").rlike(ending))
+        other = files.select("book_id", F.regexp_extract("file", r"(\d+)", 1).cast("int").alias("chunk_no"), F.col("text").alias(of_other))
+        return other.join(self.outputs().withColumnRenamed("text", of_output), ["book_id", "chunk_no"])
+
+    def table(self, name: str, schema: str) -> DataFrame:
+        """The current version of a table that commands keep, or an empty one."""
+        try:
+            return sinks.read_snapshot(self.spark, f"{self.root}/.{name}")
+        except AnalysisException:
+            return self.spark.createDataFrame([], schema)
+
+    def records(self) -> DataFrame:
+        return self.table("records", RECORDS)
+
+    def write(self, rows: DataFrame, dealt_by: str = "name") -> dict[str, int]:
+        """Files (name, value) that may replace ones which the rows are made of: a shuffle stands between reading and writing."""
+        return sinks.sink_files(rows.repartition(1 + self.spark.sparkContext.defaultParallelism, dealt_by), self.root)
+
     def write_terms(self, terms: DataFrame) -> None:
         """glossary.json of every book; the old files are read to the end before any is replaced."""
         fields = [c for c in terms.columns if c not in ("book_id", "pos")]
         whole = F.struct(F.lit(2).alias("version"), F.transform(F.array_sort(F.collect_list(F.struct("pos", F.struct(*fields).alias("t")))), lambda x: x.t).alias("terms"))
         made = terms.groupBy("book_id").agg(F.to_json(whole).alias("value")).select(F.concat("book_id", F.lit("/glossary.json")).alias("name"), "value")
-        made = made.repartition(1 + self.spark.sparkContext.defaultParallelism, "name")  # a shuffle stands between reading and writing
-        sinks.sink_files(made, self.root)
+        self.write(made)
 
 
 def _told(rows: DataFrame, order: list[str], show: int = 200) -> int:
@@ -169,11 +200,96 @@ def quality_check(b: Books, a: argparse.Namespace) -> int:
 
 
 def merge_status(b: Books, a: argparse.Namespace) -> int:
-    applied = b.spark.createDataFrame([], "book_id string, chunk_no int, hash string")
-    _told(G.merge_status(b.metas(), b.outputs(), applied), ["book_id"])
+    _told(G.merge_status(b.metas(), b.outputs(), b.table("applied", APPLIED)), ["book_id"])
     return OK
 
 
+def plan(b: Books, a: argparse.Namespace) -> int:
+    planned = ST.plan(b.manifest(), b.chunks(), b.outputs(), b.records(), b.terms(), a.retranslate_untracked)
+    _told(ST.plan_summary(planned), ["book_id", "category"])
+    return _issues(planned.where("category IN ('failed', 'translation') OR polish_failed"), ["book_id", "chunk_no"])
+
+
+def record(b: Books, a: argparse.Namespace) -> int:
+    chunks = P.chunk_range(b.chunks(), a.start, a.end)
+    kept = ST.record(b.records(), chunks, b.outputs(), b.terms(), 2).select(*(c.split()[0] for c in RECORDS.split(", ")))
+    sinks.write_snapshot(kept.withColumn("glossary_version", F.col("glossary_version").cast("int")), f"{b.root}/.records")
+    return OK
+
+
+def mark_failed(b: Books, a: argparse.Namespace) -> int:
+    failures = b.spark.createDataFrame([(a.book, a.chunk, a.reason)], "book_id string, chunk_no int, reason string")
+    had = b.records()
+    if failures.join(had, ["book_id", "chunk_no"]).isEmpty():
+        print("no record of that chunk", file=sys.stderr)
+        return INVALID
+    sinks.write_snapshot(ST.mark_failed(had, failures, a.polish), f"{b.root}/.records")
+    return OK
+
+
+def prepare_batch(b: Books, a: argparse.Namespace) -> int:
+    chunks = b.chunks()
+    tables = G.term_table(G.relevant_terms(b.terms(), chunks, b.config.high_frequency_top_n))
+    tasks = P.chunk_range(P.task_payload(chunks, tables, b.config.context_chars), a.start, a.end)
+    done = sinks.sink_files(tasks.select(F.concat("book_id", F.format_string("/process/task_chunk%04d.md", "chunk_no")).alias("name"), "value"), b.root)
+    print(f"{done['files']} files written")
+    return OK if done["files"] else INVALID
+
+
+def prepare_merge(b: Books, a: argparse.Namespace) -> int:
+    metas, applied = b.metas(), b.table("applied", APPLIED)
+    proposed = G.prepare_merge(metas, b.terms(), applied)
+    sinks.write_plan(proposed, G.consumed_metas(metas, applied), f"{b.root}/.plan")
+    stored = sinks.read_snapshot(b.spark, f"{b.root}/.plan", "plan")[0]
+    return _issues(stored.where("outcome = 'decision'").select("book_id", "id", "kind", "source", "field", "value", F.array_join("options", " | ")), ["book_id", "id"])
+
+
+def apply_merge(b: Books, a: argparse.Namespace) -> int:
+    """Plan of prepare-merge, decisions in a folder of book.json files."""
+    proposed, consumed = sinks.read_snapshot(b.spark, f"{b.root}/.plan", "plan", "consumed")
+    files = b.spark.read.text(a.decisions, wholetext=True, pathGlobFilter="*.json") if a.decisions else b.spark.createDataFrame([], "value string")
+    book = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), r"([^/]+)\.json$", 1) if a.decisions else F.lit("")
+    decisions = G.parse_decisions(files.select(book.alias("book_id"), F.col("value").alias("text")))
+    faulty = G.validate_decisions(proposed, decisions)
+    if _told(faulty, ["book_id", "id"]):
+        return INVALID
+    terms, applied = G.finish_merge(proposed, consumed, b.terms(), b.table("applied", APPLIED), decisions)
+    b.write_terms(terms)
+    sinks.write_snapshot(applied.select("book_id", F.col("chunk_no").cast("int"), "hash"), f"{b.root}/.applied")
+    return OK
+
+
+def apply_polish(b: Books, a: argparse.Namespace) -> int:
+    pairs = b.polished().join(C.polish_contract(b.polished(), b.config.polish), ["book_id", "chunk_no"])
+    output = F.concat("book_id", F.format_string("/process/output_chunk%04d.md", "chunk_no"))
+    files = F.array(F.struct(F.concat(output, F.lit(".bak")).alias("name"), F.col("src").alias("value")), F.struct(output.alias("name"), F.col("out").alias("value")))
+    b.write(pairs.where("reasons = ''").select("book_id", "chunk_no", F.explode(files).alias("f")).select("f.name", "f.value"))
+    return _issues(pairs.where("reasons != ''").select("book_id", "chunk_no", "reasons"), ["book_id", "chunk_no"])
+
+
+def verify_polish(b: Books, a: argparse.Namespace) -> int:
+    return _issues(C.verify_polish(b.applied_polish(), b.config.polish).where("reasons != ''"), ["book_id", "chunk_no"])
+
+
+def _payload(b: Books, rows: DataFrame, name: str, save: bool) -> int:
+    if save:
+        return OK if sinks.sink_files(rows.select(F.concat("book_id", F.lit(f"/process/{name}.json")).alias("name"), F.col("payload").alias("value")), b.root)["files"] else INVALID
+    return OK if _told(rows, ["book_id"]) else INVALID
+
+
+def pronoun_check(b: Books, a: argparse.Namespace) -> int:
+    return _payload(b, P.pronoun_payload(b.terms(), b.metas(), b.outputs(), b.config.payload), "pronouns", a.save)
+
+
+def post_mortem(b: Books, a: argparse.Namespace) -> int:
+    manifest = b.manifest()
+    labels = manifest.select("book_id", "chunk_no", F.col("section_title").alias("label"))
+    found = "issues array<struct<severity:string,category:string>>"
+    issues = b._numbered("output_chunk*.qa.json").select("book_id", "chunk_no", F.explode(F.from_json("text", found)["issues"]).alias("i")).select("book_id", "chunk_no", "i.*")
+    rows = P.post_mortem_payload(manifest, U.narrative_arcs(labels), issues, b.config.payload, metas=b.metas(), sections=manifest)
+    return _payload(b, rows, "post_mortem", a.save)
+
+
 def build_books(b: Books, a: argparse.Namespace) -> int:
     author = T.fill_author(F.lit(a.author))
     headers = b.manifest().select("book_id").distinct().select("book_id", F.coalesce(F.lit(a.title), "book_id").alias("title"), author.alias("author"), F.lit(a.lang).alias("lang"), F.lit(datetime.now(timezone.utc).date().isoformat()).alias("date"))
@@ -237,6 +353,16 @@ COMMANDS: dict[str, tuple[Callable[[Books, argparse.Namespace], int], tuple]] =
     "check-metas": (check_metas, ()),
     "quality-check": (quality_check, (*_RANGE, ("--strict", _FLAG))),
     "merge-status": (merge_status, ()),
+    "prepare-merge": (prepare_merge, ()),
+    "apply-merge": (apply_merge, (("--decisions", {}),)),
+    "plan": (plan, (("--retranslate-untracked", _FLAG),)),
+    "record": (record, _RANGE),
+    "mark-failed": (mark_failed, (("book", {}), ("chunk", {"type": int}), ("reason", {}), ("--polish", _FLAG))),
+    "prepare-batch": (prepare_batch, _RANGE),
+    "apply-polish": (apply_polish, ()),
+    "verify-polish": (verify_polish, ()),
+    "pronoun-check": (pronoun_check, (("--save", _FLAG),)),
+    "post-mortem": (post_mortem, (("--save", _FLAG),)),
     "build": (build_books, (("--title", {}), ("--author", {"default": ""}), ("--lang", {"default": "ru"}), ("--no-fb2", _FLAG))),
     "save-state": (save_state, (("book", {}), ("step", {"type": int}), ("--note", {}), ("--set", {"action": "append"}), ("--set-int", {"action": "append"}), ("--append-list", {"action": "append"}))),
     "load-state": (load_state, ()),

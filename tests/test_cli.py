@@ -74,3 +74,47 @@ def test_states_and_exploring(spark, root, capsys):
     assert code == cli.OK and "b\t1,2\t2\t1\tfirst" in out and "b\tl\tlist\tx,y" in out and "b\tn\tint\t7" in out
     code, out = run(spark, capsys, "explore", root, root.parent / "in")
     assert code == cli.OK and "creator\tAnn Bee; Cy Dee" in out and "Inner" in out
+
+
+def test_planning_merging_and_polishing(spark, root, capsys):
+    book = root / "plain book"
+    (book / "glossary.json").write_text(json.dumps({"terms": [{"source": "Ann", "target": "Анна", "id": "ann"}]}))
+    (root / "glass/glossary.json").write_text(json.dumps({"terms": []}))
+    assert run(spark, capsys, "prepare-batch", root, "--end", 1)[0] == cli.OK and "| Ann |  | Анна |" in (book / "process/task_chunk0001.md").read_text()
+    for k in (1, 2):
+        (book / f"process/output_chunk000{k}.md").write_text((book / f"process/chunk000{k}.md").read_text())
+    metas = {1: {"new_entities": [{"source": "Zed", "target_proposal": "Зед"}]}, 2: {"new_entities": [{"source": "Ann", "target_proposal": "Анн"}]}}
+    for k, m in metas.items():
+        (book / f"process/output_chunk000{k}.meta.json").write_text(json.dumps(m))
+    code, out = run(spark, capsys, "plan", root)
+    assert code == cli.ISSUES and "glass\t1\ttranslation" in out and "plain book\trecord_only\t2" in out
+    assert run(spark, capsys, "record", root)[0] == cli.OK and run(spark, capsys, "mark-failed", root, "plain book", 2, "bad")[0] == cli.OK
+    assert run(spark, capsys, "mark-failed", root, "plain book", 9, "bad")[0] == cli.INVALID
+    code, out = run(spark, capsys, "plan", root)
+    assert "plain book\tunchanged\t1" in out and "plain book\t2\tfailed" in out
+    code, out = run(spark, capsys, "prepare-merge", root)
+    assert code == cli.ISSUES and "existing_entity_conflict" in out
+    asked = out.split("\t")[1]
+    chosen = root.parent / "decisions"
+    chosen.mkdir()
+    (chosen / "plain book.json").write_text(json.dumps([{"id": asked, "choice": "nonsense"}]))
+    assert run(spark, capsys, "apply-merge", root, "--decisions", chosen)[0] == cli.INVALID
+    (chosen / "plain book.json").write_text(json.dumps([{"id": asked, "choice": "Анн"}]))
+    assert run(spark, capsys, "apply-merge", root, "--decisions", chosen)[0] == cli.OK
+    terms = {t["source"]: t for t in json.loads((book / "glossary.json").read_text())["terms"]}
+    assert terms["Ann"]["target"] == "Анн" and terms["Zed"]["target"] == "Зед"
+    assert run(spark, capsys, "prepare-merge", root)[0] == cli.OK
+    code, out = run(spark, capsys, "merge-status", root)
+    assert "plain book\t2\t0\t0\t0" in out
+    before = (book / "process/output_chunk0001.md").read_text()
+    (book / "process/output_chunk0001.polished.md").write_text(before + " And a little more.")
+    (book / "process/output_chunk0002.polished.md").write_text(" \n")
+    code, out = run(spark, capsys, "apply-polish", root)
+    assert code == cli.ISSUES and "plain book\t2\tpolished_empty" in out
+    assert (book / "process/output_chunk0001.md").read_text().endswith("more.") and (book / "process/output_chunk0001.md.bak").read_text() == before
+    assert run(spark, capsys, "verify-polish", root)[0] == cli.OK
+    assert run(spark, capsys, "pronoun-check", root, "--save")[0] == cli.OK and json.loads((book / "process/pronouns.json").read_text())["glossary"]
+    (book / "process/output_chunk0001.qa.json").write_text(json.dumps({"issues": [{"severity": "high", "category": "x"}]}))
+    assert run(spark, capsys, "post-mortem", root, "--save")[0] == cli.OK
+    told = json.loads((book / "process/post_mortem.json").read_text())
+    assert told["chunks"] == 2 and told["issues"][0]["severity"] == "high" and told["metas"]["chunk0001"]["new_entities"] and told["sections"]["chunk0002"] == {"section_title": "Two"}
