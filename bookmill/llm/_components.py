@@ -19,7 +19,10 @@ def _large(e: DataFrame) -> DataFrame:
 
 def _small(e: DataFrame) -> DataFrame:
     near = _with_least(e)
-    return near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v"))).where("u != v").distinct()
+    return (
+        near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v")))
+        .where("u != v").distinct()
+    )
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -178,7 +178,10 @@ def _keep(docs: DataFrame, keep: list[str]) -> str:
     return ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), memo_entries: int = 400_000) -> DataFrame:
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
+    memo_entries: int = 400_000
+) -> DataFrame:
     """The columns `keep` and `ids`: each text's ids as little-endian unsigned 32-bit integers."""
     ranks = load_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast((ranks, PerfectHash(ranks)))  # of the vocabulary's size
@@ -189,7 +192,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text"
         for b in batches:
             texts = [x or "" for x in b.column(k).to_pylist()]
             for i, j in slices(texts, 1 << 21):
-                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in range(k)), pa.array(encoder.encode(texts[i:j]), pa.binary())], names=[*keep, "ids"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(b.column(c).slice(i, j - i) for c in range(k)),
+                        pa.array(encoder.encode(texts[i:j]), pa.binary())
+                    ],
+                    names=[*keep, "ids"]
+                )
 
     return docs.select(*keep, F.col(text).alias("__text")).transform(arrow_map, run, f"{_keep(docs, list(keep))}, ids binary")
 

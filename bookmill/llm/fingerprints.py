@@ -51,7 +51,10 @@ def bin_values(text: Column, shingle: int = 5) -> Column:
     marks = _numbers([(b << VALUE_BITS) | _VALUE for b in range(-BINS // 2, BINS // 2)], "bigint")
 
     def hashes(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - shingle + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, shingle)))
+        return F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size(w) - shingle + 1, F.lit(1))),
+            lambda i: F.xxhash64(F.slice(w, i, shingle))
+        )
 
     def least(s: Column) -> Column:
         return F.filter(s, lambda x, i: (i == 0) | (F.shiftright(x, VALUE_BITS) != F.shiftright(F.get(s, i - 1), VALUE_BITS)))
@@ -67,11 +70,16 @@ def bin_values(text: Column, shingle: int = 5) -> Column:
             rest = F.filter(F.transform(F.sequence(F.lit(_PROBES), F.lit(BINS - 1)), lambda t: probe(j, t)), lambda v: v.isNotNull())
             return F.coalesce(value(j), *(probe(j, F.lit(t)) for t in range(_PROBES)), F.get(rest, F.lit(0)))
 
-        return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda j: (of(j).bitwiseAND(F.lit((1 << LOW_BITS) - 1)) - 128).cast("tinyint"))
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(BINS - 1)),
+            lambda j: (of(j).bitwiseAND(F.lit((1 << LOW_BITS) - 1)) - 128).cast("tinyint")
+        )
 
     return let(
         _words(text),
-        lambda w: F.when(F.size(w) == 0, F.array().cast("array<tinyint>")).otherwise(let(let(F.sort_array(F.concat(hashes(w), marks)), least), filled)),
+        lambda w: F.when(F.size(w) == 0, F.array().cast("array<tinyint>")).otherwise(
+            let(let(F.sort_array(F.concat(hashes(w), marks)), least), filled)
+        ),
     )
 
 
@@ -89,7 +97,9 @@ def likeness(a: Column, b: Column) -> Column:
         same = F.size(F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.get(x, i) == F.get(y, i))) / F.lit(float(BINS))
         return F.greatest(F.lit(0.0), (same - chance) / (1.0 - chance))
 
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), ((F.size(a) == 0) & (F.size(b) == 0)).cast("double")).otherwise(let(a, lambda x: let(b, lambda y: of(x, y))))
+    return F.when(
+        (F.size(a) == 0) | (F.size(b) == 0), ((F.size(a) == 0) & (F.size(b) == 0)).cast("double")
+    ).otherwise(let(a, lambda x: let(b, lambda y: of(x, y))))
 
 
 def _blocks(key: Column, docs: DataFrame, rows: int, most: int) -> tuple[Column, Column, int]:
@@ -100,7 +110,10 @@ def _blocks(key: Column, docs: DataFrame, rows: int, most: int) -> tuple[Column,
     bounds = sorted({least, *(inner or [])} - {None}) or [0]
     at = _numbers(bounds, "bigint")
     steps = _numbers([1 << k for k in range(len(bounds).bit_length(), -1, -1)], "int")
-    block = F.aggregate(steps, F.lit(0), lambda low, s: F.when((low + s < len(bounds)) & (F.get(at, low + s) <= key), low + s).otherwise(low))
+    block = F.aggregate(
+        steps, F.lit(0),
+        lambda low, s: F.when((low + s < len(bounds)) & (F.get(at, low + s) <= key), low + s).otherwise(low)
+    )
     return block, F.get(at, F.col("_block")), len(bounds)
 
 
@@ -116,7 +129,10 @@ def with_next(docs: DataFrame, key: Column, columns: list[str], *, rows: int = 1
     before = F.struct(((F.col("_block") + n - 1) % n).alias("at"), F.lit(1).alias("mark"))
     dealt = placed.withColumn("_to", F.explode(F.when(F.col("_key") == F.col("_start"), F.array(own, before)).otherwise(F.array(own))))
     w = Window.partitionBy("_to.at").orderBy("_to.mark", "_key", *columns)
-    return dealt.select("*", *(F.lead(c).over(w).alias(f"next_{c}") for c in columns)).where(F.col("_to.mark") == 0).drop("_key", "_block", "_start", "_to")
+    return (
+        dealt.select("*", *(F.lead(c).over(w).alias(f"next_{c}") for c in columns)).where(F.col("_to.mark") == 0)
+        .drop("_key", "_block", "_start", "_to")
+    )
 
 
 def fingerprint(docs: DataFrame, *, text: str = "text", into: str = "fingerprint") -> DataFrame:
@@ -134,6 +150,8 @@ def fingerprint_edits(docs: DataFrame, *, text: str = "text", doc_id: str = "doc
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut)))
     rows = rows.withColumn("edited_bins", bin_values(F.col("edited")))
     return rows.select(
-        "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), pack(F.col("bins")).alias("fingerprint"), pack(F.col("edited_bins")).alias("edited_fingerprint"),
-        likeness(F.col("bins"), F.col("edited_bins")).alias("near_edited"), likeness(F.col("bins"), F.col("next_bins")).alias("near_next"),
-    )
+        "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        pack(F.col("bins")).alias("fingerprint"), pack(F.col("edited_bins")).alias("edited_fingerprint"),
+        likeness(F.col("bins"), F.col("edited_bins")).alias("near_edited"),
+        likeness(F.col("bins"), F.col("next_bins")).alias("near_next"),
+    )

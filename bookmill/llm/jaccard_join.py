@@ -92,7 +92,12 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterato
             yield b, i, j, *token_sets(texts[i:j], size)
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("other", pa.int64()), ("slice", pa.int32()), ("lane", pa.int32()), ("counters", pa.binary())])
+_SETS = pa.schema(
+    [
+        ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("other", pa.int64()), ("slice", pa.int32()),
+        ("lane", pa.int32()), ("counters", pa.binary())
+    ]
+)
 
 
 def _describe(size: int, seed: int):
@@ -106,9 +111,22 @@ def _describe(size: int, seed: int):
             np.add.at(counters, (h[is_new(cls)[doc]] >> U(TOKEN_BITS - COUNTER_BITS)).astype(np.int64), np.uint32(1))
             none = pa.nulls(j - i)
             ids = [pa.array(x.view(np.int64)) for x in (cls, other)]
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), *ids, none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=_SETS)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column(0).slice(i, j - i), pa.array(n), *ids, none.cast(pa.int32()), none.cast(pa.int32()),
+                    none.cast(pa.binary())
+                ],
+                schema=_SETS
+            )
         lane = TaskContext.get().partitionId() % LANES
-        yield _batch(_SETS, [(None, None, None, None, k, lane, _packed(counters[k * SLICE : (k + 1) * SLICE])) for k in range(len(counters) // SLICE) if counters[k * SLICE : (k + 1) * SLICE].any()])
+        yield _batch(
+            _SETS,
+            [
+                (
+                    None, None, None, None, k, lane, _packed(counters[k * SLICE : (k + 1) * SLICE])
+                ) for k in range(len(counters) // SLICE) if counters[k * SLICE : (k + 1) * SLICE].any()
+            ]
+        )
 
     return run
 
@@ -141,10 +159,15 @@ def _slice_levels(least: float):
 
 def _levels(sets: DataFrame, least: float) -> np.ndarray:
     """How frequent a counter's tokens are, a byte each."""
-    lanes = sets.where("slice IS NOT NULL").select("slice", "lane", "counters").groupBy("slice", "lane").applyInArrow(_lane_sums, "slice int, counters binary")
+    lanes = (
+        sets.where("slice IS NOT NULL").select("slice", "lane", "counters").groupBy("slice", "lane")
+        .applyInArrow(_lane_sums, "slice int, counters binary")
+    )
     out = np.zeros(1 << COUNTER_BITS, np.uint8)
     for r in lanes.groupBy("slice").applyInArrow(_slice_levels(least), "slice int, levels binary").collect():  # 4 MB at most in all
-        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r["levels"])), np.uint8)
+        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(
+            zstandard.ZstdDecompressor().decompress(bytes(r["levels"])), np.uint8
+        )
     return out
 
 
@@ -245,7 +268,18 @@ def _deal_tokens(size: int, seed: int, levels, parts: int, chunk: int):
             at = np.repeat(first[of] - (np.cumsum(m[of]) - m[of]), m[of]) + np.arange(int(m[of].sum()))
             token, rank, part = h[hot][at], rank[hot][at], range_of(cls[of], parts)
             bounds, ends = np.searchsorted(part, np.arange(parts + 1)), np.append(0, np.cumsum(m[of]))
-            yield _batch(_BLOCKS, [(k, True, _own_block(cls[of[a:b]], n[of[a:b]], m[of[a:b]], token[ends[a] : ends[b]], rank[ends[a] : ends[b]])) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b])
+            yield _batch(
+                _BLOCKS,
+                [
+                    (
+                        k, True,
+                        _own_block(
+                            cls[of[a:b]], n[of[a:b]], m[of[a:b]], token[ends[a] : ends[b]], rank[ends[a] : ends[b]]
+                        )
+                    ) for k,
+                    (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b
+                ]
+            )
             if total >= chunk:
                 yield flush()
                 total = 0
@@ -285,7 +319,12 @@ def _count_tokens(parts: int):
     return run
 
 
-_POINTS = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("vec", pa.binary()), ("tokens", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
+_POINTS = pa.schema(
+    [
+        ("node", pa.int64()), ("n", pa.int64()), ("vec", pa.binary()), ("tokens", pa.list_(pa.int64())),
+        ("prefix", pa.list_(pa.int64()))
+    ]
+)
 POINTS = "node bigint, n bigint, vec binary, tokens array<bigint>, prefix array<bigint>"
 
 
@@ -321,7 +360,9 @@ def _make_points(percent: int, most: int = 1 << 20):
         at_first = np.zeros(len(m), np.int64)
         at_first[first] = np.arange(len(first))
         n = n[first]
-        token, cls, count = (np.concatenate(x) for x in zip(*map(_shared, posts), strict=True)) if posts else (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+        token, cls, count = (np.concatenate(x) for x in zip(*map(_shared, posts), strict=True)) if posts else (
+            np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        )
         del own, posts
         at = np.concatenate([np.searchsorted(names, cls), at_first[from_own[keep]]])
         token = np.concatenate([token, hot[keep]])
@@ -344,7 +385,12 @@ def _make_points(percent: int, most: int = 1 << 20):
             own_tokens = token[starts[i] : starts[j]]
             vec = count_vectors(own_tokens, np.repeat(np.arange(j - i), shared[i:j]), j - i)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[of[i:j]].view(np.int64)), pa.array(n[of[i:j]]), pa.array([v.tobytes() for v in vec], pa.binary()), _lists(own_tokens, shared[i:j]), _lists(prefix[ends[i] : ends[j]], lengths[i:j])], schema=_POINTS
+                [
+                    pa.array(names[of[i:j]].view(np.int64)), pa.array(n[of[i:j]]),
+                    pa.array([v.tobytes() for v in vec], pa.binary()), _lists(own_tokens, shared[i:j]),
+                    _lists(prefix[ends[i] : ends[j]], lengths[i:j])
+                ],
+                schema=_POINTS
             )
             i = j
 
@@ -456,7 +502,9 @@ def resolve(n: np.ndarray, tokens: np.ndarray, at: np.ndarray, percent: int) ->
     for k in range(m):
         joined = {int(root[k])}
         for h in tree.search(vec[k], int(n[k]), int(root[k]), percent).tolist():
-            if int(root[h]) not in joined and (100 + percent) * _overlap(tokens[at[k] : at[k + 1]], tokens[at[h] : at[h + 1]]) >= percent * int(n[k] + n[h]):
+            if int(root[h]) not in joined and (100 + percent) * _overlap(
+                tokens[at[k] : at[k + 1]], tokens[at[h] : at[h + 1]]
+            ) >= percent * int(n[k] + n[h]):
                 joined.add(int(root[h]))
         if len(joined) > 1:
             root[np.isin(root, list(joined))] = min(joined)
@@ -481,7 +529,9 @@ def _resolved(percent: int):
     return run
 
 
-def tree_pairs(node: np.ndarray, vec: np.ndarray, n: np.ndarray, root: np.ndarray, probe: np.ndarray, percent: int, earlier=None) -> np.ndarray:
+def tree_pairs(
+    node: np.ndarray, vec: np.ndarray, n: np.ndarray, root: np.ndarray, probe: np.ndarray, percent: int, earlier=None
+) -> np.ndarray:
     """Pairs (a < b) of a probe and another row, of different components, whose bound reaches the threshold.
 
     earlier(k): tokens before the group's that row k has; a pair that shares one of them is found there.
@@ -526,7 +576,10 @@ def _largest_groups(postings: DataFrame, points: DataFrame, group_rows: int, hub
     hub = (chunks > 1) & (F.pmod(F.xxhash64("node", F.lit(7)), F.ceil(F.col("m") / hubs)) == 0)
     one = F.array(F.pmod(F.xxhash64("node"), chunks).cast("int"))
     dealt = own.withColumn("chunk", F.explode(F.when(hub, F.sequence(F.lit(0), chunks - 1)).otherwise(one)))
-    return dealt.join(points.select("node", "n", "tokens"), "node").select("token", "chunk", "node", "n", "tokens").repartition("token", "chunk").sortWithinPartitions("token", "chunk")
+    return (
+        dealt.join(points.select("node", "n", "tokens"), "node").select("token", "chunk", "node", "n", "tokens")
+        .repartition("token", "chunk").sortWithinPartitions("token", "chunk")
+    )
 
 
 def _mixed_groups(rooted: DataFrame, points: DataFrame, group_rows: int, first: int = 64) -> DataFrame:
@@ -535,11 +588,21 @@ def _mixed_groups(rooted: DataFrame, points: DataFrame, group_rows: int, first:
     Each row has the least `first` such tokens of its class, by which a pair of several groups is left to its first; should
     that be further on in the list, the pair is found in more groups.
     """
-    by_root = rooted.groupBy("token", "root").agg(F.count("*").alias("m"), *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)))
-    by_token = by_root.groupBy("token").agg(F.count("*").alias("roots"), F.sum("m").alias("m"), F.max(F.struct("m", "root")).alias("most"), F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2")).where("roots > 1")
+    by_root = rooted.groupBy("token", "root").agg(
+        F.count("*").alias("m"), *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2))
+    )
+    by_token = (
+        by_root.groupBy("token")
+        .agg(
+            F.count("*").alias("roots"), F.sum("m").alias("m"), F.max(F.struct("m", "root")).alias("most"),
+            F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2")
+        )
+        .where("roots > 1")
+    )
     groups = by_token.groupBy("m", "x1", "x2").agg(F.min(F.struct("token", "most")).alias("g"))
     groups = groups.select(
-        "g.token", F.col("g.most.root").alias("most"), F.ceil(F.col("m") / group_rows).cast("int").alias("r"), F.ceil((F.col("m") - F.col("g.most.m")) / group_rows).cast("int").alias("s")
+        "g.token", F.col("g.most.root").alias("most"), F.ceil(F.col("m") / group_rows).cast("int").alias("r"),
+        F.ceil((F.col("m") - F.col("g.most.m")) / group_rows).cast("int").alias("s")
     )
     rows = rooted.join(groups, "token")
     firsts = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("token")), 1, first).alias("first"))
@@ -548,13 +611,21 @@ def _mixed_groups(rooted: DataFrame, points: DataFrame, group_rows: int, first:
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
     probes = rows.where("root != most").withColumns({"probe": F.lit(True), "i": at("s")}).withColumn("j", every("r"))
     builds = rows.withColumns({"probe": F.lit(False), "j": at("r")}).withColumn("i", every("s"))
-    return probes.unionByName(builds).select("token", "i", "j", "probe", "node", "root", "n", "vec", "first").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return (
+        probes.unionByName(builds).select("token", "i", "j", "probe", "node", "root", "n", "vec", "first")
+        .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    )
 
 
 def _verified(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """The linked ones among pairs (a, b), by their token sets."""
     for side in ("a", "b"):
-        pairs = pairs.join(points.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n"), F.col("tokens").alias(f"{side}_tokens")), side)
+        pairs = pairs.join(
+            points.select(
+                F.col("node").alias(side), F.col("n").alias(f"{side}_n"), F.col("tokens").alias(f"{side}_tokens")
+            ),
+            side
+        )
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
     return pairs.where((100 + percent) * both >= percent * (F.col("a_n") + F.col("b_n"))).select("a", "b")
 
@@ -563,8 +634,17 @@ def _sets(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame, int]:
     """Each text's size and class (and the counters), the classes with a document of each, and the seed of their hash."""
     seed = 0
     while True:
-        sets = _store.table(rows.transform(arrow_map, _describe(size, seed), "doc_id bigint, n bigint, cls bigint, other bigint, slice int, lane int, counters binary"), "sets")
-        found = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("other").alias("low"), F.max("other").alias("high"))
+        sets = _store.table(
+            rows.transform(
+                arrow_map, _describe(size, seed),
+                "doc_id bigint, n bigint, cls bigint, other bigint, slice int, lane int, counters binary"
+            ),
+            "sets"
+        )
+        found = (
+            sets.where("n > 0").groupBy("cls")
+            .agg(F.min("doc_id").alias("rep"), F.min("other").alias("low"), F.max("other").alias("high"))
+        )
         classes = _store.table(found, "classes")
         if classes.where("low != high").isEmpty():
             return sets, classes.select("cls", "rep"), seed
@@ -573,7 +653,11 @@ def _sets(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame, int]:
         seed += 1
 
 
-def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, part_tokens: int = 2_000_000, chunk_tokens: int = 1_000_000, group_rows: int = 512, hot_least: int = 1024, hot_times: int = 8) -> DataFrame:
+def link(
+    docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80,
+    part_tokens: int = 2_000_000, chunk_tokens: int = 1_000_000, group_rows: int = 512, hot_least: int = 1024,
+    hot_times: int = 8
+) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     part_tokens: tokens to a range; chunk_tokens: tokens sorted in memory at once; a token is frequent
@@ -598,13 +682,22 @@ def link(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: i
     postings = points.select("node", F.explode("prefix").alias("token"))
     many = postings.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
     postings = _store.table(postings.join(many, "token").select("token", "node", "m"), "postings")
-    found = _store.table(_largest_groups(postings, points, group_rows).transform(arrow_map, _resolved(percent), "a bigint, b bigint"), "links")
+    found = _store.table(
+        _largest_groups(postings, points, group_rows).transform(arrow_map, _resolved(percent), "a bigint, b bigint"),
+        "links"
+    )
     rooted = _rooted(postings.select("token", "node"), components(found))
-    likely = _store.table(_mixed_groups(rooted, points, group_rows).transform(arrow_map, _searched(percent), "a bigint, b bigint").distinct(), "likely")
+    likely = _store.table(
+        _mixed_groups(rooted, points, group_rows).transform(arrow_map, _searched(percent), "a bigint, b bigint")
+        .distinct(),
+        "likely"
+    )
     comps = _store.table(components(found.unionByName(_verified(likely, points, percent))), "components")
     for done in (points, postings, found, likely):
         _store.drop(done)
     least = _rooted(classes.withColumnRenamed("cls", "node"), comps)
-    least = least.join(least.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select(F.col("node").alias("cls"), "component_id")
+    least = least.join(
+        least.groupBy("root").agg(F.min("rep").alias("component_id")), "root"
+    ).select(F.col("node").alias("cls"), "component_id")
     linked = sets.where("n > 0").join(least, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))

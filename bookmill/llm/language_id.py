@@ -147,19 +147,33 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sums[lang] = sums.get(lang, 0) + np.bincount(gram[own[doc]], minlength=BUCKETS)
     for lang, s in sums.items():
         at = np.flatnonzero(s)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(s[at], pa.int64())], schema=_COUNTS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(s[at], pa.int64())],
+            schema=_COUNTS
+        )
 
 
-def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = 2000, most_languages: int = 200) -> Model:
+def train(
+    docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = 2000,
+    most_languages: int = 200
+) -> Model:
     """Learn from about `per_language` documents of each of the `most_languages` most frequent languages."""
-    rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("t"), F.col(doc_id).alias("i")).where("lang IS NOT NULL AND t IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
+    rows = docs.select(
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("t"), F.col(doc_id).alias("i")
+    ).where("lang IS NOT NULL AND t IS NOT NULL")
+    sizes = {
+        r["lang"]: r["n"] for r in rows.groupBy("lang").agg(
+            F.count("*").alias("n")
+        ).orderBy(F.desc("n"), "lang").limit(most_languages).collect()
+    }
     languages = sorted(sizes)
     counts = np.zeros((len(languages), BUCKETS))
     if languages:
         fraction = F.create_map(*(F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, per_language / n))))
         sample = rows.where(F.pmod(F.xxhash64("i"), F.lit(1 << 20)) < fraction[F.col("lang")] * float(1 << 20))
-        for r in sample.select("lang", "t").transform(arrow_map, _count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():
+        for r in sample.select("lang", "t").transform(
+            arrow_map, _count, "lang string, bucket int, n bigint"
+        ).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():
             counts[languages.index(r["lang"]), r["bucket"]] = r["n"]  # at most BUCKETS rows a language
     return Model(languages, counts)
 
@@ -178,7 +192,10 @@ def _ranked(shares: np.ndarray, names: pa.Array) -> tuple[pa.Array, ...]:
     return names.take(pa.array(np.where(top > 0, order[:, 0], none))), pa.array(top), text, values
 
 
-def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str], language: str = "lang_pred", score: str = "score", languages: str = "languages", shares: str = "shares") -> DataFrame:
+def predict(
+    docs: DataFrame, model: Model, *, text: str = "text", keep: list[str], language: str = "lang_pred",
+    score: str = "score", languages: str = "languages", shares: str = "shares"
+) -> DataFrame:
     """The columns `keep` of docs with each text's language and its share, and all its languages with their shares."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = [docs.schema[k] for k in keep]

@@ -193,7 +193,10 @@ def _merge_words(folder: str, word_parts: int):
     def merge(part: int, blocks: list[list[np.ndarray]]) -> pa.RecordBatch:
         if part == word_parts:
             return _batch(_MADE, [("pairs", [*np.sum([n for _, _, n in blocks], 0).tolist(), 0, 0, 0])])
-        words, _, _, *stats = _group(np.concatenate([b[0] for b in blocks]), *(np.concatenate(x) for x in zip(*(b[2:] for b in blocks), strict=True)))
+        words, _, _, *stats = _group(
+            np.concatenate([b[0] for b in blocks]),
+            *(np.concatenate(x) for x in zip(*(b[2:] for b in blocks), strict=True))
+        )
         path = _path(folder, "words", part)
         for name, s in zip(STATS, stats, strict=True):
             _store.write(f"{path}.{name}", _npy(s.astype(np.uint32) if s.max() < 2**32 else s))
@@ -280,10 +283,15 @@ def score_texts(model: KneserNey, texts: list[bytes]) -> tuple[np.ndarray, ...]:
     p = _discount(pair, model.pair_d) / seen[at_prev] + gamma[at_prev] * lower[at_cur]
     first = np.cumsum(n) - n
     base = np.log10((c + 1.0) / (model.tokens + model.vocabulary + 1.0))
-    return n, np.add.reduceat((c > 0).astype(np.int64)[at_cur], first), np.add.reduceat(base[at_cur], first), np.add.reduceat(np.log10(p), first)
+    return n, np.add.reduceat(
+        (c > 0).astype(np.int64)[at_cur], first
+    ), np.add.reduceat(base[at_cur], first), np.add.reduceat(np.log10(p), first)
 
 
-def train(docs: DataFrame, *, text: str = "text", chunk_tokens: int = 2_500_000, part_bytes: int = 24 << 20, word_part_bytes: int = 128 << 20) -> KneserNey:
+def train(
+    docs: DataFrame, *, text: str = "text", chunk_tokens: int = 2_500_000, part_bytes: int = 24 << 20,
+    word_part_bytes: int = 128 << 20
+) -> KneserNey:
     """Count the texts of `docs`. chunk_tokens: tokens counted in memory at once; part_bytes: text to a range of pairs."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
@@ -309,7 +317,12 @@ def train(docs: DataFrame, *, text: str = "text", chunk_tokens: int = 2_500_000,
     )
 
 
-_SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+_SCORES = pa.schema(
+    [
+        ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+        ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())
+    ]
+)
 
 
 def score(docs: DataFrame, model: KneserNey, *, text: str = "text", doc_id: str = "doc_id", held_out: Column) -> DataFrame:
@@ -321,7 +334,11 @@ def score(docs: DataFrame, model: KneserNey, *, text: str = "text", doc_id: str
             for i, j in slices(texts, 1 << 23):
                 n, known, base, own = score_texts(model, texts[i:j])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), *map(pa.array, (n, known, np.full(j - i, model.tokens), base, own))], schema=_SCORES
+                    [
+                        b.column(0).slice(i, j - i), b.column(1).slice(i, j - i),
+                        *map(pa.array, (n, known, np.full(j - i, model.tokens), base, own))
+                    ],
+                    schema=_SCORES
                 )
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text).cast("binary").alias("t")).transform(arrow_map, 

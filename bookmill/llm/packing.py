@@ -157,7 +157,12 @@ def _visible() -> dict[int, int]:
 
 
 _VISIBLE = _visible()
-_PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+_PIECES = pa.schema(
+    [
+        ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
+        ("ids_crc32", pa.int64())
+    ]
+)
 
 
 class WordIds(dict):
@@ -231,28 +236,40 @@ def _place(table):
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id: str = "doc_id", capacity: int = 4096, end: int = 1, memo_words: int = 150_000, part_rows: int = 100_000
-) -> DataFrame:
+    docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id: str = "doc_id", capacity: int = 4096, end: int = 1,
+    memo_words: int = 150_000, part_rows: int = 100_000
+) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. tokenizer: the file's path on every worker.
 
     The pieces of one length are numbered in hash parts of about `part_rows`, so a frequent length is not one task's.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
-    pieces = _store.table(rows.transform(arrow_map, _encode(tokenizer, capacity, end, memo_words), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"), "pieces")
+    pieces = _store.table(
+        rows.transform(
+            arrow_map, _encode(tokenizer, capacity, end, memo_words),
+            "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+        ),
+        "pieces"
+    )
     count = np.zeros(capacity + 1, np.int64)
     for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():  # at most capacity rows
         count[r["length"]] = r["n"]
     parts = [(size, 1 + int(count[size]) // part_rows) for size in np.flatnonzero(count).tolist()]
     dealt = F.broadcast(spark.createDataFrame(parts, "length bigint, parts bigint"))
-    salted = pieces.join(dealt, "length").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("parts"))).select(*pieces.columns, "part")
+    salted = (
+        pieces.join(dealt, "length").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("parts")))
+        .select(*pieces.columns, "part")
+    )
     before = {size: np.zeros(k, np.int64) for size, k in parts}
     for r in salted.groupBy("length", "part").agg(F.count("*").alias("n")).collect():  # at most capacity rows, and one for each part_rows pieces
         before[r["length"]][r["part"]] = r["n"]
     first = spark.sparkContext.broadcast({size: np.cumsum(n) - n for size, n in before.items()})
     table = spark.sparkContext.broadcast(places(pack_lengths(count, capacity), capacity))
     w = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
-    numbered = salted.withColumn("k", (F.row_number().over(w) - 1).cast("long")).select("doc_id", "piece", "start", "length", "ids_crc32", "k", "part")
+    numbered = salted.withColumn("k", (F.row_number().over(w) - 1).cast("long")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "k", "part"
+    )
 
     def shift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -261,6 +278,11 @@ def pack(
             for size in np.unique(length).tolist():
                 own = length == size
                 number[own] += first.value[size][part[own]]
-            yield from _place(table)(iter([pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(number)], names=[*_PIECES.names, "number"])]))
-
-    return numbered.transform(arrow_map, shift, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
+            yield from _place(table)(
+                iter([pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(number)], names=[*_PIECES.names, "number"])])
+            )
+
+    return numbered.transform(
+        arrow_map, shift,
+        "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
+    )

@@ -69,7 +69,13 @@ def _parts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     same[1:] = words[1:] == words[:-1]
     same[(np.cumsum(n) - n)[n > 0]] = 0
     chars = np.maximum(size, 1)
-    rates = np.stack([_sums(kind == 2, size) / chars, _sums(kind > 4, size) / chars, _sums(kind == 3, size) / chars, _sums(same, n) / np.maximum(n, 1), np.minimum(chars / np.maximum(n, 1), 30) / 30, n < 3], 1)
+    rates = np.stack(
+        [
+            _sums(kind == 2, size) / chars, _sums(kind > 4, size) / chars, _sums(kind == 3, size) / chars,
+            _sums(same, n) / np.maximum(n, 1), np.minimum(chars / np.maximum(n, 1), 30) / 30, n < 3
+        ],
+        1
+    )
     return shape, size, (words >> U(54)).astype(np.int64), n, rates
 
 
@@ -77,7 +83,9 @@ def text_features(texts: list[bytes]) -> np.ndarray:
     """Shares of shapes and of words, then rates."""
     shape, size, word, n, rates = _parts(texts)
     k = len(texts)
-    shapes = np.bincount(np.repeat(np.arange(k), size) * SHAPES + shape, minlength=k * SHAPES).reshape(k, SHAPES) / np.maximum(size, 1)[:, None]
+    shapes = np.bincount(
+        np.repeat(np.arange(k), size) * SHAPES + shape, minlength=k * SHAPES
+    ).reshape(k, SHAPES) / np.maximum(size, 1)[:, None]
     words = np.bincount(np.repeat(np.arange(k), n) * WORDS + word, minlength=k * WORDS).reshape(k, WORDS) / np.maximum(n, 1)[:, None]
     return np.concatenate([np.sqrt(shapes), np.sqrt(words), rates], 1).astype(np.float32)
 
@@ -190,7 +198,13 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         meta = [b.column(k).to_pylist() for k in (3, 4, 5)]
         for i, j in slices(t, 1 << 19, 512):
             views = (text_features(t[i:j]).astype(np.float16), meta_features(*(m[i:j] for m in meta)).astype(np.float16))
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), *(pa.array([r.tobytes() for r in v], pa.binary()) for v in views)], schema=_FEATURES)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column(0).slice(i, j - i), b.column(1).slice(i, j - i),
+                    *(pa.array([r.tobytes() for r in v], pa.binary()) for v in views)
+                ],
+                schema=_FEATURES
+            )
 
 
 _SURE = pa.schema([("view", pa.int32()), ("label", pa.int32()), ("sureness", pa.float64()), ("h", pa.int64())])
@@ -214,7 +228,13 @@ def _surest_in_task(models: list[Linear], wanted: dict[int, int], taken: list[np
                     order = np.lexsort((ids, -score))[: wanted[y]]
                     best[v, y] = score[order], ids[order]
         for (v, y), (score, ids) in best.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), v), pa.int32()), pa.array(np.full(len(ids), y), pa.int32()), pa.array(score), pa.array(ids)], schema=_SURE)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(ids), v), pa.int32()), pa.array(np.full(len(ids), y), pa.int32()),
+                    pa.array(score), pa.array(ids)
+                ],
+                schema=_SURE
+            )
 
     return run
 
@@ -226,25 +246,46 @@ def _sampled(rows: DataFrame, most: int, key: str) -> DataFrame:
 
 
 def _columns(docs: DataFrame) -> list:
-    return [F.col("text").cast("binary").alias("t"), F.col("source").cast("string").alias("s"), F.col("lang").cast("string").alias("l"), F.col("n_chars").cast("long").alias("n")]
+    return [
+        F.col("text").cast("binary").alias("t"), F.col("source").cast("string").alias("s"),
+        F.col("lang").cast("string").alias("l"), F.col("n_chars").cast("long").alias("n")
+    ]
 
 
 def _views(rows: list) -> list[np.ndarray]:
-    return [np.array([np.frombuffer(r[v], np.float16) for r in rows], np.float32).reshape(len(rows), width) for v, width in (("text", SHAPES + WORDS + RATES), ("meta", META))]
+    return [
+        np.array([np.frombuffer(r[v], np.float16) for r in rows], np.float32).reshape(len(rows), width) for v,
+        width in (("text", SHAPES + WORDS + RATES), ("meta", META))
+    ]
 
 
 def train(docs: DataFrame, labels: DataFrame, *, labelled: int = 3000, pseudo: int = 300, rounds: int = 3) -> Classifier:
     """Co-train on a sample of bounded size of the labelled documents, and on all others."""
-    known = _sampled(labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y")).where("__id IS NOT NULL AND __y IS NOT NULL"), labelled, "__id")
+    known = _sampled(
+        labels.select(
+            F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y")
+        ).where("__id IS NOT NULL AND __y IS NOT NULL"),
+        labelled, "__id"
+    )
     rows = docs.select(F.col("doc_id").alias("__id"), *_columns(docs)).withColumn("h", F.xxhash64("t", "s", "l", "n"))
     own = rows.join(F.broadcast(known), "__id").select("h", F.col("__y").alias("y"), "t", "s", "l", "n")  # at most about `labelled` ids
-    found = sorted(own.dropDuplicates(["h", "y"]).transform(arrow_map, _features, "h bigint, y int, text binary, meta binary").collect(), key=lambda r: (r["h"], r["y"]))
+    found = sorted(
+        own.dropDuplicates(["h", "y"]).transform(arrow_map, _features, "h bigint, y int, text binary, meta binary")
+        .collect(),
+        key=lambda r: (r["h"], r["y"])
+    )
     y = np.array([r["y"] for r in found], float)
     taken = [np.array([r["h"] for r in found], np.int64)] * 2
 
     def surest(models: list[Linear], prior: float) -> list[tuple[np.ndarray, np.ndarray]]:
         wanted = shares_of(pseudo, prior)
-        sent = rows.select("h", "t", "s", "l", "n").transform(arrow_map, _surest_in_task(models, wanted, taken), "view int, label int, sureness double, h bigint").distinct()
+        sent = (
+            rows.select("h", "t", "s", "l", "n")
+            .transform(
+                arrow_map, _surest_in_task(models, wanted, taken), "view int, label int, sureness double, h bigint"
+            )
+            .distinct()
+        )
         enough = F.when(F.col("label") == 1, wanted[1]).otherwise(wanted[0])
         order = (F.desc("sureness"), "h")
         for by in ([F.pmod("h", F.lit(64))], []):  # of 64 parts each, then of all
@@ -280,9 +321,20 @@ def score(docs: DataFrame, model: Classifier, *, keep: list[str], into: str = "s
                 else:
                     odds = m.text.log_odds(text_features(t[i:j])), m.meta.log_odds(meta_features(*(x[i:j] for x in meta)))
                     found = [_sigmoid(odds[0]), _sigmoid(odds[1]), m.probability(*odds)]
-                yield pa.RecordBatch.from_arrays([*(b.column(k).slice(i, j - i) for k in range(len(keep))), *(pa.array(np.asarray(f, np.float64)) for f in found)], names=names)
-
-    schema = ", ".join([*(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep), "text_score double", "meta_score double", f"`{into}` double"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(b.column(k).slice(i, j - i) for k in range(len(keep))),
+                        *(pa.array(np.asarray(f, np.float64)) for f in found)
+                    ],
+                    names=names
+                )
+
+    schema = ", ".join(
+        [
+            *(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep), "text_score double",
+            "meta_score double", f"`{into}` double"
+        ]
+    )
     return docs.select(*(F.col(k).alias(f"__{i}") for i, k in enumerate(keep)), *_columns(docs)).transform(arrow_map, run, schema)
 
 

@@ -49,17 +49,23 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(_read(spark, sf_dir, "pages"))
-    return warc.read_archives(spark, manifest, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_archives(spark, manifest, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(_read(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
     return bpe.decode(ids, BYTE_BPE).select(
-        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 
-_ALL = (op1_lm_scoring, op2_fingerprints, op3_language_id, op4_topk, op5_jaccard_join, op6_url_filter, op7_packing, op8_quality, op9_warc, op10_byte_bpe)
+_ALL = (
+    op1_lm_scoring, op2_fingerprints, op3_language_id, op4_topk, op5_jaccard_join, op6_url_filter, op7_packing,
+    op8_quality, op9_warc, op10_byte_bpe
+)
 QUERIES = {f.__name__: f for f in _ALL}
 #: SQL of the operators that it can express. The others: op1 and op3 split documents by crc32, which DuckDB lacks, op3, op6 and
 #: op8 learn models, op2 hashes shingles into bins, op7 and op10 tokenise; tests/llm holds them against brute-force versions.

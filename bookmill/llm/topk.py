@@ -124,7 +124,9 @@ class Bucket:
                 found = found[(x >= low) & (x <= high)]
         return np.arange(len(self.ids)) if found is None else np.sort(found)
 
-    def search(self, q_ids: np.ndarray, q: np.ndarray, theta: np.ndarray, k: int, *, steep: float = 0.6, focus: int = 3) -> list[tuple[int, int, int]]:
+    def search(
+        self, q_ids: np.ndarray, q: np.ndarray, theta: np.ndarray, k: int, *, steep: float = 0.6, focus: int = 3
+    ) -> list[tuple[int, int, int]]:
         """(query, id, score) of each query's k best here among those of theta or more. steep: the cosine from which coordinates prune."""
         q, p = _fit(q, self.vecs)
         q_norm = np.sqrt((q.astype(np.float64) ** 2).sum(1))
@@ -156,7 +158,10 @@ _AIMED = pa.schema([("range", pa.int64()), ("q_ids", pa.binary()), ("q_vecs", pa
 
 def _pack(key: tuple, t: pa.Table) -> pa.Table:
     ids, vecs = t.column("vec_id").to_numpy().astype(np.int64), stack(t.column("vec").to_pylist())
-    row = {"range": [key[0].as_py()], "part": [key[1].as_py()], "longest": [max(t.column("norm").to_pylist())], "ids": [ids.tobytes()], "vecs": [vecs.tobytes()]}
+    row = {
+        "range": [key[0].as_py()], "part": [key[1].as_py()], "longest": [max(t.column("norm").to_pylist())],
+        "ids": [ids.tobytes()], "vecs": [vecs.tobytes()]
+    }
     return pa.Table.from_pydict(row, schema=_PACKED)
 
 
@@ -192,7 +197,10 @@ def _search(k: int):
             for r in b.to_pylist():
                 ids, q_ids = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["q_ids"], np.int64)
                 bucket = Bucket(ids, np.frombuffer(r["vecs"], np.int64).reshape(len(ids), -1))
-                found = bucket.search(q_ids, np.frombuffer(r["q_vecs"], np.int64).reshape(len(q_ids), -1), np.frombuffer(r["theta"], np.float64), k)
+                found = bucket.search(
+                    q_ids, np.frombuffer(r["q_vecs"], np.int64).reshape(len(q_ids), -1),
+                    np.frombuffer(r["theta"], np.float64), k
+                )
                 yield pa.RecordBatch.from_pydict({n: [f[j] for f in found] for j, n in enumerate(_FOUND.names)}, schema=_FOUND)
 
     return run
@@ -210,7 +218,10 @@ def search(
     """
     spark = vectors.sparkSession
     schema = "vec_id bigint, query boolean, norm double, vec binary"
-    rows = vectors.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).select(F.col(vec_id).cast("long").alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("query"), F.col(embedding).alias("e"))
+    rows = vectors.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).select(
+        F.col(vec_id).cast("long").alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("query"),
+        F.col(embedding).alias("e")
+    )
     rows = _store.table(rows.transform(arrow_map, _quantise(scale), schema).dropDuplicates(["vec_id", "vec"]), "vectors")
     cuts = min(most_ranges, max(1, -(-rows.count() // bucket_rows)))
     inner = rows.agg(F.percentile_approx("norm", [j / cuts for j in range(1, cuts)] or [0.0], 100_000)).first()[0] or []
@@ -234,16 +245,31 @@ def search(
     queries = rows.where("query")
     blocks = max(1, -(-queries.count() // block_rows))
     aimed = _store.table(
-        queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-        .groupBy("block")
-        .applyInArrow(_aim(seed_ids, seed_vecs, np.array([r["range"] for r in known], np.int64), np.array([r["longest"] for r in known], float), k), "range bigint, q_ids binary, q_vecs binary, theta binary"),
+        queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).groupBy("block")
+        .applyInArrow(
+            _aim(
+                seed_ids, seed_vecs, np.array([r["range"] for r in known], np.int64),
+                np.array([r["longest"] for r in known], float), k
+            ),
+            "range bigint, q_ids binary, q_vecs binary, theta binary"
+        ),
         "aimed",
     )
-    copies = F.broadcast(aimed.groupBy("range").agg(F.ceil(F.count("*") / load).cast("long").alias("copies")).join(split.select("range", "parts"), "range"))  # a row for each range
+    # a row for each range
+    copies = F.broadcast(
+        aimed.groupBy("range").agg(F.ceil(F.count("*") / load).cast("long").alias("copies"))
+        .join(split.select("range", "parts"), "range")
+    )
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     asked = aimed.join(copies, "range").withColumn("copy", F.pmod(F.xxhash64("q_ids"), F.col("copies"))).withColumn("part", every("parts"))
-    held = buckets.join(copies.select("range", "copies"), "range").withColumn("copy", every("copies")).select("range", "part", "copy", "ids", "vecs")
-    found = asked.select("range", "part", "copy", "q_ids", "q_vecs", "theta").join(held, ["range", "part", "copy"]).transform(arrow_map, _search(k), "query_id bigint, vec_id bigint, score bigint")
+    held = (
+        buckets.join(copies.select("range", "copies"), "range").withColumn("copy", every("copies"))
+        .select("range", "part", "copy", "ids", "vecs")
+    )
+    found = (
+        asked.select("range", "part", "copy", "q_ids", "q_vecs", "theta").join(held, ["range", "part", "copy"])
+        .transform(arrow_map, _search(k), "query_id bigint, vec_id bigint, score bigint")
+    )
     single = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return single.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
@@ -259,4 +285,9 @@ def _level(bounds: np.ndarray) -> Column:
     """How many of the ascending bounds are at most the norm, by halving."""
     at = F.split(F.lit(",".join(map(repr, bounds.tolist()))), ",").cast("array<double>")
     steps = F.array(*(F.lit(1 << j) for j in range(len(bounds).bit_length(), -1, -1)))
-    return F.aggregate(steps, F.lit(0), lambda low, s: F.when((low + s <= len(bounds)) & (F.get(at, low + s - 1) <= F.col("norm")), low + s).otherwise(low))
+    return F.aggregate(
+        steps, F.lit(0),
+        lambda low, s: F.when(
+            (low + s <= len(bounds)) & (F.get(at, low + s - 1) <= F.col("norm")), low + s
+        ).otherwise(low)
+    )

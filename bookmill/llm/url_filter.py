@@ -47,7 +47,10 @@ bank savings tax accounting engineering architecture plumbing carpentry railway
 football tennis swimming athletics chess music dance choir painting photography knitting birds
 """
 _FORMS = ("{0}.test", "www.{0}.test", "{0}-{1}.example", "blog.{1}{0}.test", "my{0}online.example", "the-{0}-site.test", "{0}24.invalid")
-_PATHS = ("", "/", "/index.html", "/about", "/contact", "/2019/07/first-post", "/category/page/2", "/item.php", "/a/b/c", "/welcome.htm", "/search")
+_PATHS = (
+    "", "/", "/index.html", "/about", "/contact", "/2019/07/first-post", "/category/page/2", "/item.php", "/a/b/c",
+    "/welcome.htm", "/search"
+)
 
 
 def labelled_urls() -> list[tuple[str, int]]:
@@ -135,13 +138,19 @@ def train(table: Sequence[tuple[str, int]], *, steps: int = 400, rate: float = 1
     return w, b
 
 
-def judge(pages: DataFrame, *, url: str = "url", keep: Sequence[str] = ("page_id",), rules: Sequence[tuple[str, str]] = RULES, table: Sequence[tuple[str, int]] | None = None, threshold: float = 0.5) -> DataFrame:
+def judge(
+    pages: DataFrame, *, url: str = "url", keep: Sequence[str] = ("page_id",), rules: Sequence[tuple[str, str]] = RULES,
+    table: Sequence[tuple[str, int]] | None = None, threshold: float = 0.5
+) -> DataFrame:
     """The columns `keep` with host, path, rule, verdict and the model's probability of block."""
     w, b = train(labelled_urls() if table is None else table)
     model = pages.sparkSession.sparkContext.broadcast((w.astype(np.float32), b))
     rows = pages.select(*keep, host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
     rows = rows.withColumn("_rule", rule_that_fits(rules, F.col("host"), F.col("path")))
-    rows = rows.select(*keep, "host", "path", F.col("_rule.rule").alias("rule"), F.col("_rule.verdict").alias("verdict"), F.concat_ws(" ", "host", "path").cast("binary").alias("_t"))
+    rows = rows.select(
+        *keep, "host", "path", F.col("_rule.rule").alias("rule"), F.col("_rule.verdict").alias("verdict"),
+        F.concat_ws(" ", "host", "path").cast("binary").alias("_t")
+    )
     cut = float(np.log(threshold / (1 - threshold)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,9 +160,16 @@ def judge(pages: DataFrame, *, url: str = "url", keep: Sequence[str] = ("page_id
             texts = batch.column(k).to_pylist()
             for i, j in slices(texts, 1 << 20):
                 odds = _log_odds(weights, bias, texts[i:j])
-                said = [v or ("block" if o > cut else "allow") for v, o in zip(batch.column(k - 1).slice(i, j - i).to_pylist(), odds, strict=True)]
+                said = [
+                    v or ("block" if o > cut else "allow") for v,
+                    o in zip(batch.column(k - 1).slice(i, j - i).to_pylist(), odds, strict=True)
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(i, j - i) for c in range(k - 1)), pa.array(said, pa.string()), pa.array(1 / (1 + np.exp(-odds)))], names=[*batch.schema.names[: k - 1], "verdict", "p_block"]
+                    [
+                        *(batch.column(c).slice(i, j - i) for c in range(k - 1)), pa.array(said, pa.string()),
+                        pa.array(1 / (1 + np.exp(-odds)))
+                    ],
+                    names=[*batch.schema.names[: k - 1], "verdict", "p_block"]
                 )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])

@@ -38,7 +38,10 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 def revisits(pages: DataFrame, *, least: int) -> DataFrame:
     """(page_id, key, refers_to) of the pages whose payload another page's response record holds. Columns of pages: page_id, key, size."""
     own = pages.where(F.col("page_id").isNotNull() & (F.col("size") >= least)).select("page_id", "key")
-    kept = own.groupBy("key").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("other")).where("other < refers_to").select("key", "refers_to")
+    kept = (
+        own.groupBy("key").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("other"))
+        .where("other < refers_to").select("key", "refers_to")
+    )
     return own.join(kept, "key").where("page_id < refers_to").distinct()
 
 
@@ -74,7 +77,10 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
     uri = quote(url, safe="%/:=&?~#+!$,;'@()*[]") if url else f"urn:x-page:{page_id}"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     kind = "response" if refers_to is None else "revisit"
-    fields = [("WARC-Type", kind), ("WARC-Record-ID", _name(page_id)), ("WARC-Date", _DATE), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http;msgtype=response")]
+    fields = [
+        ("WARC-Type", kind), ("WARC-Record-ID", _name(page_id)), ("WARC-Date", _DATE), ("WARC-Target-URI", uri),
+        ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http;msgtype=response")
+    ]
     if refers_to is not None:
         fields += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", _name(refers_to))]
     return _record(fields, http if refers_to is not None else http + payload)
@@ -89,7 +95,17 @@ def _write(folder: str, dictionary: bytes, level: int, archive_bytes: int):
         data = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         z = zstandard.ZstdCompressor(level=level, dict_data=data)
         start = [dictionary_frame(dictionary)] if dictionary else []
-        start.append(z.compress(_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", _name(None)), ("WARC-Date", _DATE), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")))
+        start.append(
+            z.compress(
+                _record(
+                    [
+                        ("WARC-Type", "warcinfo"), ("WARC-Record-ID", _name(None)), ("WARC-Date", _DATE),
+                        ("Content-Type", "application/warc-fields")
+                    ],
+                    b"format: WARC File Format 1.1\r\n"
+                )
+            )
+        )
         frames, size, n, files = list(start), 0, 0, 0
 
         def close() -> pa.RecordBatch:
@@ -198,7 +214,12 @@ def _id(name: str) -> int | None:
     return int(name[12:-1]) if name.startswith("<urn:x-page:") else None
 
 
-_READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+_READ = pa.schema(
+    [
+        ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()),
+        ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())
+    ]
+)
 
 
 def _read(with_payload: bool, rows: int = 256):
@@ -214,7 +235,9 @@ def _read(with_payload: bool, rows: int = 256):
                 if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
                     raise ValueError(f"{path}: {fields['warc-record-id']} doesn't match its digest")
                 refers = fields.get("warc-refers-to")
-                yield _id(fields["warc-record-id"]), fields["warc-target-uri"], kind, size, digest, _id(refers) if refers else None, payload if with_payload and kind == "response" else None
+                yield _id(
+                    fields["warc-record-id"]
+                ), fields["warc-target-uri"], kind, size, digest, _id(refers) if refers else None, payload if with_payload and kind == "response" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -233,4 +256,7 @@ def _read(with_payload: bool, rows: int = 256):
 
 def read_archives(spark: SparkSession, manifest: DataFrame, *, payload: bool = True) -> DataFrame:
     """A row for each page record of the archives, its digest verified: page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload (of responses)."""
-    return manifest.select("path").transform(arrow_map, _read(payload), "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary")
+    return manifest.select("path").transform(
+        arrow_map, _read(payload),
+        "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary"
+    )

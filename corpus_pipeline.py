@@ -34,7 +34,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Ids and hashes decide; only texts that may go, or be repeated, are dealt out (see bookmill.llm._marks).
     """
     keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    linked = _store.table(jaccard_join.link(keyed, doc_id="__row").groupBy(F.col("doc_id").alias("__row")).agg(F.min("component_id").alias("component_id"), F.count("*").alias("times")), "linked")
+    linked = _store.table(
+        jaccard_join.link(keyed, doc_id="__row").groupBy(F.col("doc_id").alias("__row"))
+        .agg(F.min("component_id").alias("component_id"), F.count("*").alias("times")),
+        "linked"
+    )
     many = linked.groupBy("component_id").agg(F.min("__row").alias("a"), F.max("__row").alias("b")).where("a < b").select("component_id")
     ranks = keyed.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("rank")).distinct()
     grouped = _store.table(linked.join(many, "component_id").join(ranks, "__row"), "grouped")

@@ -41,9 +41,12 @@ def by_rules(url):
 
 
 URLS = [
-    None, "", "no scheme", "http://Example.ORG/es/1", "https://a.example.org/en/12?x#y", "http://example.org/en/2", "http://badexample.org/es/", "http://x.com/fr/a", "http://X.COM/de/a", "http://x.com/de", "http://org/", "http://org", "http://a.org?x/y",
-    "http://a.com#/de/", "a://b://c.org/", "http://ünï.org/é", "http://casino-win.net/", "http://user@x.com:80/de/1", "http://" + "a" * 5000 + ".org/" + "b" * 50_000, "://x.org/", "http://a.org/\n", "http://xn--é.com/fr/",
-]
+    None, "", "no scheme", "http://Example.ORG/es/1", "https://a.example.org/en/12?x#y", "http://example.org/en/2",
+    "http://badexample.org/es/", "http://x.com/fr/a", "http://X.COM/de/a", "http://x.com/de", "http://org/",
+    "http://org", "http://a.org?x/y", "http://a.com#/de/", "a://b://c.org/", "http://ünï.org/é",
+    "http://casino-win.net/", "http://user@x.com:80/de/1", "http://" + "a" * 5000 + ".org/" + "b" * 50_000, "://x.org/",
+    "http://a.org/\n", "http://xn--é.com/fr/",
+]
 
 
 def test_rules_decide_before_the_model(spark, data):
@@ -131,15 +134,31 @@ def test_reduction_keeps_the_optimum_and_packing_holds_all(lengths):
 
 
 def test_pieces_are_the_tokenizer_s_and_lie_gapless(spark, data):
-    odd = [(-1, None), (-2, ""), (-3, "Don't STOP, I'll go; e.g. 3,000... naïve Ünïcode—dash “quoted” x\u00a0y İ K <|endoftext|> e\u0301t\u00e9"), (-4, "long words " * 9000), (-5, "same"), (-5, "same"), (None, "no id")]
-    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(odd, DOCS)).withColumn("piece", F.lit("clash"))
+    odd = [
+        (-1, None), (-2, ""),
+        (
+            -3,
+            "Don't STOP, I'll go; e.g. 3,000... naïve Ünïcode—dash “quoted” x\u00a0y İ K <|endoftext|> e\u0301t\u00e9"
+        ),
+        (-4, "long words " * 9000), (-5, "same"), (-5, "same"), (None, "no id")
+    ]
+    docs = (
+        spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+        .unionByName(spark.createDataFrame(odd, DOCS)).withColumn("piece", F.lit("clash"))
+    )
     got = packing.pack(docs, WORD_BPE).collect()
     t = Tokenizer.from_file(WORD_BPE)
     t.encode_special_tokens = True
     want = []
     for r in docs.collect():
         ids = [*t.encode(r.text or "", add_special_tokens=False).ids, 1]
-        want += [(r.doc_id, k, at, len(ids[at : at + 4096]), zlib.crc32(struct.pack(f"<{len(ids[at : at + 4096])}I", *ids[at : at + 4096]))) for k, at in enumerate(range(0, len(ids), 4096))]
+        want += [
+            (
+                r.doc_id, k, at, len(ids[at : at + 4096]),
+                zlib.crc32(struct.pack(f"<{len(ids[at : at + 4096])}I", *ids[at : at + 4096]))
+            ) for k,
+            at in enumerate(range(0, len(ids), 4096))
+        ]
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=repr) == sorted(want, key=repr)
     for _, rows in itertools.groupby(sorted(got, key=lambda r: (r.sequence_id, r.offset)), key=lambda r: r.sequence_id):
         at = 0
@@ -152,7 +171,11 @@ def test_pieces_are_the_tokenizer_s_and_lie_gapless(spark, data):
 
 def pages():
     same = "<p>" + "é" * 700 + "</p>"
-    rows = [(k, f"http://x.org/{k}", same) for k in (3, 9, 4, 7)] + [(1, None, None), (2, "http://y\r\nInjected: 1", ""), (5, "u", "short"), (6, "u", "short"), (None, "u", same), (10, "u", "x" * 1000), (11, "u", "x" * 1000), (12, "u", "y" * 999), (13, "u", "y" * 999), (14, "u", "z\r\n\r\n" * 200_000), (11, "u", "x" * 1000)]
+    rows = [(k, f"http://x.org/{k}", same) for k in (3, 9, 4, 7)] + [
+        (1, None, None), (2, "http://y\r\nInjected: 1", ""), (5, "u", "short"), (6, "u", "short"), (None, "u", same),
+        (10, "u", "x" * 1000), (11, "u", "x" * 1000), (12, "u", "y" * 999), (13, "u", "y" * 999),
+        (14, "u", "z\r\n\r\n" * 200_000), (11, "u", "x" * 1000)
+    ]
     return rows
 
 
@@ -166,7 +189,9 @@ def test_archives_give_back_what_was_written(spark):
         other = max((j for j, _, h in pages() if j is not None and (h or "").encode() == b), default=None)
         again = len(b) >= 1000 and i is not None and i != other
         want.append((i, len(b), hashlib.sha1(b).hexdigest(), "revisit" if again else "response", other if again else None))
-    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=repr) == sorted(want, key=repr)
+    assert sorted(
+        ((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=repr
+    ) == sorted(want, key=repr)
     assert all(hashlib.sha1(r.payload).hexdigest() == r.payload_digest for r in got if r.record_type == "response")
     assert manifest.agg(F.sum("records")).first()[0] == len(pages()) and manifest.count() > 1
     assert warc.write_archives(spark.createDataFrame([], PAGES)).count() == 0
@@ -198,7 +223,9 @@ def test_archives_without_dictionary(spark):
 @pytest.fixture(scope="module")
 def vocabulary():
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(BYTE_BPE, "rb"))}
-    return ranks, bpe.PerfectHash(ranks), tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return ranks, bpe.PerfectHash(ranks), tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
 
 
 def test_perfect_hash_is_minimal(vocabulary):
@@ -213,7 +240,8 @@ def test_perfect_hash_is_minimal(vocabulary):
 @given(
     st.text(
         alphabet=st.one_of(
-            st.sampled_from(list("ab't s\n\r\t  \u00a0\u2003\u3000\x1c\x85.,!?0129é中😀Ж")), st.sampled_from([chr(c) for r in bpe._LATER for c in r]), st.characters(exclude_categories=["Cs"])
+            st.sampled_from(list("ab't s\n\r\t  \u00a0\u2003\u3000\x1c\x85.,!?0129é中😀Ж")),
+            st.sampled_from([chr(c) for r in bpe._LATER for c in r]), st.characters(exclude_categories=["Cs"])
         ),
         max_size=40,
     )
@@ -244,8 +272,15 @@ def test_merges_by_heap_are_those_of_the_library(vocabulary):
 
 def test_encode_and_decode_documents(spark, data, vocabulary):
     odd = [(-1, None), (-2, ""), (-3, "a  b\n\n c\u00a0 d\u2003\u2003\n e"), (-4, "word " * 50_000), (-4, "word " * 50_000), (None, "x")]
-    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(odd, DOCS)).withColumn("ids", F.lit("clash"))
+    docs = (
+        spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+        .unionByName(spark.createDataFrame(odd, DOCS)).withColumn("ids", F.lit("clash"))
+    )
     got = bpe.decode(bpe.encode(docs, BYTE_BPE, public_tokenizers.PATTERN, memo_entries=500), BYTE_BPE).collect()
-    want = [(r.doc_id, struct.pack(f"<{len(ids)}I", *ids), (r.text or "").encode()) for r in docs.collect() for ids in [vocabulary[2].encode_ordinary(r.text or "")]]
+    want = [
+        (
+            r.doc_id, struct.pack(f"<{len(ids)}I", *ids), (r.text or "").encode()
+        ) for r in docs.collect() for ids in [vocabulary[2].encode_ordinary(r.text or "")]
+    ]
     assert sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in got), key=repr) == sorted(want, key=repr)
     assert bpe.encode(spark.createDataFrame([], DOCS), BYTE_BPE, public_tokenizers.PATTERN).count() == 0

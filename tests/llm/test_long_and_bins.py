@@ -56,7 +56,14 @@ def test_a_very_long_text_in_every_operator(spark, data):
     found = {r.doc_id: r for r in language_id.predict(df, model, keep=["doc_id"]).collect()}
     assert found[1].lang_pred != "und" and found[4].lang_pred == "und"
     docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
-    full = docs.limit(60).unionByName(df.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long"), "doc_id": F.col("doc_id") + 90_000}))
+    full = docs.limit(60).unionByName(
+        df.withColumns(
+            {
+                "lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long"),
+                "doc_id": F.col("doc_id") + 90_000
+            }
+        )
+    )
     assert quality.score(full, quality.train(full, labels), keep=["doc_id"]).where("score IS NULL").isEmpty()
 
 
@@ -64,7 +71,11 @@ def test_pipeline_stages_on_a_very_long_text(spark, data, tmp_path):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     source = docs.orderBy(F.desc("n_chars")).first()
     long = " ".join([source.text] * 12)
-    extra = [(90_001, long, source.lang, source.source, len(long)), (90_002, long.encode().upper().decode(), source.lang, source.source, len(long)), (90_003, long[: len(long) // 3], source.lang, source.source, len(long) // 3)]
+    extra = [
+        (90_001, long, source.lang, source.source, len(long)),
+        (90_002, long.encode().upper().decode(), source.lang, source.source, len(long)),
+        (90_003, long[: len(long) // 3], source.lang, source.source, len(long) // 3)
+    ]
     docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
     for k, (_, stage) in enumerate(P.STAGES):
         stage(spark, docs, data).write.parquet(str(tmp_path / str(k)))
@@ -77,7 +88,10 @@ def test_pipeline_stages_on_a_very_long_text(spark, data, tmp_path):
 
 
 def test_of_repeated_rows_one_stays_whatever_their_order(spark, data):
-    rows = [(1, "one two three four five six", "en", "b"), (1, "one two three four five six", "en", "a"), (1, "one two three four five six", "de", "a"), (2, "x", None, None), (2, "x", "en", None)]
+    rows = [
+        (1, "one two three four five six", "en", "b"), (1, "one two three four five six", "en", "a"),
+        (1, "one two three four five six", "de", "a"), (2, "x", None, None), (2, "x", "en", None)
+    ]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
     kept = [sorted(map(tuple, P.one_of_each_group(spark, docs.repartition(n), data).collect())) for n in (1, 4)]
     assert kept[0] == kept[1] and len(kept[0]) == 2 and kept[0][0] == (1, "one two three four five six", "de", "a")

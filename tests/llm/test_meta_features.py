@@ -10,4 +10,8 @@ def test_sources_that_share_their_end_are_different_features():
     rows = quality.meta_features(hosts, [None] * 6, [None] * 6)
     assert len(np.unique(rows, axis=0)) >= 5  # of 256 buckets; at most one collision
     assert (rows == quality.meta_features(hosts, [None] * 6, [None] * 6)).all()
-    assert not (quality.meta_features(["longer than six"], [None], [None]) == quality.meta_features([None], ["longer than six"], [None])).all()
+    assert not (
+        quality.meta_features(
+            ["longer than six"], [None], [None]
+        ) == quality.meta_features([None], ["longer than six"], [None])
+    ).all()

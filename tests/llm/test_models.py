@@ -58,9 +58,13 @@ def kneser_ney(train: list[list[str]]):
 
 
 def test_scores_equal_the_formulas(spark, data):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()] + [(None, "a b a b"), (7001, None), (7002, ""), (7003, "Unseen words  HERE"), (7003, "Unseen words  HERE")]
+    rows = [
+        (r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
+    ] + [(None, "a b a b"), (7001, None), (7002, ""), (7003, "Unseen words  HERE"), (7003, "Unseen words  HERE")]
     out = {}
-    for r in lm_scoring.score_held_out(spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("score", F.lit("clash")).repartition(3)).collect():
+    for r in lm_scoring.score_held_out(
+        spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("score", F.lit("clash")).repartition(3)
+    ).collect():
         out.setdefault(r.doc_id, r)
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 if i is not None else False for i, _ in rows}
     split = lambda t: [w.decode() for w in (t or "").encode().lower().split()]
@@ -96,8 +100,19 @@ def test_language_of_held_out_documents(spark, data):
 
 def test_language_of_odd_rows(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
-    odd = spark.createDataFrame([(9001, None, "en", "s", None), (9002, "", None, None, 0), (9003, "12 !?", "fr", "s", 4), (9004, "a" * 300_000, None, "s", 1), (None, "the and of the", None, "s", 1), (9005, "x", None, "s", 1), (9005, "x", None, "s", 1)], DOCS)
-    got = {r.doc_id: r for r in language_id.identify(docs.unionByName(odd).withColumn("lang_pred", F.lit("clash"))).where("doc_id > 9000 OR doc_id IS NULL").collect()}
+    odd = spark.createDataFrame(
+        [
+            (9001, None, "en", "s", None), (9002, "", None, None, 0), (9003, "12 !?", "fr", "s", 4),
+            (9004, "a" * 300_000, None, "s", 1), (None, "the and of the", None, "s", 1), (9005, "x", None, "s", 1),
+            (9005, "x", None, "s", 1)
+        ],
+        DOCS
+    )
+    got = {
+        r.doc_id: r for r in language_id.identify(
+            docs.unionByName(odd).withColumn("lang_pred", F.lit("clash"))
+        ).where("doc_id > 9000 OR doc_id IS NULL").collect()
+    }
     assert [got[i].lang_pred for i in (9001, 9002, 9003)] == ["und"] * 3 and got[9001].score == 0
     assert got[9004].lang_pred != "und" and got[None].lang_pred == "en" and got[None].held_out is False
     assert language_id.identify(spark.createDataFrame([], DOCS)).count() == 0
@@ -128,7 +143,9 @@ def brute_mixture(model, text, rounds=8, penalty=2.0, overlap=3.0):
         counts[bucket(g)] += c
     p = {g: np.exp(model.log_p[g].astype(float) - model.log_p[g].max()) for g in counts}
     total, languages = sum(counts.values()), range(len(model.languages))
-    like = lambda share: sum(c * math.log(max(sum(share.get(k, 0) * p[g][k] for k in languages), 1e-30)) for g, c in counts.items())
+    like = lambda share: sum(
+        c * math.log(max(sum(share.get(k, 0) * p[g][k] for k in languages), 1e-30)) for g, c in counts.items()
+    )
 
     def em(chosen):
         share = {k: 1 / len(chosen) for k in chosen}
@@ -160,7 +177,10 @@ def test_mixtures_equal_brute_force(spark, data):
         by.setdefault(r.lang, []).append(r.text)
     words = {k: " ".join(v[:6]).split() for k, v in by.items() if k}
     a, b, c, d = (words[k] for k in sorted(words)[:4])
-    texts = [" ".join(a[:300]), " ".join(a[:150] + b[:150]), " ".join(a[:200] + b[:150] + c[:100]), " ".join(a[:250] + b[:200] + c[:200] + d[:200]), " ".join(a * 20 + b[: len(a) // 3]), "x", "", "12 !"]
+    texts = [
+        " ".join(a[:300]), " ".join(a[:150] + b[:150]), " ".join(a[:200] + b[:150] + c[:100]),
+        " ".join(a[:250] + b[:200] + c[:200] + d[:200]), " ".join(a * 20 + b[: len(a) // 3]), "x", "", "12 !"
+    ]
     got = language_id.mixtures(model, texts)
     for t, row in zip(texts, got, strict=True):
         want = brute_mixture(model, t)
@@ -184,7 +204,10 @@ def test_equal_texts_get_equal_languages_wherever_they_stand(spark, data):
 
 
 def test_languages_that_are_learned_are_bounded(spark):
-    rows = spark.createDataFrame([(k, f"word{chr(97 + k % 9)} " * 5, f"l{min(k, 40)}") for k in range(60)], "doc_id bigint, text string, lang string")
+    rows = spark.createDataFrame(
+        [(k, f"word{chr(97 + k % 9)} " * 5, f"l{min(k, 40)}") for k in range(60)],
+        "doc_id bigint, text string, lang string"
+    )
     assert language_id.train(rows, most_languages=3).languages == ["l0", "l1", "l40"]
 
 
@@ -205,7 +228,10 @@ def test_scores_equal_brute_force(spark, data):
     got = {r.doc_id: r for r in quality.score(docs.repartition(5), model, keep=["doc_id"]).collect()}
     for r in rows[:40]:
         x, m = quality.text_features([r.text.encode()])[0], quality.meta_features([r.source], [r.lang], [r.n_chars])[0]
-        odds = [v.slope * (sum(float(a) * float(b) for a, b in zip(f, v.w, strict=True)) + v.b) + v.offset for f, v in ((x, model.text), (m, model.meta))]
+        odds = [
+            v.slope * (sum(float(a) * float(b) for a, b in zip(f, v.w, strict=True)) + v.b) + v.offset for f,
+            v in ((x, model.text), (m, model.meta))
+        ]
         want = 1 / (1 + math.exp(-(sum(odds) - math.log(model.prior / (1 - model.prior)))))
         assert got[r.doc_id].score == pytest.approx(want, abs=1e-4)
         assert got[r.doc_id].text_score == pytest.approx(1 / (1 + math.exp(-odds[0])), abs=1e-4)
@@ -223,22 +249,40 @@ def test_columns_of_any_name_don_t_clash(spark, data):
 def test_the_surest_of_all_documents_are_exchanged(spark):
     rng = np.random.default_rng(2)
     h, texts = np.arange(90), [b"good words here" if k % 2 else b"BAD 666" for k in range(90)]
-    model = quality.Linear(rng.normal(size=quality.SHAPES + quality.WORDS + quality.RATES).astype(np.float32) * 9, 0.0), quality.Linear(np.zeros(quality.META, np.float32), 0.0)
+    model = quality.Linear(
+        rng.normal(size=quality.SHAPES + quality.WORDS + quality.RATES).astype(np.float32) * 9, 0.0
+    ), quality.Linear(np.zeros(quality.META, np.float32), 0.0)
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_arrays([pa.array(h), pa.array(texts), *(pa.array(["a"] * 90) for _ in range(2)), pa.array([3] * 90)], names=["h", "t", "s", "l", "n"])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(h), pa.array(texts), *(pa.array(["a"] * 90) for _ in range(2)), pa.array([3] * 90)],
+        names=["h", "t", "s", "l", "n"]
+    )
     taken = [np.array([1, 2]), np.zeros(0, np.int64)]
-    out = [r for b in quality._surest_in_task(list(model), {1: 4, 0: 3}, taken)(iter([batch.slice(0, 50), batch.slice(50)])) for r in b.to_pylist()]
+    out = [
+        r for b in quality._surest_in_task(list(model), {1: 4, 0: 3}, taken)(
+            iter([batch.slice(0, 50), batch.slice(50)])
+        ) for r in b.to_pylist()
+    ]
     odds = model[0].raw(quality.text_features(texts))
     for y, n in ((1, 4), (0, 3)):
-        want = sorted((-float(o if y else -o), int(k)) for k, o in zip(h, odds, strict=True) if k not in (1, 2) and quality.sure(np.array([o]), y)[0])[:n]
+        want = sorted(
+            (-float(o if y else -o), int(k)) for k,
+            o in zip(h, odds, strict=True) if k not in (1, 2) and quality.sure(np.array([o]), y)[0]
+        )[:n]
         assert [r["h"] for r in out if r["label"] == y and r["view"] == 0] == [k for _, k in want]
     assert not [r for r in out if r["view"] == 1]
 
 
 def test_quality_of_odd_rows_and_without_labels(spark, data):
     docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
-    odd = spark.createDataFrame([(9001, None, None, None, None), (None, "", "en", "s", 0), (9002, "word " * 100_000, "en", None, -1), (9003, "x", "en", "s", 1), (9003, "x", "en", "s", 1)], DOCS).withColumn("score", F.lit("clash"))
+    odd = spark.createDataFrame(
+        [
+            (9001, None, None, None, None), (None, "", "en", "s", 0), (9002, "word " * 100_000, "en", None, -1),
+            (9003, "x", "en", "s", 1), (9003, "x", "en", "s", 1)
+        ],
+        DOCS
+    ).withColumn("score", F.lit("clash"))
     got = quality.classify(docs.withColumn("score", F.lit("clash")).unionByName(odd), labels)
     assert got.count() == docs.count() + 5 and got.where("score IS NULL OR isnan(score)").count() == 0
     assert {r.score for r in quality.classify(odd, labels.limit(0)).collect()} == {1.0}

@@ -16,7 +16,11 @@ def test_run_equals_the_stages_by_brute_force(spark, data):
     model = language_id.train(docs.where(~lm_scoring.remainder("doc_id", 4, 2)))
     known = {r.doc_id for r in language_id.predict(docs, model, keep=["doc_id"]).collect() if r.lang_pred != "und" and r.score >= 0.4}
     first = docs.where(F.col("doc_id").isin(*known))
-    good = {r.doc_id for r in quality.score(first, quality.train(first, spark.read.parquet(f"{data}/labels.parquet")), keep=["doc_id"]).collect() if r.score >= 0.3}
+    good = {
+        r.doc_id for r in quality.score(
+            first, quality.train(first, spark.read.parquet(f"{data}/labels.parquet")), keep=["doc_id"]
+        ).collect() if r.score >= 0.3
+    }
     texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id in good}
     kept = {i for i, (_, c) in components(texts).items() if i == c}
     want = packing.pack(docs.where(F.col("doc_id").isin(*kept)), WORD_BPE).collect()
@@ -27,7 +31,12 @@ def test_run_equals_the_stages_by_brute_force(spark, data):
 
 
 def test_stages_return_the_columns_of_documents(spark, data, tmp_path):
-    odd = [(9001, None, None, None, None), (9002, "", "en", "s", 0), (9003, "the same words here now and then", "en", "s", 32), (9003, "the same words here now and then", "en", "s", 32), (9004, "The same words HERE now and then", "en", None, 32), (None, "the of and to in is", "en", "s", 19)]
+    odd = [
+        (9001, None, None, None, None), (9002, "", "en", "s", 0),
+        (9003, "the same words here now and then", "en", "s", 32),
+        (9003, "the same words here now and then", "en", "s", 32),
+        (9004, "The same words HERE now and then", "en", None, 32), (None, "the of and to in is", "en", "s", 19)
+    ]
     docs = spark.read.parquet(f"{data}/documents.parquet").unionByName(spark.createDataFrame(odd, DOCS)).withColumn("score", F.lit("clash"))
     for k, (_, stage) in enumerate(P.STAGES):
         out = stage(spark, docs, data)

@@ -19,7 +19,9 @@ def test_shared_and_null_ids(spark, data):
     ]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = [(r.doc_id, (r.text or "").lower()) for r in P.one_of_each_group(spark, docs, data).collect()]
-    assert sorted(got, key=repr) == sorted([(1, WORDS), (5, OTHER), (7, THIRD), (None, "some text under no id that has a near copy"), (9, "")], key=repr)
+    assert sorted(got, key=repr) == sorted(
+        [(1, WORDS), (5, OTHER), (7, THIRD), (None, "some text under no id that has a near copy"), (9, "")], key=repr
+    )
 
 
 def test_marks_hold_all_their_hashes_and_few_others(spark):

@@ -57,7 +57,9 @@ def linked(spark, texts, **how):
 
 
 def test_join_equals_brute_force_on_near_copies(spark):
-    texts = near_copies(1, 4, 14, 90, 6) | {1000: None, 1001: "", 1002: " \n ", 1003: "a b", 1004: "A  b", 1005: "a b c", 1006: "x " * 3000, 1007: "x " * 9}
+    texts = near_copies(1, 4, 14, 90, 6) | {
+        1000: None, 1001: "", 1002: " \n ", 1003: "a b", 1004: "A  b", 1005: "a b c", 1006: "x " * 3000, 1007: "x " * 9
+    }
     assert linked(spark, texts) == components(texts)
 
 
@@ -111,7 +113,11 @@ def test_tree_finds_all_that_its_bound_allows(seed, m, percent):
     probe = rng.random(m) < 0.5
     least = lambda a, b: (100 + percent) * int(np.minimum(vec[a], vec[b]).sum(dtype=np.int64)) >= percent * int(n[a] + n[b])
     fits = lambda a, b: root[a] != root[b] and percent * max(n[a], n[b]) <= 100 * min(n[a], n[b])
-    brute = {(min(node[a], node[b]), max(node[a], node[b])) for a in np.flatnonzero(probe) for b in np.flatnonzero(~probe) if fits(a, b) and least(a, b)}
+    brute = {
+        (
+            min(node[a], node[b]), max(node[a], node[b])
+        ) for a in np.flatnonzero(probe) for b in np.flatnonzero(~probe) if fits(a, b) and least(a, b)
+    }
     found = set(map(tuple, jaccard_join.tree_pairs(node, vec, n, root, probe, percent).tolist()))
     assert {(a, b) for a, b in found} == brute
     owns = [frozenset(rng.integers(0, 12, rng.integers(0, 4)).tolist()) for _ in range(m)]
@@ -125,7 +131,13 @@ def test_tree_finds_all_that_its_bound_allows(seed, m, percent):
 def test_a_group_is_resolved_as_by_brute_force(seed, m):
     rng = np.random.default_rng(seed)
     base = rng.integers(0, 2**48, 40)
-    sets = [np.unique(np.concatenate([base[rng.random(40) < rng.choice([0.85, 0.97])], rng.integers(0, 2**48, rng.integers(0, 3))])) for _ in range(m)]
+    sets = [
+        np.unique(
+            np.concatenate(
+                [base[rng.random(40) < rng.choice([0.85, 0.97])], rng.integers(0, 2**48, rng.integers(0, 3))]
+            )
+        ) for _ in range(m)
+    ]
     n = np.array(list(map(len, sets)))
     want = list(range(m))
     for a in range(m):
@@ -148,7 +160,9 @@ def test_groups_come_whole_from_any_batches():
 
 def test_blocks_return_what_they_were_given():
     rng = np.random.default_rng(4)
-    token, cls = np.sort(rng.integers(0, 2**48, 500, dtype=np.uint64)), rng.integers(0, 2**64, 20, dtype=np.uint64)[rng.integers(0, 20, 500)]
+    token, cls = np.sort(
+        rng.integers(0, 2**48, 500, dtype=np.uint64)
+    ), rng.integers(0, 2**64, 20, dtype=np.uint64)[rng.integers(0, 20, 500)]
     for got, want in zip(jaccard_join._postings(jaccard_join._postings_block(token, cls)), (token, cls), strict=True):
         assert (got == want).all()
     own = (np.unique(cls), np.arange(20), np.full(20, 25), token, token % np.uint64(15))
@@ -164,9 +178,15 @@ def test_levels_sent_to_all_are_bounded(spark):
 
 
 def test_fingerprints_estimate_likeness(spark, data):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()] + [(10_000, None), (10_001, ""), (10_002, "one two"), (10_003, "one two")]
+    rows = [
+        (r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()
+    ] + [(10_000, None), (10_001, ""), (10_002, "one two"), (10_003, "one two")]
     rows.sort()
-    got = {r.doc_id: r for r in fingerprints.fingerprint_edits(spark.createDataFrame(rows, DOCS).withColumn("bins", F.lit("clash")).repartition(5)).collect()}
+    got = {
+        r.doc_id: r for r in fingerprints.fingerprint_edits(
+            spark.createDataFrame(rows, DOCS).withColumn("bins", F.lit("clash")).repartition(5)
+        ).collect()
+    }
     split = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", t.lower()) if w]
     sets = lambda t: {tuple(split(t)[i : i + 5]) for i in range(max(1, len(split(t)) - 4))} if split(t) else set()
     off = []
@@ -227,7 +247,11 @@ def test_search_equals_brute_force(spark, spread):
 
 
 def test_search_of_odd_rows(spark):
-    rows = [(0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, []), (6, [1.0]), (7, [-1.0, -2.0, 5.0]), (None, [9.0, 9.0]), (8, [1e12, 1e12]), (50, [0.0, 0.0]), (9, [1.0, 2.0]), (9, [1.0, 2.0])]
+    rows = [
+        (0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, []),
+        (6, [1.0]), (7, [-1.0, -2.0, 5.0]), (None, [9.0, 9.0]), (8, [1e12, 1e12]), (50, [0.0, 0.0]), (9, [1.0, 2.0]),
+        (9, [1.0, 2.0])
+    ]
     assert found(spark, rows) == best(rows)
     assert found(spark, [(1, [1.0])]) == set() == found(spark, [(50, [1.0])])
     assert topk.search(spark.createDataFrame([], VECS), F.col("vec_id") % 50 == 0).count() == 0
