@@ -61,7 +61,9 @@ class Books:
 
     def manifest(self) -> DataFrame:
         entry = "array<struct<chunk_id:string,section_title:string,section_level:int,source:string,size:bigint>>"
-        listed = self._files("/process", "manifest.json").select("book_id", F.explode(F.from_json("text", f"chunks {entry}")["chunks"]).alias("c"))
+        listed = self._files("/process", "manifest.json").select(
+            "book_id", F.explode(F.from_json("text", f"chunks {entry}")["chunks"]).alias("c")
+        )
         return listed.select("book_id", T.chunk_number(F.col("c.chunk_id")).alias("chunk_no"), "c.*")
 
     def terms(self) -> DataFrame:
@@ -96,8 +98,16 @@ class Books:
     def write_terms(self, terms: DataFrame) -> None:
         """glossary.json of every book; the old files are read to the end before any is replaced."""
         fields = [c for c in terms.columns if c not in ("book_id", "pos")]
-        whole = F.struct(F.lit(2).alias("version"), F.transform(F.array_sort(F.collect_list(F.struct("pos", F.struct(*fields).alias("t")))), lambda x: x.t).alias("terms"))
-        made = terms.groupBy("book_id").agg(F.to_json(whole).alias("value")).select(F.concat("book_id", F.lit("/glossary.json")).alias("name"), "value")
+        whole = F.struct(
+            F.lit(2).alias("version"),
+            F.transform(
+                F.array_sort(F.collect_list(F.struct("pos", F.struct(*fields).alias("t")))), lambda x: x.t
+            ).alias("terms")
+        )
+        made = (
+            terms.groupBy("book_id").agg(F.to_json(whole).alias("value"))
+            .select(F.concat("book_id", F.lit("/glossary.json")).alias("name"), "value")
+        )
         self.write(made)
 
 
@@ -121,7 +131,9 @@ def convert(b: Books, a: argparse.Namespace) -> int:
     kind = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
     texts = B.epub_to_markdown(files.where(kind == "epub")).select(F.col("book_id").alias("path"), "text")
     plain = B.scan_text_safe(files.where(kind.isin("md", "txt", "fb2")))
-    texts = texts.unionByName(plain.where(kind != "fb2")).unionByName(plain.where(kind == "fb2").select("path", B.scan_fb2("text").alias("text")))
+    texts = texts.unionByName(plain.where(kind != "fb2")).unionByName(
+        plain.where(kind == "fb2").select("path", B.scan_fb2("text").alias("text"))
+    )
     names = F.regexp_extract(F.url_decode("path"), r"([^/]+)\.[^./]+$", 1)
     books = texts.select(names.alias("book_id"), clean.clean_markdown(clean.strip_toc(F.col("text"))).alias("text"))
     had = b.manifest().select("book_id").distinct()
@@ -150,7 +162,9 @@ def count_frequencies(b: Books, a: argparse.Namespace) -> int:
 
 def print_terms(b: Books, a: argparse.Namespace) -> int:
     chunks = P.chunk_range(b.chunks(), a.start, a.end)
-    return OK if _told(G.term_table(G.relevant_terms(b.terms(), chunks, b.config.high_frequency_top_n)), ["book_id", "chunk_no"]) else INVALID
+    return OK if _told(
+        G.term_table(G.relevant_terms(b.terms(), chunks, b.config.high_frequency_top_n)), ["book_id", "chunk_no"]
+    ) else INVALID
 
 
 def validate_glossary(b: Books, a: argparse.Namespace) -> int:
@@ -231,7 +245,12 @@ def prepare_batch(b: Books, a: argparse.Namespace) -> int:
     chunks = b.chunks()
     tables = G.term_table(G.relevant_terms(b.terms(), chunks, b.config.high_frequency_top_n))
     tasks = P.chunk_range(P.task_payload(chunks, tables, b.config.context_chars), a.start, a.end)
-    done = sinks.sink_files(tasks.select(F.concat("book_id", F.format_string("/process/task_chunk%04d.md", "chunk_no")).alias("name"), "value"), b.root)
+    done = sinks.sink_files(
+        tasks.select(
+            F.concat("book_id", F.format_string("/process/task_chunk%04d.md", "chunk_no")).alias("name"), "value"
+        ),
+        b.root
+    )
     print(f"{done['files']} files written")
     return OK if done["files"] else INVALID
 
@@ -241,13 +260,20 @@ def prepare_merge(b: Books, a: argparse.Namespace) -> int:
     proposed = G.prepare_merge(metas, b.terms(), applied)
     sinks.write_plan(proposed, G.consumed_metas(metas, applied), f"{b.root}/.plan")
     stored = sinks.read_snapshot(b.spark, f"{b.root}/.plan", "plan")[0]
-    return _issues(stored.where("outcome = 'decision'").select("book_id", "id", "kind", "source", "field", "value", F.array_join("options", " | ")), ["book_id", "id"])
+    return _issues(
+        stored.where("outcome = 'decision'").select(
+            "book_id", "id", "kind", "source", "field", "value", F.array_join("options", " | ")
+        ),
+        ["book_id", "id"]
+    )
 
 
 def apply_merge(b: Books, a: argparse.Namespace) -> int:
     """Plan of prepare-merge, decisions in a folder of book.json files."""
     proposed, consumed = sinks.read_snapshot(b.spark, f"{b.root}/.plan", "plan", "consumed")
-    files = b.spark.read.text(a.decisions, wholetext=True, pathGlobFilter="*.json") if a.decisions else b.spark.createDataFrame([], "value string")
+    files = b.spark.read.text(
+        a.decisions, wholetext=True, pathGlobFilter="*.json"
+    ) if a.decisions else b.spark.createDataFrame([], "value string")
     book = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), r"([^/]+)\.json$", 1) if a.decisions else F.lit("")
     decisions = G.parse_decisions(files.select(book.alias("book_id"), F.col("value").alias("text")))
     faulty = G.validate_decisions(proposed, decisions)
@@ -262,7 +288,10 @@ def apply_merge(b: Books, a: argparse.Namespace) -> int:
 def apply_polish(b: Books, a: argparse.Namespace) -> int:
     pairs = b.polished().join(C.polish_contract(b.polished(), b.config.polish), ["book_id", "chunk_no"])
     output = F.concat("book_id", F.format_string("/process/output_chunk%04d.md", "chunk_no"))
-    files = F.array(F.struct(F.concat(output, F.lit(".bak")).alias("name"), F.col("src").alias("value")), F.struct(output.alias("name"), F.col("out").alias("value")))
+    files = F.array(
+        F.struct(F.concat(output, F.lit(".bak")).alias("name"), F.col("src").alias("value")),
+        F.struct(output.alias("name"), F.col("out").alias("value"))
+    )
     b.write(pairs.where("reasons = ''").select("book_id", "chunk_no", F.explode(files).alias("f")).select("f.name", "f.value"))
     return _issues(pairs.where("reasons != ''").select("book_id", "chunk_no", "reasons"), ["book_id", "chunk_no"])
 
@@ -273,7 +302,12 @@ def verify_polish(b: Books, a: argparse.Namespace) -> int:
 
 def _payload(b: Books, rows: DataFrame, name: str, save: bool) -> int:
     if save:
-        return OK if sinks.sink_files(rows.select(F.concat("book_id", F.lit(f"/process/{name}.json")).alias("name"), F.col("payload").alias("value")), b.root)["files"] else INVALID
+        return OK if sinks.sink_files(
+            rows.select(
+                F.concat("book_id", F.lit(f"/process/{name}.json")).alias("name"), F.col("payload").alias("value")
+            ),
+            b.root
+        )["files"] else INVALID
     return OK if _told(rows, ["book_id"]) else INVALID
 
 
@@ -285,14 +319,24 @@ def post_mortem(b: Books, a: argparse.Namespace) -> int:
     manifest = b.manifest()
     labels = manifest.select("book_id", "chunk_no", F.col("section_title").alias("label"))
     found = "issues array<struct<severity:string,category:string>>"
-    issues = b._numbered("output_chunk*.qa.json").select("book_id", "chunk_no", F.explode(F.from_json("text", found)["issues"]).alias("i")).select("book_id", "chunk_no", "i.*")
+    issues = (
+        b._numbered("output_chunk*.qa.json")
+        .select("book_id", "chunk_no", F.explode(F.from_json("text", found)["issues"]).alias("i"))
+        .select("book_id", "chunk_no", "i.*")
+    )
     rows = P.post_mortem_payload(manifest, U.narrative_arcs(labels), issues, b.config.payload, metas=b.metas(), sections=manifest)
     return _payload(b, rows, "post_mortem", a.save)
 
 
 def build_books(b: Books, a: argparse.Namespace) -> int:
     author = T.fill_author(F.lit(a.author))
-    headers = b.manifest().select("book_id").distinct().select("book_id", F.coalesce(F.lit(a.title), "book_id").alias("title"), author.alias("author"), F.lit(a.lang).alias("lang"), F.lit(datetime.now(timezone.utc).date().isoformat()).alias("date"))
+    headers = (
+        b.manifest().select("book_id").distinct()
+        .select(
+            "book_id", F.coalesce(F.lit(a.title), "book_id").alias("title"), author.alias("author"),
+            F.lit(a.lang).alias("lang"), F.lit(datetime.now(timezone.utc).date().isoformat()).alias("date")
+        )
+    )
     headers = headers.withColumn("uid", T.doc_uid(F.col("title"), F.lit(a.author), F.col("date")))
     built = build.build_books(b.manifest(), b.chunks(), b.outputs(), headers, q=b.config.quality, fb2=not a.no_fb2).persist()
     done = sinks.sink_books(built, b.root, not a.no_fb2)
@@ -306,11 +350,23 @@ def save_state(b: Books, a: argparse.Namespace) -> int:
     if not 1 <= a.step <= 10:
         print("a step is a number from 1 to 10", file=sys.stderr)
         return INVALID
-    given = [(op, *pair.partition("=")[::2]) for op, pairs in (("set", a.set), ("set_int", a.set_int), ("append", a.append_list)) for pair in pairs or [] if "=" in pair]
-    rows = [(a.book, datetime.now(timezone.utc).replace(tzinfo=None), a.step, a.note, [{"op": o, "key": k, "value": v} for o, k, v in given])]
+    given = [
+        (op, *pair.partition("=")[::2]) for op,
+        pairs in (
+            ("set", a.set), ("set_int", a.set_int), ("append", a.append_list)
+        ) for pair in pairs or [] if "=" in pair
+    ]
+    rows = [
+        (
+            a.book, datetime.now(timezone.utc).replace(tzinfo=None), a.step, a.note,
+            [{"op": o, "key": k, "value": v} for o, k, v in given]
+        )
+    ]
     saves = b.spark.createDataFrame(rows, f"book_id string, ts timestamp, step int, note string, options {ST.OPTIONS}")
     old = _log(b)
-    ST.state_save(old, saves).join(old.select("book_id", "seq"), ["book_id", "seq"], "left_anti").select(*old.columns).write.mode("append").parquet(f"{b.root}/.state")
+    ST.state_save(old, saves).join(
+        old.select("book_id", "seq"), ["book_id", "seq"], "left_anti"
+    ).select(*old.columns).write.mode("append").parquet(f"{b.root}/.state")
     return OK
 
 
@@ -339,34 +395,37 @@ def _simple(report: Callable[[Books], DataFrame], order: list[str], issues: bool
 
 _FLAG, _RANGE = {"action": "store_true"}, (("--start", {"type": int}), ("--end", {"type": int}))
 COMMANDS: dict[str, tuple[Callable[[Books, argparse.Namespace], int], tuple]] = {
-    "convert": (convert, (("files", {}), ("--force", _FLAG))),
-    "explore": (explore, (("files", {}),)),
-    "count-frequencies": (count_frequencies, ()),
-    "print-terms": (print_terms, _RANGE),
+    "convert": (convert, (("files", {}), ("--force", _FLAG))), "explore": (explore, (("files", {}),)),
+    "count-frequencies": (count_frequencies, ()), "print-terms": (print_terms, _RANGE),
     "validate-glossary": (validate_glossary, (("--fix", _FLAG),)),
     "validate-manifest": (validate_manifest, (("--strict", _FLAG),)),
     "find-duplicates": (_simple(lambda b: G.find_duplicates(b.terms()), ["book_id", "a_pos", "b_pos"], True), ()),
     "inspect-manifest": (_simple(lambda b: S.inspect_manifest(b.manifest()), ["book_id", "line_no"], False), ()),
-    "confirm-terms": (confirm_terms, (("--all", _FLAG), ("--id", {"nargs": "+"}), ("--source", {"nargs": "+"}), ("--note", {}), ("--force", _FLAG))),
-    "reset-run-state": (reset_run_state, (("--prune-zero-freq", _FLAG),)),
-    "verify-batch": (verify_batch, _RANGE),
-    "check-metas": (check_metas, ()),
-    "quality-check": (quality_check, (*_RANGE, ("--strict", _FLAG))),
-    "merge-status": (merge_status, ()),
-    "prepare-merge": (prepare_merge, ()),
-    "apply-merge": (apply_merge, (("--decisions", {}),)),
-    "plan": (plan, (("--retranslate-untracked", _FLAG),)),
+    "confirm-terms": (
+        confirm_terms,
+        (("--all", _FLAG), ("--id", {"nargs": "+"}), ("--source", {"nargs": "+"}), ("--note", {}), ("--force", _FLAG))
+    ),
+    "reset-run-state": (reset_run_state, (("--prune-zero-freq", _FLAG),)), "verify-batch": (verify_batch, _RANGE),
+    "check-metas": (check_metas, ()), "quality-check": (quality_check, (*_RANGE, ("--strict", _FLAG))),
+    "merge-status": (merge_status, ()), "prepare-merge": (prepare_merge, ()),
+    "apply-merge": (apply_merge, (("--decisions", {}),)), "plan": (plan, (("--retranslate-untracked", _FLAG),)),
     "record": (record, _RANGE),
     "mark-failed": (mark_failed, (("book", {}), ("chunk", {"type": int}), ("reason", {}), ("--polish", _FLAG))),
-    "prepare-batch": (prepare_batch, _RANGE),
-    "apply-polish": (apply_polish, ()),
-    "verify-polish": (verify_polish, ()),
-    "pronoun-check": (pronoun_check, (("--save", _FLAG),)),
-    "post-mortem": (post_mortem, (("--save", _FLAG),)),
-    "build": (build_books, (("--title", {}), ("--author", {"default": ""}), ("--lang", {"default": "ru"}), ("--no-fb2", _FLAG))),
-    "save-state": (save_state, (("book", {}), ("step", {"type": int}), ("--note", {}), ("--set", {"action": "append"}), ("--set-int", {"action": "append"}), ("--append-list", {"action": "append"}))),
+    "prepare-batch": (prepare_batch, _RANGE), "apply-polish": (apply_polish, ()), "verify-polish": (verify_polish, ()),
+    "pronoun-check": (pronoun_check, (("--save", _FLAG),)), "post-mortem": (post_mortem, (("--save", _FLAG),)),
+    "build": (
+        build_books,
+        (("--title", {}), ("--author", {"default": ""}), ("--lang", {"default": "ru"}), ("--no-fb2", _FLAG))
+    ),
+    "save-state": (
+        save_state,
+        (
+            ("book", {}), ("step", {"type": int}), ("--note", {}), ("--set", {"action": "append"}),
+            ("--set-int", {"action": "append"}), ("--append-list", {"action": "append"})
+        )
+    ),
     "load-state": (load_state, ()),
-}
+}
 
 
 def parser() -> argparse.ArgumentParser:

@@ -69,7 +69,10 @@ def normalize_images(text: Column) -> Column:
             (rf"{before}<img[^>]*{src}[^>]*?{alt}[^>]*/?>{after}", "![$2](images/$1)"),
             (rf"{before}<img[^>]*{src}[^>]*/?>{after}", "![](images/$1)"),
         ]
-    steps += [(r"!\[([^\]]*)\]\((?:\.\./)*images/([^)]+)\)", "![$1](images/$2)"), (r"!\[([^\]]*)\]\([^)]*?/images/([^)/]+)\)", "![$1](images/$2)"), (r"!\[\]\(images/", "![image](images/")]
+    steps += [
+        (r"!\[([^\]]*)\]\((?:\.\./)*images/([^)]+)\)", "![$1](images/$2)"),
+        (r"!\[([^\]]*)\]\([^)]*?/images/([^)/]+)\)", "![$1](images/$2)"), (r"!\[\]\(images/", "![image](images/")
+    ]
     return replace_all(text, *steps)
 
 
@@ -121,7 +124,9 @@ _CONTENTS = r"(?iu)^#{1,6}\s+(?:" + "|".join(TOC_TITLES) + r")\s*(?:\{[^}]*\})?\
 def _contents_marks(text: Column) -> Column:
     """A letter for each line: c a contents heading, h another heading, b a blank line, e another that could be an entry, p prose."""
     s = strip
-    kind = lambda x: F.when(s(x) == "", "b").when(s(x).rlike(_CONTENTS), "c").when(s(x).rlike(r"(?U)^#{1,6}\s+"), "h").when(toc_entry(x), "e").otherwise("p")
+    kind = lambda x: F.when(s(x) == "", "b").when(s(x).rlike(_CONTENTS), "c").when(
+        s(x).rlike(r"(?U)^#{1,6}\s+"), "h"
+    ).when(toc_entry(x), "e").otherwise("p")
     return F.array_join(F.transform(F.split(text, "\n"), kind), "")
 
 

@@ -8,20 +8,27 @@ from pyspark.sql import Column, functions as F
 
 # Title beginnings of matter before and after a story.
 MATTER_TITLES = (
-    "СОДЕРЖАНИЕ", "Содержание", "Contents", "Table of Contents", "TOC", "Оглавление", "ОГЛАВЛЕНИЕ", "Title Page", "Copyright", "Acknowledgments?", "Благодарности", "About the Author",
-    "Об авторе", "Also by", "Книги автора", "Dedication", "Посвящение", "Preface", "Предисловие", "Introduction", "Введение", "Glossary", "Глоссарий", "Index", "Указатель", "Appendix", "Приложение",
-    "Postscript", "Послесловие", "Notes?", "Примечания",
-)
+    "СОДЕРЖАНИЕ", "Содержание", "Contents", "Table of Contents", "TOC", "Оглавление", "ОГЛАВЛЕНИЕ", "Title Page",
+    "Copyright", "Acknowledgments?", "Благодарности", "About the Author", "Об авторе", "Also by", "Книги автора",
+    "Dedication", "Посвящение", "Preface", "Предисловие", "Introduction", "Введение", "Glossary", "Глоссарий", "Index",
+    "Указатель", "Appendix", "Приложение", "Postscript", "Послесловие", "Notes?", "Примечания",
+)
 # Titles of tables of contents.
 TOC_TITLES = ("СОДЕРЖАНИЕ", "Содержание", "Contents", "Table of Contents", "TOC", "Оглавление", "ОГЛАВЛЕНИЕ")
 # File names and the titles they stand for.
 FILE_TITLES = {
-    "dedication": "Dedication", "authorforeword": "Author's Foreword", "foreword": "Foreword", "preface": "Preface", "introduction": "Introduction", "map": "Map", "prologue": "Prologue", "epilogue": "Epilogue",
-    "afterword": "Afterword", "acknowledgments": "Acknowledgments", "acknowledgements": "Acknowledgements", "abouttheauthor": "About the Author", "abouttheauthors": "About the Authors",
-    "abouttheillustrator": "About the Illustrator", "illustration": "About the Illustrator", "alsoby": "Also by", "copyright": "Copyright",
-}
+    "dedication": "Dedication", "authorforeword": "Author's Foreword", "foreword": "Foreword", "preface": "Preface",
+    "introduction": "Introduction", "map": "Map", "prologue": "Prologue", "epilogue": "Epilogue",
+    "afterword": "Afterword", "acknowledgments": "Acknowledgments", "acknowledgements": "Acknowledgements",
+    "abouttheauthor": "About the Author", "abouttheauthors": "About the Authors",
+    "abouttheillustrator": "About the Illustrator", "illustration": "About the Illustrator", "alsoby": "Also by",
+    "copyright": "Copyright",
+}
 # Media types of image files.
-IMAGE_TYPES = {"png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "bmp": "image/bmp", "svg": "image/svg+xml", "webp": "image/webp"}
+IMAGE_TYPES = {
+    "png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "bmp": "image/bmp",
+    "svg": "image/svg+xml", "webp": "image/webp"
+}
 
 FRONT = "(front matter)"
 
@@ -167,7 +174,10 @@ def phase_for_step(step: Column) -> Column:
 
 def section_kind(title: Column) -> Column:
     """front, frontback or narrative, by a section's title."""
-    return F.when(title == FRONT, "front").when(title.rlike(r"(?iUu)^(" + "|".join(MATTER_TITLES) + r")\b"), "frontback").otherwise("narrative")
+    return (
+        F.when(title == FRONT, "front").when(title.rlike(r"(?iUu)^(" + "|".join(MATTER_TITLES) + r")\b"), "frontback")
+        .otherwise("narrative")
+    )
 
 
 def heading_level(line: Column) -> Column:
@@ -185,7 +195,9 @@ def title_from_basename(name: Column) -> Column:
     low = F.lower(name)
     number = F.regexp_extract(low, r"^chapter(\d+)$", 1)
     table = F.create_map(*(F.lit(x) for kv in FILE_TITLES.items() for x in kv))
-    return F.when(number != "", F.concat(F.lit("Chapter "), number.cast("bigint").cast("string"))).otherwise(F.coalesce(F.try_element_at(table, low), F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))))
+    return F.when(number != "", F.concat(F.lit("Chapter "), number.cast("bigint").cast("string"))).otherwise(
+        F.coalesce(F.try_element_at(table, low), F.initcap(F.replace(name, F.lit("_"), F.lit(" "))))
+    )
 
 
 def toc_entry(line: Column) -> Column:
@@ -227,5 +239,8 @@ def term_fingerprint(source: Column, target: Column, aliases: Column, gender: Co
     text = lambda c: json_quote(F.coalesce(c, F.lit("")))
     names = F.coalesce(aliases, F.array().cast("array<string>"))
     listed = F.array_join(F.transform(names, lambda a: F.coalesce(json_quote(a), F.lit("null"))), ", ")
-    body = (F.lit('{"aliases": ['), listed, F.lit('], "gender": '), text(gender), F.lit(', "source": '), text(source), F.lit(', "target": '), text(target), F.lit("}"))
+    body = (
+        F.lit('{"aliases": ['), listed, F.lit('], "gender": '), text(gender), F.lit(', "source": '), text(source),
+        F.lit(', "target": '), text(target), F.lit("}")
+    )
     return F.sha2(F.concat(*body), 256)

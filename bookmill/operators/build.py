@@ -88,7 +88,10 @@ def md_blocks(books: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
         for pdf in batches:
-            rows = [(book, k, b["kind"], b["level"], b["text"], b["alt"], b["src"], b["footnote_id"]) for book, text in zip(pdf["book_id"], pdf["text"], strict=True) for k, b in enumerate(parse_blocks(text or ""))]
+            rows = [
+                (book, k, b["kind"], b["level"], b["text"], b["alt"], b["src"], b["footnote_id"]) for book,
+                text in zip(pdf["book_id"], pdf["text"], strict=True) for k, b in enumerate(parse_blocks(text or ""))
+            ]
             yield pd.DataFrame(rows, columns=names)
 
     return books.select(F.col("book_id").cast("string"), "text").mapInPandas(run, BLOCK_SCHEMA)
@@ -96,8 +99,7 @@ def md_blocks(books: DataFrame) -> DataFrame:
 
 #: Inline forms in the order in which they are tried at a place.
 _INLINE = re.compile(
-    r"\\(?P<escaped>[\\`*_{}\[\]()#+\-.!>|~])|`(?P<code>[^`]+)`|\*\*(?P<bold>[^*]+)\*\*|__(?P<bold2>[^_]+)__|\*(?P<italic>[^*]+)\*|(?<!\w)_(?P<italic2>[^_]+)_(?!\w)"
-    r"|!\[[^\]]*\]\((?P<image>[^)]+)\)|\[\^(?P<note>[^\]]+)\](?!:)|\[(?P<link>[^\]]+)\]\((?P<url>[^)]+)\)"
+    r"\\(?P<escaped>[\\`*_{}\[\]()#+\-.!>|~])|`(?P<code>[^`]+)`|\*\*(?P<bold>[^*]+)\*\*|__(?P<bold2>[^_]+)__|\*(?P<italic>[^*]+)\*|(?<!\w)_(?P<italic2>[^_]+)_(?!\w)" r"|!\[[^\]]*\]\((?P<image>[^)]+)\)|\[\^(?P<note>[^\]]+)\](?!:)|\[(?P<link>[^\]]+)\]\((?P<url>[^)]+)\)"
 )
 _AS = {"code": "code", "bold": "strong", "bold2": "strong", "italic": "emphasis", "italic2": "emphasis"}
 
@@ -185,7 +187,11 @@ def body_xml(blocks: list[dict], images: dict[str, str]) -> str:
         elif kind == "image":
             current().images.append(f'<image l:href="#{images.get(b["src"], "_img_unknown")}" l:type="simple"/>')
         elif kind != "footnote_def":
-            current().content.append({"scene_break": "<empty-line/>", "code_block": f"<p><code>{_text(b['text'])}</code></p>"}.get(kind) or f"<p>{inline(b['text'])}</p>")
+            current().content.append(
+                {
+                    "scene_break": "<empty-line/>", "code_block": f"<p><code>{_text(b['text'])}</code></p>"
+                }.get(kind) or f"<p>{inline(b['text'])}</p>"
+            )
     if waiting:
         current()
         give()
@@ -195,45 +201,61 @@ def body_xml(blocks: list[dict], images: dict[str, str]) -> str:
 def notes_xml(blocks: list[dict]) -> str:
     """The notes' body: a section for each definition."""
     notes = [b for b in blocks if b["kind"] == "footnote_def"]
-    made = "".join(f'<section id="note_{_text(b["footnote_id"])}"><title><p>{_text(b["footnote_id"])}</p></title><p>{inline_xml(b["text"])}</p></section>' for b in notes)
+    made = "".join(
+        f'<section id="note_{_text(b["footnote_id"])}"><title><p>{_text(b["footnote_id"])}</p></title><p>{inline_xml(b["text"])}</p></section>' for b in notes
+    )
     return f'<body name="notes">{made}</body>' if notes else ""
 
 
 def description_xml(title: str, author: dict, lang: str, date: str, uid: str, genre: str = "prose_contemporary") -> str:
     """title-info and document-info; the author's names in schema order."""
-    names = "".join(f"<{tag}>{_text(author[key])}</{tag}>" for key, tag in (("first_name", "first-name"), ("middle_name", "middle-name"), ("last_name", "last-name"), ("nickname", "nickname")) if author.get(key))
+    names = "".join(
+        f"<{tag}>{_text(author[key])}</{tag}>" for key,
+        tag in (
+            ("first_name", "first-name"), ("middle_name", "middle-name"), ("last_name", "last-name"),
+            ("nickname", "nickname")
+        ) if author.get(key)
+    )
     who = f"<author>{names or '<nickname>unknown</nickname>'}</author>"
     return (
-        f"<description><title-info><genre>{genre}</genre>{who}<book-title>{_text(title)}</book-title><lang>{_text(lang)}</lang></title-info>"
-        f"<document-info>{who}<date>{_text(date)}</date><id>{_text(uid)}</id><version>1.0</version></document-info></description>"
-    )
+        f"<description><title-info><genre>{genre}</genre>{who}<book-title>{_text(title)}</book-title><lang>{_text(lang)}</lang></title-info>" f"<document-info>{who}<date>{_text(date)}</date><id>{_text(uid)}</id><version>1.0</version></document-info></description>"
+    )
 
 
 def build_fb2(blocks: DataFrame, headers: DataFrame, images: DataFrame | None = None) -> DataFrame:
     """(book_id, fb2): one document per book from its blocks, headers (book_id, title, author struct, lang, date, uid) and image files (book_id, src, content_type, content)."""
     ordered = F.array_sort(F.collect_list(F.struct("block_no", "kind", "level", "text", "alt", "src", "footnote_id")))
-    books = headers.withColumn("book_id", F.col("book_id").cast("string")).join(blocks.groupBy("book_id").agg(ordered.alias("blocks")), "book_id", "left")
+    books = headers.withColumn("book_id", F.col("book_id").cast("string")).join(
+        blocks.groupBy("book_id").agg(ordered.alias("blocks")), "book_id", "left"
+    )
     if images is None:
         books = books.withColumn("files", F.expr("cast(array() as array<struct<src:string,content_type:string,content:binary>>)"))
     else:
-        books = books.join(images.groupBy("book_id").agg(F.collect_list(F.struct("src", "content_type", "content")).alias("files")), "book_id", "left")
+        books = books.join(
+            images.groupBy("book_id").agg(F.collect_list(F.struct("src", "content_type", "content")).alias("files")),
+            "book_id", "left"
+        )
 
     def one(r) -> str:
         body = [b if isinstance(b, dict) else b.asDict() for b in (r.blocks if r.blocks is not None else [])]
         ids = image_ids(body)
         by_src = {f["src"]: f for f in (r.files if r.files is not None else [])}
-        binaries = "".join(f'<binary id="{i}" content-type="{by_src[src]["content_type"]}">{base64.b64encode(bytes(by_src[src]["content"])).decode()}</binary>' for src, i in ids.items() if src in by_src)
+        binaries = "".join(
+            f'<binary id="{i}" content-type="{by_src[src]["content_type"]}">{base64.b64encode(bytes(by_src[src]["content"])).decode()}</binary>' for src,
+            i in ids.items() if src in by_src
+        )
         author = r.author if isinstance(r.author, dict) else r.author.asDict()
         return (
-            '<?xml version="1.0" encoding="utf-8"?>\n<FictionBook xmlns="http://www.gribuser.ru/xml/fictionbook/2.0" xmlns:l="http://www.w3.org/1999/xlink">'
-            f"{description_xml(r.title or '', author, r.lang or 'ru', r.date or '', r.uid or '')}{body_xml(body, ids)}{notes_xml(body)}{binaries}</FictionBook>"
-        )
+            '<?xml version="1.0" encoding="utf-8"?>\n<FictionBook xmlns="http://www.gribuser.ru/xml/fictionbook/2.0" xmlns:l="http://www.w3.org/1999/xlink">' f"{description_xml(r.title or '', author, r.lang or 'ru', r.date or '', r.uid or '')}{body_xml(body, ids)}{notes_xml(body)}{binaries}</FictionBook>"
+        )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame({"book_id": pdf["book_id"], "fb2": [one(r) for r in pdf.itertuples(index=False)]})
 
-    return books.select("book_id", "title", "author", "lang", "date", "uid", "blocks", "files").mapInPandas(run, "book_id string, fb2 string")
+    return books.select(
+        "book_id", "title", "author", "lang", "date", "uid", "blocks", "files"
+    ).mapInPandas(run, "book_id string, fb2 string")
 
 
 _CONTAINERS = r"FictionBook|description|title-info|document-info|body|section|title|epigraph|cite"
@@ -242,7 +264,10 @@ _CONTAINERS = r"FictionBook|description|title-info|document-info|body|section|ti
 def pretty_fb2(xml: Column) -> Column:
     """Block elements each on a line of their own; paragraphs stay whole."""
     open_, line = rf"(<(?:{_CONTAINERS})(?:\s[^>]*)?>)", r"(</(?:p|subtitle|text-author|genre|book-title|lang|id|date|version|author|binary)>|<empty-line/>)"
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(xml, open_, "$1\n"), rf"(</(?:{_CONTAINERS})>)", "$1\n"), line + r"(?!\n)", "$1\n")
+    return F.regexp_replace(
+        F.regexp_replace(F.regexp_replace(xml, open_, "$1\n"), rf"(</(?:{_CONTAINERS})>)", "$1\n"), line + r"(?!\n)",
+        "$1\n"
+    )
 
 
 def image_refs(blocks: DataFrame) -> DataFrame:
@@ -257,14 +282,19 @@ def image_refs(blocks: DataFrame) -> DataFrame:
 def resolve_images(refs: DataFrame, files: DataFrame) -> DataFrame:
     """Each reference's first existing file among the places where it may be: book_id, src, path, content_type, content."""
     name = F.regexp_extract("src", r"([^/]*)$", 1)
-    places = F.array("src", F.concat(F.lit("images/"), name), F.regexp_replace("src", r"^(\.\./)+", ""), F.concat(F.lit("OEBPS/images/"), name), F.concat(F.lit("OPS/images/"), name), name)
+    places = F.array(
+        "src", F.concat(F.lit("images/"), name), F.regexp_replace("src", r"^(\.\./)+", ""),
+        F.concat(F.lit("OEBPS/images/"), name), F.concat(F.lit("OPS/images/"), name), name
+    )
     tried = refs.select("book_id", "src", F.posexplode(F.array_distinct(places)).alias("rank", "path"))
     found = tried.join(files, ["book_id", "path"]).groupBy("book_id", "src").agg(F.min_by(F.struct("path", "content"), "rank").alias("f"))
     return found.select("book_id", "src", "f.path", guess_content_type(F.col("f.path")).alias("content_type"), "f.content")
 
 
 #: What may stand in a section, by rank: title, epigraphs, one image, annotation, then content.
-_RANK = {"title": 0, "epigraph": 1, "image": 2, "annotation": 3} | dict.fromkeys(("p", "subtitle", "empty-line", "cite", "poem", "table", "section"), 4)
+_RANK = {"title": 0, "epigraph": 1, "image": 2, "annotation": 3} | dict.fromkeys(
+    ("p", "subtitle", "empty-line", "cite", "poem", "table", "section"), 4
+)
 
 
 def fb2_faults(text: str) -> list[str]:
@@ -299,7 +329,10 @@ def fb2_validate(s: pd.Series) -> pd.Series:
     return s.map(lambda x: fb2_faults(x or ""))
 
 
-def build_books(manifest: DataFrame, sources: DataFrame, outputs: DataFrame, headers: DataFrame, images: DataFrame | None = None, q: Quality = Quality(), *, fb2: bool = True) -> DataFrame:
+def build_books(
+    manifest: DataFrame, sources: DataFrame, outputs: DataFrame, headers: DataFrame, images: DataFrame | None = None,
+    q: Quality = Quality(), *, fb2: bool = True
+) -> DataFrame:
     """Validation, merging and FB2 of whole books: book_id, findings, n_empty, md, fb2, faults.
 
     Nothing stops the build: findings (of the manifest, as `chunk: finding`), blank chunks and faults of the FB2 are told.
@@ -308,12 +341,21 @@ def build_books(manifest: DataFrame, sources: DataFrame, outputs: DataFrame, hea
     text_id = lambda df: df.withColumn("book_id", F.col("book_id").cast("string"))
     manifest, sources, outputs, headers = map(text_id, (manifest, sources, outputs, headers))
     found = validate_manifest(manifest, sources, outputs, q)
-    told = F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", "finding"))), lambda x: F.format_string("chunk%04d: %s", x.chunk_no, x.finding))
+    told = F.transform(
+        F.array_sort(F.collect_list(F.struct("chunk_no", "finding"))),
+        lambda x: F.format_string("chunk%04d: %s", x.chunk_no, x.finding)
+    )
     empty = outputs.where(strip(F.coalesce("text", F.lit(""))) == "").groupBy("book_id").agg(F.count("*").alias("n_empty"))
     merged = merge_chunks_text(outputs.where("text IS NOT NULL")).select("book_id", F.col("text").alias("md"))
-    books = headers.select("book_id").join(found.groupBy("book_id").agg(told.alias("findings")), "book_id", "left").join(empty, "book_id", "left").join(merged, "book_id", "left")
+    books = (
+        headers.select("book_id").join(found.groupBy("book_id").agg(told.alias("findings")), "book_id", "left")
+        .join(empty, "book_id", "left").join(merged, "book_id", "left")
+    )
     none = F.array().cast("array<string>")
-    books = books.select("book_id", F.coalesce("findings", none).alias("findings"), F.coalesce("n_empty", F.lit(0)).alias("n_empty"), F.coalesce("md", F.lit("")).alias("md"))
+    books = books.select(
+        "book_id", F.coalesce("findings", none).alias("findings"), F.coalesce("n_empty", F.lit(0)).alias("n_empty"),
+        F.coalesce("md", F.lit("")).alias("md")
+    )
     if not fb2:
         return books.withColumns({"fb2": F.lit(None).cast("string"), "faults": F.lit(None).cast("array<string>")})
     blocks = md_blocks(books.select("book_id", F.col("md").alias("text")))

@@ -23,14 +23,14 @@ MODELS = {
     "title-info": "genre+ author+ book-title annotation? keywords? date? coverpage? lang src-lang? translator* sequence*",
     "src-title-info": "genre+ author+ book-title annotation? keywords? date? coverpage? lang src-lang? translator* sequence*",
     "document-info": "author+ program-used? date src-url* src-ocr? id version history? publisher*",
-    "publish-info": "book-name? publisher? city? year? isbn? sequence*",
-    "author": _PERSON, "translator": _PERSON, "coverpage": "image+", "sequence": "sequence*",
-    "body": "image? title? epigraph* section+",
+    "publish-info": "book-name? publisher? city? year? isbn? sequence*", "author": _PERSON, "translator": _PERSON,
+    "coverpage": "image+", "sequence": "sequence*", "body": "image? title? epigraph* section+",
     "section": "title? epigraph* image? annotation? (section+|(p|poem|subtitle|cite|empty-line|table) (p|poem|subtitle|cite|empty-line|table|image)*)",
-    "title": "(p|empty-line)*", "epigraph": "(p|poem|cite|empty-line)* text-author*", "cite": "(p|poem|empty-line|subtitle|table)* text-author*",
-    "annotation": _QUOTED, "history": _QUOTED, "poem": "title? epigraph* (subtitle|stanza)+ text-author* date?", "stanza": "title? subtitle? v+",
-    "table": "tr+", "tr": "(th|td)+", "empty-line": "", "image": "",
-}
+    "title": "(p|empty-line)*", "epigraph": "(p|poem|cite|empty-line)* text-author*",
+    "cite": "(p|poem|empty-line|subtitle|table)* text-author*", "annotation": _QUOTED, "history": _QUOTED,
+    "poem": "title? epigraph* (subtitle|stanza)+ text-author* date?", "stanza": "title? subtitle? v+", "table": "tr+",
+    "tr": "(th|td)+", "empty-line": "", "image": "",
+}
 INLINE = frozenset(("strong", "emphasis", "style", "a", "strikethrough", "sub", "sup", "code", "image"))
 #: Elements of text with inline elements in it.
 MIXED = frozenset(("p", "v", "subtitle", "text-author", "th", "td", *(INLINE - {"image"})))

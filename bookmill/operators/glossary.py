@@ -77,8 +77,14 @@ def terms_in_chunk(terms: DataFrame, chunks: DataFrame, sent_bytes: int = SENT_B
     broadcast, and texts stay where they are; larger ones are joined to the chunks, one list for each book.
     """
     spark = chunks.sparkSession
-    surfaces = terms.select(F.col("book_id").cast("string").alias("book_id"), F.col("pos").cast("long").alias("pos"), F.explode(surface_forms(F.col("source"), F.col("aliases"))).alias("surface")).distinct()
-    low = chunks.select(F.col("book_id").cast("string").alias("book_id"), F.col("chunk_no").cast("long").alias("chunk_no"), F.lower("text").alias("low"))
+    surfaces = terms.select(
+        F.col("book_id").cast("string").alias("book_id"), F.col("pos").cast("long").alias("pos"),
+        F.explode(surface_forms(F.col("source"), F.col("aliases"))).alias("surface")
+    ).distinct()
+    low = chunks.select(
+        F.col("book_id").cast("string").alias("book_id"), F.col("chunk_no").cast("long").alias("chunk_no"),
+        F.lower("text").alias("low")
+    )
     schema = "book_id string, chunk_no bigint, pos bigint"
     size = surfaces.agg(F.sum(F.octet_length("surface") + F.octet_length("book_id") + 32)).first()[0] or 0
     if size <= sent_bytes:
@@ -110,7 +116,10 @@ def terms_in_chunk(terms: DataFrame, chunks: DataFrame, sent_bytes: int = SENT_B
 def term_frequency(terms: DataFrame, chunks: DataFrame) -> DataFrame:
     """How many chunks each term occurs in, 0 included: book_id, pos, source, frequency."""
     n = terms_in_chunk(terms, chunks).groupBy("book_id", "pos").agg(F.count("*").alias("frequency"))
-    return terms.drop("frequency").join(n, ["book_id", "pos"], "left").select("book_id", "pos", "source", F.coalesce("frequency", F.lit(0)).alias("frequency"))
+    return (
+        terms.drop("frequency").join(n, ["book_id", "pos"], "left")
+        .select("book_id", "pos", "source", F.coalesce("frequency", F.lit(0)).alias("frequency"))
+    )
 
 
 def zero_freq_terms(frequencies: DataFrame) -> DataFrame:
@@ -128,15 +137,23 @@ def relevant_terms(terms: DataFrame, chunks: DataFrame, top_n: int = 20) -> Data
     rank = F.row_number().over(Window.partitionBy("book_id").orderBy(F.desc("frequency"), "pos"))
     ranked = terms.withColumn("rank", rank)
     top = chunks.select("book_id", "chunk_no").join(ranked.where(F.col("rank") <= top_n).select("book_id", "pos"), "book_id")
-    return top.unionByName(terms_in_chunk(terms, chunks)).distinct().join(ranked.select("book_id", "pos", "rank", "source", "target", "aliases"), ["book_id", "pos"])
+    return (
+        top.unionByName(terms_in_chunk(terms, chunks)).distinct()
+        .join(ranked.select("book_id", "pos", "rank", "source", "target", "aliases"), ["book_id", "pos"])
+    )
 
 
 def term_table(relevant: DataFrame) -> DataFrame:
     """The terms of each chunk as a Markdown table, in rank order."""
     cell = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit("|"), F.lit(r"\|"))
-    row = F.concat(F.lit("| "), cell(F.col("source")), F.lit(" | "), cell(F.array_join("aliases", ", ")), F.lit(" | "), cell(F.col("target")), F.lit(" |"))
+    row = F.concat(
+        F.lit("| "), cell(F.col("source")), F.lit(" | "), cell(F.array_join("aliases", ", ")), F.lit(" | "),
+        cell(F.col("target")), F.lit(" |")
+    )
     rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", row.alias("r")))), lambda x: x.r), "\n")
-    return relevant.groupBy("book_id", "chunk_no").agg(F.concat(F.lit("| Оригинал | Альтернативы | Перевод |\n| --- | --- | --- |\n"), rows).alias("term_table"))
+    return relevant.groupBy("book_id", "chunk_no").agg(
+        F.concat(F.lit("| Оригинал | Альтернативы | Перевод |\n| --- | --- | --- |\n"), rows).alias("term_table")
+    )
 
 
 def ensure_term_ids(terms: DataFrame) -> DataFrame:
@@ -144,7 +161,10 @@ def ensure_term_ids(terms: DataFrame) -> DataFrame:
 
     the name, numbered _2, _3 and so on to the first that no earlier term has. A book's dictionary is folded in one task.
     """
-    rows = terms.select("book_id", "pos", F.coalesce("id", F.lit("")).alias("id"), make_term_id(F.coalesce("source", F.lit(""))).alias("made"))
+    rows = terms.select(
+        "book_id", "pos", F.coalesce("id", F.lit("")).alias("id"),
+        make_term_id(F.coalesce("source", F.lit(""))).alias("made")
+    )
 
     def fold(t: pa.Table) -> pa.Table:
         t = t.sort_by("pos")
@@ -167,31 +187,55 @@ def ensure_term_ids(terms: DataFrame) -> DataFrame:
 
 def validate_glossary(terms: DataFrame) -> DataFrame:
     """Faults of terms: book_id, pos, severity, rule. Each rule is a column; one pass finds all."""
-    counted = terms.withColumn("_names", F.count("*").over(Window.partitionBy("book_id", F.lower("source")))).withColumn("_ids", F.count("*").over(Window.partitionBy("book_id", "id")))
+    counted = terms.withColumn(
+        "_names", F.count("*").over(Window.partitionBy("book_id", F.lower("source")))
+    ).withColumn("_ids", F.count("*").over(Window.partitionBy("book_id", "id")))
     blank = lambda c: strip(F.coalesce(F.col(c), F.lit(""))) == ""
     rules = (
-        ("error", "empty_source", blank("source")), ("error", "empty_target", blank("target")), ("error", "missing_id", blank("id")), ("error", "duplicate_id", ~blank("id") & (F.col("_ids") > 1)),
-        ("error", "duplicate_source", ~blank("source") & (F.col("_names") > 1)), ("error", "blank_alias", F.exists(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: a.isNull() | (strip(a) == ""))),
-        ("warning", "bad_category", ~F.coalesce("category", F.lit("")).isin(*CATEGORIES)), ("warning", "bad_gender", ~F.coalesce("gender", F.lit("")).isin(*GENDERS)),
-        ("warning", "bad_confidence", ~F.coalesce("confidence", F.lit("")).isin(*CONFIDENCE)), ("warning", "frequency_0", F.coalesce("frequency", F.lit(0)) == 0), ("warning", "frequency_1", F.col("frequency") == 1),
-    )
+        ("error", "empty_source", blank("source")), ("error", "empty_target", blank("target")),
+        ("error", "missing_id", blank("id")), ("error", "duplicate_id", ~blank("id") & (F.col("_ids") > 1)),
+        ("error", "duplicate_source", ~blank("source") & (F.col("_names") > 1)),
+        (
+            "error", "blank_alias",
+            F.exists(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: a.isNull() | (strip(a) == ""))
+        ),
+        ("warning", "bad_category", ~F.coalesce("category", F.lit("")).isin(*CATEGORIES)),
+        ("warning", "bad_gender", ~F.coalesce("gender", F.lit("")).isin(*GENDERS)),
+        ("warning", "bad_confidence", ~F.coalesce("confidence", F.lit("")).isin(*CONFIDENCE)),
+        ("warning", "frequency_0", F.coalesce("frequency", F.lit(0)) == 0),
+        ("warning", "frequency_1", F.col("frequency") == 1),
+    )
     found = F.array_compact(F.array(*(F.when(test, F.struct(F.lit(s).alias("severity"), F.lit(r).alias("rule"))) for s, r, test in rules)))
     own = counted.select("book_id", "pos", F.explode(found).alias("f")).select("book_id", "pos", "f.severity", "f.rule")
     names = terms.select("book_id", F.lower("source").alias("surface"), F.col("pos").alias("other"))
-    shadowed = terms.select("book_id", "pos", F.explode(F.coalesce("aliases", F.array().cast("array<string>"))).alias("a")).select("book_id", "pos", F.lower("a").alias("surface")).join(names, ["book_id", "surface"]).where("pos != other")
-    return own.unionByName(shadowed.select("book_id", "pos", F.lit("warning").alias("severity"), F.lit("alias_is_source").alias("rule")).distinct())
+    shadowed = (
+        terms.select("book_id", "pos", F.explode(F.coalesce("aliases", F.array().cast("array<string>"))).alias("a"))
+        .select("book_id", "pos", F.lower("a").alias("surface")).join(names, ["book_id", "surface"])
+        .where("pos != other")
+    )
+    return own.unionByName(
+        shadowed.select(
+            "book_id", "pos", F.lit("warning").alias("severity"), F.lit("alias_is_source").alias("rule")
+        ).distinct()
+    )
 
 
 def fix_glossary(terms: DataFrame) -> DataFrame:
     """Optional fields filled and ids ensured."""
-    filled = terms.withColumns({
-        "aliases": F.coalesce("aliases", F.array().cast("array<string>")), "category": F.coalesce("category", F.lit("term")), "gender": F.coalesce("gender", F.lit("unknown")),
-        "confidence": F.coalesce("confidence", F.lit("low")), "frequency": F.coalesce("frequency", F.lit(0)), "notes": F.coalesce("notes", F.lit("")),
-    })
+    filled = terms.withColumns(
+        {
+            "aliases": F.coalesce("aliases", F.array().cast("array<string>")),
+            "category": F.coalesce("category", F.lit("term")), "gender": F.coalesce("gender", F.lit("unknown")),
+            "confidence": F.coalesce("confidence", F.lit("low")), "frequency": F.coalesce("frequency", F.lit(0)),
+            "notes": F.coalesce("notes", F.lit("")),
+        }
+    )
     return ensure_term_ids(filled)
 
 
-def confirm_terms(terms: DataFrame, names: list[str] | None = None, ids: list[str] | None = None, note: str = "", force: bool = False) -> DataFrame:
+def confirm_terms(
+    terms: DataFrame, names: list[str] | None = None, ids: list[str] | None = None, note: str = "", force: bool = False
+) -> DataFrame:
     """Confidence high for all terms, or those named (by any surface) or of the ids; a note joins unless already there."""
     wanted = F.lit(True) if names is None and ids is None else F.lit(False)
     if names:
@@ -200,8 +244,15 @@ def confirm_terms(terms: DataFrame, names: list[str] | None = None, ids: list[st
         wanted = wanted | F.col("id").isin(*ids)
     change = wanted & (F.lit(force) | (F.coalesce("confidence", F.lit("")) != "high"))
     old = F.coalesce("notes", F.lit(""))
-    added = F.when(F.lit(note == "") | F.contains(old, F.lit(note)), old).otherwise(F.concat_ws("; ", F.nullif(old, F.lit("")), F.lit(note)))
-    return terms.withColumns({"confidence": F.when(change, "high").otherwise(F.col("confidence")), "notes": F.when(change, added).otherwise(F.col("notes"))})
+    added = F.when(F.lit(note == "") | F.contains(old, F.lit(note)), old).otherwise(
+        F.concat_ws("; ", F.nullif(old, F.lit("")), F.lit(note))
+    )
+    return terms.withColumns(
+        {
+            "confidence": F.when(change, "high").otherwise(F.col("confidence")),
+            "notes": F.when(change, added).otherwise(F.col("notes"))
+        }
+    )
 
 
 def reset_terms(terms: DataFrame, prune_zero: bool = False) -> DataFrame:
@@ -218,7 +269,9 @@ def reset_terms(terms: DataFrame, prune_zero: bool = False) -> DataFrame:
 def _pair_reason() -> Column:
     a, b, na, nb, ta, tb = (F.col(c) for c in ("a_low", "b_low", "a_norm", "b_norm", "a_tok", "b_tok"))
     short, long = F.when(F.length(na) <= F.length(nb), na).otherwise(nb), F.when(F.length(na) <= F.length(nb), nb).otherwise(na)
-    subset = lambda x, y: (F.size(F.array_except(x, y)) == 0) & (F.size(F.array_distinct(x)) < F.size(F.array_distinct(y))) & (F.size(x) > 0)
+    subset = lambda x, y: (F.size(F.array_except(x, y)) == 0) & (
+        F.size(F.array_distinct(x)) < F.size(F.array_distinct(y))
+    ) & (F.size(x) > 0)
     double = lambda x, y: F.array_join(F.concat(x, x), " ") == F.array_join(y, " ")
     few, many = F.when(F.size(ta) <= F.size(tb), ta).otherwise(tb), F.when(F.size(ta) <= F.size(tb), tb).otherwise(ta)
     return (
@@ -241,8 +294,14 @@ def find_duplicates(terms: DataFrame) -> DataFrame:
     low = F.lower(strip(F.col("source")))
     norm = normalize_dedup(F.col("source"))
     surfaces = surface_forms(F.col("source"), F.col("aliases"))
-    rows = terms.select("book_id", "pos", low.alias("low"), norm.alias("norm"), tokenize(F.col("source")).alias("tok"), surfaces.alias("surf"), "target")
-    stems = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.when(F.length("norm") - k > 3, F.concat(F.lit("p:"), F.left(F.col("norm"), F.length("norm") - k))))
+    rows = terms.select(
+        "book_id", "pos", low.alias("low"), norm.alias("norm"), tokenize(F.col("source")).alias("tok"),
+        surfaces.alias("surf"), "target"
+    )
+    stems = F.transform(
+        F.sequence(F.lit(0), F.lit(3)),
+        lambda k: F.when(F.length("norm") - k > 3, F.concat(F.lit("p:"), F.left(F.col("norm"), F.length("norm") - k)))
+    )
     named = F.concat(F.array(F.concat(F.lit("n:"), "norm")), stems, F.transform("surf", lambda s: F.concat(F.lit("s:"), s)))
     keyed = rows.select("book_id", "pos", F.explode(F.array_distinct(F.array_compact(named))).alias("key"))
     words = rows.select("book_id", "pos", F.explode(F.array_distinct("tok")).alias("key"))
@@ -265,9 +324,7 @@ def find_duplicates(terms: DataFrame) -> DataFrame:
 # Proposals: rows (book_id, chunk_no, meta) with meta a JSON text of one chunk's findings.
 
 META_SCHEMA = (
-    "new_entities array<struct<source:string,target_proposal:string,category:string,evidence:string>>, alias_hypotheses array<struct<variant:string,may_be_alias_of_source:string,evidence:string>>, "
-    "attribute_hypotheses array<struct<entity_source:string,attribute:string,value:string,confidence:string,evidence:string>>, used_term_sources array<string>, "
-    "conflicts array<struct<entity_source:string,field:string,injected:string,observed_better:string,evidence:string>>, narrator_identification struct<name:string,confidence:string>, chunk_id string"
+    "new_entities array<struct<source:string,target_proposal:string,category:string,evidence:string>>, alias_hypotheses array<struct<variant:string,may_be_alias_of_source:string,evidence:string>>, " "attribute_hypotheses array<struct<entity_source:string,attribute:string,value:string,confidence:string,evidence:string>>, used_term_sources array<string>, " "conflicts array<struct<entity_source:string,field:string,injected:string,observed_better:string,evidence:string>>, narrator_identification struct<name:string,confidence:string>, chunk_id string"
 )
 
 
@@ -275,18 +332,31 @@ def parse_metas(metas: DataFrame) -> DataFrame:
     """Metas with their parsed form m and errors; a meta with any error is malformed as a whole."""
     m = F.from_json("meta", META_SCHEMA)
     blank = lambda c: c.isNull() | (strip(c) == "")
-    bad = lambda items, fields: F.exists(F.coalesce(F.col(f"m.{items}"), F.array()), lambda e: reduce(lambda x, y: x | y, [blank(e[f]) for f in fields]))
+    bad = lambda items, fields: F.exists(
+        F.coalesce(F.col(f"m.{items}"), F.array()), lambda e: reduce(lambda x, y: x | y, [blank(e[f]) for f in fields])
+    )
     tests = (
-        ("not_json", F.expr("try_parse_json(meta) IS NULL") | ~F.ltrim("meta").startswith("{")), ("has_chunk_id", F.expr("try_variant_get(try_parse_json(meta), '$.chunk_id', 'string') IS NOT NULL")),
-        ("bad_entity", bad("new_entities", ("source", "target_proposal"))), ("bad_source", F.exists(F.coalesce("m.new_entities", F.array()), lambda e: ~is_valid_source(e.source))),
-        ("bad_alias", bad("alias_hypotheses", ("variant", "may_be_alias_of_source"))), ("bad_attribute", bad("attribute_hypotheses", ("entity_source", "attribute", "value"))), ("bad_conflict", bad("conflicts", ("entity_source", "field"))),
-    )
-    return metas.withColumn("m", m).withColumn("errors", F.array_compact(F.array(*(F.when(test, name) for name, test in tests)))).withColumn("hash", F.sha2("meta", 256))
+        ("not_json", F.expr("try_parse_json(meta) IS NULL") | ~F.ltrim("meta").startswith("{")),
+        ("has_chunk_id", F.expr("try_variant_get(try_parse_json(meta), '$.chunk_id', 'string') IS NOT NULL")),
+        ("bad_entity", bad("new_entities", ("source", "target_proposal"))),
+        ("bad_source", F.exists(F.coalesce("m.new_entities", F.array()), lambda e: ~is_valid_source(e.source))),
+        ("bad_alias", bad("alias_hypotheses", ("variant", "may_be_alias_of_source"))),
+        ("bad_attribute", bad("attribute_hypotheses", ("entity_source", "attribute", "value"))),
+        ("bad_conflict", bad("conflicts", ("entity_source", "field"))),
+    )
+    return (
+        metas.withColumn("m", m)
+        .withColumn("errors", F.array_compact(F.array(*(F.when(test, name) for name, test in tests))))
+        .withColumn("hash", F.sha2("meta", 256))
+    )
 
 
 def _known(terms: DataFrame) -> DataFrame:
     """(book_id, surface) -> the first term of that name or alias."""
-    pairs = terms.select("book_id", "pos", "source", "target", "aliases", "gender", "category", F.explode(surface_forms(F.col("source"), F.col("aliases"))).alias("surface"))
+    pairs = terms.select(
+        "book_id", "pos", "source", "target", "aliases", "gender", "category",
+        F.explode(surface_forms(F.col("source"), F.col("aliases"))).alias("surface")
+    )
     first = F.row_number().over(Window.partitionBy("book_id", "surface").orderBy("pos"))
     return pairs.withColumn("n", first).where("n = 1").drop("n")
 
@@ -297,7 +367,10 @@ def _chunks(order: str = "chunk_no") -> Column:
 
 def _fresh(metas: DataFrame, applied: DataFrame) -> DataFrame:
     """Parsed sound metas that weren't applied."""
-    return parse_metas(metas).where(F.size("errors") == 0).join(applied.select("book_id", "chunk_no", "hash"), ["book_id", "chunk_no", "hash"], "left_anti")
+    return (
+        parse_metas(metas).where(F.size("errors") == 0)
+        .join(applied.select("book_id", "chunk_no", "hash"), ["book_id", "chunk_no", "hash"], "left_anti")
+    )
 
 
 def consumed_metas(metas: DataFrame, applied: DataFrame) -> DataFrame:
@@ -316,40 +389,81 @@ def prepare_merge(metas: DataFrame, terms: DataFrame, applied: DataFrame) -> Dat
     none = F.lit(None).cast("string")
 
     def plan(df: DataFrame, outcome: Column, kind: Column, source: Column, field: Column, value: Column, options: Column) -> DataFrame:
-        named = df.select("book_id", outcome.alias("outcome"), kind.alias("kind"), source.alias("source"), field.alias("field"), value.alias("value"), options.alias("options"), "chunks")
-        return named.where("outcome IS NOT NULL").withColumn("id", F.concat("kind", F.lit("_"), key("source", F.coalesce("field", F.lit("")), F.coalesce("value", F.lit("")))))
+        named = df.select(
+            "book_id", outcome.alias("outcome"), kind.alias("kind"), source.alias("source"), field.alias("field"),
+            value.alias("value"), options.alias("options"), "chunks"
+        )
+        return named.where("outcome IS NOT NULL").withColumn(
+            "id",
+            F.concat("kind", F.lit("_"), key("source", F.coalesce("field", F.lit("")), F.coalesce("value", F.lit(""))))
+        )
 
     found = fresh.select("book_id", "chunk_no", F.explode("m.new_entities").alias("e"))
-    entity = found.groupBy("book_id", F.col("e.source").alias("name")).agg(F.array_sort(F.collect_set("e.target_proposal")).alias("targets"), F.array_sort(F.collect_set(F.coalesce("e.category", F.lit("term")))).alias("cats"), _chunks().alias("chunks"))
+    entity = found.groupBy("book_id", F.col("e.source").alias("name")).agg(
+        F.array_sort(F.collect_set("e.target_proposal")).alias("targets"),
+        F.array_sort(F.collect_set(F.coalesce("e.category", F.lit("term")))).alias("cats"), _chunks().alias("chunks")
+    )
     entity = entity.withColumn("surface", F.lower("name")).join(known, ["book_id", "surface"], "left")
     single = F.size("targets") == 1
     agreed = F.col("source").isNotNull() & single & (F.get("targets", F.lit(0)) == F.col("target"))
     clear = F.col("source").isNull() & single & (F.size("cats") == 1)
     e = plan(
-        entity, F.when(agreed, None).when(clear, "auto").otherwise("decision"), F.when(F.col("source").isNotNull(), "existing_entity_conflict").when(clear, "add_entity").otherwise("conflicting_new_entity_proposals"),
-        F.col("name"), F.when(clear, F.get("cats", F.lit(0))), F.when(clear, F.get("targets", F.lit(0))), F.when(~clear, F.col("targets")),
-    )
+        entity, F.when(agreed, None).when(clear, "auto").otherwise("decision"),
+        F.when(F.col("source").isNotNull(), "existing_entity_conflict").when(clear, "add_entity")
+        .otherwise("conflicting_new_entity_proposals"),
+        F.col("name"), F.when(clear, F.get("cats", F.lit(0))), F.when(clear, F.get("targets", F.lit(0))),
+        F.when(~clear, F.col("targets")),
+    )
     found = fresh.select("book_id", "chunk_no", F.explode("m.alias_hypotheses").alias("a"))
-    alias = found.groupBy("book_id", F.col("a.variant").alias("variant"), F.col("a.may_be_alias_of_source").alias("of")).agg(_chunks().alias("chunks")).withColumn("surface", F.lower("of")).join(known, ["book_id", "surface"], "left")
+    alias = (
+        found.groupBy("book_id", F.col("a.variant").alias("variant"), F.col("a.may_be_alias_of_source").alias("of"))
+        .agg(_chunks().alias("chunks")).withColumn("surface", F.lower("of")).join(known, ["book_id", "surface"], "left")
+    )
     taken = known.select("book_id", F.col("surface").alias("v"), F.col("source").alias("v_source"))
     alias = alias.withColumn("v", F.lower("variant")).join(taken, ["book_id", "v"], "left")
     has = F.array_contains(surface_forms(F.col("source"), F.col("aliases")), F.col("v"))
     a = plan(
-        alias, F.when(F.col("source").isNull(), "decision").when(has, None).when(F.col("v_source").isNotNull(), "decision").otherwise("auto"),
-        F.when(F.col("source").isNull(), "alias_candidate_missing").when(F.col("v_source").isNotNull(), "alias_variant_is_term").otherwise("add_alias"), F.coalesce("source", "of"), F.lit("alias"), F.col("variant"), F.lit(None).cast("array<string>"),
-    )
+        alias,
+        F.when(F.col("source").isNull(), "decision").when(has, None).when(F.col("v_source").isNotNull(), "decision")
+        .otherwise("auto"),
+        F.when(F.col("source").isNull(), "alias_candidate_missing")
+        .when(F.col("v_source").isNotNull(), "alias_variant_is_term").otherwise("add_alias"),
+        F.coalesce("source", "of"), F.lit("alias"), F.col("variant"), F.lit(None).cast("array<string>"),
+    )
     found = fresh.select("book_id", "chunk_no", F.explode("m.attribute_hypotheses").alias("h"))
-    rank = F.max(F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in CONFIDENCE.items() for x in kv)), F.col("h.confidence")), F.lit(1)))
-    attr = found.groupBy("book_id", F.col("h.entity_source").alias("name"), F.col("h.attribute").alias("attr"), F.col("h.value").alias("val")).agg(rank.alias("rank"), _chunks().alias("chunks")).withColumn("surface", F.lower("name")).join(known, ["book_id", "surface"])
-    now = F.when(F.col("attr") == "gender", F.col("gender")).when(F.col("attr") == "category", F.col("category")).when(F.col("attr") == "target", F.col("target"))
+    rank = F.max(
+        F.coalesce(
+            F.try_element_at(F.create_map(*(F.lit(x) for kv in CONFIDENCE.items() for x in kv)), F.col("h.confidence")),
+            F.lit(1)
+        )
+    )
+    attr = (
+        found.groupBy(
+            "book_id", F.col("h.entity_source").alias("name"), F.col("h.attribute").alias("attr"),
+            F.col("h.value").alias("val")
+        )
+        .agg(rank.alias("rank"), _chunks().alias("chunks")).withColumn("surface", F.lower("name"))
+        .join(known, ["book_id", "surface"])
+    )
+    now = (
+        F.when(F.col("attr") == "gender", F.col("gender")).when(F.col("attr") == "category", F.col("category"))
+        .when(F.col("attr") == "target", F.col("target"))
+    )
     open_ = F.coalesce(now, F.lit("")).isin("", "unknown")
     t = plan(
-        attr, F.when(now == F.col("val"), None).when(open_ & (F.col("rank") >= 2), "auto").otherwise("decision"), F.when(open_ & (F.col("rank") >= 2), "set_attribute").when(open_, "attribute_low_confidence").otherwise("attribute_conflict"),
+        attr, F.when(now == F.col("val"), None).when(open_ & (F.col("rank") >= 2), "auto").otherwise("decision"),
+        F.when(open_ & (F.col("rank") >= 2), "set_attribute").when(open_, "attribute_low_confidence")
+        .otherwise("attribute_conflict"),
         F.col("source"), F.col("attr"), F.col("val"), F.when(~open_, F.array(now, F.col("val"))),
-    )
+    )
     found = fresh.select("book_id", "chunk_no", F.explode("m.conflicts").alias("c"))
-    clash = found.groupBy("book_id", F.col("c.entity_source").alias("name"), F.col("c.field").alias("f"), F.col("c.injected").alias("i")).agg(F.min_by("c.observed_better", "chunk_no").alias("better"), _chunks().alias("chunks"))
-    c = plan(clash, F.lit("decision"), F.lit("translation_conflict"), F.col("name"), F.col("f"), F.col("i"), F.array_compact(F.array("i", "better")))
+    clash = found.groupBy(
+        "book_id", F.col("c.entity_source").alias("name"), F.col("c.field").alias("f"), F.col("c.injected").alias("i")
+    ).agg(F.min_by("c.observed_better", "chunk_no").alias("better"), _chunks().alias("chunks"))
+    c = plan(
+        clash, F.lit("decision"), F.lit("translation_conflict"), F.col("name"), F.col("f"), F.col("i"),
+        F.array_compact(F.array("i", "better"))
+    )
     return e.unionByName(a).unionByName(t).unionByName(c).withColumn("field", F.coalesce("field", none))
 
 
@@ -362,9 +476,13 @@ def validate_decisions(plan: DataFrame, decisions: DataFrame) -> DataFrame:
     wanted = plan.where("outcome = 'decision'").select("book_id", "id", F.col("kind").alias("plan_kind"), "options")
     joined = decisions.join(wanted, ["book_id", "id"], "left")
     fault = (
-        F.when(F.col("plan_kind").isNull(), "unknown_id").when(F.col("kind").isNotNull() & (F.col("kind") != F.col("plan_kind")), "wrong_kind")
-        .when(~F.col("choice").isin(*CHOICES) & ~F.coalesce(F.array_contains("options", F.col("choice")), F.lit(False)), "bad_choice")
-    )
+        F.when(F.col("plan_kind").isNull(), "unknown_id")
+        .when(F.col("kind").isNotNull() & (F.col("kind") != F.col("plan_kind")), "wrong_kind")
+        .when(
+            ~F.col("choice").isin(*CHOICES) & ~F.coalesce(F.array_contains("options", F.col("choice")), F.lit(False)),
+            "bad_choice"
+        )
+    )
     return joined.withColumn("fault", fault).where("fault IS NOT NULL").select("book_id", "id", "choice", "fault")
 
 
@@ -376,26 +494,53 @@ def apply_merge(plan: DataFrame, terms: DataFrame, decisions: DataFrame) -> Data
     if not validate_decisions(plan, decisions).isEmpty():
         raise ValueError("faulty decisions; nothing was applied")
     chosen = plan.join(decisions.select("book_id", "id", "choice"), ["book_id", "id"], "left").where("outcome = 'auto' OR choice != 'skip'")
-    value = F.when(F.col("outcome") == "auto", F.col("value")).when(F.col("choice") == "accept", F.coalesce("value", F.element_at("options", -1))).otherwise(F.col("choice"))
+    value = (
+        F.when(F.col("outcome") == "auto", F.col("value"))
+        .when(F.col("choice") == "accept", F.coalesce("value", F.element_at("options", -1))).otherwise(F.col("choice"))
+    )
     acts = chosen.withColumn("value", value)
-    sets = acts.where("kind IN ('set_attribute', 'attribute_low_confidence', 'attribute_conflict', 'existing_entity_conflict', 'translation_conflict')")
+    sets = acts.where(
+        "kind IN ('set_attribute', 'attribute_low_confidence', 'attribute_conflict', 'existing_entity_conflict', 'translation_conflict')"
+    )
     field = F.when(F.col("kind") == "existing_entity_conflict", "target").otherwise(F.col("field"))
-    by_field = sets.select("book_id", F.lower("source").alias("key"), field.alias("field"), "value").where("field IN ('gender', 'category', 'target')").groupBy("book_id", "key").pivot("field", ["gender", "category", "target"]).agg(F.max("value"))
-    extra = acts.where("kind IN ('add_alias', 'alias_variant_is_term')").groupBy("book_id", F.lower("source").alias("key")).agg(F.array_sort(F.collect_set("value")).alias("new_aliases"))
-    old = terms.withColumn("key", F.lower("source")).join(by_field.toDF("book_id", "key", "g", "c", "t"), ["book_id", "key"], "left").join(extra, ["book_id", "key"], "left")
+    by_field = (
+        sets.select("book_id", F.lower("source").alias("key"), field.alias("field"), "value")
+        .where("field IN ('gender', 'category', 'target')").groupBy("book_id", "key")
+        .pivot("field", ["gender", "category", "target"]).agg(F.max("value"))
+    )
+    extra = (
+        acts.where("kind IN ('add_alias', 'alias_variant_is_term')").groupBy("book_id", F.lower("source").alias("key"))
+        .agg(F.array_sort(F.collect_set("value")).alias("new_aliases"))
+    )
+    old = (
+        terms.withColumn("key", F.lower("source"))
+        .join(by_field.toDF("book_id", "key", "g", "c", "t"), ["book_id", "key"], "left")
+        .join(extra, ["book_id", "key"], "left")
+    )
     aliases = F.coalesce("aliases", F.array().cast("array<string>"))
-    old = old.withColumns({"gender": F.coalesce("g", "gender"), "category": F.coalesce("c", "category"), "target": F.coalesce("t", "target"), "aliases": F.array_union(aliases, F.coalesce("new_aliases", F.array().cast("array<string>")))}).select(*terms.columns)
+    old = old.withColumns(
+        {
+            "gender": F.coalesce("g", "gender"), "category": F.coalesce("c", "category"),
+            "target": F.coalesce("t", "target"),
+            "aliases": F.array_union(aliases, F.coalesce("new_aliases", F.array().cast("array<string>")))
+        }
+    ).select(*terms.columns)
     last = terms.groupBy("book_id").agg(F.max("pos").alias("last"))
     fresh = acts.where("kind IN ('add_entity', 'conflicting_new_entity_proposals')").join(last, "book_id", "left")
     pos = F.coalesce("last", F.lit(0)) + F.row_number().over(Window.partitionBy("book_id").orderBy("source"))
     fields = {
-        "pos": pos.cast(terms.schema["pos"].dataType), "id": F.lit(""), "target": F.col("value"), "aliases": F.array().cast("array<string>"), "category": F.coalesce("field", F.lit("term")), "gender": F.lit("unknown"),
-        "confidence": F.lit("low"), "frequency": F.lit(0).cast(terms.schema["frequency"].dataType), "evidence_refs": F.transform("chunks", lambda k: F.format_string("chunk%04d", k)), "notes": F.lit("merged"),
-    }
+        "pos": pos.cast(terms.schema["pos"].dataType), "id": F.lit(""), "target": F.col("value"),
+        "aliases": F.array().cast("array<string>"), "category": F.coalesce("field", F.lit("term")),
+        "gender": F.lit("unknown"), "confidence": F.lit("low"),
+        "frequency": F.lit(0).cast(terms.schema["frequency"].dataType),
+        "evidence_refs": F.transform("chunks", lambda k: F.format_string("chunk%04d", k)), "notes": F.lit("merged"),
+    }
     return ensure_term_ids(old.unionByName(fresh.withColumns(fields).select(*terms.columns)))
 
 
-def finish_merge(plan: DataFrame, consumed: DataFrame, terms: DataFrame, applied: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+def finish_merge(
+    plan: DataFrame, consumed: DataFrame, terms: DataFrame, applied: DataFrame, decisions: DataFrame
+) -> tuple[DataFrame, DataFrame]:
     """The glossary after apply_merge, and the hashes of applied metas with the consumed ones in place of older ones of their chunks.
 
     Both go into one snapshot: see sinks.write_merge. Faulty decisions raise, and neither is given.
@@ -407,16 +552,23 @@ def finish_merge(plan: DataFrame, consumed: DataFrame, terms: DataFrame, applied
 
 def merge_status(metas: DataFrame, outputs: DataFrame, applied: DataFrame) -> DataFrame:
     """Per book: consumed, unmerged and malformed metas, and outputs without meta."""
-    state = parse_metas(metas).join(applied.select("book_id", "chunk_no", "hash", F.lit(True).alias("done")), ["book_id", "chunk_no", "hash"], "left")
+    state = parse_metas(metas).join(
+        applied.select("book_id", "chunk_no", "hash", F.lit(True).alias("done")), ["book_id", "chunk_no", "hash"],
+        "left"
+    )
     kind = F.when(F.col("done"), "consumed").when(F.size("errors") > 0, "malformed").otherwise("unmerged")
-    rows = state.select("book_id", kind.alias("k")).unionByName(outputs.join(metas, ["book_id", "chunk_no"], "left_anti").select("book_id", F.lit("missing").alias("k")))
+    rows = state.select("book_id", kind.alias("k")).unionByName(
+        outputs.join(metas, ["book_id", "chunk_no"], "left_anti").select("book_id", F.lit("missing").alias("k"))
+    )
     return rows.groupBy("book_id").agg(*(F.count_if(F.col("k") == k).alias(k) for k in ("consumed", "unmerged", "malformed", "missing")))
 
 
 def parse_decisions(texts: DataFrame) -> DataFrame:
     """Decisions of files (book_id, text): a JSON list of {id, choice, kind}, or an object that holds it as `decisions`."""
     item = "array<struct<id:string,choice:string,kind:string>>"
-    both = F.when(F.ltrim("text").startswith("["), F.from_json("text", item)).otherwise(F.from_json("text", f"decisions {item}")["decisions"])
+    both = F.when(
+        F.ltrim("text").startswith("["), F.from_json("text", item)
+    ).otherwise(F.from_json("text", f"decisions {item}")["decisions"])
     return texts.select("book_id", F.explode(both).alias("d")).select("book_id", "d.id", "d.choice", "d.kind")
 
 
@@ -424,6 +576,13 @@ def load_glossary(texts: DataFrame) -> DataFrame:
     """Terms of glossary files (book_id, text): a JSON object with `terms`. A file that holds none stops the job; absent fields get defaults."""
     term = "struct<id:string,source:string,target:string,aliases:array<string>,category:string,gender:string,confidence:string,frequency:int,evidence_refs:array<string>,notes:string>"
     parsed = texts.select("book_id", F.from_json("text", f"version int, terms array<{term}>").alias("g"))
-    checked = parsed.select("book_id", F.when(F.col("g.terms").isNull(), F.raise_error(F.concat(F.lit("no terms in the glossary of "), "book_id")).cast(f"array<{term}>")).otherwise(F.col("g.terms")).alias("terms"))
+    checked = parsed.select(
+        "book_id",
+        F.when(
+            F.col("g.terms").isNull(),
+            F.raise_error(F.concat(F.lit("no terms in the glossary of "), "book_id")).cast(f"array<{term}>")
+        )
+        .otherwise(F.col("g.terms")).alias("terms")
+    )
     rows = checked.select("book_id", F.posexplode("terms").alias("k", "t")).select("book_id", (F.col("k") + 1).alias("pos"), "t.*")
     return fix_glossary(rows.withColumn("evidence_refs", F.coalesce("evidence_refs", F.array().cast("array<string>"))))

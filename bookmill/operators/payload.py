@@ -18,10 +18,14 @@ def task_payload(chunks: DataFrame, tables: DataFrame, context_chars: int = 300)
     """A task text per chunk: terms, what stands before and after, and the chunk's name."""
     key = ["book_id", "chunk_no"]
     rows = chunks.select(*key).join(tables, key, "left").join(neighbour_context(chunks, context_chars), key, "left")
-    part = lambda title, c, none: F.concat(F.lit(f"## {title}\n\n"), F.coalesce(F.nullif(c, F.lit("")), F.lit(none)), F.lit("\n\n"))
+    part = lambda title, c, none: F.concat(
+        F.lit(f"## {title}\n\n"), F.coalesce(F.nullif(c, F.lit("")), F.lit(none)), F.lit("\n\n")
+    )
     text = F.concat(
-        F.format_string("# chunk%04d\n\n", "chunk_no"), part("Terms", F.col("term_table"), "No terms."), part("Before", F.col("prev_tail"), "Nothing stands before."), part("After", F.col("next_head"), "Nothing follows."),
-    )
+        F.format_string("# chunk%04d\n\n", "chunk_no"), part("Terms", F.col("term_table"), "No terms."),
+        part("Before", F.col("prev_tail"), "Nothing stands before."),
+        part("After", F.col("next_head"), "Nothing follows."),
+    )
     return rows.select(*key, text.alias("value"))
 
 
@@ -62,9 +66,15 @@ def pronoun_payload(terms: DataFrame, metas: DataFrame, outputs: DataFrame, p: P
     glossary = _joined(terms, "pos", F.to_json(F.struct("source", "target", "gender")), "glossary")
     found = _joined(metas, "chunk_no", F.coalesce("meta", F.lit("null")), "metas")
     long = _joined(with_meta, "chunk_no", F.to_json(F.struct("chunk_no", F.left("text", F.lit(p.snippet_chars)).alias("text"))), "long")
-    short = _joined(snippets_limit(with_meta, p.snippet_limit, p.snippet_truncate), "chunk_no", F.to_json(F.struct("chunk_no", "snippet")), "short")
+    short = _joined(
+        snippets_limit(with_meta, p.snippet_limit, p.snippet_truncate), "chunk_no",
+        F.to_json(F.struct("chunk_no", "snippet")), "short"
+    )
     rows = glossary.join(found, "book_id", "left").join(long, "book_id", "left").join(short, "book_id", "left")
-    whole = lambda s: F.concat(F.lit('{"glossary":'), "glossary", F.lit(',"metas":'), F.coalesce("metas", F.lit("[]")), F.lit(',"snippets":'), F.coalesce(s, F.lit("[]")), F.lit("}"))
+    whole = lambda s: F.concat(
+        F.lit('{"glossary":'), "glossary", F.lit(',"metas":'), F.coalesce("metas", F.lit("[]")), F.lit(',"snippets":'),
+        F.coalesce(s, F.lit("[]")), F.lit("}")
+    )
     return rows.select("book_id", size_switch(whole(F.col("long")), whole(F.col("short")), p.pronoun_threshold).alias("payload"))
 
 
@@ -79,15 +89,22 @@ def issue_counts(issues: DataFrame) -> DataFrame:
     """Per chunk its issues by severity and by category: book_id, chunk_no, severity_counts, category_counts (JSON). Medium and other where none is given."""
     key = ["book_id", "chunk_no"]
     level, category = F.coalesce("severity", F.lit("medium")), F.coalesce("category", F.lit("other"))
-    levels = issues.groupBy(*key).agg(F.to_json(F.struct(*(F.count_if(level == s).alias(s) for s in ("high", "medium", "low")))).alias("severity_counts"))
+    levels = issues.groupBy(*key).agg(
+        F.to_json(
+            F.struct(*(F.count_if(level == s).alias(s) for s in ("high", "medium", "low")))
+        ).alias("severity_counts")
+    )
     kinds = issues.groupBy(*key, category.alias("c")).agg(F.count("*").alias("n"))
-    kinds = kinds.groupBy(*key).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("c", "n"))))).alias("category_counts"))
+    kinds = kinds.groupBy(*key).agg(
+        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("c", "n"))))).alias("category_counts")
+    )
     return levels.join(kinds, key)
 
 
 def post_mortem_payload(
-    manifest: DataFrame, arcs: DataFrame, issues: DataFrame, p: Payload = Payload(), *, metas: DataFrame | None = None, sections: DataFrame | None = None, units: DataFrame | None = None
-) -> DataFrame:
+    manifest: DataFrame, arcs: DataFrame, issues: DataFrame, p: Payload = Payload(), *, metas: DataFrame | None = None,
+    sections: DataFrame | None = None, units: DataFrame | None = None
+) -> DataFrame:
     """Per book a JSON text of chunks, arcs, issues, sections (book_id, chunk_no, section_title), units (book_id, units as JSON) and metas.
 
     Long ones hold counts for each chunk instead of its issues and its meta.
@@ -120,11 +137,16 @@ def meta_counts(metas: DataFrame) -> DataFrame:
     """Per chunk, how much its meta (parsed as m) holds, and whether the narrator is known."""
     size = lambda c: F.coalesce(F.size(F.col(f"m.{c}")), F.lit(0))
     return metas.select(
-        "book_id", "chunk_no", size("new_entities").alias("n_entities"), size("alias_hypotheses").alias("n_aliases"), size("attribute_hypotheses").alias("n_attributes"), size("conflicts").alias("n_conflicts"),
-        F.col("m.narrator_identification.name").isNotNull().alias("narrator_known"), F.col("m.narrator_identification.confidence").alias("narrator_confidence"),
-    )
+        "book_id", "chunk_no", size("new_entities").alias("n_entities"), size("alias_hypotheses").alias("n_aliases"),
+        size("attribute_hypotheses").alias("n_attributes"), size("conflicts").alias("n_conflicts"),
+        F.col("m.narrator_identification.name").isNotNull().alias("narrator_known"),
+        F.col("m.narrator_identification.confidence").alias("narrator_confidence"),
+    )
 
 
 def last_notes(log: DataFrame, n: int = 5) -> DataFrame:
     w = Window.partitionBy("book_id").orderBy(F.desc("ts"), F.desc("seq"))
-    return log.where("note IS NOT NULL").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).select("book_id", "rank", "note")
+    return (
+        log.where("note IS NOT NULL").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+        .select("book_id", "rank", "note")
+    )

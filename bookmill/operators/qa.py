@@ -10,14 +10,25 @@ from ..functions.text import english_leaks, mixed_words
 
 # What the checks look for.
 PLACEHOLDERS = ("{baseDir}", "{TERM_TABLE}", "{NEIGHBOR_CONTEXT}", "{CUSTOM_INSTRUCTIONS}", "{TARGET_LANGUAGE}", "{TEMP_DIR}")
-ARTIFACTS = ((r"\[object Object\]", "[object Object]"), (r"\[undefined\]", "[undefined]"), (r"(?U)(?<![\w-])undefined(?![\w-])", "undefined"), (r"(?U)(?<![\w-])null(?![\w-])", "null"), (r"\[Function\]", "[Function]"), ("NaN", "NaN"))
-SPEECH = ("said", "exclaimed", "asked", "replied", "whispered", "shouted", "muttered", "сказал", "сказала", "воскликнул", "воскликнула", "спросил", "спросила", "ответил", "ответила", "прошептал", "прошептала", "крикнул", "пробормотал")
+ARTIFACTS = (
+    (r"\[object Object\]", "[object Object]"), (r"\[undefined\]", "[undefined]"),
+    (r"(?U)(?<![\w-])undefined(?![\w-])", "undefined"), (r"(?U)(?<![\w-])null(?![\w-])", "null"),
+    (r"\[Function\]", "[Function]"), ("NaN", "NaN")
+)
+SPEECH = (
+    "said", "exclaimed", "asked", "replied", "whispered", "shouted", "muttered", "сказал", "сказала", "воскликнул",
+    "воскликнула", "спросил", "спросила", "ответил", "ответила", "прошептал", "прошептала", "крикнул", "пробормотал"
+)
 NUMBER_WORDS = (
-    "Один", "Два", "Три", "Четыре", "Пять", "Шесть", "Семь", "Восемь", "Девять", "Десять", "Одиннадцать", "Двенадцать", "Тринадцать", "Четырнадцать", "Пятнадцать", "Шестнадцать", "Семнадцать", "Восемнадцать", "Девятнадцать", "Двадцать",
-)
+    "Один", "Два", "Три", "Четыре", "Пять", "Шесть", "Семь", "Восемь", "Девять", "Десять", "Одиннадцать", "Двенадцать",
+    "Тринадцать", "Четырнадцать", "Пятнадцать", "Шестнадцать", "Семнадцать", "Восемнадцать", "Девятнадцать", "Двадцать",
+)
 MONTHS = ("январ", "феврал", "март", "апрел", "ма", "июн", "июл", "август", "сентябр", "октябр", "ноябр", "декабр")
 DURATIONS = ("часа", "дня", "года", "недели", "месяца", "минуты", "суток", "часов", "дней", "лет", "недель", "месяцев", "минут")
-PAIRS = ((rf"(?iUu)\bв течении\s+(?:{'|'.join(DURATIONS)})\b", "в течение"), (r"(?iUu)\bиме\w+\s+ввиду\b", "иметь в виду"), (r"(?iUu)\bв отличии от\b", "в отличие от"))
+PAIRS = (
+    (rf"(?iUu)\bв течении\s+(?:{'|'.join(DURATIONS)})\b", "в течение"), (r"(?iUu)\bиме\w+\s+ввиду\b", "иметь в виду"),
+    (r"(?iUu)\bв отличии от\b", "в отличие от")
+)
 
 
 def _found(name: str, matches: Column) -> Column:
@@ -65,7 +76,9 @@ def line_issues(docs: DataFrame, checks: tuple[str, ...] = tuple(LINE_CHECKS)) -
     """Issues of the line checks: texts are read and cut into lines once, whatever the number of checks."""
     rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
     every = reduce(lambda a, b: F.concat(a, b), [_found(name, LINE_CHECKS[name](F.col("line"))) for name in checks])
-    return rows.select("doc_id", (F.col("n") + 1).alias("line"), F.explode(every).alias("i")).select("doc_id", "i.check_name", "line", "i.message")
+    return rows.select(
+        "doc_id", (F.col("n") + 1).alias("line"), F.explode(every).alias("i")
+    ).select("doc_id", "i.check_name", "line", "i.message")
 
 
 def orphan_footnotes(docs: DataFrame) -> DataFrame:
@@ -75,24 +88,36 @@ def orphan_footnotes(docs: DataFrame) -> DataFrame:
     books = docs.withColumnRenamed("doc_id", "book_id")
     used = footnote_markers(books).groupBy("book_id", "marker").agg(F.min("line").alias("line"))
     lost = used.join(footnote_defs(books).select("book_id", "marker"), ["book_id", "marker"], "left_anti")
-    return lost.select(F.col("book_id").alias("doc_id"), F.lit("orphan_footnotes").alias("check_name"), "line", F.col("marker").alias("message"))
+    return lost.select(
+        F.col("book_id").alias("doc_id"), F.lit("orphan_footnotes").alias("check_name"), "line",
+        F.col("marker").alias("message")
+    )
 
 
 def leaks(docs: DataFrame, least: int = 80) -> DataFrame:
     """Runs of English prose; they may go over line ends, so the line is that of the text's first."""
-    return docs.select("doc_id", F.lit("english_leaks").alias("check_name"), F.lit(1).alias("line"), F.explode(english_leaks(F.col("text"), least)).alias("message"))
+    return docs.select(
+        "doc_id", F.lit("english_leaks").alias("check_name"), F.lit(1).alias("line"),
+        F.explode(english_leaks(F.col("text"), least)).alias("message")
+    )
 
 
 def mixed_alphabets(docs: DataFrame, protected: Column | None = None) -> DataFrame:
     rows = docs.select("*", F.posexplode(F.split("text", "\n")).alias("n", "line_text"))
-    return rows.select("doc_id", F.lit("mixed_alphabets").alias("check_name"), (F.col("n") + 1).alias("line"), F.explode(mixed_words(F.col("line_text"), protected=protected)).alias("message"))
+    return rows.select(
+        "doc_id", F.lit("mixed_alphabets").alias("check_name"), (F.col("n") + 1).alias("line"),
+        F.explode(mixed_words(F.col("line_text"), protected=protected)).alias("message")
+    )
 
 
 def code_fences(docs: DataFrame) -> DataFrame:
     """An odd number of fences, at the last one."""
     at = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.when(x.startswith("```"), i + 1)), lambda x: x.isNotNull())
     found = docs.select("doc_id", at.alias("at")).where(F.size("at") % 2 == 1)
-    return found.select("doc_id", F.lit("code_fences").alias("check_name"), F.element_at("at", -1).alias("line"), F.size("at").cast("string").alias("message"))
+    return found.select(
+        "doc_id", F.lit("code_fences").alias("check_name"), F.element_at("at", -1).alias("line"),
+        F.size("at").cast("string").alias("message")
+    )
 
 
 def all_issues(docs: DataFrame) -> DataFrame:

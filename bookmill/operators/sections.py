@@ -48,7 +48,8 @@ def merge_front_back(sections: DataFrame, *, most: int = 15_000, append_trailing
     place = F.when(own, 1).when(F.lit(append_trailing) & F.col("next").isNull(), 2).otherwise(0)
     parts = F.array_sort(F.collect_list(F.struct(place.alias("place"), "section_no", "text")))
     return hosted.groupBy("book_id", F.col("host").alias("section_no")).agg(
-        F.max(F.when(own, F.col("level"))).alias("level"), F.max(F.when(own, F.col("title"))).alias("title"), F.array_join(F.transform(parts, lambda p: p.text), "\n\n").alias("text")
+        F.max(F.when(own, F.col("level"))).alias("level"), F.max(F.when(own, F.col("title"))).alias("title"),
+        F.array_join(F.transform(parts, lambda p: p.text), "\n\n").alias("text")
     )
 
 
@@ -59,7 +60,8 @@ def _greedy(parts: Column, fits) -> Column:
     def step(acc: Column, p: Column) -> Column:
         more = acc.cur.isNull() | fits(acc.cur, p)
         return F.struct(
-            F.when(more, acc.out).otherwise(F.array_append(acc.out, acc.cur)).alias("out"), F.when(acc.cur.isNull() | ~more, p).otherwise(F.concat(acc.cur, F.lit("\n\n"), p)).alias("cur")
+            F.when(more, acc.out).otherwise(F.array_append(acc.out, acc.cur)).alias("out"),
+            F.when(acc.cur.isNull() | ~more, p).otherwise(F.concat(acc.cur, F.lit("\n\n"), p)).alias("cur")
         )
 
     return F.aggregate(parts, start, step, lambda acc: F.when(acc.cur.isNull(), acc.out).otherwise(F.array_append(acc.out, acc.cur)))
@@ -69,13 +71,21 @@ def split_by_size(text: Column, chunk_size: int, soft_limit: int) -> Column:
     """Paragraphs packed in order up to chunk_size characters (blank lines not counted); longer ones than soft_limit by sentences, apart from what came before."""
     flag = lambda p: F.length(p) > soft_limit
     sentence = r"(?<=[.!?…»)])\s+(?=[А-ЯЁA-Z„\"«(])"
-    units = F.flatten(F.transform(paragraphs(text), lambda p: F.when(flag(p), F.transform(F.split(p, sentence), lambda s, i: F.struct(s.alias("s"), (i == 0).alias("new")))).otherwise(F.array(F.struct(p.alias("s"), F.lit(False).alias("new"))))))
+    units = F.flatten(
+        F.transform(
+            paragraphs(text),
+            lambda p: F.when(
+                flag(p), F.transform(F.split(p, sentence), lambda s, i: F.struct(s.alias("s"), (i == 0).alias("new")))
+            ).otherwise(F.array(F.struct(p.alias("s"), F.lit(False).alias("new"))))
+        )
+    )
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(None).cast("string").alias("cur"))
 
     def step(acc: Column, u: Column) -> Column:
         more = acc.cur.isNull() | (~u.new & (F.length(acc.cur) + F.length(u.s) <= chunk_size))
         return F.struct(
-            F.when(more, acc.out).otherwise(F.array_append(acc.out, strip(acc.cur))).alias("out"), F.when(acc.cur.isNull() | ~more, u.s).otherwise(F.concat(acc.cur, F.lit("\n\n"), u.s)).alias("cur")
+            F.when(more, acc.out).otherwise(F.array_append(acc.out, strip(acc.cur))).alias("out"),
+            F.when(acc.cur.isNull() | ~more, u.s).otherwise(F.concat(acc.cur, F.lit("\n\n"), u.s)).alias("cur")
         )
 
     return F.aggregate(units, start, step, lambda acc: F.when(acc.cur.isNull(), acc.out).otherwise(F.array_append(acc.out, strip(acc.cur))))
@@ -90,7 +100,10 @@ def split_scene_breaks(text: Column) -> Column:
         end = p.rlike(r"^\s*\*{3,}\s*$")
         return F.struct(F.when(end, F.array_append(acc.out, now)).otherwise(acc.out).alias("out"), F.when(~end, now).alias("cur"))
 
-    return F.aggregate(paragraphs(text), start, step, lambda acc: F.when(acc.cur.isNull(), acc.out).otherwise(F.array_append(acc.out, acc.cur)))
+    return F.aggregate(
+        paragraphs(text), start, step,
+        lambda acc: F.when(acc.cur.isNull(), acc.out).otherwise(F.array_append(acc.out, acc.cur))
+    )
 
 
 def merge_small_chunks(parts: Column, limit: int) -> Column:
@@ -109,33 +122,56 @@ def chunk_section(text: Column, c: Chunking = Chunking()) -> Column:
 
 def number_chunks(sections: DataFrame, c: Chunking = Chunking()) -> DataFrame:
     """The manifest with texts: book_id, chunk_no, chunk_id, section_no, section_title, section_level, source (hash), size, text."""
-    pieces = sections.select("book_id", "section_no", "level", "title", F.posexplode(chunk_section(F.col("text"), c)).alias("piece_no", "text"))
+    pieces = sections.select(
+        "book_id", "section_no", "level", "title",
+        F.posexplode(chunk_section(F.col("text"), c)).alias("piece_no", "text")
+    )
     n = F.row_number().over(Window.partitionBy("book_id").orderBy("section_no", "piece_no"))
     return pieces.withColumn("chunk_no", n).select(
-        "book_id", "chunk_no", F.format_string("chunk%04d", "chunk_no").alias("chunk_id"), "section_no", F.col("title").alias("section_title"), F.col("level").alias("section_level"),
+        "book_id", "chunk_no", F.format_string("chunk%04d", "chunk_no").alias("chunk_id"), "section_no",
+        F.col("title").alias("section_title"), F.col("level").alias("section_level"),
         F.sha2("text", 256).alias("source"), F.length("text").cast("bigint").alias("size"), "text",
-    )
+    )
 
 
 def tiny_chunks(manifest: DataFrame, least: int, show: int = 8) -> DataFrame:
     """Per book: how many chunks are shorter than `least`, and the first few."""
     few = F.slice(F.array_sort(F.collect_list("chunk_id")), 1, show)
-    return manifest.where(F.col("size") < least).groupBy("book_id").agg(F.count("*").alias("n_tiny"), F.concat(F.array_join(few, ", "), F.when(F.count("*") > show, "...").otherwise("")).alias("first_tiny"))
+    return (
+        manifest.where(F.col("size") < least).groupBy("book_id")
+        .agg(
+            F.count("*").alias("n_tiny"),
+            F.concat(F.array_join(few, ", "), F.when(F.count("*") > show, "...").otherwise("")).alias("first_tiny")
+        )
+    )
 
 
 def manifest_stats(manifest: DataFrame) -> DataFrame:
-    return manifest.groupBy("book_id").agg(F.count("*").alias("n_chunks"), F.min("size").alias("min_size"), F.max("size").alias("max_size"), F.expr("sum(size) div count(*)").alias("mean_size"))
+    return manifest.groupBy("book_id").agg(
+        F.count("*").alias("n_chunks"), F.min("size").alias("min_size"), F.max("size").alias("max_size"),
+        F.expr("sum(size) div count(*)").alias("mean_size")
+    )
 
 
 def inspect_manifest(manifest: DataFrame) -> DataFrame:
     """A readable table of each book's chunks: book_id, line_no, line. Line 0 is a header, the last one says how sizes range."""
-    row = F.format_string("%-12s %-6s %8s  %s", "chunk_id", F.col("section_level").cast("string"), F.col("size").cast("string"), "section_title")
+    row = F.format_string(
+        "%-12s %-6s %8s  %s", "chunk_id", F.col("section_level").cast("string"), F.col("size").cast("string"),
+        "section_title"
+    )
     n = F.row_number().over(Window.partitionBy("book_id").orderBy("chunk_no"))
     rows = manifest.select("book_id", n.cast("long").alias("line_no"), row.alias("line"))
     stats = manifest_stats(manifest)
-    head = stats.select("book_id", F.lit(0).cast("long").alias("line_no"), F.format_string("%-12s %-6s %8s  %s", F.lit("chunk_id"), F.lit("level"), F.lit("size"), F.lit("section_title")).alias("line"))
+    head = stats.select(
+        "book_id", F.lit(0).cast("long").alias("line_no"),
+        F.format_string(
+            "%-12s %-6s %8s  %s", F.lit("chunk_id"), F.lit("level"), F.lit("size"), F.lit("section_title")
+        ).alias("line")
+    )
     range_ = F.format_string("%d chunks, size min %d, max %d, mean %d", "n_chunks", "min_size", "max_size", "mean_size")
-    return head.unionByName(rows).unionByName(stats.select("book_id", (F.col("n_chunks") + 1).cast("long").alias("line_no"), range_.alias("line")))
+    return head.unionByName(rows).unionByName(
+        stats.select("book_id", (F.col("n_chunks") + 1).cast("long").alias("line_no"), range_.alias("line"))
+    )
 
 
 def neighbour_context(chunks: DataFrame, most: int = 300) -> DataFrame:

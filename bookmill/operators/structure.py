@@ -15,10 +15,12 @@ from .sections import LINE_END, lines
 _NUMBERS = "one|two|three|four|five|six|seven|eight|nine|ten|first|second|third|fourth|fifth|sixth|seventh|eighth|ninth|tenth"
 # Kinds of narrative arc by title, the first that matches.
 ARCS = (
-    (r"^interlude\s*([\divxlcm]+|[a-z]\b|(?:" + _NUMBERS + r"))", "interlude"), (r"^prologue\b", "prologue"), (r"^epilogue\b", "epilogue"), (r"^epigraphs?\b", "epigraph_only"),
-    (r"^part\s*([\divxlcm]+|(?:" + _NUMBERS + r"))", "part"), (r"^глава\s*(\d+|[а-яё]+)", "chapter"), (r"^часть\s*(\d+|[а-яё]+)", "part"), (r"^chapter\s*(\d+|[a-z]+)", "chapter"),
+    (r"^interlude\s*([\divxlcm]+|[a-z]\b|(?:" + _NUMBERS + r"))", "interlude"), (r"^prologue\b", "prologue"),
+    (r"^epilogue\b", "epilogue"), (r"^epigraphs?\b", "epigraph_only"),
+    (r"^part\s*([\divxlcm]+|(?:" + _NUMBERS + r"))", "part"), (r"^глава\s*(\d+|[а-яё]+)", "chapter"),
+    (r"^часть\s*(\d+|[а-яё]+)", "part"), (r"^chapter\s*(\d+|[a-z]+)", "chapter"),
     (r"^book\s*([\divxlcm]+|(?:" + _NUMBERS + r"))", "book"),
-)
+)
 # How a footnote's definition and marker are written.
 _FOOTNOTE = r"^\[\^([^\]]+)\]:(?U)\s*(.+)$"
 _MARKER = r"\[\^([^\]]+)\](?!:)"
@@ -63,16 +65,24 @@ def detect_epigraphs(books: DataFrame, most: int = 600) -> DataFrame:
     w = Window.partitionBy("book_id").orderBy("line_no")
     marked = lines(books.select("book_id", "text"), end=LINE_END).withColumn("level", heading_level(F.col("line")))
     part = marked.withColumn("part", F.count("level").over(w) + F.when(F.col("level").isNotNull(), 0).otherwise(1))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("level").isNull(), F.struct("line_no", "line")))), lambda x: x.line), "\n")
+    body = F.array_join(
+        F.transform(
+            F.array_sort(F.collect_list(F.when(F.col("level").isNull(), F.struct("line_no", "line")))), lambda x: x.line
+        ),
+        "\n"
+    )
     found = part.groupBy("book_id", "part").agg(
-        F.max(F.when(F.col("level").isNotNull(), F.col("line_no"))).alias("before_heading_line"), F.max(F.when(F.col("level").isNotNull(), heading_title(F.col("line")))).alias("heading_text"),
+        F.max(F.when(F.col("level").isNotNull(), F.col("line_no"))).alias("before_heading_line"),
+        F.max(F.when(F.col("level").isNotNull(), heading_title(F.col("line")))).alias("heading_text"),
         F.max("level").alias("heading_level"), strip(body).alias("text"),
-    )
+    )
     matter = F.col("heading_text").rlike(r"(?iUu)^(" + "|".join(MATTER_TITLES) + r")\b")
     last = F.regexp_extract("text", r"(?:^|\n)\s*[—–-]\s*([^\n]+)$", 1)
     quoted = strip(F.regexp_replace("text", r"(?:^|\n)\s*[—–-]\s*[^\n]+$", ""))
     return found.where(F.col("heading_level").isNotNull() & (F.col("text") != "") & (F.length("text") <= most) & ~matter).select(
-        "book_id", "before_heading_line", "heading_text", "heading_level", "text", F.when(last != "", quoted).otherwise(F.col("text")).alias("quoted_text"), F.nullif(strip(last), F.lit("")).alias("attribution")
+        "book_id", "before_heading_line", "heading_text", "heading_level", "text",
+        F.when(last != "", quoted).otherwise(F.col("text")).alias("quoted_text"),
+        F.nullif(strip(last), F.lit("")).alias("attribution")
     )
 
 
@@ -81,31 +91,48 @@ def footnote_defs(books: DataFrame) -> DataFrame:
     w = Window.partitionBy("book_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
     at = lines(books.select("book_id", "text")).withColumn("position", F.coalesce(F.sum(F.length("line") + 1).over(w), F.lit(0)))
     return at.where(F.col("line").rlike(_FOOTNOTE)).select(
-        "book_id", F.regexp_extract("line", _FOOTNOTE, 1).alias("marker"), strip(F.regexp_extract("line", _FOOTNOTE, 2)).alias("definition_text"), "position", (F.col("line_no") + 1).alias("line")
+        "book_id", F.regexp_extract("line", _FOOTNOTE, 1).alias("marker"),
+        strip(F.regexp_extract("line", _FOOTNOTE, 2)).alias("definition_text"), "position",
+        (F.col("line_no") + 1).alias("line")
     )
 
 
 def footnote_markers(books: DataFrame) -> DataFrame:
     """Markers `[^m]` in texts, with their line (from 1) and order within it."""
-    found = lines(books.select("book_id", "text")).select("book_id", "line_no", F.posexplode(F.regexp_extract_all("line", F.lit(_MARKER), F.lit(1))).alias("k", "marker"))
+    found = lines(books.select("book_id", "text")).select(
+        "book_id", "line_no", F.posexplode(F.regexp_extract_all("line", F.lit(_MARKER), F.lit(1))).alias("k", "marker")
+    )
     return found.select("book_id", "marker", (F.col("line_no") + 1).alias("line"), "k")
 
 
 def footnote_orphans(books: DataFrame) -> DataFrame:
     """Markers without a definition and definitions without a marker: book_id, marker, side."""
-    used, defined = footnote_markers(books).select("book_id", "marker").distinct(), footnote_defs(books).select("book_id", "marker").distinct()
-    return used.exceptAll(defined).withColumn("side", F.lit("no_definition")).unionByName(defined.exceptAll(used).withColumn("side", F.lit("no_marker")))
+    used, defined = (
+        footnote_markers(books).select("book_id", "marker").distinct(), footnote_defs(books).select("book_id", "marker")
+        .distinct()
+    )
+    return (
+        used.exceptAll(defined).withColumn("side", F.lit("no_definition"))
+        .unionByName(defined.exceptAll(used).withColumn("side", F.lit("no_marker")))
+    )
 
 
 def inline_quotes(books: DataFrame, least: int = 30, most: int = 600) -> DataFrame:
     """Quoted lines `> text` of moderate length."""
     body = strip(F.regexp_extract("line", r"(?U)^>\s+(.+)$", 1))
-    return lines(books.select("book_id", "text")).select("book_id", (F.col("line_no") + 1).alias("line"), body.alias("quote")).where(F.length("quote").between(least, most))
+    return (
+        lines(books.select("book_id", "text"))
+        .select("book_id", (F.col("line_no") + 1).alias("line"), body.alias("quote"))
+        .where(F.length("quote").between(least, most))
+    )
 
 
 def structural_summary(books: DataFrame) -> DataFrame:
     """Per book, how many of each unit."""
-    kinds = (("n_epigraphs", detect_epigraphs(books)), ("n_definitions", footnote_defs(books)), ("n_markers", footnote_markers(books)), ("n_quotes", inline_quotes(books)))
+    kinds = (
+        ("n_epigraphs", detect_epigraphs(books)), ("n_definitions", footnote_defs(books)),
+        ("n_markers", footnote_markers(books)), ("n_quotes", inline_quotes(books))
+    )
     rows = None
     for name, df in kinds:
         one = df.select("book_id", F.lit(name).alias("kind"))
@@ -125,8 +152,14 @@ def footnote_bodies(files: DataFrame) -> DataFrame:
     rank = F.when(F.lower("path").endswith(".xhtml"), 0).otherwise(1)
     found = None
     for k, p in enumerate(_LI):
-        pairs = F.arrays_zip(F.regexp_extract_all("html", F.lit(p), F.lit(1)).alias("id"), F.regexp_extract_all("html", F.lit(p), F.lit(2)).alias("body"))
-        one = files.select("book_id", rank.alias("rank"), "path", F.lit(k).alias("form"), F.posexplode(pairs).alias("k", "x")).select("book_id", "rank", "path", "form", "k", F.col("x.id").alias("footnote_id"), clean_html_footnote(F.col("x.body")).alias("body"))
+        pairs = F.arrays_zip(
+            F.regexp_extract_all("html", F.lit(p), F.lit(1)).alias("id"),
+            F.regexp_extract_all("html", F.lit(p), F.lit(2)).alias("body")
+        )
+        one = files.select("book_id", rank.alias("rank"), "path", F.lit(k).alias("form"), F.posexplode(pairs).alias("k", "x")).select(
+            "book_id", "rank", "path", "form", "k", F.col("x.id").alias("footnote_id"),
+            clean_html_footnote(F.col("x.body")).alias("body")
+        )
         found = one if found is None else found.unionByName(one)
     first = F.row_number().over(Window.partitionBy("book_id", "footnote_id").orderBy("rank", "path", "form", "k"))
     return found.where("body != ''").withColumn("n", first).where("n = 1").select("book_id", "footnote_id", "body")
@@ -148,12 +181,19 @@ def footnote_numbering(chunks: DataFrame, bodies: DataFrame) -> DataFrame:
     first = anchored.groupBy("book_id", "footnote_id").agg(F.min(F.struct("chunk_no", "k")).alias("at"))
     numbers = first.withColumn("number", F.row_number().over(Window.partitionBy("book_id").orderBy("at")))
     joined = anchored.join(numbers, ["book_id", "footnote_id"])
-    return joined.select("book_id", "chunk_no", "k", "footnote_id", "number", (F.struct("chunk_no", "k") == F.col("at")).alias("is_first"), "body", body_preview(F.col("body")).alias("body_preview"))
+    return joined.select(
+        "book_id", "chunk_no", "k", "footnote_id", "number",
+        (F.struct("chunk_no", "k") == F.col("at")).alias("is_first"), "body",
+        body_preview(F.col("body")).alias("body_preview")
+    )
 
 
 def number_footnotes(chunks: DataFrame, bodies: DataFrame) -> DataFrame:
     """Chunk texts with anchors as `[^n]`, those without body removed, and definitions after the chunk of first appearance."""
-    notes = footnote_numbering(chunks, bodies).groupBy("book_id", "chunk_no").agg(F.collect_list(F.struct("k", "number", "is_first", "body")).alias("notes"))
+    notes = (
+        footnote_numbering(chunks, bodies).groupBy("book_id", "chunk_no")
+        .agg(F.collect_list(F.struct("k", "number", "is_first", "body")).alias("notes"))
+    )
 
     def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import re

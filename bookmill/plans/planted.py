@@ -34,13 +34,20 @@ def make_term_id_table(t):
     return t("part").select("p_partkey", T.make_term_id(F.concat("p_name", end)).alias("id"))
 
 
-@query("SELECT p_brand AS book_id, count(*) AS n_terms, count(*) AS n_ids, count(*) FILTER (WHERE k = 1) AS n_kept_first FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part) GROUP BY p_brand")
+@query(
+    "SELECT p_brand AS book_id, count(*) AS n_terms, count(*) AS n_ids, count(*) FILTER (WHERE k = 1) AS n_kept_first FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part) GROUP BY p_brand"
+)
 def ensure_term_ids_table(t):
     """No two terms of a book have one id, though names and given ids are planted to clash; a book's first given id stays."""
     given = "CASE WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 3 = 1 THEN lower(p_type) ELSE replace(p_name, ' ', '_') || CASE WHEN p_partkey % 2 = 0 THEN '_2' ELSE '' END END"
     first = F.row_number().over(_by("p_brand", "p_partkey"))
-    rows = t("part").select(F.col("p_brand").alias("book_id"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("source"), F.expr(given).alias("id"), first.alias("k"))
-    rows = rows.withColumn("id", F.when((F.col("k") == 1) & (F.col("id") == ""), "first").otherwise(F.col("id"))).withColumn("given", F.col("id"))
+    rows = t("part").select(
+        F.col("p_brand").alias("book_id"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("source"),
+        F.expr(given).alias("id"), first.alias("k")
+    )
+    rows = rows.withColumn(
+        "id", F.when((F.col("k") == 1) & (F.col("id") == ""), "first").otherwise(F.col("id"))
+    ).withColumn("given", F.col("id"))
     done = G.ensure_term_ids(rows)
     kept = F.count_if((F.col("k") == 1) & (F.col("id") == F.col("given")))
     return done.groupBy("book_id").agg(F.count("*").alias("n_terms"), F.countDistinct("id").alias("n_ids"), kept.alias("n_kept_first"))
@@ -57,13 +64,17 @@ def _by(part: str, order: str):
 )
 def parse_heading_table(t):
     line = "repeat('#', cast(doc_id % 4 as int)) || ' T' || doc_id || ' x' || CASE WHEN doc_id % 3 = 0 THEN ' {#id .c}  ' ELSE '' END"
-    return _documents(t, line=line).select("doc_id", T.heading_level(F.col("line")).alias("level"), T.heading_title(F.col("line")).alias("title"))
+    return _documents(t, line=line).select(
+        "doc_id", T.heading_level(F.col("line")).alias("level"), T.heading_title(F.col("line")).alias("title")
+    )
 
 
 _TITLES = "CASE p_size % 5 WHEN 0 THEN 'CONTENTS' WHEN 1 THEN 'notes of ' || p_name WHEN 2 THEN 'Notebook ' || p_name WHEN 3 THEN '(front matter)' ELSE p_name END"
 
 
-@query("SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'frontback' WHEN 1 THEN 'frontback' WHEN 3 THEN 'front' ELSE 'narrative' END AS kind FROM part")
+@query(
+    "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'frontback' WHEN 1 THEN 'frontback' WHEN 3 THEN 'front' ELSE 'narrative' END AS kind FROM part"
+)
 def section_kind_table(t):
     return t("part").select("p_partkey", T.section_kind(F.expr(_TITLES)).alias("kind"))
 
@@ -89,16 +100,26 @@ def is_valid_source_table(t):
 def fill_author_table(t):
     a, b = "split_part(p_name, ' ', 1)", "split_part(p_name, ' ', 2)"
     name = f"CASE p_partkey % 3 WHEN 0 THEN {b} || ',  ' || {a} WHEN 1 THEN {a} || ' of the ' || {b} ELSE {a} END"
-    return t("part").select("p_partkey", T.fill_author(F.expr(name)).alias("a")).select("p_partkey", "a.first_name", "a.middle_name", "a.last_name", "a.nickname")
+    return (
+        t("part").select("p_partkey", T.fill_author(F.expr(name)).alias("a"))
+        .select("p_partkey", "a.first_name", "a.middle_name", "a.last_name", "a.nickname")
+    )
 
 
-@query("SELECT page_id, ['image/png', 'image/jpeg', 'image/svg+xml', 'application/octet-stream', 'image/webp'][page_id % 5 + 1] AS content_type FROM pages")
+@query(
+    "SELECT page_id, ['image/png', 'image/jpeg', 'image/svg+xml', 'application/octet-stream', 'image/webp'][page_id % 5 + 1] AS content_type FROM pages"
+)
 def guess_content_type_table(t):
-    path = F.concat("url", F.lit("/"), F.expr("element_at(array('a.png', 'b.c.JPG', 'x.svg', 'noext', 'y.WebP'), cast(page_id % 5 as int) + 1)"))
+    path = F.concat(
+        "url", F.lit("/"),
+        F.expr("element_at(array('a.png', 'b.c.JPG', 'x.svg', 'noext', 'y.WebP'), cast(page_id % 5 as int) + 1)")
+    )
     return t("pages").select("page_id", T.guess_content_type(path).alias("content_type"))
 
 
-@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'chapter' WHEN 1 THEN 'part' WHEN 2 THEN 'interlude' END AS kind, CASE p_partkey % 4 WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 1 THEN 'two' WHEN 2 THEN CAST(p_partkey AS VARCHAR) END AS grp FROM part")
+@query(
+    "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'chapter' WHEN 1 THEN 'part' WHEN 2 THEN 'interlude' END AS kind, CASE p_partkey % 4 WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 1 THEN 'two' WHEN 2 THEN CAST(p_partkey AS VARCHAR) END AS grp FROM part"
+)
 def match_arc_table(t):
     label = "CASE p_partkey % 4 WHEN 0 THEN 'CHAPTER ' || p_size || ': ' || p_name WHEN 1 THEN ' Part Two' WHEN 2 THEN 'Interlude ' || p_partkey ELSE 'the ' || p_name END"
     return t("part").select("p_partkey", U.match_arc(F.expr(label)).alias("a")).select("p_partkey", "a.kind", "a.grp")
@@ -114,17 +135,23 @@ def _noted(t) -> DataFrame:
     return _documents(t, whole=_NOTED).select(F.col("doc_id").alias("book_id"), F.col("whole").alias("text"))
 
 
-@query(_D + " SELECT doc_id AS book_id, CAST(doc_id AS VARCHAR) AS marker, 'note ' || doc_id AS definition_text, CAST(length('One[^' || doc_id || '] two[^x].') + 1 + length(one) + 1 AS BIGINT) AS position, CAST(3 AS BIGINT) AS line FROM d WHERE doc_id % 2 = 0")
+@query(
+    _D + " SELECT doc_id AS book_id, CAST(doc_id AS VARCHAR) AS marker, 'note ' || doc_id AS definition_text, CAST(length('One[^' || doc_id || '] two[^x].') + 1 + length(one) + 1 AS BIGINT) AS position, CAST(3 AS BIGINT) AS line FROM d WHERE doc_id % 2 = 0"
+)
 def footnote_defs_table(t):
     return U.footnote_defs(_noted(t))
 
 
-@query("SELECT doc_id AS book_id, CAST(doc_id AS VARCHAR) AS marker, CAST(1 AS BIGINT) AS line, CAST(0 AS BIGINT) AS k FROM documents UNION ALL SELECT doc_id, 'x', 1, 1 FROM documents")
+@query(
+    "SELECT doc_id AS book_id, CAST(doc_id AS VARCHAR) AS marker, CAST(1 AS BIGINT) AS line, CAST(0 AS BIGINT) AS k FROM documents UNION ALL SELECT doc_id, 'x', 1, 1 FROM documents"
+)
 def footnote_markers_table(t):
     return U.footnote_markers(_noted(t))
 
 
-@query("SELECT doc_id AS book_id, 'x' AS marker, 'no_definition' AS side FROM documents UNION ALL SELECT doc_id, CAST(doc_id AS VARCHAR), 'no_definition' FROM documents WHERE doc_id % 2 = 1")
+@query(
+    "SELECT doc_id AS book_id, 'x' AS marker, 'no_definition' AS side FROM documents UNION ALL SELECT doc_id, CAST(doc_id AS VARCHAR), 'no_definition' FROM documents WHERE doc_id % 2 = 1"
+)
 def footnote_orphans_table(t):
     return U.footnote_orphans(_noted(t))
 
@@ -134,7 +161,9 @@ def inline_quotes_table(t):
     return U.inline_quotes(_noted(t))
 
 
-@query("SELECT doc_id AS book_id, CAST(0 AS BIGINT) AS n_epigraphs, CAST(1 - doc_id % 2 AS BIGINT) AS n_definitions, CAST(2 AS BIGINT) AS n_markers, CAST(1 AS BIGINT) AS n_quotes FROM documents")
+@query(
+    "SELECT doc_id AS book_id, CAST(0 AS BIGINT) AS n_epigraphs, CAST(1 - doc_id % 2 AS BIGINT) AS n_definitions, CAST(2 AS BIGINT) AS n_markers, CAST(1 AS BIGINT) AS n_quotes FROM documents"
+)
 def structural_summary_table(t):
     return U.structural_summary(_noted(t))
 
@@ -142,9 +171,13 @@ def structural_summary_table(t):
 _EPIGRAPH = "'Short words ' || doc_id || '.' || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '— A. B.' ELSE '' END || chr(10) || '# Chapter ' || doc_id || chr(10) || one"
 
 
-@query("SELECT doc_id AS book_id, CAST(2 AS BIGINT) AS before_heading_line, 'Chapter ' || doc_id AS heading_text, CAST(1 AS BIGINT) AS heading_level, 'Short words ' || doc_id || '.' AS quoted_text, CASE WHEN doc_id % 2 = 0 THEN 'A. B.' END AS attribution FROM documents")
+@query(
+    "SELECT doc_id AS book_id, CAST(2 AS BIGINT) AS before_heading_line, 'Chapter ' || doc_id AS heading_text, CAST(1 AS BIGINT) AS heading_level, 'Short words ' || doc_id || '.' AS quoted_text, CASE WHEN doc_id % 2 = 0 THEN 'A. B.' END AS attribution FROM documents"
+)
 def detect_epigraphs_table(t):
-    return U.detect_epigraphs(_documents(t, whole=_EPIGRAPH).select(F.col("doc_id").alias("book_id"), F.col("whole").alias("text"))).drop("text")
+    return U.detect_epigraphs(
+        _documents(t, whole=_EPIGRAPH).select(F.col("doc_id").alias("book_id"), F.col("whole").alias("text"))
+    ).drop("text")
 
 
 # Markdown as converters leave it, around each document's text.
@@ -153,7 +186,9 @@ _CONVERTED = (
 )
 
 
-@query(_D + " SELECT doc_id, md5('# T' || doc_id || chr(10) || 'Word ' || one || ' l' || chr(10) || chr(10) || 'end' || chr(10)) AS digest FROM d")
+@query(
+    _D + " SELECT doc_id, md5('# T' || doc_id || chr(10) || 'Word ' || one || ' l' || chr(10) || chr(10) || 'end' || chr(10)) AS digest FROM d"
+)
 def clean_markdown_table(t):
     return _documents(t, whole=_CONVERTED).select("doc_id", F.md5(clean.clean_markdown(F.col("whole"))).alias("digest"))
 
@@ -164,7 +199,9 @@ def strip_toc_table(t):
     return _documents(t, whole=whole).select("doc_id", F.md5(clean.strip_toc(F.col("whole"))).alias("digest"))
 
 
-@query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN '![image](images/p' || page_id || '.png)' WHEN 1 THEN '![Map](images/p' || page_id || '.png)' WHEN 2 THEN '![x](images/p' || page_id || '.png)' ELSE 'no ![y](images/q.png) more' END AS images FROM pages")
+@query(
+    "SELECT page_id, CASE page_id % 4 WHEN 0 THEN '![image](images/p' || page_id || '.png)' WHEN 1 THEN '![Map](images/p' || page_id || '.png)' WHEN 2 THEN '![x](images/p' || page_id || '.png)' ELSE 'no ![y](images/q.png) more' END AS images FROM pages"
+)
 def normalize_images_table(t):
     name = "'p' || page_id || '.png'"
     whole = f"""CASE page_id % 4 WHEN 0 THEN '<figure><img src="../images/' || {name} || '"></figure>' WHEN 1 THEN '<img alt="Map" src="a/b/' || {name} || '"/>' WHEN 2 THEN '![x](../images/' || {name} || ')' ELSE 'no ![y](deep/images/q.png) more' END"""
@@ -184,15 +221,23 @@ def payload_size_switch(t):
 
 # A faulty line at the end of each document: (check, line, what is found).
 _FAULTS = (
-    ("garbage_dashes", "a — — — b", "— — —"), ("js_artifacts", "x [object Object] y", "[object Object]"), ("empty_headings", "## ", "## "), ("doubled_punct", "word.,word", ".,"),
-    ("placeholders", "see {TERM_TABLE} here", "{TERM_TABLE}"), ("dialogue_quotes", '"Hi there" said', '"Hi there" said'), ("untranslated_headings", "# Три", "# Три"), ("dash_hyphen", "a - b", " - "),
-    ("dates", "мая 12 день", "мая 12"), ("paired_spelling", "в отличии от", "в отличие от"),
-)
+    ("garbage_dashes", "a — — — b", "— — —"), ("js_artifacts", "x [object Object] y", "[object Object]"),
+    ("empty_headings", "## ", "## "), ("doubled_punct", "word.,word", ".,"),
+    ("placeholders", "see {TERM_TABLE} here", "{TERM_TABLE}"),
+    ("dialogue_quotes", '"Hi there" said', '"Hi there" said'), ("untranslated_headings", "# Три", "# Три"),
+    ("dash_hyphen", "a - b", " - "), ("dates", "мая 12 день", "мая 12"),
+    ("paired_spelling", "в отличии от", "в отличие от"),
+)
 
 
 def _faulty(t, checks: tuple[str, ...]) -> DataFrame:
     lines = F.array(*(F.lit(line) for _, line, _ in _FAULTS))
-    rows = t("documents").select("doc_id", F.concat("text", F.lit("\n"), F.element_at(lines, (F.col("doc_id") % len(_FAULTS)).cast("int") + 1)).alias("text"))
+    rows = t("documents").select(
+        "doc_id",
+        F.concat(
+            "text", F.lit("\n"), F.element_at(lines, (F.col("doc_id") % len(_FAULTS)).cast("int") + 1)
+        ).alias("text")
+    )
     last = rows.select("doc_id", F.size(F.split("text", "\n")).alias("line"))
     return Q.line_issues(rows, checks).join(last, ["doc_id", "line"]).select("doc_id", "check_name", "message")
 
@@ -215,11 +260,17 @@ def qa_early_checks(t):
 def _glossary(t) -> DataFrame:
     """The parts of a brand as a book's terms."""
     return t("part").select(
-        F.col("p_brand").alias("book_id"), F.col("p_partkey").alias("pos"), F.when(F.col("p_partkey") % 5 > 0, F.lower("p_type")).otherwise("").alias("id"), F.col("p_name").alias("source"),
-        F.when(F.col("p_partkey") % 11 > 0, F.col("p_type")).otherwise(" ").alias("target"), F.array(F.concat(F.lit("alias"), F.col("p_partkey").cast("string"))).alias("aliases"),
-        F.expr("element_at(array('person', 'hero', 'term'), p_size % 3 + 1)").alias("category"), F.lit("unknown").alias("gender"), F.expr("element_at(array('low', 'high'), p_size % 2 + 1)").alias("confidence"),
-        (F.col("p_size") % 4).alias("frequency"), F.array().cast("array<string>").alias("evidence_refs"), F.when(F.col("p_partkey") % 2 == 0, "old").otherwise("").alias("notes"),
-    )
+        F.col("p_brand").alias("book_id"), F.col("p_partkey").alias("pos"),
+        F.when(F.col("p_partkey") % 5 > 0, F.lower("p_type")).otherwise("").alias("id"),
+        F.col("p_name").alias("source"),
+        F.when(F.col("p_partkey") % 11 > 0, F.col("p_type")).otherwise(" ").alias("target"),
+        F.array(F.concat(F.lit("alias"), F.col("p_partkey").cast("string"))).alias("aliases"),
+        F.expr("element_at(array('person', 'hero', 'term'), p_size % 3 + 1)").alias("category"),
+        F.lit("unknown").alias("gender"),
+        F.expr("element_at(array('low', 'high'), p_size % 2 + 1)").alias("confidence"),
+        (F.col("p_size") % 4).alias("frequency"), F.array().cast("array<string>").alias("evidence_refs"),
+        F.when(F.col("p_partkey") % 2 == 0, "old").otherwise("").alias("notes"),
+    )
 
 
 _GLOSSARY = """WITH g AS (SELECT p_brand AS book_id, p_partkey AS pos, CASE WHEN p_partkey % 5 > 0 THEN lower(p_type) ELSE '' END AS id, p_name AS source, CASE WHEN p_partkey % 11 > 0 THEN p_type ELSE ' ' END AS target,
@@ -242,7 +293,9 @@ def validate_glossary_table(t):
     FROM (SELECT *, lower(source) = 'red widget' OR pos = 7 OR id = 'economy' AS w FROM g)"""
 )
 def confirm_terms_table(t):
-    return G.confirm_terms(_glossary(t), names=["Red Widget", "ALIAS7"], ids=["economy"], note="seen").select("book_id", "pos", "confidence", "notes")
+    return G.confirm_terms(
+        _glossary(t), names=["Red Widget", "ALIAS7"], ids=["economy"], note="seen"
+    ).select("book_id", "pos", "confidence", "notes")
 
 
 @query(_GLOSSARY + " SELECT book_id, pos, '' AS notes FROM g WHERE frequency > 0")
@@ -261,7 +314,16 @@ _PROPOSED = "p_partkey % 7 <> 3"
 )
 def prepare_merge_table(t):
     """Every part proposes its name with its type as the translation; some metas are no JSON, and some were applied before."""
-    entity = F.to_json(F.struct(F.array(F.struct(F.col("p_name").alias("source"), F.col("p_type").alias("target_proposal"), F.lit("term").alias("category"))).alias("new_entities")))
+    entity = F.to_json(
+        F.struct(
+            F.array(
+                F.struct(
+                    F.col("p_name").alias("source"), F.col("p_type").alias("target_proposal"),
+                    F.lit("term").alias("category")
+                )
+            ).alias("new_entities")
+        )
+    )
     meta = F.when(F.expr(_PROPOSED) | (F.col("p_partkey") % 2 == 0), entity).otherwise(F.lit("{no json"))
     metas = t("part").select(F.col("p_brand").alias("book_id"), F.col("p_partkey").alias("chunk_no"), meta.alias("meta"))
     applied = metas.where("chunk_no % 7 = 3").select("book_id", "chunk_no", F.sha2("meta", 256).alias("hash"))
@@ -272,17 +334,33 @@ def prepare_merge_table(t):
     """SELECT source AS book_id, doc_id AS chunk_no, quality = 0 AS failed, CASE WHEN quality = 0 THEN 'poor ' || doc_id ELSE '' END AS failure_reason FROM documents JOIN labels USING (doc_id)"""
 )
 def mark_failed_table(t):
-    rows = t("documents").join(t("labels"), "doc_id").select(F.col("source").alias("book_id"), F.col("doc_id").alias("chunk_no"), F.lit(False).alias("failed"), F.lit("").alias("failure_reason"), "quality")
-    failures = rows.where("quality = 0").select("book_id", "chunk_no", F.concat(F.lit("poor "), F.col("chunk_no").cast("string")).alias("reason"))
+    rows = (
+        t("documents").join(t("labels"), "doc_id")
+        .select(
+            F.col("source").alias("book_id"), F.col("doc_id").alias("chunk_no"), F.lit(False).alias("failed"),
+            F.lit("").alias("failure_reason"), "quality"
+        )
+    )
+    failures = rows.where("quality = 0").select(
+        "book_id", "chunk_no", F.concat(F.lit("poor "), F.col("chunk_no").cast("string")).alias("reason")
+    )
     return ST.mark_failed(rows.drop("quality"), failures)
 
 
-@query("SELECT doc_id AS book_id, CASE WHEN doc_id % 3 = 0 THEN 'source_changed' WHEN doc_id % 4 = 1 THEN 'outputs_exist' ELSE 'ok' END AS gate FROM documents")
+@query(
+    "SELECT doc_id AS book_id, CASE WHEN doc_id % 3 = 0 THEN 'source_changed' WHEN doc_id % 4 = 1 THEN 'outputs_exist' ELSE 'ok' END AS gate FROM documents"
+)
 def fingerprint_gate_table(t):
     docs = t("documents")
     before = F.when(F.col("doc_id") % 3 == 0, F.lit("other")).otherwise(F.sha2("text", 256))
     sources = docs.select(F.col("doc_id").alias("book_id"), F.col("text").alias("content"))
-    return ST.fingerprint_gate(sources, docs.where("doc_id % 5 <> 4 OR doc_id % 3 = 0").select(F.col("doc_id").alias("book_id"), before.alias("source_sha256")), docs.where("doc_id % 4 = 1").select(F.col("doc_id").alias("book_id")))
+    return ST.fingerprint_gate(
+        sources,
+        docs.where("doc_id % 5 <> 4 OR doc_id % 3 = 0").select(
+            F.col("doc_id").alias("book_id"), before.alias("source_sha256")
+        ),
+        docs.where("doc_id % 4 = 1").select(F.col("doc_id").alias("book_id"))
+    )
 
 
 _STATE = """WITH e AS (SELECT user_id AS book_id, ts, event_id AS seq, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)"""
@@ -297,12 +375,25 @@ _STATE = """WITH e AS (SELECT user_id AS book_id, ts, event_id AS seq, event_typ
 )
 def state_save(t):
     """Every event saves a step with four options: a text, an integer, one that is none, and an entry of a list."""
-    option = lambda op, key, value: F.struct(F.lit(op).alias("op"), F.lit(key).alias("key"), value.cast("string").alias("value"))
+    option = lambda op, key, value: F.struct(
+        F.lit(op).alias("op"), F.lit(key).alias("key"), value.cast("string").alias("value")
+    )
     k = F.get_json_object("props", "$.k")
-    options = F.array(option("set", "last", F.col("event_type")), option("set_int", "k", F.concat(F.lit(" "), k)), option("set_int", "none", F.col("event_type")), option("append", "types", F.col("event_type")))
-    rows = t("events").select(F.col("user_id").alias("book_id"), "ts", F.col("event_id").alias("seq"), (F.col("event_id") % 10 + 1).cast("int").alias("step"), F.lit(None).cast("string").alias("note"), options.alias("options"))
+    options = F.array(
+        option("set", "last", F.col("event_type")), option("set_int", "k", F.concat(F.lit(" "), k)),
+        option("set_int", "none", F.col("event_type")), option("append", "types", F.col("event_type"))
+    )
+    rows = t("events").select(
+        F.col("user_id").alias("book_id"), "ts", F.col("event_id").alias("seq"),
+        (F.col("event_id") % 10 + 1).cast("int").alias("step"), F.lit(None).cast("string").alias("note"),
+        options.alias("options")
+    )
     log = ST.state_save(rows.where("seq % 2 = 0"), rows.where("seq % 2 = 1").drop("seq"))
-    fixed = log.drop("seq").join(rows.select("book_id", "ts", "seq", "step", F.col("options").alias("o")), ["book_id", "ts", "step"]).where("options = o").drop("o")
+    fixed = (
+        log.drop("seq")
+        .join(rows.select("book_id", "ts", "seq", "step", F.col("options").alias("o")), ["book_id", "ts", "step"])
+        .where("options = o").drop("o")
+    )
     return ST.state_values(fixed.select(*rows.columns))
 
 
@@ -330,7 +421,13 @@ def build_books(t):
     turns = t.turns().select("book_id", "chunk_no", "text")
     outputs = turns.where("NOT (book_id % 4 = 0 AND chunk_no = 1)")
     author = T.fill_author(F.lit("Ann Bee"))
-    headers = turns.select("book_id").distinct().select("book_id", F.col("book_id").cast("string").alias("title"), author.alias("author"), F.lit("en").alias("lang"), F.lit("2020-01-01").alias("date"), F.lit("u").alias("uid"))
+    headers = (
+        turns.select("book_id").distinct()
+        .select(
+            "book_id", F.col("book_id").cast("string").alias("title"), author.alias("author"),
+            F.lit("en").alias("lang"), F.lit("2020-01-01").alias("date"), F.lit("u").alias("uid")
+        )
+    )
     built = build.build_books(turns.select("book_id", "chunk_no", F.sha2("text", 256).alias("source")), turns, outputs, headers)
     hard = F.filter("findings", lambda x: x.rlike("missing_output|empty_output|hash_mismatch"))
     return built.select("book_id", F.size(hard).alias("n_hard"), "n_empty", F.md5("md").alias("digest"))
@@ -344,8 +441,14 @@ def build_books(t):
 )
 def post_mortem_counts(t):
     """Two issues for each labelled document, counted for each chunk since the threshold is none."""
-    marked = t("documents").join(t("labels"), "doc_id").select(F.col("source").alias("book_id"), F.col("doc_id").alias("chunk_no"), "quality", "toxic")
-    first = marked.select("book_id", "chunk_no", F.when(F.col("toxic") == 1, "high").alias("severity"), F.when(F.col("quality") == 1, "style").alias("category"))
+    marked = (
+        t("documents").join(t("labels"), "doc_id")
+        .select(F.col("source").alias("book_id"), F.col("doc_id").alias("chunk_no"), "quality", "toxic")
+    )
+    first = marked.select(
+        "book_id", "chunk_no", F.when(F.col("toxic") == 1, "high").alias("severity"),
+        F.when(F.col("quality") == 1, "style").alias("category")
+    )
     second = marked.select("book_id", "chunk_no", F.lit("medium").alias("severity"), F.lit("style").alias("category"))
     arcs = t.sql("SELECT CAST(NULL AS STRING) AS book_id, 1 AS arc_no").where("false")
     return P.post_mortem_payload(t.docs_as_chunks(), arcs, first.unionByName(second), Payload(aggregate_threshold=0))
@@ -355,7 +458,9 @@ _FB2_HEAD = "'<FictionBook><description><title-info><genre>g</genre><author><nic
 _FB2_BODY = "CASE doc_id % 4 WHEN 0 THEN '<p>' || one || '</p>' WHEN 1 THEN '<p>' || one || '</p><title/>' WHEN 2 THEN '<title/><p><b>' || one || '</b></p>' ELSE '<p>' || one || '</section>' END"
 
 
-@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'line 2: section can''t hold p, title' WHEN 2 THEN 'line 2: p can''t hold b' ELSE 'line 2: not well-formed' END AS faults FROM documents")
+@query(
+    "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'line 2: section can''t hold p, title' WHEN 2 THEN 'line 2: p can''t hold b' ELSE 'line 2: not well-formed' END AS faults FROM documents"
+)
 def fb2_schema_validate(t):
     whole = f"{_FB2_HEAD} || '<body>' || chr(10) || '<section>' || {_FB2_BODY} || '</section></body></FictionBook>'"
     return _documents(t, whole=whole).select("doc_id", build.fb2_schema_validate("whole").alias("faults"))
@@ -370,12 +475,15 @@ def sessions(t):
     return ingest.sessions(t("events")).select("user_id", F.col("start").alias("first_ts"), F.col("n_events").alias("n"))
 
 
-@query("SELECT p_brand AS book_id, 't' || p_partkey AS id, sha256('{\"aliases\": [\"' || p_type || '\", \"x\\\"y\"], \"gender\": \"\", \"source\": \"' || p_name || '\", \"target\": \"Имя ' || p_size || '\"}') AS hash FROM part")
+@query(
+    "SELECT p_brand AS book_id, 't' || p_partkey AS id, sha256('{\"aliases\": [\"' || p_type || '\", \"x\\\"y\"], \"gender\": \"\", \"source\": \"' || p_name || '\", \"target\": \"Имя ' || p_size || '\"}') AS hash FROM part"
+)
 def entity_hashes_table(t):
     terms = t("part").select(
-        F.col("p_brand").alias("book_id"), F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("source"),
-        F.concat(F.lit("Имя "), F.col("p_size").cast("string")).alias("target"), F.array("p_type", F.lit('x"y')).alias("aliases"), F.lit(None).cast("string").alias("gender"),
-    )
+        F.col("p_brand").alias("book_id"), F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("id"),
+        F.col("p_name").alias("source"), F.concat(F.lit("Имя "), F.col("p_size").cast("string")).alias("target"),
+        F.array("p_type", F.lit('x"y')).alias("aliases"), F.lit(None).cast("string").alias("gender"),
+    )
     return ST.entity_hashes(terms)
 
 
@@ -387,12 +495,19 @@ def check_json_table(t):
     return t("events").select("event_id", error.isNull().alias("ok"), F.left(error, F.lit(9)).alias("error"))
 
 
-@query(_D + ", w AS (SELECT doc_id, string_split(one, ' ') AS ws FROM d) SELECT doc_id, array_to_string(ws[1:8], ', ') || CASE WHEN len(ws) > 8 THEN ' and ' || (len(ws) - 8) || ' more' ELSE '' END AS first_words FROM w")
+@query(
+    _D + ", w AS (SELECT doc_id, string_split(one, ' ') AS ws FROM d) SELECT doc_id, array_to_string(ws[1:8], ', ') || CASE WHEN len(ws) > 8 THEN ' and ' || (len(ws) - 8) || ' more' ELSE '' END AS first_words FROM w"
+)
 def top_n_reports(t):
     return _documents(t).select("doc_id", T.first_few(F.split("one", " "), 8).alias("first_words"))
 
 
-@query("SELECT doc_id, CAST(regexp_replace('x' || doc_id || 'y0', '[^0-9]', '', 'g') AS BIGINT) AS n, 'chunk' || lpad(CAST(doc_id AS VARCHAR), CAST(greatest(4, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') AS chunk_id FROM documents")
+@query(
+    "SELECT doc_id, CAST(regexp_replace('x' || doc_id || 'y0', '[^0-9]', '', 'g') AS BIGINT) AS n, 'chunk' || lpad(CAST(doc_id AS VARCHAR), CAST(greatest(4, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') AS chunk_id FROM documents"
+)
 def chunk_ids(t):
     name = F.concat(F.lit("x"), F.col("doc_id").cast("string"), F.lit("y0"))
-    return t("documents").select("doc_id", T.chunk_number(name).alias("n"), T.normalize_chunk_id(F.concat(F.lit("c"), F.col("doc_id").cast("string"))).alias("chunk_id"))
+    return t("documents").select(
+        "doc_id", T.chunk_number(name).alias("n"),
+        T.normalize_chunk_id(F.concat(F.lit("c"), F.col("doc_id").cast("string"))).alias("chunk_id")
+    )

@@ -16,7 +16,13 @@ def plain(df: DataFrame) -> DataFrame:
     for f in df.schema:
         kind = f.dataType.simpleString()
         c = F.col(f"`{f.name}`")
-        cols.append((c.cast("bigint") if kind in ("int", "smallint", "tinyint") else F.array_join(c.cast("array<string>"), " | ") if kind.startswith("array") else c).alias(f.name))
+        cols.append(
+            (
+                c.cast("bigint") if kind in ("int", "smallint", "tinyint") else F.array_join(
+                    c.cast("array<string>"), " | "
+                ) if kind.startswith("array") else c
+            ).alias(f.name)
+        )
     return df.select(*cols)
 
 
@@ -57,7 +63,10 @@ class Tables:
 
         w = Window.partitionBy("source", F.floor(F.col("doc_id") / 1000)).orderBy("doc_id")
         before = F.lag("text").over(w).alias("src")
-        rows = self("documents").select(F.col("source").alias("book_id"), F.col("doc_id").alias("chunk_no"), before, F.col("text").alias("out"), F.col("lang").alias("section_title"))
+        rows = self("documents").select(
+            F.col("source").alias("book_id"), F.col("doc_id").alias("chunk_no"), before, F.col("text").alias("out"),
+            F.col("lang").alias("section_title")
+        )
         return rows.where("src IS NOT NULL")
 
     def books(self) -> DataFrame:

@@ -20,7 +20,10 @@ from ..functions.clean import strip_tags, unescape_html
 from ..functions.text import strip, title_from_basename
 
 # Stems of content files that hold no text of the book.
-EXCLUDED = ("cover", "title", "mini_toc", "copyrightnotice", "contents", "adcard", "newsletter", "copyright", "torad", "toc", "tableofcontents", "imprint", "halftitle")
+EXCLUDED = (
+    "cover", "title", "mini_toc", "copyrightnotice", "contents", "adcard", "newsletter", "copyright", "torad", "toc",
+    "tableofcontents", "imprint", "halftitle"
+)
 IMAGES = ("gif", "jpg", "jpeg", "png", "svg", "bmp")
 
 
@@ -197,7 +200,9 @@ def read_package(z: zipfile.ZipFile) -> dict:
     names = z.namelist()
     container = _parse(z.read("META-INF/container.xml")) if "META-INF/container.xml" in names else None
     roots = [e.get("full-path") for e in container.iter() if _tag(e) == "rootfile"] if container is not None else []
-    opf = next((r for r in roots if r in names), None) or min((n for n in names if n.lower().endswith(".opf")), key=lambda n: (len(n), n), default=None)
+    opf = next((r for r in roots if r in names), None) or min(
+        (n for n in names if n.lower().endswith(".opf")), key=lambda n: (len(n), n), default=None
+    )
     root = _parse(z.read(opf)) if opf else None
     out: dict = {"metadata": {}, "manifest": {}, "spine": []}
     if root is None:
@@ -254,13 +259,21 @@ def _each(files: DataFrame, rows, schema: str) -> DataFrame:
 
 def scan_epub(files: DataFrame) -> DataFrame:
     """Content pages of EPUB files in reading order: book_id (path), pos, href, html (the body)."""
-    return _each(files, lambda path, z: [(path, k, href, _body(z.read(href).decode("utf-8", "replace"))) for k, href in _pages(z)], "book_id string, pos int, href string, html string")
+    return _each(
+        files,
+        lambda path, z: [(path, k, href, _body(z.read(href).decode("utf-8", "replace"))) for k, href in _pages(z)],
+        "book_id string, pos int, href string, html string"
+    )
 
 
 def epub_to_markdown(files: DataFrame) -> DataFrame:
     """One Markdown text per EPUB."""
     pages = scan_epub(files).withColumn("md", html_to_markdown("html"))
-    return pages.groupBy("book_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "md"))), lambda x: x.md), "\n").alias("text"))
+    return pages.groupBy("book_id").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("pos", "md"))), lambda x: x.md), "\n"
+        ).alias("text")
+    )
 
 
 def scan_epub_per_file(files: DataFrame, exclude: tuple[str, ...] = (), titles: dict[str, str] | None = None) -> DataFrame:
@@ -268,12 +281,17 @@ def scan_epub_per_file(files: DataFrame, exclude: tuple[str, ...] = (), titles:
     stem = F.regexp_extract("href", r"([^/]*?)(?:\.[^./]*)?$", 1)
     own = F.try_element_at(F.create_map(*(F.lit(x) for kv in (titles or {"": ""}).items() for x in kv)), stem)
     pages = scan_epub(files).withColumn("stem", stem)
-    return pages.where(~F.lower("stem").isin(*{*EXCLUDED, *(e.lower() for e in exclude)})).withColumn("title", F.coalesce(own, title_from_basename(F.col("stem"))))
+    return pages.where(
+        ~F.lower("stem").isin(*{*EXCLUDED, *(e.lower() for e in exclude)})
+    ).withColumn("title", F.coalesce(own, title_from_basename(F.col("stem"))))
 
 
 def epub_metadata(files: DataFrame) -> DataFrame:
     """(book_id, name, value) of the package metadata."""
-    return _each(files, lambda path, z: [(path, k, v) for k, v in read_package(z)["metadata"].items()], "book_id string, name string, value string")
+    return _each(
+        files, lambda path, z: [(path, k, v) for k, v in read_package(z)["metadata"].items()],
+        "book_id string, name string, value string"
+    )
 
 
 def epub_contents(files: DataFrame) -> DataFrame:
@@ -301,14 +319,19 @@ def epub_contents(files: DataFrame) -> DataFrame:
 def epub_images(files: DataFrame) -> DataFrame:
     """Image files in folders named images: book_id, path, content."""
     keep = re.compile(r"(?i)(?:^|/)images/[^/]+\.(?:" + "|".join(IMAGES) + ")$")
-    return _each(files, lambda path, z: [(path, n, z.read(n)) for n in z.namelist() if keep.search(n)], "book_id string, path string, content binary")
+    return _each(
+        files, lambda path, z: [(path, n, z.read(n)) for n in z.namelist() if keep.search(n)],
+        "book_id string, path string, content binary"
+    )
 
 
 def content_file_stats(pages: DataFrame, chunk_size: int = 30_000) -> DataFrame:
     """Per book (book_id, size): files, bytes, and the characters and chunks they may come to."""
     sums = pages.groupBy("book_id").agg(F.count("*").alias("n_files"), F.sum("size").alias("n_bytes"))
     chars = F.floor(F.col("n_bytes") / 2).cast("bigint")
-    return sums.withColumn("est_chars", chars).withColumn("est_chunks", F.greatest(F.lit(1), F.floor(F.col("est_chars") / chunk_size)).cast("bigint"))
+    return sums.withColumn("est_chars", chars).withColumn(
+        "est_chunks", F.greatest(F.lit(1), F.floor(F.col("est_chars") / chunk_size)).cast("bigint")
+    )
 
 
 def heading_titles(html: Column, most: int = 50) -> Column:
@@ -320,7 +343,16 @@ def heading_titles(html: Column, most: int = 50) -> Column:
 def meta_html(html: Column) -> Column:
     """struct(title, author) of a page; the last author given counts."""
     title = unescape_free(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
-    author = F.element_at(F.concat(F.array(F.lit("")), F.regexp_extract_all(html, F.lit(r"(?is)<meta\s+name=[\"'](?:author|dc\.creator)[\"']\s+content=[\"']([^\"']*)[\"']"), F.lit(1))), -1)
+    author = F.element_at(
+        F.concat(
+            F.array(F.lit("")),
+            F.regexp_extract_all(
+                html, F.lit(r"(?is)<meta\s+name=[\"'](?:author|dc\.creator)[\"']\s+content=[\"']([^\"']*)[\"']"),
+                F.lit(1)
+            )
+        ),
+        -1
+    )
     return F.struct(title.alias("title"), author.alias("author"))
 
 
@@ -409,12 +441,22 @@ def check_json(s: pd.Series) -> pd.Series:
 def scan_chunks(spark: SparkSession, path: str, output: bool = False) -> DataFrame:
     """Chunk files (or output files) of a folder, without backups, half-written and polished ones: file_name, chunk_no, text."""
     name = F.col("_metadata.file_name")
-    files = spark.read.text(path, wholetext=True, pathGlobFilter=f"{'output_chunk' if output else 'chunk'}*.md").select(name.alias("file_name"), F.col("value").alias("text"))
-    return files.where(~F.col("file_name").rlike(r"\.(?:bak|tmp)$|\.polished\.md$")).withColumn("chunk_no", F.regexp_extract("file_name", r"(\d+)", 1).cast("int"))
+    files = spark.read.text(
+        path, wholetext=True, pathGlobFilter=f"{'output_chunk' if output else 'chunk'}*.md"
+    ).select(name.alias("file_name"), F.col("value").alias("text"))
+    return files.where(~F.col("file_name").rlike(r"\.(?:bak|tmp)$|\.polished\.md$")).withColumn(
+        "chunk_no", F.regexp_extract("file_name", r"(\d+)", 1).cast("int")
+    )
 
 
 def config_map(text: Column) -> Column:
     """Settings `key=value` by line, split at the first `=`, both sides stripped; the last of equal keys counts."""
     lines = F.filter(F.split(text, "\n"), lambda x: F.contains(x, F.lit("=")))
-    pairs = F.transform(lines, lambda x: F.struct(strip(F.regexp_extract(x, r"^([^=]*)=", 1)).alias("k"), strip(F.regexp_replace(x, r"^[^=]*=", "")).alias("v")))
+    pairs = F.transform(
+        lines,
+        lambda x: F.struct(
+            strip(F.regexp_extract(x, r"^([^=]*)=", 1)).alias("k"),
+            strip(F.regexp_replace(x, r"^[^=]*=", "")).alias("v")
+        )
+    )
     return pairs

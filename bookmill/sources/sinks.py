@@ -98,7 +98,9 @@ def sink_files(rows: DataFrame, folder: str) -> dict[str, int]:
 
     A name is a relative path and stands once; a task that runs twice writes the same file again.
     """
-    data = F.coalesce(F.col("value"), F.lit("")).cast("binary") if dict(rows.dtypes)["value"] == "string" else F.coalesce("value", F.lit(b""))
+    data = F.coalesce(
+        F.col("value"), F.lit("")
+    ).cast("binary") if dict(rows.dtypes)["value"] == "string" else F.coalesce("value", F.lit(b""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -126,7 +128,12 @@ def sink_chunks(chunks: DataFrame, path: str) -> None:
 
 def sink_chunk_files(manifest: DataFrame, folder: str, inner: str = "") -> dict[str, int]:
     """A file chunkNNNN.md for each chunk, then manifest.json of each book, which lists them (number_chunks has the columns). inner: folder in the book's."""
-    texts = sink_files(manifest.select(_in_book(F.concat("chunk_id", F.lit(".md")), inner).alias("name"), F.col("text").alias("value")), folder)
+    texts = sink_files(
+        manifest.select(
+            _in_book(F.concat("chunk_id", F.lit(".md")), inner).alias("name"), F.col("text").alias("value")
+        ),
+        folder
+    )
     entry = F.struct("chunk_id", "section_title", "section_level", "source", "size")
     listed = F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", entry.alias("e")))), lambda x: x.e)
     whole = manifest.groupBy("book_id").agg(F.to_json(F.struct(listed.alias("chunks"))).alias("value"))
@@ -143,7 +150,12 @@ def sink_books(built: DataFrame, folder: str, fb2: bool = True) -> dict[str, int
     """output.md, and book.fb2 unless not wanted, of each book (build.build_books)."""
     out = sink_files(built.select(_in_book(F.lit("output.md")).alias("name"), F.col("md").alias("value")), folder)
     if fb2:
-        more = sink_files(built.where("fb2 IS NOT NULL").select(_in_book(F.lit("book.fb2")).alias("name"), F.col("fb2").alias("value")), folder)
+        more = sink_files(
+            built.where("fb2 IS NOT NULL").select(
+                _in_book(F.lit("book.fb2")).alias("name"), F.col("fb2").alias("value")
+            ),
+            folder
+        )
         out = {k: out[k] + more[k] for k in out}
     return out
 
@@ -170,7 +182,10 @@ def sink_json(rows: DataFrame, path: str) -> str:
 def sink_json_files(rows: DataFrame, name: Column, folder: str) -> dict[str, int]:
     """A JSON file for each row, unpaired surrogates replaced."""
     clean = _sanitized(rows)
-    return sink_files(clean.select(name.alias("name"), F.to_json(F.struct(*(F.col(f"`{c}`") for c in clean.columns))).alias("value")), folder)
+    return sink_files(
+        clean.select(name.alias("name"), F.to_json(F.struct(*(F.col(f"`{c}`") for c in clean.columns))).alias("value")),
+        folder
+    )
 
 
 def write_glossary(terms: DataFrame, path: str) -> str:
@@ -213,5 +228,8 @@ def apply_merge_files(spark, plan_path: str, decisions_path: str, path: str) ->
     terms, applied = read_snapshot(spark, path, "terms", "applied")
     files = spark.read.text(decisions_path, wholetext=True)
     book = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1)
-    decisions = parse_decisions(files.select(book.alias("book_id"), F.col("value").alias("text"))).drop("kind").withColumn("kind", F.lit(None).cast("string"))
+    decisions = (
+        parse_decisions(files.select(book.alias("book_id"), F.col("value").alias("text"))).drop("kind")
+        .withColumn("kind", F.lit(None).cast("string"))
+    )
     return write_merge(*finish_merge(plan, consumed, terms, applied, decisions), path)

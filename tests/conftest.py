@@ -14,7 +14,17 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     from bookmill.session import CONF
 
-    s = SparkSession.builder.master("local[4]").config(map=CONF | {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}).getOrCreate()
+    s = (
+        SparkSession.builder.master("local[4]")
+        .config(
+            map=CONF
+            | {
+                "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
+                "spark.ui.showConsoleProgress": "false"
+            }
+        )
+        .getOrCreate()
+    )
     s.sparkContext.setLogLevel("ERROR")
     return s
 

@@ -46,12 +46,17 @@ def test_books_from_files_to_fb2(spark, root, capsys):
     code, out = run(spark, capsys, "merge-status", root)
     assert code == cli.OK and "plain book\t0\t1\t1\t0" in out
     assert run(spark, capsys, "build", root, "--author", "Ann Bee")[0] == cli.OK
-    assert (root / "plain book/output.md").read_text().startswith("# One") and "<last-name>Bee</last-name>" in (root / "glass/book.fb2").read_text()
+    assert (
+        root / "plain book/output.md"
+    ).read_text().startswith("# One") and "<last-name>Bee</last-name>" in (root / "glass/book.fb2").read_text()
     assert run(spark, capsys, "quality-check", root)[0] == cli.OK
 
 
 def test_glossaries(spark, root, capsys):
-    terms = [{"source": "Ann", "target": "Анна", "confidence": "low"}, {"source": "Anns", "target": "", "id": "x"}, {"source": "Zed", "target": "Зед", "id": "x"}]
+    terms = [
+        {"source": "Ann", "target": "Анна", "confidence": "low"}, {"source": "Anns", "target": "", "id": "x"},
+        {"source": "Zed", "target": "Зед", "id": "x"}
+    ]
     (root / "plain book/glossary.json").write_text(json.dumps({"terms": terms}))
     read = lambda: {t["source"]: t for t in json.loads((root / "plain book/glossary.json").read_text())["terms"]}
     code, out = run(spark, capsys, "validate-glossary", root, "--fix")
@@ -60,7 +65,9 @@ def test_glossaries(spark, root, capsys):
     assert code == cli.ISSUES and "Zed" in out and read()["Ann"]["frequency"] == 1
     assert run(spark, capsys, "find-duplicates", root)[0] == cli.ISSUES
     assert run(spark, capsys, "confirm-terms", root)[0] == cli.INVALID
-    assert run(spark, capsys, "confirm-terms", root, "--source", "Ann", "--note", "seen")[0] == cli.OK and read()["Ann"]["confidence"] == "high" and read()["Zed"]["confidence"] == "low"
+    assert run(
+        spark, capsys, "confirm-terms", root, "--source", "Ann", "--note", "seen"
+    )[0] == cli.OK and read()["Ann"]["confidence"] == "high" and read()["Zed"]["confidence"] == "low"
     code, out = run(spark, capsys, "print-terms", root, "--end", 1)
     assert code == cli.OK and "| Ann |  | Анна |" in out
     assert run(spark, capsys, "reset-run-state", root, "--prune-zero-freq")[0] == cli.OK and list(read()) == ["Ann"]
@@ -80,10 +87,15 @@ def test_planning_merging_and_polishing(spark, root, capsys):
     book = root / "plain book"
     (book / "glossary.json").write_text(json.dumps({"terms": [{"source": "Ann", "target": "Анна", "id": "ann"}]}))
     (root / "glass/glossary.json").write_text(json.dumps({"terms": []}))
-    assert run(spark, capsys, "prepare-batch", root, "--end", 1)[0] == cli.OK and "| Ann |  | Анна |" in (book / "process/task_chunk0001.md").read_text()
+    assert run(
+        spark, capsys, "prepare-batch", root, "--end", 1
+    )[0] == cli.OK and "| Ann |  | Анна |" in (book / "process/task_chunk0001.md").read_text()
     for k in (1, 2):
         (book / f"process/output_chunk000{k}.md").write_text((book / f"process/chunk000{k}.md").read_text())
-    metas = {1: {"new_entities": [{"source": "Zed", "target_proposal": "Зед"}]}, 2: {"new_entities": [{"source": "Ann", "target_proposal": "Анн"}]}}
+    metas = {
+        1: {"new_entities": [{"source": "Zed", "target_proposal": "Зед"}]},
+        2: {"new_entities": [{"source": "Ann", "target_proposal": "Анн"}]}
+    }
     for k, m in metas.items():
         (book / f"process/output_chunk000{k}.meta.json").write_text(json.dumps(m))
     code, out = run(spark, capsys, "plan", root)
@@ -111,9 +123,13 @@ def test_planning_merging_and_polishing(spark, root, capsys):
     (book / "process/output_chunk0002.polished.md").write_text(" \n")
     code, out = run(spark, capsys, "apply-polish", root)
     assert code == cli.ISSUES and "plain book\t2\tpolished_empty" in out
-    assert (book / "process/output_chunk0001.md").read_text().endswith("more.") and (book / "process/output_chunk0001.md.bak").read_text() == before
+    assert (book / "process/output_chunk0001.md").read_text().endswith("more.") and (
+        book / "process/output_chunk0001.md.bak"
+    ).read_text() == before
     assert run(spark, capsys, "verify-polish", root)[0] == cli.OK
-    assert run(spark, capsys, "pronoun-check", root, "--save")[0] == cli.OK and json.loads((book / "process/pronouns.json").read_text())["glossary"]
+    assert run(
+        spark, capsys, "pronoun-check", root, "--save"
+    )[0] == cli.OK and json.loads((book / "process/pronouns.json").read_text())["glossary"]
     (book / "process/output_chunk0001.qa.json").write_text(json.dumps({"issues": [{"severity": "high", "category": "x"}]}))
     assert run(spark, capsys, "post-mortem", root, "--save")[0] == cli.OK
     told = json.loads((book / "process/post_mortem.json").read_text())

@@ -12,7 +12,10 @@ from bookmill.sources import books, sinks
 
 
 def files(folder):
-    return {os.path.relpath(os.path.join(d, n), folder): open(os.path.join(d, n), "rb").read() for d, _, names in os.walk(folder) for n in names}
+    return {
+        os.path.relpath(os.path.join(d, n), folder): open(os.path.join(d, n), "rb").read() for d, _,
+        names in os.walk(folder) for n in names
+    }
 
 
 def test_a_file_for_each_row_in_place_of_older_ones(spark, tmp_path):
@@ -46,7 +49,10 @@ def test_a_held_file_is_tried_again(tmp_path, monkeypatch):
 
 
 def test_chunk_and_json_files(spark, tmp_path):
-    rows = spark.createDataFrame([("b", 1, 1, "T", "One. Two."), ("b", 2, 1, "U", "Three.")], "book_id string, section_no int, level int, title string, text string")
+    rows = spark.createDataFrame(
+        [("b", 1, 1, "T", "One. Two."), ("b", 2, 1, "U", "Three.")],
+        "book_id string, section_no int, level int, title string, text string"
+    )
     manifest = sections.number_chunks(rows)
     sinks.sink_chunk_files(manifest, str(tmp_path))
     got = files(tmp_path)
@@ -80,11 +86,23 @@ def test_readers_always_find_a_version(spark, tmp_path):
 
 
 def test_books_are_built_and_written(spark, tmp_path):
-    chunks = [("b", 1, "# One\n\nText.[^1]\n\n![m](images/m.png)"), ("b", 2, "  "), ("b", 3, "## Two\n\nMore.\n\n[^1]: Note."), ("c", 1, "Only.")]
+    chunks = [
+        ("b", 1, "# One\n\nText.[^1]\n\n![m](images/m.png)"), ("b", 2, "  "),
+        ("b", 3, "## Two\n\nMore.\n\n[^1]: Note."), ("c", 1, "Only.")
+    ]
     turns = spark.createDataFrame(chunks, "book_id string, chunk_no int, text string")
-    manifest = turns.select("book_id", "chunk_no", F.sha2(F.when(F.col("book_id") == "c", "other").otherwise(F.col("text")), 256).alias("source"))
-    author = F.struct(F.lit("Ann").alias("first_name"), F.lit(None).cast("string").alias("middle_name"), F.lit("Bee").alias("last_name"), F.lit(None).cast("string").alias("nickname"))
-    headers = spark.createDataFrame([("b", "B"), ("c", "C"), ("d", "D")], "book_id string, title string").select("book_id", "title", author.alias("author"), F.lit("en").alias("lang"), F.lit("2020").alias("date"), F.lit("u").alias("uid"))
+    manifest = turns.select(
+        "book_id", "chunk_no",
+        F.sha2(F.when(F.col("book_id") == "c", "other").otherwise(F.col("text")), 256).alias("source")
+    )
+    author = F.struct(
+        F.lit("Ann").alias("first_name"), F.lit(None).cast("string").alias("middle_name"),
+        F.lit("Bee").alias("last_name"), F.lit(None).cast("string").alias("nickname")
+    )
+    headers = spark.createDataFrame([("b", "B"), ("c", "C"), ("d", "D")], "book_id string, title string").select(
+        "book_id", "title", author.alias("author"), F.lit("en").alias("lang"), F.lit("2020").alias("date"),
+        F.lit("u").alias("uid")
+    )
     images = spark.createDataFrame([("b", "OEBPS/images/m.png", bytearray(b"\x89PNG"))], "book_id string, path string, content binary")
     built = build.build_books(manifest, turns, turns, headers, images).cache()
     got = {r.book_id: r for r in built.collect()}
@@ -99,12 +117,18 @@ def test_books_are_built_and_written(spark, tmp_path):
 @pytest.mark.parametrize(
     "html, markdown",
     [
-        ("<ul><li>a</li><li>b<ol><li>x</li><li><p>y</p></li></ol></li><li>c</li></ul>", "- a\n\n- b\n\n    1. x\n\n    2. y\n\n- c\n"),
-        ("<table><tr><th>A|</th><th>B</th></tr><tr><td>1</td><td><p>2</p><p>3</p></td></tr><tr><td>only</td></tr></table>after", "| A\\| | B |\n| --- | --- |\n| 1 | 2 3 |\n| only |  |\n\nafter\n"),
+        (
+            "<ul><li>a</li><li>b<ol><li>x</li><li><p>y</p></li></ol></li><li>c</li></ul>",
+            "- a\n\n- b\n\n    1. x\n\n    2. y\n\n- c\n"
+        ),
+        (
+            "<table><tr><th>A|</th><th>B</th></tr><tr><td>1</td><td><p>2</p><p>3</p></td></tr><tr><td>only</td></tr></table>after",
+            "| A\\| | B |\n| --- | --- |\n| 1 | 2 3 |\n| only |  |\n\nafter\n"
+        ),
         ("x<pre>  a\n <b>b</b> </pre>y", "x\n\n```\n  a\n b \n```\n\ny\n"),
         ("<a href='u' title='t'>l</a> <img src='s' alt='A' title='T'>", '[l](u "t") ![A](s "T")\n'),
         ("<pre>un", "```\nun\n```\n"), ("<table><tr><td>a", "") , ("</table></ul></pre>t", "t\n"),
     ],
-)
+)
 def test_html_blocks(html, markdown):
     assert books.to_markdown(html) == markdown

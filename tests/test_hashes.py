@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from bookmill.functions import text as T
 
-TEXTS = ["", "a", 'quote " and \\ back', "tab\tline\nreturn\r", "".join(map(chr, range(1, 0x80))), "é 中 😀   \x7f", "\\u000B literal", "\x0b\x1f\\\x0b", "/"]
+TEXTS = [
+    "", "a", 'quote " and \\ back', "tab\tline\nreturn\r", "".join(map(chr, range(1, 0x80))), "é 中 😀   \x7f",
+    "\\u000B literal", "\x0b\x1f\\\x0b", "/"
+]
 
 
 def test_json_strings(spark):
-    rows = spark.createDataFrame([(k, t) for k, t in enumerate(TEXTS)], "k int, t string").select("k", T.json_quote(F.col("t")).alias("q"), T.json_hash(F.col("t")).alias("h"))
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(TEXTS)], "k int, t string").select(
+        "k", T.json_quote(F.col("t")).alias("q"), T.json_hash(F.col("t")).alias("h")
+    )
     for r in rows.collect():
         want = json.dumps(TEXTS[r.k], ensure_ascii=False)
         assert r.q == want and r.h == hashlib.sha256(want.encode()).hexdigest()

@@ -28,19 +28,34 @@ def test_empty_texts_have_no_chunks(spark):
 
 
 def test_surface_in_text(spark):
-    rows = spark.createDataFrame([("al", "albert"), ("brig", "brightsand"), ("o'neil", "said o'neil."), ("a.b", "a.b"), ("a.b", "axb")], "s string, t string")
+    rows = spark.createDataFrame(
+        [("al", "albert"), ("brig", "brightsand"), ("o'neil", "said o'neil."), ("a.b", "a.b"), ("a.b", "axb")],
+        "s string, t string"
+    )
     assert [r.y for r in rows.select(T.surface_in_text(F.col("s"), F.col("t")).alias("y")).collect()] == [True, False, True, True, False]
 
 
 def test_terms_in_chunk_sees_punctuated_and_spaced_surfaces(spark):
-    terms = spark.createDataFrame([("b", 1, "O'Neil", []), ("b", 2, "two words", []), ("b", 3, "x", ["Ünder"])], "book_id string, pos int, source string, aliases array<string>")
-    chunks = spark.createDataFrame([("b", 1, "Said O'Neil, two  words."), ("b", 2, "Two words! ünder"), ("c", 1, "two words")], "book_id string, chunk_no int, text string")
+    terms = spark.createDataFrame(
+        [("b", 1, "O'Neil", []), ("b", 2, "two words", []), ("b", 3, "x", ["Ünder"])],
+        "book_id string, pos int, source string, aliases array<string>"
+    )
+    chunks = spark.createDataFrame(
+        [("b", 1, "Said O'Neil, two  words."), ("b", 2, "Two words! ünder"), ("c", 1, "two words")],
+        "book_id string, chunk_no int, text string"
+    )
     assert sorted((r.chunk_no, r.pos) for r in G.terms_in_chunk(terms, chunks).collect()) == [(1, 1), (2, 2), (2, 3)]
 
 
 def test_faulty_decisions_apply_nothing(spark):
-    plan = spark.createDataFrame([("b", "decision", "attribute_conflict", "A", "gender", "male", None, [1], "i1")], "book_id string, outcome string, kind string, source string, field string, value string, options array<string>, chunks array<int>, id string")
-    terms = spark.createDataFrame([("b", 1, "a", "A", "x", [], "term", "female", "low", 0, [], "")], "book_id string, pos int, id string, source string, target string, aliases array<string>, category string, gender string, confidence string, frequency int, evidence_refs array<string>, notes string")
+    plan = spark.createDataFrame(
+        [("b", "decision", "attribute_conflict", "A", "gender", "male", None, [1], "i1")],
+        "book_id string, outcome string, kind string, source string, field string, value string, options array<string>, chunks array<int>, id string"
+    )
+    terms = spark.createDataFrame(
+        [("b", 1, "a", "A", "x", [], "term", "female", "low", 0, [], "")],
+        "book_id string, pos int, id string, source string, target string, aliases array<string>, category string, gender string, confidence string, frequency int, evidence_refs array<string>, notes string"
+    )
     bad = spark.createDataFrame([("b", "i1", "neither", None)], "book_id string, id string, choice string, kind string")
     with pytest.raises(ValueError):
         G.apply_merge(plan, terms, bad)
@@ -50,7 +65,10 @@ def test_faulty_decisions_apply_nothing(spark):
 
 def test_snapshots_and_the_guard_of_empty_ones(spark, tmp_path):
     path = str(tmp_path / "g")
-    terms = spark.createDataFrame([("b", 1, "", "A", "x", [], "term", "female", "low", 0, [], "")], "book_id string, pos int, id string, source string, target string, aliases array<string>, category string, gender string, confidence string, frequency int, evidence_refs array<string>, notes string")
+    terms = spark.createDataFrame(
+        [("b", 1, "", "A", "x", [], "term", "female", "low", 0, [], "")],
+        "book_id string, pos int, id string, source string, target string, aliases array<string>, category string, gender string, confidence string, frequency int, evidence_refs array<string>, notes string"
+    )
     sinks.write_glossary(terms, path)
     assert sinks.read_snapshot(spark, path).first().id == "a"
     with pytest.raises(ValueError):
@@ -76,7 +94,10 @@ def test_plan_partitions_the_manifest(spark):
     manifest = spark.createDataFrame([("b", k, "h") for k in range(4)], f"{key}, source string").withColumn("source", F.sha2("source", 256))
     sources = spark.createDataFrame([("b", k, "h") for k in range(4)], f"{key}, text string")
     outputs = spark.createDataFrame([("b", k, "o") for k in (1, 2, 3)], f"{key}, text string")
-    records = spark.createDataFrame([("b", 2, {}, True, False), ("b", 3, {"gone": "x"}, False, True)], f"{key}, entity_hashes map<string,string>, failed boolean, polish_failed boolean")
+    records = spark.createDataFrame(
+        [("b", 2, {}, True, False), ("b", 3, {"gone": "x"}, False, True)],
+        f"{key}, entity_hashes map<string,string>, failed boolean, polish_failed boolean"
+    )
     terms = spark.createDataFrame([], "book_id string, id string, source string, target string, aliases array<string>, gender string")
     got = {r.chunk_no: (r.category, r.polish_failed) for r in ST.plan(manifest, sources, outputs, records, terms).collect()}
     assert got == {0: ("translation", False), 1: ("record_only", False), 2: ("failed", False), 3: ("translation", True)}
@@ -101,21 +122,34 @@ def test_html_subset():
 
 
 def test_inline_escapes_and_priority():
-    assert build.inline_xml(r"\*x\* `a*b*` **c** _d_ e_f_ <&>") == "*x* <code>a*b*</code> <strong>c</strong> <emphasis>d</emphasis> e_f_ &lt;&amp;&gt;"
+    assert build.inline_xml(
+        r"\*x\* `a*b*` **c** _d_ e_f_ <&>"
+    ) == "*x* <code>a*b*</code> <strong>c</strong> <emphasis>d</emphasis> e_f_ &lt;&amp;&gt;"
 
 
 def test_fb2_is_well_formed_for_any_text(spark, data):
     from xml.etree import ElementTree
 
-    blocks = build.md_blocks(spark.read.parquet(f"{data}/documents.parquet").select(F.col("doc_id").cast("string").alias("book_id"), "text"))
+    blocks = build.md_blocks(
+        spark.read.parquet(f"{data}/documents.parquet").select(F.col("doc_id").cast("string").alias("book_id"), "text")
+    )
     author = F.struct(*(F.lit("A").alias(n) for n in ("first_name", "middle_name", "last_name", "nickname")))
-    heads = blocks.select("book_id").distinct().select("book_id", F.lit("<T>").alias("title"), author.alias("author"), *(F.lit("x").alias(n) for n in ("lang", "date", "uid")))
+    heads = (
+        blocks.select("book_id").distinct()
+        .select(
+            "book_id", F.lit("<T>").alias("title"), author.alias("author"),
+            *(F.lit("x").alias(n) for n in ("lang", "date", "uid"))
+        )
+    )
     for r in build.build_fb2(blocks, heads).collect():
         ElementTree.fromstring(r.fb2.encode())
 
 
 def test_numbers_of_chunks_are_dense_and_lose_no_paragraph(spark):
-    sections = spark.createDataFrame([("b", 1, 1, "A", "p1 x\n\np2\n\n***\n\np3"), ("b", 2, 1, "B", "p4")], "book_id string, section_no int, level int, title string, text string")
+    sections = spark.createDataFrame(
+        [("b", 1, 1, "A", "p1 x\n\np2\n\n***\n\np3"), ("b", 2, 1, "B", "p4")],
+        "book_id string, section_no int, level int, title string, text string"
+    )
     rows = S.number_chunks(sections, Chunking(chunk_size=8, soft_limit=100)).orderBy("chunk_no").collect()
     assert [r.chunk_no for r in rows] == list(range(1, len(rows) + 1))
     assert [p for r in rows for p in r.text.split("\n\n")] == ["p1 x", "p2", "***", "p3", "p4"]
