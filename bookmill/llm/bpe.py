@@ -8,7 +8,7 @@ until none is left.
 
 Pre-tokens don't reach over the start of white space, so a text is taken apart there, and what a
 worker has encoded it remembers, up to `memo_entries`. Texts with white space outside ASCII are
-split whole. Letters and numbers are those of Unicode 16, as in the reference library, whatever the
+split whole. Letters and numbers are those of Unicode 16, as in the tiktoken library, whatever the
 installed `regex` knows. Null text is empty text, of no ids.
 """
 
@@ -118,7 +118,7 @@ def merge(token: bytes, ranks: dict[bytes, int]) -> list[int]:
 #: White space and separators beyond ASCII's, where Python's and the pattern's notions may differ.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 _SEGMENT = re.compile(r"\s*\S+|\s+")
-#: First and last code points that are unassigned in Unicode 16, which the reference library's
+#: First and last code points that are unassigned in Unicode 16, which the tiktoken library's
 #: patterns go by, and letters or numbers in later versions, which `regex` may know.
 _LATER = (
     (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),

@@ -7,11 +7,12 @@ sample. In every round each view scores all unlabelled documents in one pass ove
 view's training set. Both are then calibrated on labelled documents kept apart (Platt), and their
 log odds, less the prior's, are added.
 
-Training reads at most about `labelled` labelled documents, chosen by a hash of the id. Without
-labels of both kinds, every document gets the share of good labels (1 if none). Null text is empty
-text; null metadata are values of their own. Documents of equal text and metadata count as one
-when labels are exchanged; every row is scored. Columns beyond doc_id, text, source, lang and
-n_chars, and doc_id and quality of labels, are not looked at, whatever their names.
+Training reads about `labelled` labelled documents, chosen by a hash of the id; of several documents
+or labels of one id, the one whose hash is least. Without labels of both kinds, every document gets
+the share of good labels (1 if none). Null text is empty text; null metadata are values of their own.
+Documents of equal text and metadata count as one when labels are exchanged; every row is scored.
+Columns beyond doc_id, text, source, lang and n_chars, and doc_id and quality of labels, are not
+looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -261,14 +262,12 @@ def _views(rows: list) -> list[np.ndarray]:
 
 def train(docs: DataFrame, labels: DataFrame, *, labelled: int = 3000, pseudo: int = 300, rounds: int = 3) -> Classifier:
     """Co-train on a sample of bounded size of the labelled documents, and on all others."""
-    known = _sampled(
-        labels.select(
-            F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y")
-        ).where("__id IS NOT NULL AND __y IS NOT NULL"),
-        labelled, "__id"
-    )
+    given = labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y"))
+    known = _sampled(given.where("__id IS NOT NULL AND __y IS NOT NULL").distinct(), labelled, "__id")
     rows = docs.select(F.col("doc_id").alias("__id"), *_columns(docs)).withColumn("h", F.xxhash64("t", "s", "l", "n"))
-    own = rows.join(F.broadcast(known), "__id").select("h", F.col("__y").alias("y"), "t", "s", "l", "n")  # at most about `labelled` ids
+    own = rows.join(F.broadcast(known), "__id")  # about `labelled` rows
+    least = F.min(F.struct("h", F.col("__y").alias("y"), "t", "s", "l", "n"))
+    own = own.groupBy("__id").agg(least.alias("r")).select("r.*")  # one document of an id, however many have it
     found = sorted(
         own.dropDuplicates(["h", "y"]).transform(arrow_map, _features, "h bigint, y int, text binary, meta binary")
         .collect(),

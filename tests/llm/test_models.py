@@ -289,6 +289,17 @@ def test_quality_of_odd_rows_and_without_labels(spark, data):
     assert quality.classify(docs.limit(0), labels).count() == 0
 
 
+def test_an_id_that_many_documents_have_counts_once(spark, data, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    hot = labels.first().doc_id
+    many = docs.unionByName(docs.withColumn("doc_id", F.lit(hot).cast("bigint")))
+    seen = []
+    monkeypatch.setattr(quality, "co_train", lambda views, y, surest, rounds: seen.append(len(y)))
+    for rows in (docs, many):
+        quality.train(rows, labels.unionByName(labels))
+    assert seen[0] == seen[1] <= labels.count()
+
+
 def test_co_training_learns_from_the_pool():
     rng = np.random.default_rng(3)
     y = rng.integers(0, 2, 600).astype(float)
