@@ -41,6 +41,11 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def forget_powers() -> None:
+    """Give back the powers' memory; they are worked out again when needed."""
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts in order, and the number of words of each text."""
     lens = np.fromiter(map(len, texts), np.int64, len(texts))

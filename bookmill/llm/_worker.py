@@ -9,6 +9,8 @@ from functools import wraps
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ._hashing import forget_powers
+
 #: Bytes of a batch that goes to a worker. A single longer row is a batch of its own.
 BATCH_BYTES = 8 << 20
 _LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -16,6 +18,7 @@ _LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 def release() -> None:
     """Give freed memory back: a worker is kept for later tasks, of other operators too."""
+    forget_powers()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -23,9 +26,20 @@ def release() -> None:
         pass
 
 
+#: What operators keep in a worker from task to task, by the operator's module; dropped when another one runs there.
+_memos: dict[str, dict] = {}
+
+
+def memos(module: str) -> dict:
+    """An operator's memos in this worker."""
+    return _memos.setdefault(module, {})
+
+
 def _tidy(run: Callable) -> Callable:
     @wraps(run)
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for other in [m for m in _memos if m != run.__module__]:
+            del _memos[other]
         try:
             yield from run(batches)
         finally:

@@ -7,9 +7,10 @@ pairs of neighbours that have a rank a heap, and the pair of least rank, leftmos
 until none is left.
 
 Pre-tokens don't reach over the start of white space, so a text is taken apart there, and what a
-worker has encoded it remembers, up to `memo_entries`. Texts with white space outside ASCII are
-split whole. Letters and numbers are those of Unicode 16, as in the tiktoken library, whatever the
-installed `regex` knows. Null text is empty text, of no ids.
+worker has encoded it remembers from task to task, up to `memo_entries`: the older half is forgotten
+at a time. Texts with white space outside ASCII are split whole. Letters and numbers are those of
+Unicode 16, as in the tiktoken library, whatever the installed `regex` knows. Null text is empty
+text, of no ids.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ._hashing import U, mix, slices
-from ._worker import arrow_map
+from ._worker import arrow_map, memos
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -136,6 +138,9 @@ _UNASSIGNED = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _LATER)
 _STAND_IN = "\ue000"
 
 
+_ONE = struct.Struct("<I").pack
+
+
 class Encoder:
     """Encodes texts with a vocabulary, a perfect hash of it and a pattern."""
 
@@ -144,6 +149,8 @@ class Encoder:
         self._pattern = regex.compile(pattern)
         self._tokens: dict[str, bytes] = {}
         self._segments: dict[str, bytes] = {}
+        self._old_tokens: dict[str, bytes] = {}
+        self._old_segments: dict[str, bytes] = {}
 
     def split(self, text: str) -> list[str]:
         """The pattern's matches by Unicode 16."""
@@ -154,22 +161,35 @@ class Encoder:
     def _learn(self, segments: set[str]) -> None:
         parts = {s: self.split(s) for s in segments}
         new = list({t for ts in parts.values() for t in ts}.difference(self._tokens))
-        raw = [t.encode("utf-8", "replace") for t in new]
-        for t, b, k in zip(new, raw, self.hashed.lookup(raw).tolist(), strict=True):
-            self._tokens[t] = (np.array(merge(b, self.ranks) if k < 0 else [k], "<u4")).tobytes()
+        old = self._old_tokens.get
+        unknown = [t for t in new if (ids := old(t)) is None or not self._keep(t, ids)]
+        raw = [t.encode("utf-8", "replace") for t in unknown]
+        for t, b, k in zip(unknown, raw, self.hashed.lookup(raw).tolist(), strict=True):
+            if k < 0:
+                ids = merge(b, self.ranks)
+                self._tokens[t] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                self._tokens[t] = _ONE(k)
         get = self._tokens.__getitem__
         for s, ts in parts.items():
-            self._segments[s] = b"".join(map(get, ts))
+            self._segments[s] = get(ts[0]) if len(ts) == 1 else b"".join(map(get, ts))
+
+    def _keep(self, token: str, ids: bytes) -> bool:
+        self._tokens[token] = ids
+        return True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [[t] if _ODD_SPACE.search(t) else _SEGMENT.findall(t) for t in texts]
         here = set().union(*split)
-        if len(self._segments) + len(here) > self.memo_entries:
-            self._segments.clear()
-            self._tokens.clear()
+        if len(self._segments) > self.memo_entries // 2:  # what was used since the last turn is kept for one more
+            self._old_segments, self._segments = self._segments, {}
+            self._old_tokens, self._tokens = self._tokens, {}
         if new := here.difference(self._segments):
-            self._learn(new)
+            kept = new.intersection(self._old_segments)
+            self._segments.update(zip(kept, map(self._old_segments.__getitem__, kept), strict=True))
+            if len(kept) < len(new):
+                self._learn(new - kept)
         get = self._segments.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
@@ -180,7 +200,7 @@ def _keep(docs: DataFrame, keep: list[str]) -> str:
 
 def encode(
     docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-    memo_entries: int = 400_000
+    memo_entries: int = 1_200_000
 ) -> DataFrame:
     """The columns `keep` and `ids`: each text's ids as little-endian unsigned 32-bit integers."""
     ranks = load_ranks(ranks_path)
@@ -188,7 +208,11 @@ def encode(
     k = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*(shared.value[0], pattern, shared.value[1]), memo_entries)
+        held, key = memos(__name__), (ranks_path, pattern, memo_entries)
+        if key not in held:
+            held.clear()
+            held[key] = Encoder(shared.value[0], pattern, shared.value[1], memo_entries)
+        encoder = held[key]
         for b in batches:
             texts = [x or "" for x in b.column(k).to_pylist()]
             for i, j in slices(texts, 1 << 21):

@@ -655,7 +655,7 @@ def _sets(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame, int]:
 
 def link(
     docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80,
-    part_tokens: int = 2_000_000, chunk_tokens: int = 1_000_000, group_rows: int = 512, hot_least: int = 1024,
+    part_tokens: int = 1_000_000, chunk_tokens: int = 1_000_000, group_rows: int = 512, hot_least: int = 1024,
     hot_times: int = 8
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.

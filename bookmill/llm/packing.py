@@ -17,7 +17,6 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from . import _store
 from ._hashing import slices
-from ._worker import arrow_map
+from ._worker import arrow_map, memos
 
 Pattern = tuple[tuple[int, int], ...]
 
@@ -137,7 +136,6 @@ def places(patterns: list[tuple[Pattern, int]], capacity: int) -> dict[int, tupl
     return {s: tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)) for s, rows in out.items()}
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
@@ -171,8 +169,19 @@ class WordIds(dict):
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.one = self.tokenizer.model.tokenize
+        self.old: dict[bytes, bytes] = {}
+
+    def turn(self, most: int) -> None:
+        """Beyond half of `most` words, what was used since the last turn is kept for one more."""
+        if len(self) > most // 2:
+            self.old = dict(self)
+            self.clear()
 
     def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is not None:
+            self[word] = ids
+            return ids
         bare = word.rstrip(_CLOSING)
         if bare and len(bare) < len(word) and bare[-1:].isalnum():
             ids = self[bare] + self[word[len(bare) :]]  # closing punctuation after an ASCII letter or digit is a pre-token of its own
@@ -188,21 +197,17 @@ class WordIds(dict):
         return ids
 
 
-#: A worker's memo for each tokenizer, kept from task to task.
-_memos: dict[str, WordIds] = {}
-
-
 def _encode(path: str, capacity: int, end: int, memo_words: int):
     """Pieces of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = struct.pack("<I", end)
-        memo = _memos.setdefault(path, WordIds(path))
+        held = memos(__name__)  # kept from task to task
+        memo = held[path] if path in held else held.setdefault(path, WordIds(path))
         for b in batches:
             docs, texts = b.column(0).to_pylist(), [x or b"" for x in b.column(1).to_pylist()]
             for i, j in slices(texts, 1 << 20):
-                if len(memo) > memo_words:
-                    memo.clear()
+                memo.turn(memo_words)
                 rows = []
                 for d, t in zip(docs[i:j], texts[i:j], strict=True):
                     ids = b"".join([*map(memo.__getitem__, t.lower().split()), tail])
@@ -237,7 +242,7 @@ def _place(table):
 
 def pack(
     docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id: str = "doc_id", capacity: int = 4096, end: int = 1,
-    memo_words: int = 150_000, part_rows: int = 100_000
+    memo_words: int = 800_000, part_rows: int = 100_000
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. tokenizer: the file's path on every worker.
 
