@@ -88,7 +88,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterato
     """Batch, range of its rows, and the token sets of their texts."""
     for b in batches:
         texts = [x or b"" for x in b.column(column).to_pylist()]
-        for i, j in slices(texts, 1 << 21):
+        for i, j in slices(texts, 1 << 19):
             yield b, i, j, *token_sets(texts[i:j], size)
 
 

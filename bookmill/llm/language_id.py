@@ -140,7 +140,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     for b in batches:
         langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-        for i, j in slices(texts, 1 << 20):
+        for i, j in slices(texts, 1 << 18):
             gram, doc = trigrams(texts[i:j])
             for lang in set(langs[i:j]):
                 own = np.array([x == lang for x in langs[i:j]])
@@ -206,7 +206,7 @@ def predict(
         labels = pa.array([*m.languages, UNDETERMINED], pa.string())
         for b in batches:
             texts = [x or "" for x in b.column(len(keep)).to_pylist()]
-            for i, j in slices(texts, (1 << 23) // max(8, len(m.languages))):
+            for i, j in slices(texts, (1 << 21) // max(8, len(m.languages))):
                 found = _ranked(mixtures(m, texts[i:j]), labels)
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(i, j - i) for k in range(len(keep))), *found], names=names)
 

@@ -197,7 +197,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         t = [x or b"" for x in b.column(2).to_pylist()]
         meta = [b.column(k).to_pylist() for k in (3, 4, 5)]
-        for i, j in slices(t, 1 << 19, 512):
+        for i, j in slices(t, 1 << 18, 256):
             views = (text_features(t[i:j]).astype(np.float16), meta_features(*(m[i:j] for m in meta)).astype(np.float16))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -219,7 +219,7 @@ def _surest_in_task(models: list[Linear], wanted: dict[int, int], taken: list[np
         for b in batches:
             h, t = b.column(0).to_numpy(), [x or b"" for x in b.column(1).to_pylist()]
             meta = [b.column(k).to_pylist() for k in (2, 3, 4)]
-            for i, j in slices(t, 1 << 20, 512):
+            for i, j in slices(t, 1 << 18, 256):
                 odds = models[0].raw(text_features(t[i:j])), models[1].raw(meta_features(*(m[i:j] for m in meta)))
                 for (v, y), (score, ids) in best.items():
                     own = sure(odds[v], y) & ~np.isin(h[i:j], taken[v])
@@ -314,7 +314,7 @@ def score(docs: DataFrame, model: Classifier, *, keep: list[str], into: str = "s
         for b in batches:
             t, *meta = (b.column(len(keep) + k).to_pylist() for k in range(4))
             t = [x or b"" for x in t]
-            for i, j in slices(t, 1 << 20, 512):
+            for i, j in slices(t, 1 << 18, 256):
                 if m.text is None or m.meta is None:
                     found = [np.full(j - i, m.prior)] * 3
                 else:

@@ -158,7 +158,7 @@ def judge(
         for batch in batches:
             k = batch.num_columns - 1
             texts = batch.column(k).to_pylist()
-            for i, j in slices(texts, 1 << 20):
+            for i, j in slices(texts, 1 << 18):
                 odds = _log_odds(weights, bias, texts[i:j])
                 said = [
                     v or ("block" if o > cut else "allow") for v,
