@@ -200,7 +200,7 @@ def _keep(docs: DataFrame, keep: list[str]) -> str:
 
 def encode(
     docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-    memo_entries: int = 1_200_000
+    memo_entries: int = 700_000
 ) -> DataFrame:
     """The columns `keep` and `ids`: each text's ids as little-endian unsigned 32-bit integers."""
     ranks = load_ranks(ranks_path)
