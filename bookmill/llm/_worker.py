@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from ._hashing import forget_powers
 
 #: Bytes of a batch that goes to a worker. A single longer row is a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

@@ -242,7 +242,7 @@ def _place(table):
 
 def pack(
     docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id: str = "doc_id", capacity: int = 4096, end: int = 1,
-    memo_words: int = 800_000, part_rows: int = 100_000
+    memo_words: int = 400_000, part_rows: int = 100_000
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. tokenizer: the file's path on every worker.
 
