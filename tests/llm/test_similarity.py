@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from bookmill.llm import fingerprints, jaccard_join, topk
+from bookmill.llm import _store, fingerprints, jaccard_join, topk
 
 DOCS = "doc_id bigint, text string"
 
@@ -255,3 +255,52 @@ def test_search_of_odd_rows(spark):
     assert found(spark, rows) == best(rows)
     assert found(spark, [(1, [1.0])]) == set() == found(spark, [(50, [1.0])])
     assert topk.search(spark.createDataFrame([], VECS), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_search_holds_queries_once_not_for_each_bucket(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]  # lengths and coordinates prune nothing: each query reaches each bucket
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], VECS)
+    held, table = [], _store.table
+
+    def measured(df, name, **how):
+        out = table(df, name, **how)
+        binary = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c, kind in out.dtypes if kind == "binary"]
+        held.append((name, sum(out.agg(*binary).first()) if binary else 0))
+        return out
+
+    monkeypatch.setattr(_store, "table", measured)
+    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search(df, F.col("vec_id") % 2 == 0, bucket_rows=16).collect()}
+    assert held and all(size <= 2 * x.nbytes for _, size in held), held
+    w = np.floor(256 * x).astype(np.int64)
+    scores, out = w[::2] @ w.T, set()
+    for r, q in enumerate(range(0, 3000, 2)):
+        order = [j for j in np.lexsort((np.arange(3000), -scores[r]))[:6].tolist() if j != q][:5]
+        out |= {(q, rank + 1, j, int(scores[r, j])) for rank, j in enumerate(order)}
+    assert got == out
+
+
+def test_search_of_ids_with_several_vectors(spark):
+    rows = [(0, [4.0, 1.0])] + [(7, [9.0 + j, 1.0]) for j in range(8)] + [(i, [1.0, i / 64]) for i in range(8, 30)]
+    own = {}
+    for i, v in rows[1:]:
+        own[i] = max(own.get(i, 0), int(np.floor(np.array(v) * 256) @ np.array([1024.0, 256.0])))
+    want = sorted((-s, i) for i, s in own.items())[:5]
+    assert found(spark, rows, bucket_rows=64) == {(0, r + 1, i, -s) for r, (s, i) in enumerate(want)}
+
+
+@pytest.mark.parametrize("pays", [0, 1 << 20])
+@pytest.mark.parametrize("most", [100, 10**5, 10**9])
+def test_buckets_equal_brute_force_by_coordinates_or_products_in_any_arithmetic(pays, most):
+    rng = np.random.default_rng(5)
+    p = rng.integers(-most, most, size=(300, 6)) * rng.choice([0, 1], size=(300, 6), p=[0.6, 0.4])
+    q = np.concatenate([p[:20] + rng.integers(-3, 3, size=(20, 6)), p[20:25] * 0])
+    lengths = lambda m: np.sqrt((m.astype(float) ** 2).sum(1))
+    p = p[np.argsort(-lengths(p), kind="stable")]
+    ids, block = rng.permutation(300), topk.Block(np.arange(25), q, lengths(q), 5)
+    for a in range(0, 300, 60):
+        topk.Bucket(ids[a : a + 60], p[a : a + 60], lengths(p)[a : a + 60]).search(block, pays=pays)
+    for r in range(25):
+        s = sorted((-sum(int(x) * int(y) for x, y in zip(q[r], v, strict=True)), int(i)) for i, v in zip(ids, p, strict=True) if i != r)[:5]
+        assert list(zip((-block.score[r]).tolist(), block.held[r].tolist(), strict=True)) == s
