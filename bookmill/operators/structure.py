@@ -60,26 +60,37 @@ def chunk_to_arc(chunks: DataFrame) -> DataFrame:
     return _arcs_marked(chunks).select("book_id", "chunk_no", "arc_no")
 
 
+def _headed(books: DataFrame) -> DataFrame:
+    """Books (book_id, text) with their lines as an array, and the places (from 0) of the headings among them."""
+    split = books.withColumn("lines", F.split(F.coalesce("text", F.lit("")), LINE_END))
+    places = F.transform("lines", lambda x, i: F.when(x.startswith("#") & heading_level(x).isNotNull(), i))
+    return split.withColumn("heads", F.array_compact(places))
+
+
+def _epigraphs(most: int) -> Column:
+    """Of a book of _headed, the epigraphs as array of (at, heading, text). A text's lines are looked at once."""
+
+    def before(at: Column, k: Column) -> Column:
+        start = F.coalesce(F.get("heads", k - 1) + 1, F.lit(0))
+        body = strip(F.array_join(F.slice("lines", start + 1, at - start), "\n"))
+        return F.struct(at.alias("at"), F.get("lines", at).alias("heading"), body.alias("text"))
+
+    matter = r"(?iUu)^(" + "|".join(MATTER_TITLES) + r")\b"
+    return F.filter(
+        F.transform("heads", before),
+        lambda x: (x.text != "") & (F.length(x.text) <= most) & ~heading_title(x.heading).rlike(matter)
+    )
+
+
 def detect_epigraphs(books: DataFrame, most: int = 600) -> DataFrame:
     """Short text right before a chapter heading, back to the heading before: before_heading_line (from 0), title, level, text, quoted, attribution."""
-    w = Window.partitionBy("book_id").orderBy("line_no")
-    marked = lines(books.select("book_id", "text"), end=LINE_END).withColumn("level", heading_level(F.col("line")))
-    part = marked.withColumn("part", F.count("level").over(w) + F.when(F.col("level").isNotNull(), 0).otherwise(1))
-    body = F.array_join(
-        F.transform(
-            F.array_sort(F.collect_list(F.when(F.col("level").isNull(), F.struct("line_no", "line")))), lambda x: x.line
-        ),
-        "\n"
-    )
-    found = part.groupBy("book_id", "part").agg(
-        F.max(F.when(F.col("level").isNotNull(), F.col("line_no"))).alias("before_heading_line"),
-        F.max(F.when(F.col("level").isNotNull(), heading_title(F.col("line")))).alias("heading_text"),
-        F.max("level").alias("heading_level"), strip(body).alias("text"),
+    found = _headed(books.select("book_id", "text")).select("book_id", F.explode(_epigraphs(most)).alias("e")).select(
+        "book_id", F.col("e.at").alias("before_heading_line"), heading_title(F.col("e.heading")).alias("heading_text"),
+        heading_level(F.col("e.heading")).alias("heading_level"), "e.text"
     )
-    matter = F.col("heading_text").rlike(r"(?iUu)^(" + "|".join(MATTER_TITLES) + r")\b")
     last = F.regexp_extract("text", r"(?:^|\n)\s*[—–-]\s*([^\n]+)$", 1)
     quoted = strip(F.regexp_replace("text", r"(?:^|\n)\s*[—–-]\s*[^\n]+$", ""))
-    return found.where(F.col("heading_level").isNotNull() & (F.col("text") != "") & (F.length("text") <= most) & ~matter).select(
+    return found.select(
         "book_id", "before_heading_line", "heading_text", "heading_level", "text",
         F.when(last != "", quoted).otherwise(F.col("text")).alias("quoted_text"),
         F.nullif(strip(last), F.lit("")).alias("attribution")
@@ -117,27 +128,35 @@ def footnote_orphans(books: DataFrame) -> DataFrame:
     )
 
 
+def _quote(line: Column) -> Column:
+    return strip(F.regexp_extract(line, r"(?U)^>\s+(.+)$", 1))
+
+
 def inline_quotes(books: DataFrame, least: int = 30, most: int = 600) -> DataFrame:
     """Quoted lines `> text` of moderate length."""
-    body = strip(F.regexp_extract("line", r"(?U)^>\s+(.+)$", 1))
     return (
         lines(books.select("book_id", "text"))
-        .select("book_id", (F.col("line_no") + 1).alias("line"), body.alias("quote"))
+        .select("book_id", (F.col("line_no") + 1).alias("line"), _quote(F.col("line")).alias("quote"))
         .where(F.length("quote").between(least, most))
     )
 
 
 def structural_summary(books: DataFrame) -> DataFrame:
-    """Per book, how many of each unit."""
-    kinds = (
-        ("n_epigraphs", detect_epigraphs(books)), ("n_definitions", footnote_defs(books)),
-        ("n_markers", footnote_markers(books)), ("n_quotes", inline_quotes(books))
-    )
-    rows = None
-    for name, df in kinds:
-        one = df.select("book_id", F.lit(name).alias("kind"))
-        rows = one if rows is None else rows.unionByName(one)
-    return rows.groupBy("book_id").agg(*(F.count_if(F.col("kind") == name).alias(name) for name, _ in kinds))
+    """Per book, how many of each unit; a book that has none is left out.
+
+    Texts are read once and counted where they lie: of a book only its numbers are dealt out.
+    """
+    cut = _headed(books.select("book_id", "text")).withColumn("rows", F.split(F.coalesce("text", F.lit("")), "\n"))
+    quoted = F.transform(F.filter("rows", lambda x: x.startswith(">")), lambda x: F.length(_quote(x)))
+    kinds = {
+        "n_epigraphs": F.size(_epigraphs(600)),
+        "n_definitions": F.size(F.filter("rows", lambda x: x.startswith("[^") & x.rlike(_FOOTNOTE))),
+        "n_markers": F.aggregate("rows", F.lit(0), lambda n, x: n + F.regexp_count(x, F.lit(_MARKER))),
+        "n_quotes": F.size(F.filter(quoted, lambda n: n.between(30, 600)))
+    }
+    counts = cut.select("book_id", *(c.alias(name) for name, c in kinds.items()))
+    summed = counts.groupBy("book_id").agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in kinds))
+    return summed.where(" + ".join(kinds) + " > 0")
 
 
 # How content files mark a footnote's text.
